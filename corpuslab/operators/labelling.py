@@ -11,7 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from corpuslab.functions.arrays import let, tail
 
 from .scan import Running, running
 
@@ -129,42 +131,42 @@ def decode_spans(labelled: DataFrame, strict: bool = False) -> DataFrame:
     Tokens other than I- are marks. A span is a B- mark with the tokens up to
     the next mark, so all spans are slices between neighbouring marks.
     """
-    seen = labelled.withColumn("_seen", drop_special(F.col("tokens")))
+    return labelled.withColumn("spans", let(drop_special(F.col("tokens")), lambda seen: _spans(seen, strict)))
+
 
+def _spans(seen: Column, strict: bool) -> Column:
     def is_mark(t: Column, i: Column) -> Column:
         mark = ~t["label_id"].isin(INSIDE_IDS)
         if not strict:
             return mark
-        before = F.get(F.col("_seen"), i - 1)["label_id"]
-        return mark | F.coalesce(F.abs(t["label_id"] - before) > 1, F.lit(True)) | (before == 0)
+        before = F.get(seen, i - 1)["label_id"]
+        return mark | ~entity_type(t["label_id"]).eqNullSafe(entity_type(before))
 
     numbered = F.transform(
-        "_seen", lambda t, i: F.when(is_mark(t, i), F.struct(i.alias("at"), t["label_id"].alias("label_id")))
-    )
-    marked = seen.withColumn("_marks", F.filter(numbered, lambda m: m.isNotNull()))
-    nexts = F.concat(
-        F.transform(F.slice("_marks", F.lit(2), F.size("_marks")), lambda m: m["at"]), F.array(F.size("_seen"))
+        seen, lambda t, i: F.when(is_mark(t, i), F.struct(i.alias("at"), t["label_id"].alias("label_id")))
     )
-    pairs = F.zip_with(
-        F.col("_marks"),
-        nexts,
-        lambda m, n: F.struct(
-            m["label_id"].alias("label_id"), F.slice(F.col("_seen"), m["at"] + 1, n - m["at"]).alias("parts")
-        ),
+    return let(F.filter(numbered, lambda m: m.isNotNull()), lambda marks: _between(seen, marks))
+
+
+def _between(seen: Column, marks: Column) -> Column:
+    ends = F.concat(F.transform(tail(marks), lambda m: m["at"]), F.array(F.size(seen)))
+    bounded = F.zip_with(
+        marks, ends, lambda m, end: F.struct(m["label_id"].alias("label_id"), m["at"].alias("at"), end.alias("end"))
     )
-    begun = marked.withColumn("_parts", F.filter(pairs, lambda p: p["label_id"].isin(BEGIN_IDS)))
 
-    def span(p: Column) -> Column:
-        parts = p["parts"]
-        return F.struct(
-            join_pieces(parts["token"]).alias("text"),
-            entity_type(p["label_id"]).alias("label"),
-            F.get(parts, F.lit(0))["position"].alias("start"),
-            F.get(parts, F.size(parts) - 1)["position"].alias("end"),
-            F.round(F.array_min(parts["confidence"]), 4).alias("confidence"),
+    def span(b: Column) -> Column:
+        return let(
+            F.slice(seen, b["at"] + 1, b["end"] - b["at"]),
+            lambda parts: F.struct(
+                join_pieces(F.transform(parts, lambda p: p["token"])).alias("text"),
+                entity_type(b["label_id"]).alias("label"),
+                F.get(parts, F.lit(0))["position"].alias("start"),
+                F.get(parts, F.size(parts) - 1)["position"].alias("end"),
+                F.round(F.array_min(F.transform(parts, lambda p: p["confidence"])), 4).alias("confidence"),
+            ),
         )
 
-    return begun.withColumn("spans", F.transform("_parts", span)).drop("_seen", "_marks", "_parts")
+    return F.transform(F.filter(bounded, lambda b: b["label_id"].isin(BEGIN_IDS)), span)
 
 
 def span_rows(decoded: DataFrame) -> DataFrame:
