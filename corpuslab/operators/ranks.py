@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .scan import Running, running
@@ -52,6 +54,32 @@ def percentiles(
     group_rows: int | None = None,
 ) -> DataFrame:
     """Exact percentiles per group with linear interpolation between ranks."""
+    # Rounded so that 0.95 of 100 steps is 95 and not just below it.
+    spots = {name: (lambda n, p=p: F.round(p * (n - 1), 9)) for name, p in fractions.items()}
+    return order_statistics(df, by, value, spots, group_rows)
+
+
+def nearest_ranks(
+    df: DataFrame,
+    by: list[str],
+    value: str,
+    fractions: dict[str, float],
+    group_rows: int | None = None,
+) -> DataFrame:
+    """The value at 0-based rank floor(fraction * n) of each group, not interpolated."""
+    spots = {name: (lambda n, p=p: F.least(F.floor(n * p), n - 1)) for name, p in fractions.items()}
+    return order_statistics(df, by, value, spots, group_rows)
+
+
+def order_statistics(
+    df: DataFrame,
+    by: list[str],
+    value: str,
+    spots: dict[str, Callable[[Column], Column]],
+    group_rows: int | None = None,
+) -> DataFrame:
+    """Values at 0-based ranks given as functions of the group size; a rank
+    between two rows is interpolated."""
     ranked = ranked_values(df, by, value, group_rows)
     size = "_size"
     sizes = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias(size))
@@ -64,12 +92,10 @@ def percentiles(
     def holds(rank: Column) -> Column:
         return (first <= rank) & (rank < F.col("upto"))
 
-    # The product is rounded so that 0.95 * 100 lands on 95 and not just below it.
-    spots = {name: F.round(F.lit(p) * (F.col(size) - 1), 9) for name, p in fractions.items()}
-    wanted = [holds(F.floor(s)) | holds(F.ceil(s)) for s in spots.values()]
-    hits = with_size.filter(_any(wanted))
+    at = {name: spot(F.col(size)) for name, spot in spots.items()}
+    hits = with_size.filter(_any([holds(F.floor(s)) | holds(F.ceil(s)) for s in at.values()]))
     ends = []
-    for name, spot in spots.items():
+    for name, spot in at.items():
         ends += [
             F.max(F.when(holds(F.floor(spot)), F.col(value))).alias(f"_lo_{name}"),
             F.max(F.when(holds(F.ceil(spot)), F.col(value))).alias(f"_hi_{name}"),
@@ -77,8 +103,7 @@ def percentiles(
         ]
     found = hits.groupBy(*by).agg(*ends)
     between = [
-        (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_at_{n}")).alias(n)
-        for n in fractions
+        (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_at_{n}")).alias(n) for n in spots
     ]
     return found.select(*by, *between)
 
