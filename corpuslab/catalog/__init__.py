@@ -1,3 +1,3 @@
 """Registered queries by family, with their SQL."""
 
-FAMILIES = ["corpus", "labelling", "evaluation", "experiments", "requests"]
+FAMILIES = ["corpus", "labelling", "evaluation", "experiments", "requests", "reports", "vectors"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from corpuslab.functions.text import trim_all
 
@@ -70,28 +72,27 @@ def read_text_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flatten_reports(reports: DataFrame, report: str = "report") -> DataFrame:
-    """JSON reports to (…, component, variant, metric, value) rows.
+    """JSON reports to (…, variant, metric, value) rows, numbers only.
 
-    A report is {component: {section: {…}}}; numbers one level below a section
-    carry the section's name as variant, two levels below the inner name.
+    A number at the top has no variant (""), one inside a section has the
+    section's name, one a level deeper the inner name.
     """
+
+    def members(value: Column) -> Column:
+        inside = F.from_json(F.when(value.startswith("{"), value), NESTED)
+        return F.coalesce(inside, F.create_map(F.lit(""), value))
+
     keys = [c for c in reports.columns if c != report]
-    components = reports.select(*keys, F.explode(F.from_json(report, NESTED)).alias("component", "_body"))
-    sections = components.select(*keys, "component", F.explode(F.from_json("_body", NESTED)).alias("_s", "_v1"))
-    members = sections.select(
-        *keys, "component", "_s", F.explode(F.from_json("_v1", NESTED)).alias("_m", "_v2")
-    )
-    inner = F.coalesce(
-        F.when(F.col("_v2").startswith("{"), F.from_json("_v2", NESTED)),
-        F.create_map(F.lit(""), F.col("_v2")),
-    )
-    leaves = members.select(*keys, "component", "_s", "_m", F.explode(inner).alias("_l", "_v3"))
-    flat = F.col("_l") == ""
+    top = reports.select(*keys, F.explode(F.from_json(report, NESTED)).alias("_k1", "_v1"))
+    middle = top.select(*keys, "_k1", F.explode(members(F.col("_v1"))).alias("_k2", "_v2"))
+    leaves = middle.select(*keys, "_k1", "_k2", F.explode(members(F.col("_v2"))).alias("_k3", "_v3"))
     return leaves.select(
         *keys,
-        "component",
-        F.when(flat, F.col("_s")).otherwise(F.col("_m")).alias("variant"),
-        F.when(flat, F.col("_m")).otherwise(F.col("_l")).alias("metric"),
+        F.when(F.col("_k3") != "", F.col("_k2")).when(F.col("_k2") != "", F.col("_k1")).otherwise("").alias("variant"),
+        F.when(F.col("_k3") != "", F.col("_k3"))
+        .when(F.col("_k2") != "", F.col("_k2"))
+        .otherwise(F.col("_k1"))
+        .alias("metric"),
         F.expr("try_cast(_v3 AS DOUBLE)").alias("value"),
     ).filter(F.col("value").isNotNull())
 
@@ -107,17 +108,23 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     return [p for p in paths if exists(p)]
 
 
-def read_reports(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Metric reports of all paths that exist, in long form; none is an error."""
-    present = existing_paths(spark, paths)
+def read_reports(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Reports of all components in long form. ``paths`` maps a component to
+    its files; what does not exist is left out, and nothing at all is an error."""
+    present = {c: p for c, p in paths.items() if existing_paths(spark, [p])}
     if not present:
         raise FileNotFoundError("no reports found")
-    files = (
+    frames = [
         spark.read.option("recursiveFileLookup", "true")
-        .text(present, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("report"))
-    )
-    return flatten_reports(files)
+        .text(path, wholetext=True)
+        .select(
+            F.lit(component).alias("component"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("value").alias("report"),
+        )
+        for component, path in present.items()
+    ]
+    return flatten_reports(reduce(DataFrame.unionByName, frames))
 
 
 def read_request_log(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
