@@ -10,20 +10,9 @@ from corpuslab.session import scratch_path, via_table
 from corpuslab.sources import corpus as src, files, sinks
 
 from . import tables as t
+from .registry import registry
 
-QUERIES = {}
-ORACLES = {}
-
-
-def query(key: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLES[key] = sql
-        return fn
-
-    return register
-
+QUERIES, ORACLES, query = registry()
 
 # ---- sources and sinks
 
@@ -324,7 +313,8 @@ weighted AS (
 
 @query("x09_tfidf", f"WITH {TFIDF} SELECT doc_id, term, tf, df, round(tfidf, 6) AS tfidf FROM weighted")
 def x09(spark: SparkSession, sf: str) -> DataFrame:
-    return feats.tfidf(t.features(spark, sf)).withColumn("tfidf", F.round("tfidf", 6))
+    tokens = via_table(t.features(spark, sf).select("doc_id", "filtered_words"), "tokens")
+    return feats.tfidf(tokens).withColumn("tfidf", F.round("tfidf", 6))
 
 
 @query(

@@ -8,20 +8,9 @@ from corpuslab.operators import evaluate as ev
 from corpuslab.session import via_table
 
 from . import tables as t, tokens as tok
+from .registry import registry
 
-QUERIES = {}
-ORACLES = {}
-
-
-def query(key: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLES[key] = sql
-        return fn
-
-    return register
-
+QUERIES, ORACLES, query = registry()
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*[F.round(c, places).alias(c) if kind == "double" else c for c, kind in df.dtypes])

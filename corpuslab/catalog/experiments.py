@@ -10,20 +10,9 @@ from corpuslab.sources import files
 
 from . import tables as t, tokens as tok
 from .evaluation import rounded, sql_report
+from .registry import registry
 
-QUERIES = {}
-ORACLES = {}
-
-
-def query(key: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLES[key] = sql
-        return fn
-
-    return register
-
+QUERIES, ORACLES, query = registry()
 
 BY = ["experiment_id"]
 

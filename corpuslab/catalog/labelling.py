@@ -10,20 +10,9 @@ from corpuslab.session import scratch_path
 from corpuslab.sources import sinks
 
 from . import tables as t, tokens as tok
+from .registry import registry
 
-QUERIES = {}
-ORACLES = {}
-
-
-def query(key: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLES[key] = sql
-        return fn
-
-    return register
-
+QUERIES, ORACLES, query = registry()
 
 LABELLED = f"WITH {tok.PIECES}, {tok.sql_labelled()}"
 SPANS = f"WITH {tok.PIECES}, {tok.sql_spans()}"

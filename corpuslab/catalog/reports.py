@@ -9,20 +9,9 @@ from corpuslab.session import scratch_path, via_table
 from corpuslab.sources import files
 
 from . import tables as t
+from .registry import registry
 
-QUERIES = {}
-ORACLES = {}
-
-
-def query(key: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLES[key] = sql
-        return fn
-
-    return register
-
+QUERIES, ORACLES, query = registry()
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
     """Mean value per event type, share of small values and largest value of each day."""

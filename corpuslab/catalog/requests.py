@@ -10,20 +10,9 @@ from corpuslab.sources import files
 from corpuslab.streaming import requests as live
 
 from . import tables as t, tokens as tok
+from .registry import registry
 
-QUERIES = {}
-ORACLES = {}
-
-
-def query(key: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLES[key] = sql
-        return fn
-
-    return register
-
+QUERIES, ORACLES, query = registry()
 
 def as_log(events: DataFrame) -> DataFrame:
     """Events as log rows: errors carry a type, answered requests a latency, entities and a length."""

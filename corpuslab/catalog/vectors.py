@@ -8,22 +8,11 @@ from corpuslab.operators import vectors as vec
 
 from . import tables as t
 from .evaluation import rounded
+from .registry import registry
 
-QUERIES = {}
-ORACLES = {}
+QUERIES, ORACLES, query = registry()
 DIM = 64
 
-
-def query(key: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLES[key] = sql
-        return fn
-
-    return register
-
-
 def table(spark: SparkSession, sf: str) -> DataFrame:
     return t.table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("v"))
 
@@ -102,7 +91,7 @@ def v06(spark: SparkSession, sf: str) -> DataFrame:
       SELECT vec_id, label, sum(x * r) AS dot, sqrt(sum(x * x)) AS norm, sqrt(sum(r * r)) AS other,
         sum((x - r) * (x - r)) AS error, count(*) AS dim FROM restored GROUP BY vec_id, label),
     cosines AS (SELECT *, dot / (norm * other) AS c FROM sums)
-    SELECT label, round(avg(c), 6) AS cosine_mean, round(stddev_samp(c), 6) AS cosine_std,
+    SELECT label, count(*) AS vectors, round(avg(c), 6) AS cosine_mean, round(stddev_samp(c), 6) AS cosine_std,
       round(min(c), 6) AS cosine_min, round(avg(sqrt(error) / (norm + 1e-8)), 6) AS relative_l2_error,
       round(sum(error) / sum(dim), 9) AS mse FROM cosines GROUP BY label""",
 )

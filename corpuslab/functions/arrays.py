@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import isqrt
 
 from pyspark.sql import Column, functions as F
 
@@ -20,3 +21,30 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def tail(values: Column) -> Column:
     """All elements but the first."""
     return F.slice(values, F.lit(2), F.size(values))
+
+
+def chunked(cuts: list[float]) -> list[list[float]]:
+    """Ascending cut points in pieces of about the square root of their number."""
+    width = max(1, isqrt(len(cuts)))
+    return [cuts[i : i + width] for i in range(0, len(cuts), width)]
+
+
+def chunk_literal(cuts: list[float]) -> Column:
+    """Chunked cut points as a constant column."""
+    parts = [F.array(*[F.lit(float(c)) for c in chunk]) for chunk in chunked(cuts)]
+    return F.array(*parts).cast("array<array<double>>")
+
+
+def cuts_passed(chunks: Column, value: Column, include: bool) -> Column:
+    """How many of the chunked cut points lie below ``value`` (or at it, with
+    ``include``): first over the chunks, then inside one."""
+
+    def below(cut: Column) -> Column:
+        return cut <= value if include else cut < value
+
+    def inside(chunk: Column) -> Column:
+        done = (chunk - 1) * F.size(F.get(chunks, F.lit(0)))
+        rest = F.size(F.filter(F.get(chunks, chunk - 1), below))
+        return F.when(chunk == 0, 0).otherwise(done + rest)
+
+    return let(F.size(F.filter(chunks, lambda c: below(F.get(c, F.lit(0))))), inside)

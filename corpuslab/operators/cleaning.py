@@ -63,41 +63,40 @@ def abstracts(
 OPEN, CLOSE = "\ue000", "\ue001"
 
 
-def annotate_text(docs: DataFrame, entities: DataFrame, labels: list[str], doc_id: str = "doc_id") -> DataFrame:
-    """Wrap every occurrence of an entity text in a tag that names its label.
+def annotate(text: Column, found: Column, labels: list[str]) -> Column:
+    """``text`` with every occurrence of an entity wrapped in a tag that names its label.
 
-    Text and entities are HTML-escaped, then each label is one replacement with
-    the longest entity first. Matches are marked with private characters and a
+    ``found`` is an array of (label, text). Text and entities are
+    HTML-escaped, then each label is one case-insensitive replacement with the
+    longest entity first. Matches are marked with private characters and a
     marked stretch is not entered again, so tags never nest or match as text.
     """
-    found = (
-        entities.filter(F.length("text") > 0)
-        .groupBy(doc_id)
-        .agg(F.collect_set(F.struct("label", F.lower("text").alias("text"))).alias("_found"))
-    )
-    marked = docs.join(found, doc_id, "left").withColumn("annotated", X.escape_html(F.col("text")))
+    outside = f"(?![^{OPEN}{CLOSE}]*{CLOSE})"
+    marked = X.escape_html(text)
     for index, label in enumerate(labels):
         texts = F.transform(
-            F.filter("_found", lambda f: f["label"] == label), lambda f: X.escape_html(f["text"])
+            F.filter(found, lambda f: (f["label"] == label) & (F.length(f["text"]) > 0)),
+            lambda f: X.escape_html(F.lower(f["text"])),
         )
         longest_first = F.array_sort(
-            F.array_distinct(F.transform(texts, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))
-        )
-        choice = F.array_join(F.transform(longest_first, lambda s: X.escape_pattern(s["t"])), "|")
-        outside = f"(?![^{OPEN}{CLOSE}]*{CLOSE})"
-        pattern = F.concat(F.lit("(?iu)("), choice, F.lit(")" + outside))
-        replaced = F.regexp_replace(F.col("annotated"), pattern, F.lit(f"{OPEN}{index}$1{CLOSE}"))
-        marked = marked.withColumn(
-            "annotated", F.when(F.coalesce(F.length(choice), F.lit(0)) > 0, replaced).otherwise(F.col("annotated"))
+            F.transform(F.array_distinct(texts), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))
         )
-    tagged = F.replace(F.col("annotated"), F.lit(CLOSE), F.lit("</span>"))
+        choice = F.coalesce(F.array_join(F.transform(longest_first, lambda s: X.escape_pattern(s["t"])), "|"), F.lit(""))
+        # Without entities the pattern cannot match.
+        pattern = F.when(choice == "", "(?!)()").otherwise(F.concat(F.lit("(?iu)("), choice, F.lit(")" + outside)))
+        marked = F.regexp_replace(marked, pattern, F.lit(f"{OPEN}{index}$1{CLOSE}"))
+    tagged = F.replace(marked, F.lit(CLOSE), F.lit("</span>"))
     for index, label in enumerate(labels):
-        tagged = F.replace(
-            tagged,
-            F.lit(f"{OPEN}{index}"),
-            F.lit(f'<span class="entity entity-{label}" title="{label}">'),
-        )
-    return marked.withColumn("annotated", tagged).drop("_found")
+        tag = f'<span class="entity entity-{label}" title="{label}">'
+        tagged = F.replace(tagged, F.lit(f"{OPEN}{index}"), F.lit(tag))
+    return tagged
+
+
+def annotate_text(docs: DataFrame, entities: DataFrame, labels: list[str], doc_id: str = "doc_id") -> DataFrame:
+    """``annotate`` with the entities of another table, one row each."""
+    found = entities.groupBy(doc_id).agg(F.collect_set(F.struct("label", "text")).alias("_found"))
+    both = docs.join(found, doc_id, "left")
+    return both.withColumn("annotated", annotate(F.col("text"), F.col("_found"), labels)).drop("_found")
 
 
 def request_id(given: Column, stable: Column | None = None) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corpuslab.functions import text as X
 from corpuslab.functions.stopwords import STOP_WORDS
+from corpuslab.session import via_table
 
 from .skew import lookup_join
 
@@ -82,10 +83,14 @@ def term_counts(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_wo
 
 
 def tfidf(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_words") -> DataFrame:
-    """Exact TF-IDF per (doc, term): tf * ln((documents + 1) / (documents with the term + 1))."""
+    """Exact TF-IDF per (doc, term): tf * ln((documents + 1) / (documents with the term + 1)).
+
+    ``df`` is read several times, so pass a written table. A term that is in
+    most documents is weighted without moving its rows.
+    """
     counts = term_counts(df, doc_id, words)
     documents = df.agg(F.count(F.lit(1)).alias("m"))
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    frequency = via_table(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
     joined = lookup_join(counts, frequency, "term", "df")
     weight = F.log((documents.scalar() + 1) / (F.col("df") + 1))
     return joined.select(doc_id, "term", "tf", "df", (F.col("tf") * weight).alias("tfidf"))

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpuslab.functions.arrays import chunk_literal, cuts_passed
+
 from .scan import Running, running
 from .skew import lookup_join, small_side
 
@@ -140,8 +142,7 @@ def select_rank(
         cuts = rows.agg(F.percentile_approx("v", fractions, 10_000).alias("c")).collect()[0]["c"]
         if not cuts:
             return None
-        points = sorted(set(cuts))
-        part = F.size(F.filter(F.array([F.lit(p) for p in points]), lambda c: c < F.col("v")))
+        part = cuts_passed(chunk_literal(sorted(set(cuts))), F.col("v").cast("double"), include=False)
         parts = (
             rows.groupBy(part.alias("part"))
             .agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))

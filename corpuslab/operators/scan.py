@@ -14,11 +14,14 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from corpuslab.functions.arrays import chunk_literal, chunked, cuts_passed
+
 from .skew import as_local
 
 GROUP_ROWS = 2_000_000
-MAX_BLOCKS = 256
-MAX_HOT_GROUPS = 4_096
+MAX_BLOCKS = 4_096
+MAX_GROUP_BLOCKS = 1_024
+MAX_HOT_GROUPS = 1_024
 MAX_BROADCAST_BLOCKS = 100_000
 
 BLOCK = "_block"
@@ -42,7 +45,7 @@ def _position(order: str, schema: T.StructType) -> Column:
 
 
 def _cuts(df: DataFrame, keys: list[str], order: str, group_rows: int) -> tuple[DataFrame | None, int]:
-    """Cut points of every oversized group, and the number of blocks."""
+    """Chunked cut points of every oversized group, and the number of blocks."""
     where = _position(order, df.schema)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     if keys:
@@ -55,23 +58,27 @@ def _cuts(df: DataFrame, keys: list[str], order: str, group_rows: int) -> tuple[
         )
         if not large:
             return None, 0
+        most = MAX_GROUP_BLOCKS
         hot = as_local(sizes, large)
         inside = _join_keys(df.select(*keys, where.alias("p")), F.broadcast(hot.drop("n")), keys, "inner")
     else:
-        large = sizes.collect()
+        large, most = sizes.collect(), MAX_BLOCKS
         inside = df.select(where.alias("p"))
-    fractions = [i / MAX_BLOCKS for i in range(1, MAX_BLOCKS)]
-    cuts = inside.groupBy(*keys).agg(F.percentile_approx("p", fractions, 10_000).alias("cuts"))
-    found = {tuple(row[k] for k in keys): row["cuts"] for row in cuts.collect()}
+    wanted = {tuple(row[k] for k in keys): min(most, max(ceil(row["n"] / group_rows), 8)) for row in large}
+    finest = max(wanted.values())
+    fractions = [i / finest for i in range(1, finest)]
+    every = inside.groupBy(*keys).agg(F.percentile_approx("p", fractions, 50_000).alias("cuts"))
+    found = {tuple(row[k] for k in keys): row["cuts"] or [] for row in every.collect()}
     rows, blocks = [], 0
-    for row in large:
-        key = tuple(row[k] for k in keys)
-        wanted = min(MAX_BLOCKS, max(ceil(row["n"] / group_rows), 1 if keys else 8))
-        every = found.get(key) or []
-        chosen = sorted({every[len(every) * i // wanted] for i in range(1, wanted)}) if every else []
-        rows.append((*key, chosen))
+    for key, count in wanted.items():
+        points = found.get(key, [])
+        chosen = sorted({points[len(points) * i // count] for i in range(1, count)}) if points else []
+        rows.append((*key, chunked(chosen)))
         blocks += len(chosen) + 1
-    return as_local(cuts, rows), blocks
+    schema = T.StructType(
+        [df.schema[k] for k in keys] + [T.StructField("cuts", T.ArrayType(T.ArrayType(T.DoubleType())))]
+    )
+    return df.sparkSession.createDataFrame(rows, schema), blocks
 
 
 def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -97,13 +104,12 @@ def add_blocks(
     cuts, blocks = _cuts(df if sizing is None else sizing, keys, order, group_rows or GROUP_ROWS)
     if cuts is None:
         return df, 0
-    where = _position(order, df.schema)
     if keys:
         with_cuts = _join_keys(df, F.broadcast(cuts), keys, "left")
     else:
         points = cuts.collect()[0]["cuts"]
-        with_cuts = df.withColumn("cuts", F.array([F.lit(p) for p in points]).cast("array<double>"))
-    passed = F.size(F.filter("cuts", lambda c: c <= where))
+        with_cuts = df.withColumn("cuts", chunk_literal([p for chunk in points for p in chunk]))
+    passed = cuts_passed(F.col("cuts"), _position(order, df.schema), include=True)
     return with_cuts.withColumn(BLOCK, F.when(F.col("cuts").isNull(), -1).otherwise(passed)).drop("cuts"), blocks
 
 

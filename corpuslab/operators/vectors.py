@@ -271,6 +271,7 @@ def restoration_quality(df: DataFrame, by: list[str], original: str = "v", resto
     )
     cosine = F.col("dot") / (F.greatest("norm", F.lit(EPSILON)) * F.greatest("other", F.lit(EPSILON)))
     return sums.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("vectors"),
         F.avg(cosine).alias("cosine_mean"),
         F.stddev_samp(cosine).alias("cosine_std"),
         F.min(cosine).alias("cosine_min"),
@@ -279,27 +280,38 @@ def restoration_quality(df: DataFrame, by: list[str], original: str = "v", resto
     )
 
 
+def memory_columns(n: Column, configs: list[PolarConfig], bits: Column | None = None) -> dict[str, Column]:
+    """Bytes of ``n`` encoded vectors against 16-bit floats. A radius takes a byte (and 8
+    bytes for the scale of them all), an index two bytes per correction. With
+    several configurations ``bits`` tells which one a row has."""
+
+    def per_vector(number) -> Column:
+        chosen = F.lit(number(configs[0]))
+        for c in configs[1:]:
+            chosen = F.when(bits == c.bits, number(c)).otherwise(chosen)
+        return chosen
+
+    dim = configs[0].dim
+    parts = {
+        "radius_bytes": n + 8,
+        "sign_bytes": F.floor(n * per_vector(lambda c: c.sign_bits) / 8),
+        "correction_bytes": F.floor(n * per_vector(lambda c: c.corrections * c.correction_bits) / 8),
+        "index_bytes": n * per_vector(lambda c: c.corrections * 2),
+    }
+    total = parts["radius_bytes"] + parts["sign_bytes"] + parts["correction_bytes"] + parts["index_bytes"]
+    baseline = n * dim * 2
+    return {
+        **parts,
+        "compressed_bytes": total,
+        "baseline_bytes": baseline,
+        "compression_ratio": baseline / total,
+        "bits_per_element": total * 8 / (n * dim),
+    }
+
+
 def memory_report(df: DataFrame, by: list[str], config: PolarConfig) -> DataFrame:
-    """Bytes of the encoded vectors against 16-bit floats. A radius takes a byte (and
-    8 bytes per group for its scale), an index two bytes per correction."""
-    n = F.col("vectors")
     counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("vectors"))
-    parts = counted.select(
-        *by,
-        "vectors",
-        (n + 8).alias("radius_bytes"),
-        F.floor(n * config.sign_bits / 8).alias("sign_bytes"),
-        F.floor(n * config.corrections * config.correction_bits / 8).alias("correction_bytes"),
-        (n * config.corrections * 2).alias("index_bytes"),
-        (n * config.dim * 2).alias("baseline_bytes"),
-    )
-    total = F.col("radius_bytes") + F.col("sign_bytes") + F.col("correction_bytes") + F.col("index_bytes")
-    return parts.withColumn("compressed_bytes", total).withColumns(
-        {
-            "compression_ratio": F.col("baseline_bytes") / F.col("compressed_bytes"),
-            "bits_per_element": F.col("compressed_bytes") * 8 / (F.col("vectors") * config.dim),
-        }
-    )
+    return counted.withColumns(memory_columns(F.col("vectors"), [config]))
 
 
 def bit_sweep(
@@ -311,13 +323,5 @@ def bit_sweep(
     codes, scales = polar_encode(source, configs, vec_id)
     restored = polar_decode(codes, scales, configs, vec_id).join(source, vec_id)
     quality = restoration_quality(restored, ["bits"])
-    sizes = [
-        memory_report(source, [], c).select(
-            F.lit(c.bits).alias("bits"), "compression_ratio", "bits_per_element"
-        )
-        for c in configs
-    ]
-    table = sizes[0]
-    for more in sizes[1:]:
-        table = table.unionByName(more)
-    return quality.join(table, "bits")
+    memory = memory_columns(F.col("vectors"), configs, F.col("bits"))
+    return quality.withColumns({c: memory[c] for c in ("compression_ratio", "bits_per_element")})
