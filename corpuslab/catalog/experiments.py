@@ -31,9 +31,9 @@ counts AS (
   FROM pairs GROUP BY sample_id),
 scores AS (SELECT sample_id, model, avg(f1) AS f1 FROM report GROUP BY sample_id, model),
 log AS (
-  SELECT experiment_id, sample_id, round(latency_a_ms, 3) AS latency_a_ms, round(latency_b_ms, 3) AS latency_b_ms,
-    round(correct_a / num_tokens, 4) AS accuracy_a, round(correct_b / num_tokens, 4) AS accuracy_b,
-    round(a.f1, 4) AS f1_a, round(b.f1, 4) AS f1_b, num_tokens, correct_a, correct_b
+  SELECT experiment_id, sample_id, {t.sql_half_up('latency_a_ms', 3)} AS latency_a_ms, {t.sql_half_up('latency_b_ms', 3)} AS latency_b_ms,
+    {t.sql_half_up('correct_a / num_tokens', 4)} AS accuracy_a, {t.sql_half_up('correct_b / num_tokens', 4)} AS accuracy_b,
+    {t.sql_half_up('a.f1', 4)} AS f1_a, {t.sql_half_up('b.f1', 4)} AS f1_b, num_tokens, correct_a, correct_b
   FROM counts JOIN scores a USING (sample_id) JOIN scores b USING (sample_id) JOIN latencies USING (sample_id)
   WHERE a.model = 'A' AND b.model = 'B')"""
 
@@ -173,7 +173,8 @@ def t08(spark: SparkSession, sf: str) -> DataFrame:
 def _sql_bands() -> str:
     cases = []
     for limit, template in ex.BANDS:
-        values = "round(r, 1), round(faster, 1)" if template.count("%.1f") == 2 else "round(r, 1)"
+        shown = t.sql_half_up("r", 1)
+        values = f"{shown}, {t.sql_half_up('faster', 1)}" if template.count("%.1f") == 2 else shown
         text = f"printf('{template}', {values})"
         cases.append(f"ELSE {text}" if limit is None else f"WHEN r >= {limit} THEN {text}")
     return "CASE " + " ".join(cases) + " END"
@@ -182,10 +183,10 @@ def _sql_bands() -> str:
 @query(
     "t09_verdict",
     f"""{LOG}, means AS (
-      SELECT experiment_id, count(*) AS num_samples, round(avg(f1_a), 4) AS a, round(avg(f1_b), 4) AS b,
-        round(avg(latency_a_ms - latency_b_ms), 2) AS faster FROM log GROUP BY experiment_id),
+      SELECT experiment_id, count(*) AS num_samples, {t.sql_half_up('avg(f1_a)', 4)} AS a, {t.sql_half_up('avg(f1_b)', 4)} AS b,
+        {t.sql_half_up('avg(latency_a_ms - latency_b_ms)', 2)} AS faster FROM log GROUP BY experiment_id),
     kept AS (SELECT *, CASE WHEN a <> 0 THEN b / a ELSE 0 END * 100 AS r FROM means)
-    SELECT experiment_id, num_samples, round(r, 1) AS f1_retention_pct, {_sql_bands()} AS recommendation FROM kept""",
+    SELECT experiment_id, num_samples, {t.sql_half_up('r', 1)} AS f1_retention_pct, {_sql_bands()} AS recommendation FROM kept""",
 )
 def t09(spark: SparkSession, sf: str) -> DataFrame:
     return ex.ab_verdict(log(spark, sf), BY)
@@ -198,12 +199,13 @@ def t09(spark: SparkSession, sf: str) -> DataFrame:
       SELECT experiment_id, count(*) AS num_samples, avg(latency_a_ms) AS la, avg(latency_b_ms) AS lb,
         avg(latency_a_ms - latency_b_ms) AS ld, avg(f1_a) AS fa, avg(f1_b) AS fb, avg(f1_a - f1_b) AS fd
       FROM log GROUP BY experiment_id)
-    SELECT experiment_id, 'latency' AS metric, 'Mann-Whitney U' AS test, num_samples, round(la, 2) AS mean_a,
-      round(lb, 2) AS mean_b, round(ld, 2) AS mean_difference, round(u_statistic, 2) AS statistic,
+    SELECT experiment_id, 'latency' AS metric, 'Mann-Whitney U' AS test, num_samples, {t.sql_half_up('la', 2)} AS mean_a,
+      {t.sql_half_up('lb', 2)} AS mean_b, {t.sql_half_up('ld', 2)} AS mean_difference, round(u_statistic, 2) AS statistic,
       CASE WHEN ld > 0 THEN 'B' WHEN ld < 0 THEN 'A' ELSE 'tie' END AS winner
     FROM means JOIN rank_sum USING (experiment_id)
     UNION ALL
-    SELECT experiment_id, 'f1_score', 'Wilcoxon signed-rank', num_samples, round(fa, 4), round(fb, 4), round(fd, 4),
+    SELECT experiment_id, 'f1_score', 'Wilcoxon signed-rank', num_samples, {t.sql_half_up('fa', 4)}, {t.sql_half_up('fb', 4)},
+      {t.sql_half_up('fd', 4)},
       round(coalesce(least(w_plus, w_minus), 0), 2),
       CASE WHEN fd > 0.001 THEN 'A' WHEN fd < -0.001 THEN 'B' ELSE 'tie' END
     FROM means LEFT JOIN signed USING (experiment_id)""",

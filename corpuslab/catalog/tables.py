@@ -43,6 +43,11 @@ def features(spark: SparkSession, sf: str, rated: bool = False) -> DataFrame:
 SPACE = r"\t\n\x0B\f\r "
 
 
+def sql_half_up(value: str, places: int) -> str:
+    """Rounded half up as a decimal, like ``functions.numbers.half_up``."""
+    return f"CAST(round(CAST({value} AS DECIMAL(28, 10)), {places}) AS DOUBLE)"
+
+
 def quoted(words: list[str]) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 

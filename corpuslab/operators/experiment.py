@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpuslab.functions.numbers import half_up
 from corpuslab.functions.stats import rank_sum_p, signed_rank_p, t_quantile_of
 
 from .evaluate import LABEL_IDS, metric_columns, metric_sums, paired_rows, ratio
@@ -47,12 +48,12 @@ def experiment_log(arms: DataFrame, latencies: DataFrame, keys: list[str], sampl
     return counted.join(latencies, [k for k in keys if k in latencies.columns]).select(
         *keys,
         assigned_group(F.col(sample)).alias("assigned_group"),
-        F.round("latency_a_ms", 3).alias("latency_a_ms"),
-        F.round("latency_b_ms", 3).alias("latency_b_ms"),
-        F.round(a["accuracy"], 4).alias("accuracy_a"),
-        F.round(b["accuracy"], 4).alias("accuracy_b"),
-        F.round(a["macro_f1"], 4).alias("f1_a"),
-        F.round(b["macro_f1"], 4).alias("f1_b"),
+        half_up("latency_a_ms", 3).alias("latency_a_ms"),
+        half_up("latency_b_ms", 3).alias("latency_b_ms"),
+        half_up(a["accuracy"], 4).alias("accuracy_a"),
+        half_up(b["accuracy"], 4).alias("accuracy_b"),
+        half_up(a["macro_f1"], 4).alias("f1_a"),
+        half_up(b["macro_f1"], 4).alias("f1_b"),
         "num_tokens",
         a["correct"].alias("correct_a"),
         b["correct"].alias("correct_b"),
@@ -173,10 +174,10 @@ def verdict(f1_a: Column, f1_b: Column, faster_ms: Column) -> tuple[Column, Colu
     retention = ratio(f1_b, f1_a) * 100
     text = None
     for limit, template in BANDS:
-        values = [F.round(retention, 1)] + ([F.round(faster_ms, 1)] if template.count("%.1f") == 2 else [])
+        values = [half_up(retention, 1)] + ([half_up(faster_ms, 1)] if template.count("%.1f") == 2 else [])
         sentence = F.format_string(template, *values)
         if limit is None:
-            return F.round(retention, 1), text.otherwise(sentence)
+            return half_up(retention, 1), text.otherwise(sentence)
         text = F.when(retention >= limit, sentence) if text is None else text.when(retention >= limit, sentence)
     raise AssertionError("the last band is open")
 
@@ -198,7 +199,7 @@ def ab_report(
             F.lit(metric).alias("metric"),
             F.lit(test).alias("test"),
             "num_samples",
-            *[F.round(c, r).alias(c) for c in ("mean_a", "mean_b", "mean_difference", "ci_low", "ci_high")],
+            *[half_up(c, r).alias(c) for c in ("mean_a", "mean_b", "mean_difference", "ci_low", "ci_high")],
             F.round(F.coalesce("statistic", F.lit(0.0)), 2).alias("statistic"),
             F.round(p, 6).alias("p_value"),
             significant(p).alias("significant"),
@@ -231,9 +232,9 @@ def ab_verdict(log: DataFrame, by: list[str] = EXPERIMENT) -> DataFrame:
     """One row per experiment: retention and recommendation."""
     means = log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("num_samples"),
-        F.round(F.avg("f1_a"), 4).alias("f1_a"),
-        F.round(F.avg("f1_b"), 4).alias("f1_b"),
-        F.round(F.avg(F.col("latency_a_ms") - F.col("latency_b_ms")), 2).alias("faster"),
+        half_up(F.avg("f1_a"), 4).alias("f1_a"),
+        half_up(F.avg("f1_b"), 4).alias("f1_b"),
+        half_up(F.avg(F.col("latency_a_ms") - F.col("latency_b_ms")), 2).alias("faster"),
     )
     retention, recommendation = verdict(F.col("f1_a"), F.col("f1_b"), F.col("faster"))
     return means.select(
