@@ -278,6 +278,27 @@ def x04(spark: SparkSession, sf: str) -> DataFrame:
     return _entries(spark, sf, "filtered_words", False)
 
 
+def _totals(spark: SparkSession, sf: str, words: str) -> DataFrame:
+    entries = _entries(spark, sf, words, False)
+    return entries.groupBy("doc_id").agg(F.sum("value").cast("bigint").alias("weight"))
+
+
+@query(
+    "x04_hashed_totals",
+    f"WITH {t.TOKENS} SELECT doc_id, CAST(len(filtered_words) AS BIGINT) AS weight FROM filtered WHERE len(filtered_words) > 0",
+)
+def x04_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return _totals(spark, sf, "filtered_words")
+
+
+@query(
+    "x06_bigram_totals",
+    f"WITH {t.TOKENS} SELECT doc_id, CAST(len(filtered_words) - 1 AS BIGINT) AS weight FROM filtered WHERE len(filtered_words) > 1",
+)
+def x06_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return _totals(spark, sf, "bigrams")
+
+
 @query("x05_idf")
 def x05(spark: SparkSession, sf: str) -> DataFrame:
     return _entries(spark, sf, "filtered_words", True)

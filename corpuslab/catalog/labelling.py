@@ -224,7 +224,33 @@ def n15_documents(spark: SparkSession, sf: str) -> DataFrame:
     return lab.compare_documents(side("a"), side("b"))
 
 
-@query("p14_annotate_text")
+OPEN, CLOSE = "\ue000", "\ue001"
+
+
+def _sql_step(index: int, choice: str, text: str) -> str:
+    """Mark the matches of one label, stepping over what is marked already."""
+    pattern = f"'({OPEN}[^{CLOSE}]*{CLOSE})|(' || {choice} || ')'"
+    marked = f"regexp_replace({text}, {pattern}, '\\1{OPEN}{index}\\2{CLOSE}', 'g')"
+    return f"CASE WHEN {choice} IS NULL THEN {text} ELSE replace({marked}, '{OPEN}{index}{CLOSE}', '') END"
+
+
+def _sql_tag(index: int, label: str, text: str) -> str:
+    return f"""replace({text}, '{OPEN}{index}', '<span class="entity entity-{label}" title="{label}">')"""
+
+
+@query(
+    "p14_annotate_text",
+    f"""{SPANS},
+    texts AS (SELECT DISTINCT doc_id, label, text FROM spans WHERE confidence >= 0.85),
+    choices AS (
+      SELECT doc_id, string_agg(text, '|' ORDER BY length(text) DESC, text) FILTER (label = 'Chemical') AS chemical,
+        string_agg(text, '|' ORDER BY length(text) DESC, text) FILTER (label = 'Disease') AS disease
+      FROM texts GROUP BY doc_id),
+    one AS (SELECT doc_id, disease, {_sql_step(0, 'chemical', 'text_clean')} AS m
+            FROM clean LEFT JOIN choices USING (doc_id)),
+    two AS (SELECT doc_id, replace({_sql_step(1, 'disease', 'm')}, '{CLOSE}', '</span>') AS m FROM one)
+    SELECT doc_id, {_sql_tag(1, 'Disease', _sql_tag(0, 'Chemical', 'm'))} AS annotated FROM two""",
+)
 def p14(spark: SparkSession, sf: str) -> DataFrame:
     docs = t.cleaned(spark, sf).select("doc_id", F.col("text_clean").alias("text"))
     return annotate_text(docs, n11(spark, sf), lab.ENTITY_TYPES).select("doc_id", "annotated")

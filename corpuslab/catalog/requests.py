@@ -460,10 +460,32 @@ def o12_stream(spark: SparkSession, sf: str) -> DataFrame:
     return done.withColumns({c: F.round(c, 9) for c in ("p50", "p95", "p99")})
 
 
-@query("o17_session_totals_stream")
+@query(
+    "o17_session_totals_stream",
+    f"""WITH {LOG}, answered AS (
+      SELECT *, us - lag(us) OVER (PARTITION BY model_version ORDER BY us) >= 120000000 AS starts
+      FROM log WHERE latency_ms IS NOT NULL),
+    numbered AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY model_version ORDER BY us) AS s
+                 FROM answered),
+    sessions AS (
+      SELECT model_version, min(us) AS start_us, max(us) + 120000000 AS end_us, count(*) AS requests,
+        CAST(sum(chemical + disease) AS BIGINT) AS entities, round(avg(latency_ms), 6) AS mean_latency_ms,
+        round(100 * avg(CASE WHEN latency_ms < 50 THEN 1.0 ELSE 0.0 END), 6) AS sla_pct
+      FROM numbered GROUP BY model_version, s)
+    SELECT * FROM sessions WHERE end_us <= (SELECT max(us) - 600000000 FROM answered)""",
+)
 def o17_stream(spark: SparkSession, sf: str) -> DataFrame:
     stream = stream_log(spark, sf)
-    return _streamed(spark, live.session_totals(stream, "model_version", gap="2 minutes"), "sessions")
+    done = _streamed(spark, live.session_totals(stream, "model_version", gap="2 minutes"), "sessions")
+    return done.select(
+        "model_version",
+        F.unix_micros("session_start").alias("start_us"),
+        F.unix_micros("session_end").alias("end_us"),
+        "requests",
+        "entities",
+        F.round("mean_latency_ms", 6).alias("mean_latency_ms"),
+        F.round("sla_pct", 6).alias("sla_pct"),
+    )
 
 
 def _with_retries(log_rows: DataFrame) -> DataFrame:

@@ -68,10 +68,9 @@ def annotate(text: Column, found: Column, labels: list[str]) -> Column:
 
     ``found`` is an array of (label, text). Text and entities are
     HTML-escaped, then each label is one case-insensitive replacement with the
-    longest entity first. Matches are marked with private characters and a
-    marked stretch is not entered again, so tags never nest or match as text.
+    longest entity first. Matches are put between private characters; the
+    replacement steps over such stretches, so tags never nest or match as text.
     """
-    outside = f"(?![^{OPEN}{CLOSE}]*{CLOSE})"
     marked = X.escape_html(text)
     for index, label in enumerate(labels):
         texts = F.transform(
@@ -82,9 +81,13 @@ def annotate(text: Column, found: Column, labels: list[str]) -> Column:
             F.transform(F.array_distinct(texts), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))
         )
         choice = F.coalesce(F.array_join(F.transform(longest_first, lambda s: X.escape_pattern(s["t"])), "|"), F.lit(""))
-        # Without entities the pattern cannot match.
-        pattern = F.when(choice == "", "(?!)()").otherwise(F.concat(F.lit("(?iu)("), choice, F.lit(")" + outside)))
-        marked = F.regexp_replace(marked, pattern, F.lit(f"{OPEN}{index}$1{CLOSE}"))
+        skipped = f"({OPEN}[^{CLOSE}]*{CLOSE})"
+        # Without entities the second group cannot match.
+        entity = F.when(choice == "", "((?!))").otherwise(F.concat(F.lit("((?iu:"), choice, F.lit("))")))
+        pattern = F.concat(F.lit(skipped + "|"), entity)
+        empty = F.lit(f"{OPEN}{index}{CLOSE}")
+        # A stretch stepped over leaves an empty mark behind, which is removed.
+        marked = F.replace(F.regexp_replace(marked, pattern, F.lit(f"$1{OPEN}{index}$2{CLOSE}")), empty, F.lit(""))
     tagged = F.replace(marked, F.lit(CLOSE), F.lit("</span>"))
     for index, label in enumerate(labels):
         tag = f'<span class="entity entity-{label}" title="{label}">'
