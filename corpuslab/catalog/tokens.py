@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corpuslab.functions import text as X
+from corpuslab.functions.arrays import let, once
 from corpuslab.operators.cleaning import clean_text
 
 from . import tables as t
@@ -19,35 +19,52 @@ VARIANTS = {"gold": (0, 0), "a": (1, 11), "b": (2, 4)}
 
 
 def pieces(words: Column) -> Column:
-    def cut(word: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.floor((F.length(word) - 1) / 4).cast("int")),
-            lambda i: F.concat(F.when(i > 0, "##").otherwise(""), F.substr(word, i * 4 + 1, F.lit(4))),
+    """Per piece: its token, first letter, length, whether it continues a word, whether it is special."""
+
+    def piece(token: Column, code: Column, size: Column, later: Column, special: bool) -> Column:
+        return F.struct(
+            token.alias("token"),
+            code.alias("code"),
+            size.alias("size"),
+            later.alias("later"),
+            F.lit(special).alias("special"),
         )
 
-    return F.concat(F.array(F.lit("[CLS]")), F.flatten(F.transform(words, cut)), F.array(F.lit("[SEP]")))
+    def cut(word: Column) -> Column:
+        def one(i: Column) -> Column:
+            return let(
+                F.substr(word, i * 4 + 1, F.lit(4)),
+                lambda base: piece(
+                    F.when(i > 0, F.concat(F.lit("##"), base)).otherwise(base),
+                    F.ascii(base),
+                    F.length(base),
+                    i > 0,
+                    False,
+                ),
+            )
+
+        return F.transform(F.sequence(F.lit(0), F.floor((F.length(word) - 1) / 4).cast("int")), one)
 
+    def outer(token: str) -> Column:
+        return F.array(piece(F.lit(token), F.lit(0), F.lit(5), F.lit(False), True))
 
-def _special(token: Column) -> Column:
-    return token.isin("[CLS]", "[SEP]", "[PAD]")
+    return F.concat(outer("[CLS]"), F.flatten(F.transform(words, cut)), outer("[SEP]"))
 
 
-def rule_label(token: Column, variant: str) -> Column:
+def rule_label(piece: Column, variant: str) -> Column:
     _, modulus = VARIANTS[variant]
-    base = F.replace(token, F.lit("##"), F.lit(""))
-    code, size = F.ascii(base), F.length(base)
+    code = piece["code"]
     if modulus:
-        code = F.when((code + size * 3) % modulus == 0, code + 1).otherwise(code)
-    later = F.when(code % 3 == 0, 2).when(code % 3 == 1, 4).otherwise(0)
-    first = F.when(code % 5 == 0, 1).when(code % 5 == 1, 3).when(code % 5 == 2, 2).otherwise(0)
-    return F.when(_special(token), 0).when(token.startswith("##"), later).otherwise(first)
+        code = code + F.when((code + piece["size"] * 3) % modulus == 0, 1).otherwise(0)
+    later = F.get(F.array(*[F.lit(x) for x in (2, 4, 0)]), code % 3)
+    first = F.get(F.array(*[F.lit(x) for x in (1, 3, 2, 0, 0)]), code % 5)
+    return F.when(piece["special"], 0).when(piece["later"], later).otherwise(first)
 
 
-def rule_confidence(token: Column, variant: str) -> Column:
+def rule_confidence(piece: Column, variant: str) -> Column:
     number, _ = VARIANTS[variant]
-    base = F.replace(token, F.lit("##"), F.lit(""))
-    value = (F.ascii(base) * 7 + F.length(base) * 13 + number * 3) % 50
-    return F.when(_special(token), 0.99).otherwise((value + 50).cast("double") / 100)
+    value = (piece["code"] * 7 + piece["size"] * 13 + number * 3) % 50
+    return F.when(piece["special"], 0.99).otherwise((value + 50).cast("double") / 100)
 
 
 def rule_predictor():
@@ -81,7 +98,7 @@ def word_arrays(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def piece_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    return word_arrays(spark, sf).select("doc_id", "source", pieces(F.col("words")).alias("pieces"))
+    return once(word_arrays(spark, sf), pieces=pieces(F.col("words"))).select("doc_id", "source", "pieces")
 
 
 def labelled(spark: SparkSession, sf: str, variant: str = "gold") -> DataFrame:
@@ -89,7 +106,7 @@ def labelled(spark: SparkSession, sf: str, variant: str = "gold") -> DataFrame:
         "pieces",
         lambda p, i: F.struct(
             i.alias("position"),
-            p.alias("token"),
+            p["token"].alias("token"),
             rule_label(p, variant).alias("label_id"),
             rule_confidence(p, variant).alias("confidence"),
         ),
@@ -99,7 +116,7 @@ def labelled(spark: SparkSession, sf: str, variant: str = "gold") -> DataFrame:
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """One row per document: source and the arrays gold, pred_a, pred_b; special tokens are ignored."""
-    gold = F.transform("pieces", lambda p: F.when(_special(p), -100).otherwise(rule_label(p, "gold")))
+    gold = F.transform("pieces", lambda p: F.when(p["special"], -100).otherwise(rule_label(p, "gold")))
     return piece_arrays(spark, sf).select(
         F.col("doc_id").cast("bigint").alias("sample_id"),
         "source",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import isqrt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,3 +48,24 @@ def cuts_passed(chunks: Column, value: Column, include: bool) -> Column:
         return F.when(chunk == 0, 0).otherwise(done + rest)
 
     return let(F.size(F.filter(chunks, lambda c: below(F.get(c, F.lit(0))))), inside)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters read instead of computing them again.
+
+    The optimizer moves a filter below a projection by copying its expressions
+    and infers filters for exploded arrays; it does not look through a
+    generator, so the columns come out of one that yields a single row.
+    """
+    values = [value.alias(name) for name, value in columns.items()]
+    return df.select(*[c for c in df.columns if c not in columns], F.inline_outer(F.array(F.struct(*values))))
+
+
+def rows_of(df: DataFrame, keep: list[str], array: Column | str, *names: str) -> DataFrame:
+    """One row per element of an array (of structs: their fields). ``names``
+    names the element of a plain array. Null elements are left out."""
+    if names:
+        rows = df.select(*keep, F.explode_outer(array).alias(*names))
+        return rows.filter(F.col(names[0]).isNotNull())
+    # The outer form, because the plain one makes the optimizer compute the array a second time for a filter.
+    return df.select(*keep, F.explode_outer(array).alias("_e")).filter(F.col("_e").isNotNull()).select(*keep, "_e.*")

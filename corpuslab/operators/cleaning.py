@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuslab.functions import text as X
+from corpuslab.functions.arrays import once
 
 
 def clean_text(df: DataFrame, text: str = "text", keep_words: bool = False) -> DataFrame:
@@ -12,7 +13,7 @@ def clean_text(df: DataFrame, text: str = "text", keep_words: bool = False) -> D
 
     The words come out of the same pass; ``keep_words`` keeps them as ``words``.
     """
-    split = df.filter(X.has_text(F.col(text))).withColumn("words", X.clean_words(F.col(text)))
+    split = once(df.filter(X.has_text(F.col(text))), words=X.clean_words(F.col(text)))
     # An empty cleaned text counts as one (empty) word.
     counted = split.withColumn("word_count", F.greatest(F.size("words"), F.lit(1)))
     kept = counted.filter(X.words_in_range(F.col("word_count")))

@@ -6,6 +6,8 @@ import time
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from corpuslab.functions.arrays import rows_of
+
 from .scan import Running, running
 from .skew import small_side
 
@@ -25,7 +27,7 @@ def cleaning_stats(df: DataFrame) -> DataFrame:
 
 
 def word_frequencies(df: DataFrame, words: str = "filtered_words") -> DataFrame:
-    return df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return rows_of(df, [], words, "word").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def top_words(df: DataFrame, k: int = 50, words: str = "filtered_words") -> DataFrame:

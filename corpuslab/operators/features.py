@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, NGram, StopWordsRemover, Tokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpuslab.functions import text as X
+from corpuslab.functions.arrays import once, rows_of
 from corpuslab.functions.stopwords import STOP_WORDS
 from corpuslab.session import via_table
 
@@ -55,10 +55,19 @@ def token_columns(df: DataFrame, clean: str = "text_clean") -> DataFrame:
 
 
 def vector_entries(df: DataFrame, doc_id: str, vector: str) -> DataFrame:
-    """Non-zero entries of a vector column as (doc, index, value) rows."""
-    return df.select(doc_id, F.posexplode(vector_to_array(vector)).alias("index", "value")).filter(
-        F.col("value") != 0
-    )
+    """Non-zero entries of a vector column as (doc, index, value) rows. A sparse
+    vector yields its entries without being filled up."""
+    fields = once(df.select(doc_id, F.unwrap_udt(vector).alias("_u")), _entries=_entries(F.col("_u")))
+    return rows_of(fields, [doc_id], "_entries").filter(F.col("value") != 0)
+
+
+def _entries(vector: Column) -> Column:
+    def entry(index: Column, value: Column) -> Column:
+        return F.struct(index.alias("index"), value.alias("value"))
+
+    sparse = F.zip_with(vector["indices"], vector["values"], entry)
+    dense = F.transform(vector["values"], lambda x, i: entry(i, x))
+    return F.when(vector["type"] == 0, sparse).otherwise(dense)
 
 
 def term_counts(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_words") -> DataFrame:
@@ -79,7 +88,7 @@ def term_counts(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_wo
         ends,
         lambda s, e: F.struct(F.get("_sorted", s).alias("term"), (e - s).cast("bigint").alias("tf")),
     )
-    return marked.select(doc_id, F.inline(terms))
+    return rows_of(marked, [doc_id], terms)
 
 
 def tfidf(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_words") -> DataFrame:
@@ -90,7 +99,8 @@ def tfidf(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_words")
     """
     counts = term_counts(df, doc_id, words)
     documents = df.agg(F.count(F.lit(1)).alias("m"))
-    frequency = via_table(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
+    present = rows_of(df, [], F.array_distinct(words), "term")
+    frequency = via_table(present.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
     joined = lookup_join(counts, frequency, "term", "df")
     weight = F.log((documents.scalar() + 1) / (F.col("df") + 1))
     return joined.select(doc_id, "term", "tf", "df", (F.col("tf") * weight).alias("tfidf"))

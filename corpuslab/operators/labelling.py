@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from corpuslab.functions.arrays import let, tail
+from corpuslab.functions.arrays import let, once, rows_of, tail
 
 from .scan import Running, running
 
@@ -84,7 +84,7 @@ def predict_tokens(
 
 
 def token_rows(labelled: DataFrame) -> DataFrame:
-    return labelled.select(*[c for c in labelled.columns if c != "tokens"], F.inline("tokens"))
+    return rows_of(labelled, [c for c in labelled.columns if c != "tokens"], "tokens")
 
 
 def truncate(tokens: Column, limit: int = MAX_TOKENS) -> Column:
@@ -131,7 +131,7 @@ def decode_spans(labelled: DataFrame, strict: bool = False) -> DataFrame:
     Tokens other than I- are marks. A span is a B- mark with the tokens up to
     the next mark, so all spans are slices between neighbouring marks.
     """
-    return labelled.withColumn("spans", let(drop_special(F.col("tokens")), lambda seen: _spans(seen, strict)))
+    return once(labelled, spans=let(drop_special(F.col("tokens")), lambda seen: _spans(seen, strict)))
 
 
 def _spans(seen: Column, strict: bool) -> Column:
@@ -172,7 +172,7 @@ def _between(seen: Column, marks: Column) -> Column:
 def span_rows(decoded: DataFrame) -> DataFrame:
     """One row per span; columns other than the arrays are kept."""
     kept = [c for c in decoded.columns if c not in ("tokens", "spans")]
-    return decoded.select(*kept, F.inline("spans"))
+    return rows_of(decoded, kept, "spans")
 
 
 def decode_token_rows(rows: DataFrame, keys: list[str], group_rows: int | None = None) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpuslab.catalog.tables import features
+from corpuslab.functions.arrays import rows_of
 
 
 def top_words_per_rating(spark: SparkSession, sf: str, k: int = 10) -> DataFrame:
-    docs = features(spark, sf, rated=True).select("doc_id", "rating", "filtered_words")
+    docs = features(spark, sf, rated=True).select("rating", "filtered_words")
     counts = (
-        docs.select("rating", F.inline(F.transform("filtered_words", lambda w: F.struct(w.alias("word")))))
+        rows_of(docs, ["rating"], "filtered_words", "word")
         .groupBy("rating", "word")
         .agg(F.count(F.lit(1)).alias("count"))
     )
