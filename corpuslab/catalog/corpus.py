@@ -243,7 +243,8 @@ def p15(spark: SparkSession, sf: str) -> DataFrame:
     f"WITH {t.TOKENS} SELECT doc_id, array_to_string(words, '|') AS words FROM filtered",
 )
 def x01(spark: SparkSession, sf: str) -> DataFrame:
-    return t.features(spark, sf).select("doc_id", t.joined("words").alias("words"))
+    words = X.tokenize(F.col("text_clean"))
+    return t.cleaned(spark, sf).select("doc_id", t.joined(words).alias("words"))
 
 
 @query(

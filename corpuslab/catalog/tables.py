@@ -37,7 +37,8 @@ def cleaned(spark: SparkSession, sf: str, rated: bool = False) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str, rated: bool = False) -> DataFrame:
-    return token_columns(cleaned(spark, sf, rated))
+    source = corpus(spark, sf) if rated else documents(spark, sf)
+    return token_columns(clean_text(source, keep_words=True))
 
 
 SPACE = r"\t\n\x0B\f\r "

@@ -48,8 +48,11 @@ def hashed_features(
 
 
 def token_columns(df: DataFrame, clean: str = "text_clean") -> DataFrame:
-    """words, filtered_words and bigrams as plain expressions, without an estimator."""
-    tokens = df.withColumn("words", X.tokenize(F.col(clean)))
+    """words, filtered_words and bigrams as plain expressions, without an estimator.
+
+    Words that cleaning has already split off are taken as they are.
+    """
+    tokens = df if "words" in df.columns else df.withColumn("words", X.tokenize(F.col(clean)))
     kept = tokens.withColumn("filtered_words", X.drop_stop_words(F.col("words")))
     return kept.withColumn("bigrams", X.bigrams(F.col("filtered_words")))
 
