@@ -271,7 +271,7 @@ def _entries(spark: SparkSession, sf: str, words: str, weighted: bool) -> DataFr
     if weighted:
         df = via_table(df, "tokens")
     vectors = feats.hashed_features(df, words, "raw", "weighted" if weighted else None)
-    return feats.vector_entries(vectors, "doc_id", "weighted" if weighted else "raw")
+    return feats.vector_entries(vectors, ["doc_id"], "weighted" if weighted else "raw")
 
 
 @query("x04_hashed_tf")
@@ -318,9 +318,10 @@ def x07(spark: SparkSession, sf: str) -> DataFrame:
 @query("x08_extract_features")
 def x08(spark: SparkSession, sf: str) -> DataFrame:
     vectors, _ = feats.extract_features(via_table(t.cleaned(spark, sf, rated=True), "cleaned"))
-    first = feats.vector_entries(vectors, "doc_id", "tfidf_features").select(F.lit("unigram").alias("kind"), "*")
-    second = feats.vector_entries(vectors, "doc_id", "bigram_tfidf_features").select(F.lit("bigram").alias("kind"), "*")
-    return first.unionByName(second).groupBy("kind", "doc_id").agg(
+    kinds = {"unigram": "tfidf_features", "bigram": "bigram_tfidf_features"}
+    named = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("vector")) for kind, c in kinds.items()])
+    both = vectors.select("doc_id", F.inline_outer(named))
+    return feats.vector_entries(both, ["doc_id", "kind"], "vector").groupBy("kind", "doc_id").agg(
         F.count(F.lit(1)).alias("entries"), F.round(F.sum("value"), 6).alias("weight")
     )
 
@@ -359,7 +360,7 @@ def x10(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
 
     df = t.table(spark, sf, "embeddings").select("vec_id", array_to_vector("embedding").alias("v"))
-    return feats.vector_entries(df, "vec_id", "v")
+    return feats.vector_entries(df, ["vec_id"], "v")
 
 
 # ---- statistics

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F, types as T
@@ -43,7 +42,6 @@ def t_upper_tail(t: float, freedom: float) -> float:
     return incomplete_beta(freedom / 2, 0.5, freedom / (freedom + t * t)) / 2
 
 
-@lru_cache(maxsize=10_000)
 def t_quantile(probability: float, freedom: int) -> float:
     """The t with P(T <= t) = probability, for probability above one half."""
     low, high = 0.0, 1.0
@@ -111,8 +109,7 @@ def t_quantile_of(level: float):
 
     @F.pandas_udf(T.DoubleType())
     def quantile(size: pd.Series) -> pd.Series:
-        return pd.Series(
-            [t_quantile((1 + level) / 2, int(n) - 1) if n > 1 else float("nan") for n in size], dtype="float64"
-        )
+        found = {n: t_quantile((1 + level) / 2, int(n) - 1) if n > 1 else float("nan") for n in size.unique()}
+        return size.map(found).astype("float64")
 
     return quantile

@@ -299,9 +299,10 @@ def select_checkpoint(
     """Best epoch of each run. An epoch counts as better by more than
     ``min_delta``; after ``patience`` epochs without one the run stops.
 
-    Only a value above all earlier ones can be better, so just these few rows
-    of each run are folded in order; which rows they are is found by a scan
-    that splits long runs.
+    Only a value above all earlier ones can be better, so just these rows of
+    each run are folded in order; which rows they are is found by a scan that
+    splits long runs. They are few: F1 is stated with 4 places, so no run can
+    rise more than 10 000 times.
     """
     numbered = running(
         history,

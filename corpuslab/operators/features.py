@@ -57,11 +57,11 @@ def token_columns(df: DataFrame, clean: str = "text_clean") -> DataFrame:
     return kept.withColumn("bigrams", X.bigrams(F.col("filtered_words")))
 
 
-def vector_entries(df: DataFrame, doc_id: str, vector: str) -> DataFrame:
-    """Non-zero entries of a vector column as (doc, index, value) rows. A sparse
+def vector_entries(df: DataFrame, keep: list[str], vector: str) -> DataFrame:
+    """Non-zero entries of a vector column as (keep, index, value) rows. A sparse
     vector yields its entries without being filled up."""
-    fields = once(df.select(doc_id, F.unwrap_udt(vector).alias("_u")), _entries=_entries(F.col("_u")))
-    return rows_of(fields, [doc_id], "_entries").filter(F.col("value") != 0)
+    fields = once(df.select(*keep, F.unwrap_udt(vector).alias("_u")), _entries=_entries(F.col("_u")))
+    return rows_of(fields, keep, "_entries").filter(F.col("value") != 0)
 
 
 def _entries(vector: Column) -> Column:

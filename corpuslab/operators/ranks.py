@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpuslab.functions.arrays import chunk_literal, cuts_passed
+from corpuslab.session import via_table
 
 from .scan import Running, running
 from .skew import lookup_join, small_side
@@ -44,7 +45,8 @@ def ranked_values(
 
 def mid_rank(df: DataFrame, value: str, group_rows: int | None = None) -> DataFrame:
     """Every row with the average rank of its value; null values have none and are left out."""
-    ranks = ranked_values(df, [], value, group_rows).select(value, "n", "mid_rank")
+    # Written once: the join looks at the heaviest values first and then at all of them.
+    ranks = via_table(ranked_values(df, [], value, group_rows).select(value, "n", "mid_rank"), "ranks")
     return lookup_join(df, ranks, value, "n").drop("n")
 
 
@@ -165,6 +167,26 @@ def select_rank(
                 below += found["w"]
 
 
+def select_text(df: DataFrame, column: str, rank: int) -> str | None:
+    """The string at 1-based ``rank`` in ascending byte order, found by counting
+    prefixes that grow by two characters; None when there are fewer rows."""
+    rows = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("v"))
+    prefix, below = "", 0
+    while True:
+        width = len(prefix) + 2
+        parts = rows.groupBy(F.substring("v", 1, width).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for part in sorted(parts, key=lambda r: r["p"].encode()):
+            if below + part["n"] >= rank:
+                break
+            below += part["n"]
+        else:
+            return None
+        prefix = part["p"]
+        if len(prefix) < width:
+            return prefix
+        rows = rows.filter(F.substring("v", 1, width) == prefix)
+
+
 def first_n(df: DataFrame, order: str, n: int) -> DataFrame:
     """The first ``n`` rows by a unique ``order`` column.
 
@@ -173,5 +195,8 @@ def first_n(df: DataFrame, order: str, n: int) -> DataFrame:
     """
     if n <= TOP_N:
         return df.orderBy(order).limit(n)
-    found = select_rank(df, order, n)
-    return df if found is None else df.filter(F.col(order) <= F.lit(found[0]))
+    if isinstance(df.schema[order].dataType, T.StringType):
+        last = select_text(df, order, n)
+    else:
+        last = (select_rank(df, order, n) or (None, 0))[0]
+    return df if last is None else df.filter(F.col(order) <= F.lit(last))

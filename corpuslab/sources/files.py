@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from corpuslab.functions.text import trim_all
@@ -97,21 +98,20 @@ def flatten_reports(reports: DataFrame, report: str = "report") -> DataFrame:
     ).filter(F.col("value").isNotNull())
 
 
-def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def exists(path: str) -> bool:
-        location = jvm.org.apache.hadoop.fs.Path(path)
-        return location.getFileSystem(conf).exists(location)
-
-    return [p for p in paths if exists(p)]
+def path_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_reports(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Reports of all components in long form. ``paths`` maps a component to
     its files; what does not exist is left out, and nothing at all is an error."""
-    present = {c: p for c, p in paths.items() if existing_paths(spark, [p])}
+    present = {c: p for c, p in paths.items() if path_exists(spark, p)}
     if not present:
         raise FileNotFoundError("no reports found")
     frames = [

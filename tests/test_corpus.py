@@ -97,7 +97,7 @@ def test_tfidf(tokens):
 
 def test_hashed_totals_match_the_words(tokens):
     raw = feats.hashed_features(tokens, "filtered_words", "raw")
-    totals = feats.vector_entries(raw, "doc_id", "raw").groupBy("doc_id").agg(F.sum("value").alias("n"))
+    totals = feats.vector_entries(raw, ["doc_id"], "raw").groupBy("doc_id").agg(F.sum("value").alias("n"))
     sizes = {r.doc_id: r.n for r in tokens.select("doc_id", F.size("filtered_words").alias("n")).collect()}
     assert {r.doc_id: r.n for r in totals.collect()} == sizes
 
@@ -111,7 +111,7 @@ def test_feature_table_round_trip(spark, notes):
     assert sorted(back.columns) == sorted(sinks.FEATURE_COLUMNS) and back.count() == 40
     idf = model.stages[4]
     assert idf.numDocs == 40
-    index = feats.vector_entries(vectors.filter("doc_id = 'd000'"), "doc_id", "raw_features").first()["index"]
+    index = feats.vector_entries(vectors.filter("doc_id = 'd000'"), ["doc_id"], "raw_features").first()["index"]
     assert idf.idf[index] == pytest.approx(math.log(41 / (idf.docFreq[index] + 1)))
     plan = back.filter("rating = 5")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(rating" in plan

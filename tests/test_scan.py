@@ -127,6 +127,11 @@ def test_first_n(spark, monkeypatch):
     monkeypatch.setattr(ranks, "TOP_N", 10)
     assert sorted(r.k for r in ranks.first_n(df, "k", 40).collect()) == plain
     assert ranks.first_n(df, "k", 9_999).count() == 500
+    texts = df.select(F.concat(F.when(F.col("k") % 5 == 0, "pmid_é").otherwise("pmid_"), F.col("k").cast("string")).alias("t"))
+    ordered = sorted((r.t for r in texts.collect()), key=str.encode)
+    for n in (11, 40, 333, 500):
+        assert sorted((r.t for r in ranks.first_n(texts, "t", n).collect()), key=str.encode) == ordered[:n]
+    assert ranks.first_n(texts, "t", 501).count() == 500
 
 
 def test_lookup_join_keeps_every_row(spark):
