@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpuslab.functions.numbers import half_up
 from corpuslab.operators import evaluate as ev
 from corpuslab.session import via_table
 
@@ -13,7 +14,7 @@ from .registry import registry
 QUERIES, ORACLES, query = registry()
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    return df.select(*[F.round(c, places).alias(c) if kind == "double" else c for c, kind in df.dtypes])
+    return df.select(*[half_up(c, places).alias(c) if kind == "double" else c for c, kind in df.dtypes])
 
 
 MODELS = {"A": "pred_a", "B": "pred_b"}
@@ -119,9 +120,9 @@ def e08(spark: SparkSession, sf: str) -> DataFrame:
         sum(f1 * support) / sum(support) AS weighted_f1,
         coalesce(max(f1) FILTER (label = 1), 0) AS chemical_f1, coalesce(max(f1) FILTER (label = 3), 0) AS disease_f1
       FROM report GROUP BY sample_id, model)
-    SELECT sample_id, model, num_tokens, correct, round(correct / num_tokens, 6) AS accuracy,
-      round(macro_f1, 6) AS macro_f1, round(macro_f1_fixed, 6) AS macro_f1_fixed,
-      round(weighted_f1, 6) AS weighted_f1, round(chemical_f1, 6) AS chemical_f1, round(disease_f1, 6) AS disease_f1
+    SELECT sample_id, model, num_tokens, correct, {t.sql_half_up('correct / num_tokens', 6)} AS accuracy,
+      {t.sql_half_up('macro_f1', 6)} AS macro_f1, {t.sql_half_up('macro_f1_fixed', 6)} AS macro_f1_fixed,
+      {t.sql_half_up('weighted_f1', 6)} AS weighted_f1, {t.sql_half_up('chemical_f1', 6)} AS chemical_f1, {t.sql_half_up('disease_f1', 6)} AS disease_f1
     FROM hits JOIN scores USING (sample_id, model)""",
 )
 def e07_samples(spark: SparkSession, sf: str) -> DataFrame:

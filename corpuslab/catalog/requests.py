@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from corpuslab.functions.numbers import half_up
 from corpuslab.operators import requests as req
 from corpuslab.session import scratch_path
 from corpuslab.sources import files
@@ -335,11 +336,11 @@ def s08(spark: SparkSession, sf: str) -> DataFrame:
       count(*) OVER (PARTITION BY test) AS n FROM results WHERE status = 'success'),
     p AS (SELECT test, max(latency_ms) FILTER (i = CAST(floor(n * 0.95) AS BIGINT)) AS p95_ms FROM ranked GROUP BY test)
     SELECT test, count(*) FILTER (status = 'success') AS successes, count(*) FILTER (status = 'error') AS errors,
-      round(avg(latency_ms), 6) AS mean_ms, max(p95_ms) AS p95_ms, count(*) FILTER (latency_ms > 50) AS violations
+      {t.sql_half_up('avg(latency_ms)', 6)} AS mean_ms, max(p95_ms) AS p95_ms, count(*) FILTER (latency_ms > 50) AS violations
     FROM results LEFT JOIN p USING (test) GROUP BY test""",
 )
 def o16(spark: SparkSession, sf: str) -> DataFrame:
-    return req.load_test_summary(load_tests(spark, sf), ["test"]).withColumn("mean_ms", F.round("mean_ms", 6))
+    return req.load_test_summary(load_tests(spark, sf), ["test"]).withColumn("mean_ms", half_up("mean_ms", 6))
 
 
 @query(
@@ -347,8 +348,9 @@ def o16(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {LOG}
     SELECT user_id, event_id, row_number() OVER w AS requests,
       CAST(sum(chemical + disease) OVER w AS BIGINT) AS entities,
-      round(CAST(sum(CAST(latency_ms AS DECIMAL(18, 6))) OVER w AS DOUBLE) / row_number() OVER w, 6) AS mean_latency_ms,
-      round(CAST(sum(CASE WHEN latency_ms < 50 THEN 1 ELSE 0 END) OVER w AS BIGINT) * 100 / row_number() OVER w, 6)
+      {t.sql_half_up('CAST(sum(CAST(latency_ms AS DECIMAL(18, 6))) OVER w AS DOUBLE) / row_number() OVER w', 6)}
+        AS mean_latency_ms,
+      {t.sql_half_up('CAST(sum(CASE WHEN latency_ms < 50 THEN 1 ELSE 0 END) OVER w AS BIGINT) * 100 / row_number() OVER w', 6)}
         AS sla_pct
     FROM log WHERE latency_ms IS NOT NULL
     WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)""",
@@ -358,7 +360,7 @@ def o17(spark: SparkSession, sf: str) -> DataFrame:
     rows = as_log(events.select("*")).withColumn("event_id", F.col("request_id").cast("bigint"))
     users = events.select("event_id", "user_id")
     found = req.session_metrics(rows.join(users, "event_id"), "user_id", ["timestamp", "event_id"])
-    return found.drop("timestamp").withColumns({c: F.round(c, 6) for c in ("mean_latency_ms", "sla_pct")})
+    return found.drop("timestamp").withColumns({c: half_up(c, 6) for c in ("mean_latency_ms", "sla_pct")})
 
 
 @query(
@@ -469,8 +471,9 @@ def o12_stream(spark: SparkSession, sf: str) -> DataFrame:
                  FROM answered),
     sessions AS (
       SELECT model_version, min(us) AS start_us, max(us) + 120000000 AS end_us, count(*) AS requests,
-        CAST(sum(chemical + disease) AS BIGINT) AS entities, round(avg(latency_ms), 6) AS mean_latency_ms,
-        round(100 * avg(CASE WHEN latency_ms < 50 THEN 1.0 ELSE 0.0 END), 6) AS sla_pct
+        CAST(sum(chemical + disease) AS BIGINT) AS entities,
+        {t.sql_half_up('avg(latency_ms)', 6)} AS mean_latency_ms,
+        {t.sql_half_up('100 * avg(CASE WHEN latency_ms < 50 THEN 1.0 ELSE 0.0 END)', 6)} AS sla_pct
       FROM numbered GROUP BY model_version, s)
     SELECT * FROM sessions WHERE end_us <= (SELECT max(us) - 600000000 FROM answered)""",
 )
@@ -483,8 +486,8 @@ def o17_stream(spark: SparkSession, sf: str) -> DataFrame:
         F.unix_micros("session_end").alias("end_us"),
         "requests",
         "entities",
-        F.round("mean_latency_ms", 6).alias("mean_latency_ms"),
-        F.round("sla_pct", 6).alias("sla_pct"),
+        half_up("mean_latency_ms", 6).alias("mean_latency_ms"),
+        half_up("sla_pct", 6).alias("sla_pct"),
     )
 
 
