@@ -33,15 +33,17 @@ def lookup_join(
 ) -> DataFrame:
     """Inner join of ``big`` with a table that has one row per ``key``.
 
-    ``weight`` is the number of rows of ``big`` behind each key. The
-    ``hot_rows`` heaviest keys are broadcast, so their rows never move; what is
-    left holds no key with more than 1 / hot_rows of the rows and is joined by
-    an ordinary shuffle. Every row is kept.
+    ``weight`` is the number of rows of ``big`` behind each key. The keys
+    heavier than the one at rank ``hot_rows`` are broadcast, at most that many,
+    so their rows never move; what is left holds no key with more than
+    1 / hot_rows of the rows and is joined by an ordinary shuffle. Every row is
+    kept. ``lookup`` is read several times, so pass a written table.
     """
-    heaviest = lookup.orderBy(F.desc(weight), key).limit(hot_rows + 1).collect()
-    hot = as_local(lookup, heaviest[:hot_rows])
+    heaviest = lookup.orderBy(F.desc(weight)).limit(hot_rows + 1)
+    row = heaviest.agg(F.count(F.lit(1)).alias("n"), F.min(weight).alias("cut")).collect()[0]
+    if row["n"] <= hot_rows:
+        return big.join(F.broadcast(lookup), key)
+    hot = lookup.filter(F.col(weight) > row["cut"])
     by_broadcast = big.join(F.broadcast(hot), key)
-    if len(heaviest) <= hot_rows:
-        return by_broadcast
     cold = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(lookup, key)
     return by_broadcast.unionByName(cold.select(*by_broadcast.columns))
