@@ -21,17 +21,21 @@ def texts(docs: DataFrame, *keep: str | Column) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *keep)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts may be long, so batches are kept to ``BATCH_ROWS`` rows: the
+    session setting is lowered where it is larger."""
+    if not 0 < int(spark.conf.get(ROWS_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(ROWS_SETTING, str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], Iterator[dict]]], schema: str) -> DataFrame:
     """Columns as lists in, columns as lists (or numpy arrays) out.
 
     ``make`` runs once per task and returns the function for a batch, which
-    yields dictionaries with the columns of ``schema``. Texts may be long, so
-    batches are kept to ``BATCH_ROWS`` rows: the session setting is lowered
-    where it is larger.
+    yields dictionaries with the columns of ``schema``.
     """
     spark = df.sparkSession
-    if not 0 < int(spark.conf.get(ROWS_SETTING)) <= BATCH_ROWS:
-        spark.conf.set(ROWS_SETTING, str(BATCH_ROWS))
+    bounded_batches(spark)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(spark.createDataFrame([], schema).schema)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from corpuslab.session import scratch_path, via_table
 
 from .common import documents, drop_table, map_batches, store_of, texts
-from .units import UnitCoder
+from .units import UnitCoder, worker_table
 
 MAGIC = b"TOKRANK1"
 HEADER = "<8sQQQQQ"
@@ -137,7 +137,7 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, and the packed ids of each text."""
 
     def make():
-        code = UnitCoder(library_encoder(vocabulary))
+        code = UnitCoder(library_encoder(vocabulary), worker_table(f"library {vocabulary}"))
 
         def step(rows):
             for at in range(0, len(rows["doc_id"]), SLICE):

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, map_batches, texts
-from .units import UnitCoder
+from .units import UnitCoder, worker_table
 
 SLICE = 125
 BATCH_BYTES = 64
@@ -216,7 +216,7 @@ def _coded(docs: DataFrame, vocabulary: str, pattern: str, columns: str, of) ->
     ranks = read_ranks(vocabulary)
 
     def make():
-        code = UnitCoder(unit_encoder(ranks, pattern))
+        code = UnitCoder(unit_encoder(ranks, pattern), worker_table(f"trees {vocabulary} {pattern}"))
 
         def step(rows):
             for at in range(0, len(rows["doc_id"]), SLICE):

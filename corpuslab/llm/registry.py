@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from .op01_token_ids import op1_token_ids
 from .op02_byte_bpe import op2_byte_bpe
+from .op03_suffix_dedup import op3_suffix_dedup
+from .op04_simhash import op4_simhash
+from .op05_licenses import op5_licenses
+from .op08_quality_rules import OP8_SQL, op8_quality_rules
+from .op09_decontamination import op9_decontamination
+from .op10_pii import op10_pii
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_simhash": op4_simhash,
+    "op5_licenses": op5_licenses,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_decontamination": op9_decontamination,
+    "op10_pii": op10_pii,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_quality_rules": OP8_SQL,
+}

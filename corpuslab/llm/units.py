@@ -8,10 +8,12 @@ encoded once per worker, and a text's ids are the units' ids joined.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, islice
 
-MAX_UNITS = 400_000
+MAX_UNITS = 1_000_000
 
 
 def starts_unit(chunk: str) -> bool:
@@ -31,31 +33,42 @@ def units_of(text: str) -> list[str]:
     return units
 
 
+def worker_table(name: str) -> dict:
+    """A dictionary that tasks of one Python worker share. Functions reach the
+    workers by value, so it hangs on a module of its own."""
+    holder = sys.modules.setdefault("_unit_tables", types.ModuleType("_unit_tables"))
+    return holder.__dict__.setdefault(name, {})
+
+
 class UnitCoder:
     """Encodes texts through a bounded table of units.
 
-    ``encode`` takes a list of strings and returns the packed ids of each. The
-    table is emptied when it holds ``max_units``, so memory is bounded; what
-    was dropped is encoded again.
+    ``encode`` takes a list of strings and returns the packed ids of each.
+    ``table`` keeps the first ``max_units`` units seen, so memory is bounded;
+    further ones are encoded wherever they occur.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], max_units: int = MAX_UNITS):
+    def __init__(
+        self,
+        encode: Callable[[list[str]], list[bytes]],
+        table: dict[str, bytes | None] | None = None,
+        max_units: int = MAX_UNITS,
+    ):
         self.encode, self.max_units = encode, max_units
-        self.after_space: dict[str, bytes | None] = {}
+        self.after_space = {} if table is None else table
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         table = self.after_space
-        if len(table) >= self.max_units:
-            table.clear()
         split = [text.split(" ") for text in texts]
         heads = dict.fromkeys(chunks[0] for chunks in split if chunks[0])
-        odd: dict[str, bytes] = {}
+        heads.update(zip(heads, self.encode(list(heads)), strict=True))
+        heads[""] = b""
         new = set(chain.from_iterable(split)).difference(table)
         regular = [chunk for chunk in new if starts_unit(chunk)]
+        room = max(0, self.max_units - len(table))
         table.update(dict.fromkeys(new.difference(regular)))
         table.update(zip(regular, self.encode([" " + chunk for chunk in regular]), strict=True))
-        heads.update(zip(heads, self.encode(list(heads)), strict=True))
-        heads[""] = b""
+        odd: dict[str, bytes] = {}
         out = []
         for text, chunks in zip(texts, split, strict=True):
             first = heads[chunks[0]]
@@ -67,4 +80,6 @@ class UnitCoder:
                 unknown = [u for u in dict.fromkeys(units) if u and u not in odd]
                 odd.update(zip(unknown, self.encode(unknown), strict=True))
                 out.append(b"".join(odd[u] for u in units if u))
+        for chunk in islice(new, room, None):
+            del table[chunk]
         return out
