@@ -240,12 +240,16 @@ def digests(ids: list[bytes], tokens: tuple[bytes, ...]) -> dict:
     }
 
 
-def encoded_digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+def encoded_digests(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """Per document: the number of ids, and digests of the ids and of the bytes
-    they decode to. Ids are decoded where they were made, so they need not move."""
-    return _coded(
-        docs, vocabulary, pattern, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", digests
-    )
+    they decode to; with ``keep_ids`` the ids as well. Ids are decoded where
+    they were made, so they need not move."""
+    columns = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    if keep_ids:
+        return _coded(
+            docs, vocabulary, pattern, f"{columns}, ids binary", lambda ids, tokens: {**digests(ids, tokens), "ids": ids}
+        )
+    return _coded(docs, vocabulary, pattern, columns, digests)
 
 
 def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
