@@ -109,7 +109,7 @@ def s14(spark: SparkSession, sf: str) -> DataFrame:
 )
 def s09(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "features")
-    vectors, _ = feats.extract_features(via_table(t.cleaned(spark, sf, rated=True), "cleaned"))
+    vectors, _ = feats.extract_features(cleaning.clean_text(t.corpus(spark, sf), keep_words=True))
     sinks.write_features(vectors, path)
     return spark.read.parquet(path).select(
         "doc_id", "text_clean", "rating", "source", "word_count", F.size("filtered_words").alias("n_words")
@@ -317,7 +317,7 @@ def x07(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("x08_extract_features")
 def x08(spark: SparkSession, sf: str) -> DataFrame:
-    vectors, _ = feats.extract_features(via_table(t.cleaned(spark, sf, rated=True), "cleaned"))
+    vectors, _ = feats.extract_features(cleaning.clean_text(t.corpus(spark, sf), keep_words=True))
     kinds = {"unigram": "tfidf_features", "bigram": "bigram_tfidf_features"}
     named = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("vector")) for kind, c in kinds.items()])
     both = vectors.select("doc_id", F.inline_outer(named))
@@ -468,9 +468,11 @@ ARMS = "SELECT CASE event_id % 2 WHEN 0 THEN 'A' ELSE 'B' END AS arm, value FROM
     "a10_histogram",
     f"""WITH arms AS ({ARMS}),
     ends AS (SELECT arm, min(value) AS lo, (max(value) - min(value)) / 30 AS w FROM arms GROUP BY arm)
-    SELECT arm, CAST(bin AS INTEGER) AS bin, round(lo + w * bin, 6) AS low, count(*) AS n
-    FROM (SELECT arm, lo, w, least(floor((value - lo) / w), 29) AS bin FROM arms JOIN ends USING (arm))
-    GROUP BY arm, bin, lo, w""",
+    SELECT e.arm, CAST(r.bin AS INTEGER) AS bin, round(lo + w * r.bin, 6) AS low, count(p.arm) AS n
+    FROM ends e CROSS JOIN range(30) r(bin)
+    LEFT JOIN (SELECT arm, least(floor((value - lo) / w), 29) AS bin FROM arms JOIN ends USING (arm)) p
+      ON p.arm = e.arm AND p.bin = r.bin
+    GROUP BY e.arm, r.bin, lo, w""",
 )
 def a10(spark: SparkSession, sf: str) -> DataFrame:
     arm = F.when(F.pmod("event_id", F.lit(2)) == 0, "A").otherwise("B")

@@ -23,6 +23,14 @@ def decoded(spark: SparkSession, sf: str, variant: str = "gold") -> DataFrame:
     return lab.decode_spans(tok.labelled(spark, sf, variant))
 
 
+def both_decoded(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id and the spans of both models, from one pass over the pieces."""
+    rows = tok.both_labelled(spark, sf)
+    first = lab.decode_spans(rows.withColumnRenamed("tokens_a", "tokens")).withColumnRenamed("spans", "spans_a")
+    second = first.drop("tokens").withColumnRenamed("tokens_b", "tokens")
+    return lab.decode_spans(second).withColumnRenamed("spans", "spans_b").drop("tokens")
+
+
 @query("n01_predict_tokens", f"{LABELLED} SELECT {TOKEN_COLUMNS} FROM labelled")
 def n01(spark: SparkSession, sf: str) -> DataFrame:
     texts = t.cleaned(spark, sf).select("doc_id", "text_clean")
@@ -194,13 +202,13 @@ BOTH = f"WITH {tok.PIECES}, {tok.sql_spans('a', '_a')}, {tok.sql_spans('b', '_b'
       SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, a.doc_id IS NOT NULL AS in_a, b.doc_id IS NOT NULL AS in_b
       FROM spans_a a FULL JOIN spans_b b
         ON a.doc_id = b.doc_id AND a.start = b.start AND a."end" = b."end" AND a.label = b.label)
-    SELECT doc_id, count(*) FILTER (in_a) AS entities_a, count(*) FILTER (in_b) AS entities_b,
-      count(*) FILTER (in_a AND in_b) AS both, count(*) FILTER (NOT in_b) AS only_a,
-      count(*) FILTER (NOT in_a) AS only_b
-    FROM joined GROUP BY doc_id""",
+    SELECT doc_id, CAST(count(*) FILTER (in_a) AS INTEGER) AS entities_a, CAST(count(*) FILTER (in_b) AS INTEGER) AS entities_b,
+      CAST(count(*) FILTER (in_a AND in_b) AS INTEGER) AS both, CAST(count(*) FILTER (NOT in_b) AS INTEGER) AS only_a,
+      CAST(count(*) FILTER (NOT in_a) AS INTEGER) AS only_b
+    FROM pieces LEFT JOIN joined USING (doc_id) GROUP BY doc_id""",
 )
 def n15(spark: SparkSession, sf: str) -> DataFrame:
-    return lab.compare_models(lab.span_rows(decoded(spark, sf, "a")), lab.span_rows(decoded(spark, sf, "b")))
+    return lab.span_agreement(both_decoded(spark, sf))
 
 
 @query(
@@ -215,45 +223,31 @@ def n15(spark: SparkSession, sf: str) -> DataFrame:
     FROM sides s JOIN others o USING (doc_id) JOIN latencies l ON CAST(s.doc_id AS BIGINT) = l.sample_id""",
 )
 def n15_documents(spark: SparkSession, sf: str) -> DataFrame:
-    times = tok.latencies(spark, sf).withColumn("doc_id", F.col("sample_id").cast("string"))
-
-    def side(name: str) -> DataFrame:
-        timed = times.select("doc_id", F.col(f"latency_{name}_ms").alias("latency_ms"))
-        return decoded(spark, sf, name).join(timed, "doc_id")
-
-    return lab.compare_documents(side("a"), side("b"))
-
-
-OPEN, CLOSE = "\ue000", "\ue001"
-
-
-def _sql_step(index: int, choice: str, text: str) -> str:
-    """Mark the matches of one label, stepping over what is marked already."""
-    pattern = f"'({OPEN}[^{CLOSE}]*{CLOSE})|(' || {choice} || ')'"
-    marked = f"regexp_replace({text}, {pattern}, '\\1{OPEN}{index}\\2{CLOSE}', 'g')"
-    return f"CASE WHEN {choice} IS NULL THEN {text} ELSE replace({marked}, '{OPEN}{index}{CLOSE}', '') END"
-
-
-def _sql_tag(index: int, label: str, text: str) -> str:
-    return f"""replace({text}, '{OPEN}{index}', '<span class="entity entity-{label}" title="{label}">')"""
+    counts = lab.span_agreement(both_decoded(spark, sf)).select("doc_id", "entities_a", "entities_b")
+    times = tok.latencies(spark, sf).withColumn("doc_id", F.col("sample_id").cast("string")).drop("sample_id")
+    return counts.join(times, "doc_id")
 
 
 @query(
     "p14_annotate_text",
     f"""{SPANS},
-    texts AS (SELECT DISTINCT doc_id, label, text FROM spans WHERE confidence >= 0.85),
-    choices AS (
-      SELECT doc_id, string_agg(text, '|' ORDER BY length(text) DESC, text) FILTER (label = 'Chemical') AS chemical,
-        string_agg(text, '|' ORDER BY length(text) DESC, text) FILTER (label = 'Disease') AS disease
-      FROM texts GROUP BY doc_id),
-    one AS (SELECT doc_id, disease, {_sql_step(0, 'chemical', 'text_clean')} AS m
-            FROM clean LEFT JOIN choices USING (doc_id)),
-    two AS (SELECT doc_id, replace({_sql_step(1, 'disease', 'm')}, '{CLOSE}', '</span>') AS m FROM one)
-    SELECT doc_id, {_sql_tag(1, 'Disease', _sql_tag(0, 'Chemical', 'm'))} AS annotated FROM two""",
+    sure AS (SELECT doc_id, text, max(confidence) AS c FROM spans WHERE confidence >= 0.85 GROUP BY ALL),
+    best AS (SELECT s.doc_id, s.text, c, min(label) AS label FROM spans s JOIN sure USING (doc_id, text)
+             WHERE s.confidence = c GROUP BY ALL),
+    tags AS (SELECT doc_id, text, '<span class="entity entity-' || label || '" title="' || label || ': '
+               || printf('%.1f', round(c * 100, 1)) || '% confidence">' || text || '</span>' AS tag FROM best),
+    choices AS (SELECT doc_id, string_agg(text, '|' ORDER BY length(text) DESC, text) AS choice,
+                  map(list(text ORDER BY text), list(tag ORDER BY text)) AS named FROM tags GROUP BY doc_id),
+    cut AS (SELECT doc_id, text_clean, choice, named,
+              list_zip(string_split_regex(text_clean, choice), regexp_extract_all(text_clean, choice)) AS parts
+            FROM clean LEFT JOIN choices USING (doc_id))
+    SELECT doc_id, CASE WHEN choice IS NULL THEN text_clean ELSE
+      array_to_string(list_transform(parts, lambda p: p[1] || coalesce(map_extract(named, p[2])[1], '')), '') END AS annotated
+    FROM cut""",
 )
 def p14(spark: SparkSession, sf: str) -> DataFrame:
     docs = t.cleaned(spark, sf).select("doc_id", F.col("text_clean").alias("text"))
-    return annotate_text(docs, n11(spark, sf), lab.ENTITY_TYPES).select("doc_id", "annotated")
+    return annotate_text(docs, n11(spark, sf)).select("doc_id", "annotated")
 
 
 def _sentences(spark: SparkSession, sf: str) -> DataFrame:

@@ -39,7 +39,8 @@ DAILY = f"""daily AS (
 
 def reports(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(run_id, report) JSON of both components. Every fifth day has no
-    distillation report, every seventh no speed-up in the other one."""
+    distillation report, every seventh no speed-up in the other one's summary;
+    two variants and both components state a speed-up of their own."""
     days = daily(spark, sf)
     speedup = F.when(F.col("run_id") % 7 != 0, F.round(F.col("view") / F.col("click") * 2, 2))
     summary = F.struct(
@@ -50,7 +51,11 @@ def reports(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     )
     results = F.struct(
         F.struct(F.round(F.col("click") / 100, 4).alias("macro_f1")).alias("baseline_fp32"),
-        F.struct(F.round(F.col("view") / 100, 4).alias("macro_f1")).alias("quantized_int8"),
+        F.struct(
+            F.round(F.col("view") / 100, 4).alias("macro_f1"),
+            F.round(F.col("view") / F.col("click"), 2).alias("speedup_factor"),
+        ).alias("quantized_int8"),
+        F.struct(F.round(F.col("view") / F.col("click") * 3, 2).alias("speedup_factor")).alias("pruned"),
     )
     optimization = days.select(
         "run_id",
@@ -58,7 +63,10 @@ def reports(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
             F.struct(F.lit("compression").alias("kind"), results.alias("results"), summary.alias("summary"))
         ).alias("report"),
     )
-    kept = F.struct(F.round(100 - F.abs(F.col("error") - F.col("view")) * 2, 1).alias("f1_retention_pct"))
+    kept = F.struct(
+        F.round(100 - F.abs(F.col("error") - F.col("view")) * 2, 1).alias("f1_retention_pct"),
+        F.round(F.col("error") / F.col("view"), 2).alias("speedup_factor"),
+    )
     distillation = days.filter(F.col("run_id") % 5 != 0).select(
         "run_id", F.to_json(F.struct(kept.alias("summary"))).alias("report")
     )
@@ -85,6 +93,10 @@ long AS (
   UNION ALL SELECT run_id, 'optimization', 'summary', 'latency_ms', round(highest, 2) FROM daily
   UNION ALL SELECT run_id, 'optimization', 'baseline_fp32', 'macro_f1', round(click / 100, 4) FROM daily
   UNION ALL SELECT run_id, 'optimization', 'quantized_int8', 'macro_f1', round(view / 100, 4) FROM daily
+  UNION ALL SELECT run_id, 'optimization', 'quantized_int8', 'speedup_factor', round(view / click, 2) FROM daily
+  UNION ALL SELECT run_id, 'optimization', 'pruned', 'speedup_factor', round(view / click * 3, 2) FROM daily
+  UNION ALL SELECT run_id, 'distillation', 'summary', 'speedup_factor', round(error / view, 2)
+    FROM daily WHERE run_id % 5 <> 0
   UNION ALL SELECT run_id, 'distillation', 'summary', 'f1_retention_pct', round(100 - abs(error - view) * 2, 1)
     FROM daily WHERE run_id % 5 <> 0)"""
 
@@ -109,12 +121,16 @@ def sql_findings(with_latency: bool = False) -> str:
         broken = f"{value} {'>' if x.op == 'max' else '<'} {x.limit}"
         branches.append(
             f"""SELECT p.run_id, '{x.shown_component}' AS component, '{x.shown_metric}' AS metric,
-      '{x.metric}' AS metric_key, printf('{x.shown_value}', {value}) AS value, '{x.limit}{x.unit}' AS threshold,
+      '{x.metric}' AS metric_key, '{x.component}' AS component_key, coalesce(variant, 'summary') AS variant_key,
+      printf('{x.shown_value}', {value}) AS value, '{x.limit}{x.unit}' AS threshold,
       CASE WHEN {broken} THEN '{x.severity}' ELSE 'OK' END AS severity,
       CASE WHEN {broken} THEN printf('{x.breach}', {value}) ELSE printf('{x.fine}', {value}) END AS message,
       CASE WHEN {broken} THEN {x.status_effect} ELSE 0 END AS status_effect
-    FROM (SELECT DISTINCT run_id, component FROM long) p LEFT JOIN long l
-      ON l.run_id = p.run_id AND l.component = p.component AND l.metric = '{x.metric}'
+    FROM (SELECT DISTINCT run_id, component FROM long) p LEFT JOIN (
+        SELECT run_id, component, coalesce(max(value) FILTER (variant = 'summary'), {x.op}(value)) AS value,
+          CASE WHEN count(*) FILTER (variant = 'summary') > 0 THEN 'summary' ELSE arg_{x.op}(variant, value) END AS variant
+        FROM long WHERE metric = '{x.metric}' GROUP BY run_id, component) l
+      ON l.run_id = p.run_id AND l.component = p.component
     WHERE p.component = '{x.component}'"""
         )
     return "findings AS (" + " UNION ALL ".join(branches) + ")"
@@ -192,7 +208,8 @@ def r04_summary(spark: SparkSession, sf: str) -> DataFrame:
         WHEN l.metric LIKE '%\\_pct' ESCAPE '\\' THEN printf('%.2f%%', round(l.value, 2)) END AS shown,
       round(l.value - lag(l.value) OVER (PARTITION BY l.component, l.variant, l.metric ORDER BY l.run_id), 6) AS change,
       f.severity, f.message
-    FROM long l LEFT JOIN findings f ON f.run_id = l.run_id AND f.metric_key = l.metric""",
+    FROM long l LEFT JOIN findings f ON f.run_id = l.run_id AND f.metric_key = l.metric
+      AND f.component_key = l.component AND f.variant_key = l.variant""",
 )
 def r05(spark: SparkSession, sf: str) -> DataFrame:
     report = long_report(spark, sf)

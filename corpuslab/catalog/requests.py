@@ -15,7 +15,7 @@ from .registry import registry
 
 QUERIES, ORACLES, query = registry()
 
-def as_log(events: DataFrame) -> DataFrame:
+def as_log(events: DataFrame, *keep: str) -> DataFrame:
     """Events as log rows: errors carry a type, answered requests a latency, entities and a length."""
     failed = F.col("event_type") == "error"
     user = F.col("user_id")
@@ -33,6 +33,7 @@ def as_log(events: DataFrame) -> DataFrame:
         lambda _, n: n > 0,
     )
     return events.select(
+        *keep,
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.when(failed, "ERROR").otherwise("INFO").alias("level"),
         F.lit("ner_inference").alias("logger"),
@@ -308,7 +309,7 @@ def load_tests(spark: SparkSession, sf: str) -> DataFrame:
             F.map_values(F.coalesce("entity_counts", F.create_map().cast("map<string,int>"))), F.lit(0), lambda a, n: a + n
         ).alias("num_entities"),
         F.coalesce("input_length", F.lit(0)).alias("num_tokens"),
-        req.request_status().alias("status"),
+        req.request_status(log(spark, sf)).alias("status"),
         F.col("error_type").alias("error"),
     )
 
@@ -357,9 +358,8 @@ def o16(spark: SparkSession, sf: str) -> DataFrame:
 )
 def o17(spark: SparkSession, sf: str) -> DataFrame:
     events = t.table(spark, sf, "events")
-    rows = as_log(events.select("*")).withColumn("event_id", F.col("request_id").cast("bigint"))
-    users = events.select("event_id", "user_id")
-    found = req.session_metrics(rows.join(users, "event_id"), "user_id", ["timestamp", "event_id"])
+    rows = as_log(events, "event_id", "user_id")
+    found = req.session_metrics(rows, "user_id", ["timestamp", "event_id"])
     return found.drop("timestamp").withColumns({c: half_up(c, 6) for c in ("mean_latency_ms", "sla_pct")})
 
 
@@ -413,17 +413,14 @@ def o19(spark: SparkSession, sf: str) -> DataFrame:
 def o20(spark: SparkSession, sf: str) -> DataFrame:
     rows = log(spark, sf)
     newest = rows.agg(F.max("timestamp")).scalar()
-    last = req.freshness(rows.withColumn("_now", newest))
-    age = F.unix_seconds(newest) - F.unix_seconds("last_seen")
-    fresh = last.withColumn("status", F.when(age <= 300, F.col("status")).otherwise("not_ready"))
-    return seconds(fresh, "last_seen")
+    return seconds(req.freshness(rows, as_of=newest, max_age_seconds=300), "last_seen")
 
 
 def stream_log(spark: SparkSession, sf: str) -> DataFrame:
     """The events file as a stream of log rows."""
     schema = t.table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return as_log(events)
+    return as_log(events, "user_id")
 
 
 def _streamed(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -465,23 +462,23 @@ def o12_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "o17_session_totals_stream",
     f"""WITH {LOG}, answered AS (
-      SELECT *, us - lag(us) OVER (PARTITION BY model_version ORDER BY us) >= 120000000 AS starts
+      SELECT *, us - lag(us) OVER (PARTITION BY user_id ORDER BY us) >= 3600000000 AS starts
       FROM log WHERE latency_ms IS NOT NULL),
-    numbered AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY model_version ORDER BY us) AS s
+    numbered AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY us) AS s
                  FROM answered),
     sessions AS (
-      SELECT model_version, min(us) AS start_us, max(us) + 120000000 AS end_us, count(*) AS requests,
+      SELECT user_id, min(us) AS start_us, max(us) + 3600000000 AS end_us, count(*) AS requests,
         CAST(sum(chemical + disease) AS BIGINT) AS entities,
         {t.sql_half_up('avg(latency_ms)', 6)} AS mean_latency_ms,
         {t.sql_half_up('100 * avg(CASE WHEN latency_ms < 50 THEN 1.0 ELSE 0.0 END)', 6)} AS sla_pct
-      FROM numbered GROUP BY model_version, s)
+      FROM numbered GROUP BY user_id, s)
     SELECT * FROM sessions WHERE end_us <= (SELECT max(us) - 600000000 FROM answered)""",
 )
 def o17_stream(spark: SparkSession, sf: str) -> DataFrame:
     stream = stream_log(spark, sf)
-    done = _streamed(spark, live.session_totals(stream, "model_version", gap="2 minutes"), "sessions")
+    done = _streamed(spark, live.session_totals(stream, "user_id", gap="1 hour"), "sessions")
     return done.select(
-        "model_version",
+        "user_id",
         F.unix_micros("session_start").alias("start_us"),
         F.unix_micros("session_end").alias("end_us"),
         "requests",

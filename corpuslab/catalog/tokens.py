@@ -101,8 +101,8 @@ def piece_arrays(spark: SparkSession, sf: str) -> DataFrame:
     return once(word_arrays(spark, sf), pieces=pieces(F.col("words"))).select("doc_id", "source", "pieces")
 
 
-def labelled(spark: SparkSession, sf: str, variant: str = "gold") -> DataFrame:
-    tokens = F.transform(
+def _tokens(variant: str) -> Column:
+    return F.transform(
         "pieces",
         lambda p, i: F.struct(
             i.alias("position"),
@@ -111,7 +111,15 @@ def labelled(spark: SparkSession, sf: str, variant: str = "gold") -> DataFrame:
             rule_confidence(p, variant).alias("confidence"),
         ),
     )
-    return piece_arrays(spark, sf).select("doc_id", tokens.alias("tokens"))
+
+
+def labelled(spark: SparkSession, sf: str, variant: str = "gold") -> DataFrame:
+    return piece_arrays(spark, sf).select("doc_id", _tokens(variant).alias("tokens"))
+
+
+def both_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """tokens_a and tokens_b of each document, out of the same pieces."""
+    return piece_arrays(spark, sf).select("doc_id", _tokens("a").alias("tokens_a"), _tokens("b").alias("tokens_b"))
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:

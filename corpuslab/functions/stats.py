@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 EXACT_PAIRS = 50
-EXACT_SMALLER, EXACT_PRODUCT = 8, 4_000
+EXACT_SMALLER = 8
 
 
 def normal_two_sided(z: float) -> float:
@@ -58,37 +59,61 @@ def t_quantile(probability: float, freedom: int) -> float:
     return (low + high) / 2
 
 
+def signed_rank_tails(pairs: int) -> np.ndarray:
+    """Probability of each signed-rank sum or a smaller one, without ties."""
+    ways = np.zeros(pairs * (pairs + 1) // 2 + 1)
+    ways[0] = 1
+    for rank in range(1, pairs + 1):
+        ways[rank:] += ways[:-rank].copy()
+    return np.cumsum(ways) / 2.0**pairs
+
+
 def signed_rank_exact(pairs: int, statistic: float) -> float:
     """Two-sided p of the signed-rank statistic without ties."""
-    ways = [1] + [0] * (pairs * (pairs + 1) // 2)
-    for rank in range(1, pairs + 1):
-        for total in range(len(ways) - 1, rank - 1, -1):
-            ways[total] += ways[total - rank]
-    return min(1.0, 2 * sum(ways[: int(statistic) + 1]) / 2**pairs)
+    return min(1.0, 2 * float(signed_rank_tails(pairs)[int(statistic)]))
+
+
+def rank_sum_tails(first: int, second: int) -> np.ndarray:
+    """Probability of each U up to half its range, or a smaller one, without ties.
+
+    The number of ways is the coefficient in a quotient of products; each factor
+    is a shifted difference and a running sum over every k-th entry.
+    """
+    smaller, larger = min(first, second), max(first, second)
+    size = smaller * larger // 2 + 1
+    ways = np.zeros(size)
+    ways[0] = 1
+    for k in range(1, smaller + 1):
+        shift = larger + k
+        if shift < size:
+            ways[shift:] -= ways[:-shift].copy()
+        rows = -(-size // k)
+        ways = np.cumsum(np.append(ways, np.zeros(rows * k - size)).reshape(rows, k), axis=0).ravel()[:size]
+    return np.cumsum(ways) / math.comb(first + second, smaller)
 
 
 def rank_sum_exact(first: int, second: int, larger_u: float) -> float:
     """Two-sided p of the larger U of two samples without ties."""
-    # ways[k][u]: choices of k values of the first sample among those seen, with U = u.
-    ways = [[0] * (first * second + 1) for _ in range(first + 1)]
-    ways[0][0] = 1
-    for seen in range(1, first + second + 1):
-        for k in range(min(first, seen), 0, -1):
-            beaten = seen - k
-            if beaten <= second:
-                for u in range(first * second, beaten - 1, -1):
-                    ways[k][u] += ways[k - 1][u - beaten]
-    counts = ways[first]
-    return min(1.0, 2 * sum(counts[math.ceil(larger_u) :]) / sum(counts))
+    return _rank_sum_p(rank_sum_tails(first, second), first * second, larger_u)
+
+
+def _rank_sum_p(tails: np.ndarray, product: int, larger_u: float) -> float:
+    below = math.floor(product - larger_u)
+    return min(1.0, 2 * float(tails[min(below, len(tails) - 1)])) if below >= 0 else 0.0
 
 
 @F.pandas_udf(T.DoubleType())
 def rank_sum_p(n_a: pd.Series, n_b: pd.Series, u_a: pd.Series, z: pd.Series, tied: pd.Series) -> pd.Series:
-    """Exact for tiny samples without ties, else the normal tail of ``z``."""
+    """Exact if one sample is tiny and there are no ties, else the normal tail of
+    ``z``. The distribution is computed once for all groups of the same sizes."""
+    found: dict[tuple[int, int], np.ndarray] = {}
 
     def one(a: float, b: float, u: float, score: float, has_ties: bool) -> float:
-        if min(a, b) <= EXACT_SMALLER and a * b <= EXACT_PRODUCT and not has_ties:
-            return rank_sum_exact(int(a), int(b), max(u, a * b - u))
+        if min(a, b) <= EXACT_SMALLER and not has_ties:
+            sizes = (int(min(a, b)), int(max(a, b)))
+            if sizes not in found:
+                found[sizes] = rank_sum_tails(*sizes)
+            return _rank_sum_p(found[sizes], sizes[0] * sizes[1], max(u, a * b - u))
         return 1.0 if math.isnan(score) else min(1.0, math.erfc(score / math.sqrt(2)))
 
     return pd.Series([one(*row) for row in zip(n_a, n_b, u_a, z, tied)], dtype="float64")
@@ -97,9 +122,14 @@ def rank_sum_p(n_a: pd.Series, n_b: pd.Series, u_a: pd.Series, z: pd.Series, tie
 @F.pandas_udf(T.DoubleType())
 def signed_rank_p(pairs: pd.Series, statistic: pd.Series, z: pd.Series, tied: pd.Series) -> pd.Series:
     """Exact for up to 50 pairs without ties, else the normal tail of ``z``."""
+    found: dict[int, np.ndarray] = {}
 
     def one(m: float, w: float, score: float, has_ties: bool) -> float:
-        return signed_rank_exact(int(m), w) if m <= EXACT_PAIRS and not has_ties else normal_two_sided(score)
+        if m > EXACT_PAIRS or has_ties:
+            return normal_two_sided(score)
+        if m not in found:
+            found[m] = signed_rank_tails(int(m))
+        return min(1.0, 2 * float(found[m][int(w)]))
 
     return pd.Series([one(*row) for row in zip(pairs, statistic, z, tied)], dtype="float64")
 

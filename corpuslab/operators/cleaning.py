@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuslab.functions import text as X
-from corpuslab.functions.arrays import once
+from corpuslab.functions.arrays import let, once
 
 
 def clean_text(df: DataFrame, text: str = "text", keep_words: bool = False) -> DataFrame:
@@ -41,6 +41,7 @@ def extract_parts(record: Column, pattern: str) -> Column:
     return X.trim_all(X.strip_markup(F.array_join(parts, " "), ""))
 
 
+# The id and the parts of a record.
 ID_PATTERN = r"<PMID[^>]*>(\d+)</PMID>"
 PART_PATTERN = r"(?s)<AbstractText[^>]*>(.*?)</AbstractText>"
 
@@ -61,46 +62,63 @@ def abstracts(
     ).filter(F.length("text") > min_chars)
 
 
-OPEN, CLOSE = "\ue000", "\ue001"
+# The tag around a highlighted entity.
+TAG_CLASS, TAG_TITLE = '<span class="entity entity-', '" title="'
+TAG_SHARE, TAG_END, TAG_CLOSE = "% confidence", '">', "</span>"
 
 
-def annotate(text: Column, found: Column, labels: list[str]) -> Column:
-    """``text`` with every occurrence of an entity wrapped in a tag that names its label.
+def annotate(text: Column, found: Column, with_confidence: bool = False) -> Column:
+    """``text``, HTML-escaped, with every occurrence of an entity wrapped in a
+    tag that names its label and, ``with_confidence``, that confidence.
 
-    ``found`` is an array of (label, text). Text and entities are
-    HTML-escaped, then each label is one case-insensitive replacement with the
-    longest entity first. Matches are put between private characters; the
-    replacement steps over such stretches, so tags never nest or match as text.
+    ``found`` is an array of (label, text) and, with it, confidence. All
+    entities are one case-insensitive alternation, the longest first, so a
+    longer one wins whatever its label, and tags never nest. Of entities with
+    one text the most confident one names the label, then the first label. The
+    text is split at the matches and joined again, so no character is special.
     """
-    marked = X.escape_html(text)
-    for index, label in enumerate(labels):
-        texts = F.transform(
-            F.filter(found, lambda f: (f["label"] == label) & (F.length(f["text"]) > 0)),
-            lambda f: X.escape_html(F.lower(f["text"])),
+    confidence = (lambda f: f["confidence"].cast("double")) if with_confidence else (lambda f: F.lit(0.0))
+    entity = F.transform(
+        F.filter(found, lambda f: F.length(f["text"]) > 0),
+        lambda f: F.struct(
+            F.lower(f["text"]).alias("text"), (-confidence(f)).alias("less"), f["label"].alias("label")
+        ),
+    )
+    keyed = F.array_sort(F.coalesce(entity, F.array().cast("array<struct<text:string,less:double,label:string>>")))
+
+    def tagged(entities: Column) -> Column:
+        firsts = F.filter(entities, lambda e, i: (i == 0) | (e["text"] != F.get(entities, i - 1)["text"]))
+        names = F.map_from_arrays(F.transform(firsts, lambda e: e["text"]), firsts)
+        longest_first = F.array_sort(F.transform(firsts, lambda e: F.struct((-F.length(e["text"])).alias("n"), e["text"].alias("t"))))
+        choice = F.array_join(F.transform(longest_first, lambda s: X.escape_pattern(s["t"])), "|")
+        # Without entities nothing matches.
+        pattern = F.when(F.size(firsts) == 0, "((?!))").otherwise(F.concat(F.lit("(?iu)("), choice, F.lit(")")))
+        matches = F.regexp_extract_all(text, pattern, F.lit(1))
+        between = F.split(text, pattern, -1)
+
+        def wrapped(match: Column) -> Column:
+            entity = F.try_element_at(names, F.lower(match))
+            share = F.concat(F.lit(": "), F.format_string("%.1f", F.round(entity["less"] * -100, 1)), F.lit(TAG_SHARE))
+            title = F.concat(entity["label"], share) if with_confidence else entity["label"]
+            tag = F.concat(F.lit(TAG_CLASS), entity["label"], F.lit(TAG_TITLE), title, F.lit(TAG_END))
+            inside = X.escape_html(match)
+            return F.coalesce(F.concat(tag, inside, F.lit(TAG_CLOSE)), inside)
+
+        parts = F.zip_with(
+            between, F.transform(matches, wrapped), lambda b, m: F.concat(X.escape_html(b), F.coalesce(m, F.lit("")))
         )
-        longest_first = F.array_sort(
-            F.transform(F.array_distinct(texts), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))
-        )
-        choice = F.coalesce(F.array_join(F.transform(longest_first, lambda s: X.escape_pattern(s["t"])), "|"), F.lit(""))
-        skipped = f"({OPEN}[^{CLOSE}]*{CLOSE})"
-        # Without entities the second group cannot match.
-        entity = F.when(choice == "", "((?!))").otherwise(F.concat(F.lit("((?iu:"), choice, F.lit("))")))
-        pattern = F.concat(F.lit(skipped + "|"), entity)
-        empty = F.lit(f"{OPEN}{index}{CLOSE}")
-        # A stretch stepped over leaves an empty mark behind, which is removed.
-        marked = F.replace(F.regexp_replace(marked, pattern, F.lit(f"$1{OPEN}{index}$2{CLOSE}")), empty, F.lit(""))
-    tagged = F.replace(marked, F.lit(CLOSE), F.lit("</span>"))
-    for index, label in enumerate(labels):
-        tag = f'<span class="entity entity-{label}" title="{label}">'
-        tagged = F.replace(tagged, F.lit(f"{OPEN}{index}"), F.lit(tag))
-    return tagged
-
-
-def annotate_text(docs: DataFrame, entities: DataFrame, labels: list[str], doc_id: str = "doc_id") -> DataFrame:
+        return F.array_join(parts, "")
+
+    return let(keyed, tagged)
+
+
+def annotate_text(docs: DataFrame, entities: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``annotate`` with the entities of another table, one row each."""
-    found = entities.groupBy(doc_id).agg(F.collect_set(F.struct("label", "text")).alias("_found"))
+    fields = [c for c in ("label", "text", "confidence") if c in entities.columns]
+    found = entities.groupBy(doc_id).agg(F.collect_set(F.struct(*fields)).alias("_found"))
     both = docs.join(found, doc_id, "left")
-    return both.withColumn("annotated", annotate(F.col("text"), F.col("_found"), labels)).drop("_found")
+    tagged = annotate(F.col("text"), F.col("_found"), "confidence" in fields)
+    return both.withColumn("annotated", tagged).drop("_found")
 
 
 def request_id(given: Column, stable: Column | None = None) -> Column:

@@ -7,11 +7,15 @@ import time
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from corpuslab.functions.arrays import rows_of
+from corpuslab.functions.numbers import exact_decimals
+from corpuslab.session import via_table
 
 from .scan import Running, running
-from .skew import small_side
+from .skew import join_keys, small_side
 
 ACCURACY = 10_000
+#: Fixed value: the key of documents without a rating.
+NO_RATING = "None"
 
 
 def record_count(df: DataFrame) -> DataFrame:
@@ -61,7 +65,7 @@ def corpus_statistics(df: DataFrame, k: int = 20) -> DataFrame:
     listed = F.transform(ordered, lambda s: F.struct(s["word"].alias("word"), s["count"].alias("count")))
     top = top_words(df, k).agg(listed.alias("w")).scalar()
     ratings = (
-        df.groupBy(F.col("rating").cast("string").alias("rating"))
+        df.groupBy(F.coalesce(F.col("rating").cast("string"), F.lit(NO_RATING)).alias("rating"))
         .agg(F.count(F.lit(1)).alias("count"))
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("rating", "count")))).alias("r"))
     )
@@ -97,18 +101,21 @@ def text_lengths(df: DataFrame, text: str = "text") -> DataFrame:
 
 def histogram(df: DataFrame, by: list[str], value: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and largest value of each group;
-    the last bin is closed. Empty bins have no row."""
+    the last bin is closed. Every bin has a row; a group of one value has one."""
     known = df.filter(F.col(value).isNotNull()).select(*by, value)
     ends = known.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     if by:
-        placed = known.join(small_side(ends), by)
+        placed = join_keys(known, small_side(ends), by)
     else:
         low, high = ends.select("_lo").scalar(), ends.select("_hi").scalar()
         placed = known.withColumns({"_lo": low, "_hi": high})
     width = (F.col("_hi") - F.col("_lo")) / bins
     index = F.when(width > 0, F.least(F.floor((F.col(value) - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(0)
     counted = placed.groupBy(*by, "_lo", "_hi", index.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(*by, "bin", (F.col("_lo") + width * F.col("bin")).alias("low"), "n")
+    found = counted.groupBy(*by, "_lo", "_hi").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"))
+    every = found.withColumn("bin", F.explode(F.sequence(F.lit(0), F.when(width > 0, bins - 1).otherwise(0))))
+    n = F.coalesce(F.try_element_at("_n", F.col("bin")), F.lit(0)).alias("n")
+    return every.select(*by, "bin", (F.col("_lo") + width * F.col("bin")).alias("low"), n)
 
 
 def rolling_window(rows: int) -> int:
@@ -125,7 +132,7 @@ def rolling_mean(
     """
     if window is None:
         window = rolling_window(df.count())
-    exact = {v: F.col(v).cast("decimal(28,6)") for v in values}
+    exact = exact_decimals(df, values)
     prefix = running(
         df.select(order, *values),
         [],
@@ -134,6 +141,8 @@ def rolling_mean(
         + [Running(f"_s_{v}", "sum", F.coalesce(c, F.lit(0))) for v, c in exact.items()],
         group_rows,
     )
+    # Read by both sides of the join.
+    prefix = via_table(prefix, "prefix-sums")
     earlier = prefix.select(
         (F.col("_i") + window).alias("_i"), *[F.col(f"_s_{v}").alias(f"_e_{v}") for v in values]
     )

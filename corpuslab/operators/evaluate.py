@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .labelling import IGNORE, LABELS
 from .ranks import percentiles
 from .scan import Running, running, running_count
-from .skew import small_side
+from .skew import join_keys, small_side
 
 LABEL_IDS = list(range(len(LABELS)))
 CHEMICAL, DISEASE = LABELS.index("B-Chemical"), LABELS.index("B-Disease")
@@ -187,7 +187,7 @@ def skip_warmup(df: DataFrame, by: list[str], order: str, n: int) -> DataFrame:
         .groupBy(*by)
         .agg(F.max(order).alias("_cut"))
     )
-    return df.join(small_side(cut), by).filter(F.col(order) > F.col("_cut")).drop("_cut")
+    return join_keys(df, small_side(cut), by).filter(F.col(order) > F.col("_cut")).drop("_cut")
 
 
 def per_sample_latency(df: DataFrame, batch_ms: str = "batch_ms", rows: str = "batch_rows") -> DataFrame:
@@ -210,7 +210,7 @@ def latency_profile(
     if approximate:
         sketch = [F.percentile_approx(value, q, 10_000).alias(n) for n, q in QUANTILES.items()]
         return df.groupBy(*by).agg(*basic, *sketch)
-    return df.groupBy(*by).agg(*basic).join(percentiles(df, by, value, QUANTILES, group_rows), by)
+    return join_keys(df.groupBy(*by).agg(*basic), percentiles(df, by, value, QUANTILES, group_rows), by, "left")
 
 
 # ---- sizes and comparisons
@@ -245,7 +245,7 @@ def compare_to_baseline(report: DataFrame, baseline: str, keys: list[str] | None
     base = wide.filter(F.col("variant") == baseline).select(*keys, *[F.col(m).alias(f"_b_{m}") for m in metrics])
     others = wide.filter(F.col("variant") != baseline)
     if keys:
-        both = others.join(small_side(base), keys)
+        both = join_keys(others, small_side(base), keys)
     else:
         both = others.withColumns({f"_b_{m}": base.select(f"_b_{m}").scalar() for m in metrics})
     share = F.try_divide(F.col("parameters"), F.col("_b_parameters"))
@@ -301,9 +301,10 @@ def select_checkpoint(
 
     Only a value above all earlier ones can be better, so just these rows of
     each run are folded in order; which rows they are is found by a scan that
-    splits long runs. They are few: F1 is stated with 4 places, so no run can
-    rise more than 10 000 times.
+    splits long runs. They are few: values are rounded to 4 places, so no run of
+    values from 0 to 1 can rise more than 10 000 times.
     """
+    history = history.withColumn("val_macro_f1", F.round("val_macro_f1", 4))
     numbered = running(
         history,
         by,

@@ -14,6 +14,7 @@ from corpuslab.functions.stats import rank_sum_p, signed_rank_p, t_quantile_of
 
 from .evaluate import LABEL_IDS, metric_columns, metric_sums, paired_rows, ratio
 from .ranks import ranked_values
+from .skew import join_keys
 
 # Seed, confidence, smallest number of pairs, tie band.
 SEED = 42
@@ -37,7 +38,7 @@ def experiment_log(arms: DataFrame, latencies: DataFrame, keys: list[str], sampl
     """Per sample: tokens, accuracy, macro F1 over the classes seen, and latency of both arms.
 
     ``arms`` has the arrays gold, pred_a, pred_b. A sample without counted
-    tokens stays, with zeros.
+    tokens stays, with zeros, and so does one without latencies, with nulls.
     """
     counted = (
         paired_rows(arms, keys, {"a": "pred_a", "b": "pred_b"})
@@ -45,7 +46,7 @@ def experiment_log(arms: DataFrame, latencies: DataFrame, keys: list[str], sampl
         .agg(F.count("gold").alias("num_tokens"), *metric_sums("a", LABEL_IDS), *metric_sums("b", LABEL_IDS))
     )
     a, b = metric_columns("a"), metric_columns("b")
-    return counted.join(latencies, [k for k in keys if k in latencies.columns]).select(
+    return counted.join(latencies, [k for k in keys if k in latencies.columns], "left").select(
         *keys,
         assigned_group(F.col(sample)).alias("assigned_group"),
         half_up("latency_a_ms", 3).alias("latency_a_ms"),
@@ -191,7 +192,7 @@ def ab_report(
     def part(metric: str, test: str, statistic: str, a: str, b: str, tested: DataFrame, won: Column) -> DataFrame:
         spread = mean_interval(log, by, a, b)
         # Experiments with too few differences have no row in the test.
-        both = spread.join(tested.select(*by, F.col(statistic).alias("statistic"), "p_value"), by, "left")
+        both = join_keys(spread, tested.select(*by, F.col(statistic).alias("statistic"), "p_value"), by, "left")
         p = F.coalesce("p_value", F.lit(1.0))
         r = places[metric]
         return both.select(

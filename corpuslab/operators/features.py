@@ -32,11 +32,24 @@ def build_feature_pipeline(buckets: int = BUCKETS, ngram: int = 2) -> Pipeline:
     return Pipeline(stages=stages)
 
 
-def extract_features(df: DataFrame, pipeline: Pipeline | None = None) -> tuple[DataFrame, PipelineModel]:
-    """Fit on ``df`` and transform it. Fitting reads ``df`` once per vector, so
-    pass a written table rather than a long plan."""
-    model = (pipeline or build_feature_pipeline()).fit(df)
-    return model.transform(df), model
+def extract_features(df: DataFrame, buckets: int = BUCKETS) -> tuple[DataFrame, PipelineModel]:
+    """Fit on ``df`` and transform it; the model is that of ``build_feature_pipeline``.
+
+    The words and both hashed vectors are computed once and written; the two
+    fits read only their vector.
+    """
+    tokenizer, remover, ngrams, *weighting = build_feature_pipeline(buckets).getStages()
+    hashed = token_columns(df)
+    for stage in weighting[::2]:
+        hashed = stage.transform(hashed)
+    rows = via_table(hashed, "hashed")
+    stages = [tokenizer, remover, ngrams]
+    out = rows
+    for counts, weights in zip(weighting[::2], weighting[1::2], strict=True):
+        fitted = weights.fit(rows.select(weights.getInputCol()))
+        out = fitted.transform(out)
+        stages += [counts, fitted]
+    return out, PipelineModel(stages=stages)
 
 
 def hashed_features(
@@ -79,7 +92,7 @@ def term_counts(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_wo
     The words are sorted, a term's count is the distance between the position
     where it starts and the position where the next one does.
     """
-    ordered = df.filter(F.size(words) > 0).select(doc_id, F.array_sort(words).alias("_sorted"))
+    ordered = df.filter(F.size(words) > 0).select(doc_id, F.sort_array(words).alias("_sorted"))
     starts = F.filter(
         F.sequence(F.lit(0), F.size("_sorted") - 1),
         lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)),
@@ -97,13 +110,13 @@ def term_counts(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_wo
 def tfidf(df: DataFrame, doc_id: str = "doc_id", words: str = "filtered_words") -> DataFrame:
     """Exact TF-IDF per (doc, term): tf * ln((documents + 1) / (documents with the term + 1)).
 
-    ``df`` is read several times, so pass a written table. A term that is in
-    most documents is weighted without moving its rows.
+    The counts are written once; a document has one row of them per term, so the
+    frequencies are counts of these rows. A term that is in most documents is
+    weighted without moving its rows.
     """
-    counts = term_counts(df, doc_id, words)
+    counts = via_table(term_counts(df, doc_id, words), "term-counts")
     documents = df.agg(F.count(F.lit(1)).alias("m"))
-    present = rows_of(df, [], F.array_distinct(words), "term")
-    frequency = via_table(present.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
+    frequency = via_table(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
     joined = lookup_join(counts, frequency, "term", "df")
     weight = F.log((documents.scalar() + 1) / (F.col("df") + 1))
     return joined.select(doc_id, "term", "tf", "df", (F.col("tf") * weight).alias("tfidf"))

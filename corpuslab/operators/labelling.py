@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpuslab.functions.arrays import let, once, rows_of, tail
 
@@ -63,24 +65,32 @@ def predict_tokens(
     places. Rows stay in their partitions.
     """
 
-    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = predictor_factory()
-        for frame in batches:
-            for start in range(0, len(frame), batch_size):
-                part = frame.iloc[start : start + batch_size]
-                found = predict(part["text"].tolist())
-                rows = [
-                    [
-                        {"position": i, "token": token, "label_id": label_id, "confidence": round(confidence, 4)}
-                        for i, (token, label_id, confidence) in enumerate(tokens)
-                    ]
-                    for tokens in found
-                ]
-                yield pd.DataFrame({"doc_id": part["doc_id"].tolist(), "tokens": rows})
-
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([source.schema["doc_id"], T.StructField("tokens", T.ArrayType(TOKEN))])
-    return source.mapInPandas(label, schema)
+    kinds = to_arrow_schema(schema)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = predictor_factory()
+        fields = list(kinds.field("tokens").type.value_type)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            found = [doc for i in range(0, len(texts), batch_size) for doc in predict(texts[i : i + batch_size])]
+            ends = np.cumsum([0, *map(len, found)])
+            position = np.arange(ends[-1]) - np.repeat(ends[:-1], np.diff(ends))
+            flat = [t for doc in found for t in doc]
+            columns = [
+                position,
+                [token for token, _, _ in flat],
+                [label_id for _, label_id, _ in flat],
+                [round(confidence, 4) for _, _, confidence in flat],
+            ]
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)]
+            tokens = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.StructArray.from_arrays(arrays, fields=fields), kinds.field("tokens").type
+            )
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), tokens], schema=kinds)
+
+    return source.mapInArrow(label, schema)
 
 
 def token_rows(labelled: DataFrame) -> DataFrame:
@@ -184,9 +194,14 @@ def decode_token_rows(rows: DataFrame, keys: list[str], group_rows: int | None =
     seen = rows.filter(~F.col("token").isin(SPECIAL_TOKENS))
     mark = F.when(F.col("label_id").isin(INSIDE_IDS), 0).otherwise(1).cast("bigint")
     stretches = running(seen, keys, ["position"], [Running("_stretch", "sum", mark)], group_rows)
+    # Stretch 0 has no mark to begin with: tokens inside of nothing, which are ignored however many they are.
+    begun = stretches.filter(F.col("_stretch") > 0)
+    # An O token is a mark of its own; only what follows a B- token is gathered.
+    opened = Running("_begin", "last", F.when(~F.col("label_id").isin(INSIDE_IDS), F.col("label_id")))
+    known = running(begun, keys, ["position"], [opened], group_rows).filter(F.col("_begin").isin(BEGIN_IDS))
     parts = F.array_sort(F.collect_list(F.struct("position", "token")))
     return (
-        stretches.groupBy(*keys, "_stretch")
+        known.groupBy(*keys, "_stretch")
         .agg(
             F.min_by("label_id", "position").alias("_first"),
             join_pieces(parts["token"]).alias("text"),
@@ -270,26 +285,35 @@ def document_summary(decoded: DataFrame) -> DataFrame:
     )
 
 
+def span_agreement(df: DataFrame, a: str = "spans_a", b: str = "spans_b") -> DataFrame:
+    """Span agreement of two models in the row: spans of each, and spans in both,
+    only A, only B, with zeros where no model found any. A span is its start,
+    end and label."""
+
+    def spots(spans: str) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["label"].alias("label")))
+
+    both = once(df, _both=F.size(F.array_intersect(spots(a), spots(b))))
+    kept = [c for c in df.columns if c not in (a, b)]
+    return both.select(
+        *kept,
+        F.size(a).alias("entities_a"),
+        F.size(b).alias("entities_b"),
+        F.col("_both").alias("both"),
+        (F.size(a) - F.col("_both")).alias("only_a"),
+        (F.size(b) - F.col("_both")).alias("only_b"),
+    )
+
+
 def compare_models(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Span agreement of two models: per document, spans of each and spans in
-    both, only A, only B. Takes span rows; a span is its start, end and label."""
+    """``span_agreement`` for predictions in two tables, one row per document
+    each with ``spans``; a document that one of them lacks has no spans there."""
     keys = keys or ["doc_id"]
-    spot = [*keys, "start", "end", "label"]
-    left = a.select(*spot).withColumn("in_a", F.lit(1))
-    right = b.select(*spot).withColumn("in_b", F.lit(1))
-    both = left.join(right, spot, "full_outer")
-    is_a, is_b = F.col("in_a").isNotNull(), F.col("in_b").isNotNull()
-
-    def count(condition: Column, name: str) -> Column:
-        return F.count_if(condition).alias(name)
-
-    return both.groupBy(*keys).agg(
-        count(is_a, "entities_a"),
-        count(is_b, "entities_b"),
-        count(is_a & is_b, "both"),
-        count(is_a & ~is_b, "only_a"),
-        count(~is_a & is_b, "only_b"),
-    )
+    sides = [df.select(*keys, F.col("spans").alias(f"spans_{name}")) for name, df in (("a", a), ("b", b))]
+    none = F.array().cast(a.schema["spans"].dataType)
+    both = sides[0].join(sides[1], keys, "full_outer")
+    filled = both.withColumns({c: F.coalesce(F.col(c), none) for c in ("spans_a", "spans_b")})
+    return span_agreement(filled)
 
 
 def compare_documents(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -10,11 +10,13 @@ from corpuslab.functions.arrays import chunk_literal, cuts_passed
 from corpuslab.session import via_table
 
 from .scan import Running, running
-from .skew import lookup_join, small_side
+from .skew import join_keys, lookup_join, small_side
 
 SELECT_BUCKETS = 256
 SELECT_GATHER = 50_000
 TOP_N = 10_000
+WORD_BYTES = 6
+TIE = "_tie"
 
 
 def value_counts(df: DataFrame, by: list[str], value: str, **counts: Column) -> DataFrame:
@@ -88,7 +90,7 @@ def order_statistics(
     size = "_size"
     sizes = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias(size))
     if by:
-        with_size = ranked.join(small_side(sizes), by)
+        with_size = join_keys(ranked, small_side(sizes), by)
     else:
         with_size = ranked.withColumn(size, sizes.scalar())
     first = F.col("upto") - F.col("n")
@@ -167,36 +169,60 @@ def select_rank(
                 below += found["w"]
 
 
-def select_text(df: DataFrame, column: str, rank: int) -> str | None:
-    """The string at 1-based ``rank`` in ascending byte order, found by counting
-    prefixes that grow by two characters; None when there are fewer rows."""
+def select_text(df: DataFrame, column: str, rank: int, gather: int = SELECT_GATHER) -> tuple[str, int] | None:
+    """The string at 1-based ``rank`` in ascending byte order, and how many rows
+    lie strictly below it; None when there are fewer rows.
+
+    Strings are read as numbers of six bytes, from the front: the number at the
+    rank is selected, and only rows that have it go on.
+    """
     rows = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("v"))
-    prefix, below = "", 0
+    below, at = 0, 1
     while True:
-        width = len(prefix) + 2
-        parts = rows.groupBy(F.substring("v", 1, width).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
-        for part in sorted(parts, key=lambda r: r["p"].encode()):
-            if below + part["n"] >= rank:
-                break
-            below += part["n"]
-        else:
+        size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("v")).alias("longest")).first()
+        if below + size["n"] < rank:
             return None
-        prefix = part["p"]
-        if len(prefix) < width:
-            return prefix
-        rows = rows.filter(F.substring("v", 1, width) == prefix)
-
-
-def first_n(df: DataFrame, order: str, n: int) -> DataFrame:
-    """The first ``n`` rows by a unique ``order`` column.
-
-    A small ``n`` is a plain ordered limit; for a large one the cut-off is
-    selected first, since an ordered limit would end in a single task.
+        if size["n"] <= gather or size["longest"] < at:
+            for found in rows.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect():
+                if below + found["n"] >= rank:
+                    return found["v"], below
+                below += found["n"]
+        digits = F.rpad(F.hex(F.substring(F.col("v").cast("binary"), at, WORD_BYTES)), 2 * WORD_BYTES, "0")
+        coded = rows.withColumn("_code", F.conv(digits, 16, 10).cast("bigint"))
+        code, less = select_rank(coded, "_code", rank - below)
+        rows = coded.filter(F.col("_code") == code).drop("_code")
+        below, at = below + less, at + WORD_BYTES
+
+
+def first_n(df: DataFrame, order: str | list[str], n: int, gather: int | None = None) -> DataFrame:
+    """The first ``n`` rows by the ``order`` columns, ascending, nulls first.
+
+    Rows that tie in all of them follow a hash of their columns (maps aside), so
+    the result does not depend on the partitioning, and has ``n`` rows if the
+    table has. Up to ``gather`` rows (10,000) are an ordered limit; for more the cut-off
+    is selected first, since an ordered limit would end in a single task, and
+    only its ties are cut by the columns after it.
     """
-    if n <= TOP_N:
-        return df.orderBy(order).limit(n)
-    if isinstance(df.schema[order].dataType, T.StringType):
-        last = select_text(df, order, n)
-    else:
-        last = (select_rank(df, order, n) or (None, 0))[0]
-    return df if last is None else df.filter(F.col(order) <= F.lit(last))
+    names = [order] if isinstance(order, str) else list(order)
+    plain = [c for c, kind in df.dtypes if "map<" not in kind]
+    tied = df.withColumn(TIE, F.xxhash64(*plain))
+    return _first(tied, [*names, TIE], n, TOP_N if gather is None else gather).drop(TIE)
+
+
+def _first(df: DataFrame, names: list[str], n: int, gather: int) -> DataFrame:
+    if n <= gather or not names:
+        return df.orderBy(*names).limit(n) if names else df.limit(n)
+    name, rest = names[0], names[1:]
+    missing = df.filter(F.col(name).isNull())
+    nulls = missing.count()
+    if n <= nulls:
+        return _first(missing, rest, n, gather)
+    is_text = isinstance(df.schema[name].dataType, T.StringType)
+    found = (select_text if is_text else select_rank)(df, name, n - nulls)
+    if found is None:
+        return df
+    cut, below = found
+    before = df.filter(F.col(name).isNull() | (F.col(name) < F.lit(cut)))
+    ties = df.filter(F.col(name) == F.lit(cut))
+    wanted = n - nulls - below
+    return before.unionByName(_first(ties, rest, wanted, gather))

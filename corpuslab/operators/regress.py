@@ -72,6 +72,8 @@ THRESHOLDS = [
 STATUS = ["PASS", "WARN", "FAIL"]
 ALERTING = ["HIGH", "MEDIUM"]
 CHANNEL = "#ml-alerts"
+SECTION = "summary"
+INNER = ("metric_key", "component_key", "variant_key", "status_effect")
 
 
 def threshold_table(spark: SparkSession, thresholds: list[Threshold] = THRESHOLDS) -> DataFrame:
@@ -88,21 +90,30 @@ def find_regressions(
     by: list[str],
     thresholds: list[Threshold] = THRESHOLDS,
     check_latency: bool = False,
+    section: str = SECTION,
 ) -> DataFrame:
     """One finding per run and threshold whose component reported.
 
-    Takes (by, component, metric, value). A metric missing inside a report
-    counts as 0; without the report its findings are left out. Each report is
-    folded to one row, then the thresholds are literals.
+    Takes (by, component, variant, metric, value); without ``variant`` all rows
+    belong to ``section``. The value in ``section`` is judged; where that does
+    not state the metric, the worst value of the other variants. A metric
+    missing inside a report counts as 0; without the report its findings are
+    left out. Each report is folded to one row, then the thresholds are literals.
     """
     checked = [t for t in thresholds if check_latency or not t.optional]
-    names = sorted({t.metric for t in checked})
-    folded = metrics.groupBy(*by, "component").agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(f"_{m}") for m in names]
-    )
+    rows = metrics if "variant" in metrics.columns else metrics.withColumn("variant", F.lit(section))
+    stated = F.struct("value", "variant")
+
+    def judged(t: Threshold) -> Column:
+        worst = F.max if t.op == "max" else F.min
+        of_metric = (F.col("metric") == t.metric) & F.col("value").isNotNull()
+        own = worst(F.when(of_metric & (F.col("variant") == section), stated))
+        return F.coalesce(own, worst(F.when(of_metric, stated))).alias(f"_{t.name}")
+
+    folded = rows.groupBy(*by, "component").agg(*[judged(t) for t in checked])
 
     def finding(t: Threshold) -> Column:
-        value = F.coalesce(F.col(f"_{t.metric}"), F.lit(0.0))
+        value = F.coalesce(F.col(f"_{t.name}")["value"], F.lit(0.0))
         broken = t.broken(value)
         return F.when(
             F.col("component") == t.component,
@@ -110,6 +121,8 @@ def find_regressions(
                 F.lit(t.shown_component).alias("component"),
                 F.lit(t.shown_metric).alias("metric"),
                 F.lit(t.metric).alias("metric_key"),
+                F.lit(t.component).alias("component_key"),
+                F.coalesce(F.col(f"_{t.name}")["variant"], F.lit(section)).alias("variant_key"),
                 F.format_string(t.shown_value, value).alias("value"),
                 F.lit(f"{t.limit}{t.unit}").alias("threshold"),
                 F.when(broken, t.severity).otherwise("OK").alias("severity"),
@@ -133,7 +146,7 @@ def overall_status(findings: DataFrame, by: list[str]) -> DataFrame:
 
 def alerts(findings: DataFrame, channel: str = CHANNEL) -> DataFrame:
     return findings.filter(F.col("severity").isin(ALERTING)).select(
-        F.lit(channel).alias("channel"), *[c for c in findings.columns if c not in ("metric_key", "status_effect")]
+        F.lit(channel).alias("channel"), *[c for c in findings.columns if c not in INNER]
     )
 
 
@@ -172,11 +185,18 @@ def evaluation_summary(
     report: DataFrame, findings: DataFrame, run: str, group_rows: int | None = None
 ) -> DataFrame:
     """Every metric of every run as shown, with its change since the run before
-    and the finding on it. ``run`` orders the runs (number, date or timestamp)."""
+    and the finding on it, if it is the value that was judged. ``run`` orders the runs (number, date or timestamp)."""
     keys = ["component", "variant", "metric"]
     earlier = running(report, keys, [run], [Running("previous", "previous", F.col("value"))], group_rows)
-    notes = findings.select(run, F.col("metric_key").alias("metric"), "severity", "message")
-    return earlier.join(notes, [run, "metric"], "left").select(
+    notes = findings.select(
+        run,
+        F.col("component_key").alias("component"),
+        F.col("variant_key").alias("variant"),
+        F.col("metric_key").alias("metric"),
+        "severity",
+        "message",
+    )
+    return earlier.join(notes, [run, *keys], "left").select(
         run,
         *keys,
         display_value(F.col("metric"), F.col("value")).alias("shown"),

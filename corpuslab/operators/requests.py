@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpuslab.functions.numbers import exact_decimals
+
 from .ranks import nearest_ranks
 from .scan import Running, running, running_count
-from .skew import small_side
+from .skew import join_keys, small_side
 
 By = list[str | Column]
 
@@ -23,12 +25,15 @@ SLA_MS = 50.0
 SLA_BANDS = [(99, "green"), (95, "yellow"), (0, "red")]
 
 
-def request_status() -> Column:
-    return F.when((F.col("level") == "ERROR") | F.col("error_type").isNotNull(), "error").otherwise("success")
+def request_status(log: DataFrame) -> Column:
+    """success or error; a line that could not be read is malformed, neither."""
+    failed = (F.col("level") == "ERROR") | F.col("error_type").isNotNull()
+    known = F.when(failed, "error").otherwise("success")
+    return F.when(F.col("corrupt").isNotNull(), "malformed").otherwise(known) if "corrupt" in log.columns else known
 
 
 def request_counts(log: DataFrame, by: By | None = None) -> DataFrame:
-    return log.groupBy(*(by or []), "model_version", request_status().alias("status")).agg(
+    return log.groupBy(*(by or []), "model_version", request_status(log).alias("status")).agg(
         F.count(F.lit(1)).alias("requests")
     )
 
@@ -185,7 +190,7 @@ def load_test_summary(results: DataFrame, by: list[str], group_rows: int | None
         F.count_if(latency > SLA_MS).alias("violations"),
     )
     p95 = nearest_ranks(results.filter(good), by, "latency_ms", {"p95_ms": 0.95}, group_rows)
-    return counted.join(p95, by, "left")
+    return join_keys(counted, p95, by, "left")
 
 
 def session_metrics(
@@ -199,7 +204,7 @@ def session_metrics(
         F.lit(0).cast("bigint"),
         lambda a, n: a + n,
     )
-    exact = F.col("latency_ms").cast("decimal(18,6)")
+    exact = exact_decimals(answered, ["latency_ms"])["latency_ms"]
     scanned = running(
         answered.withColumn("_entities", entities),
         [session],
@@ -277,14 +282,14 @@ def freshness(log: DataFrame, as_of: Column | None = None, max_age_seconds: int
 
 def first_per_request(log: DataFrame) -> DataFrame:
     """The earliest row of every request id; an id repeated very often is
-    reduced before the shuffle. Batch only."""
+    reduced before the shuffle. Rows without an id are all kept. Batch only."""
     ordered = ["timestamp", *[c for c, kind in log.dtypes if not kind.startswith("map") and c != "timestamp"]]
-    kept = log.groupBy("request_id").agg(F.min_by(F.struct("*"), F.struct(*ordered)).alias("_row"))
-    return kept.select("_row.*")
+    kept = log.filter(F.col("request_id").isNotNull()).groupBy("request_id").agg(F.min_by(F.struct("*"), F.struct(*ordered)).alias("_row"))
+    return kept.select("_row.*").unionByName(log.filter(F.col("request_id").isNull()))
 
 
 def sla_report(log: DataFrame) -> DataFrame:
     """Counters of each version side by side: requests, errors, compliance."""
-    errors = F.count_if(request_status() == "error").alias("errors")
+    errors = F.count_if(request_status(log) == "error").alias("errors")
     counts = log.groupBy("model_version").agg(F.count(F.lit(1)).alias("requests"), errors)
-    return counts.join(small_side(sla_compliance(sla_split(log))), "model_version", "left")
+    return join_keys(counts, small_side(sla_compliance(sla_split(log))), ["model_version"], "left")

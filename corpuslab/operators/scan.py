@@ -9,14 +9,13 @@ plan, so a lost executor recomputes exactly the same blocks.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corpuslab.functions.arrays import chunk_literal, chunked, cuts_passed
 
-from .skew import as_local
+from .skew import as_local, join_keys
 
 GROUP_ROWS = 2_000_000
 MAX_BLOCKS = 4_096
@@ -60,7 +59,7 @@ def _cuts(df: DataFrame, keys: list[str], order: str, group_rows: int) -> tuple[
             return None, 0
         most = MAX_GROUP_BLOCKS
         hot = as_local(sizes, large)
-        inside = _join_keys(df.select(*keys, where.alias("p")), F.broadcast(hot.drop("n")), keys, "inner")
+        inside = join_keys(df.select(*keys, where.alias("p")), F.broadcast(hot.drop("n")), keys, "inner")
     else:
         large, most = sizes.collect(), MAX_BLOCKS
         inside = df.select(where.alias("p"))
@@ -81,13 +80,6 @@ def _cuts(df: DataFrame, keys: list[str], order: str, group_rows: int) -> tuple[
     return df.sparkSession.createDataFrame(rows, schema), blocks
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join where null keys match, keeping the left key columns."""
-    renamed = reduce(lambda d, k: d.withColumnRenamed(k, f"_r_{k}"), keys, right)
-    same = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
-    return left.join(renamed, reduce(Column.__and__, same), how).drop(*[f"_r_{k}" for k in keys])
-
-
 def add_blocks(
     df: DataFrame,
     keys: list[str],
@@ -105,7 +97,7 @@ def add_blocks(
     if cuts is None:
         return df, 0
     if keys:
-        with_cuts = _join_keys(df, F.broadcast(cuts), keys, "left")
+        with_cuts = join_keys(df, F.broadcast(cuts), keys, "left")
     else:
         points = cuts.collect()[0]["cuts"]
         with_cuts = df.withColumn("cuts", chunk_literal([p for chunk in points for p in chunk]))
@@ -189,7 +181,7 @@ def _add_carry(
     carry = totals.select(*keys, BLOCK, *[carried[v.kind](F.col(v.name)).alias(f"_c_{v.name}") for v in values])
     if blocks <= MAX_BROADCAST_BLOCKS:
         carry = F.broadcast(carry)
-    joined = _join_keys(scanned, carry, [*keys, BLOCK], "left")
+    joined = join_keys(scanned, carry, [*keys, BLOCK], "left")
 
     def combined(v: Running) -> Column:
         here, earlier = F.col(v.name), F.col(f"_c_{v.name}")

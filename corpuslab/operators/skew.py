@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_BROADCAST_ROWS = 10_000
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join where null keys match, keeping the left key columns."""
+    renamed = reduce(lambda d, k: d.withColumnRenamed(k, f"_r_{k}"), keys, right)
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, reduce(Column.__and__, same), how).drop(*[f"_r_{k}" for k in keys])
+
+
 def as_local(df: DataFrame, rows: list) -> DataFrame:
     """A driver-held frame over already collected, bounded ``rows``."""
     return df.sparkSession.createDataFrame(rows, df.schema)

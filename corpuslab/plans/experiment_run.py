@@ -19,7 +19,7 @@ def run(
 ) -> DataFrame:
     """Judge the experiments in ``arms`` (experiment_id, sample_id and the arrays gold,
     pred_a, pred_b); return the verdicts."""
-    chosen = arms if num_samples is None else first_n(arms, "sample_id", num_samples)
+    chosen = arms if num_samples is None else first_n(arms, ["sample_id", "experiment_id"], num_samples)
     log = via_table(experiment_log(chosen, latencies, [*EXPERIMENT, "sample_id"]), "experiment-log")
     write_experiment_log(log, f"{output}/log")
     report = ab_report(log, compat=compat)

@@ -58,44 +58,59 @@ NESTED = "map<string,string>"
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file with its trimmed text, or an error for an empty one."""
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), trim_all(F.col("value")).alias("text"))
-    )
+    """One row per file with its trimmed text, or an error for an empty one.
+
+    Readers make no row for a file of no bytes; such files come from the listing
+    that the reader holds anyway.
+    """
+    content = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    files = content.select(F.col("_metadata.file_path").alias("path"), trim_all(F.col("value")).alias("text"))
+    names = spark.createDataFrame([(name,) for name in content.inputFiles()], "path string")
+    # Listings write an empty authority as three slashes, rows as one.
+    listed = names.select(F.regexp_replace("path", "^([a-z0-9]+):///", "$1:/").alias("path"))
+    every = listed.join(files, "path", "left").withColumn("text", F.coalesce("text", F.lit("")))
     empty = F.length("text") == 0
-    return files.select(
+    return every.select(
         "path",
         F.when(~empty, F.col("text")).alias("text"),
         F.when(empty, F.lit(EMPTY_FILE)).alias("error"),
     )
 
 
+def _is_nested(value: Column) -> Column:
+    return F.coalesce(value.startswith("{"), F.lit(False))
+
+
 def flatten_reports(reports: DataFrame, report: str = "report") -> DataFrame:
     """JSON reports to (…, variant, metric, value) rows, numbers only.
 
     A number at the top has no variant (""), one inside a section has the
-    section's name, one a level deeper the inner name.
+    section's name, one that lies deeper the names below the section, joined by
+    dots. Levels are unfolded until nothing nested is left; beyond three of
+    them each takes a look at the reports.
     """
-
-    def members(value: Column) -> Column:
-        inside = F.from_json(F.when(value.startswith("{"), value), NESTED)
-        return F.coalesce(inside, F.create_map(F.lit(""), value))
-
     keys = [c for c in reports.columns if c != report]
-    top = reports.select(*keys, F.explode(F.from_json(report, NESTED)).alias("_k1", "_v1"))
-    middle = top.select(*keys, "_k1", F.explode(members(F.col("_v1"))).alias("_k2", "_v2"))
-    leaves = middle.select(*keys, "_k1", "_k2", F.explode(members(F.col("_v2"))).alias("_k3", "_v3"))
-    return leaves.select(
-        *keys,
-        F.when(F.col("_k3") != "", F.col("_k2")).when(F.col("_k2") != "", F.col("_k1")).otherwise("").alias("variant"),
-        F.when(F.col("_k3") != "", F.col("_k3"))
-        .when(F.col("_k2") != "", F.col("_k2"))
-        .otherwise(F.col("_k1"))
-        .alias("metric"),
-        F.expr("try_cast(_v3 AS DOUBLE)").alias("value"),
-    ).filter(F.col("value").isNotNull())
+    first = F.from_json(report, NESTED)
+    rows = reports.select(*keys, F.array().cast("array<string>").alias("_path"), F.explode(first).alias("_key", "_value"))
+    level = 1
+    while level < 3 or not rows.filter(_is_nested(F.col("_value"))).isEmpty():
+        inside = F.from_json(F.when(_is_nested(F.col("_value")), F.col("_value")), NESTED)
+        # A number stays as it is; only what is unfolded gets a longer path.
+        below = F.transform(
+            F.map_entries(inside),
+            lambda e: F.struct(
+                F.concat("_path", F.array("_key")).alias("_path"), e["key"].alias("_key"), e["value"].alias("_value")
+            ),
+        )
+        kept = F.array(F.struct("_path", "_key", "_value"))
+        rows = rows.select(*keys, F.inline(F.coalesce(below, kept)))
+        level += 1
+    variant = F.when(F.size("_path") > 1, F.array_join(F.slice("_path", 2, F.size("_path")), ".")).otherwise(
+        F.coalesce(F.get("_path", F.lit(0)), F.lit(""))
+    )
+    value = F.expr("try_cast(_value AS DOUBLE)")
+    found = rows.select(*keys, variant.alias("variant"), F.col("_key").alias("metric"), value.alias("value"))
+    return found.filter(F.col("value").isNotNull())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -128,8 +143,10 @@ def read_reports(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def read_request_log(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Log lines of all files; a line that is not JSON keeps its text in ``corrupt``."""
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(REQUEST_LOG).json(path)
+    schema = T.StructType([*REQUEST_LOG.fields, T.StructField("corrupt", T.StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", "corrupt").json(path)
 
 
 def parse_request_log(lines: DataFrame, line: str = "value") -> DataFrame:

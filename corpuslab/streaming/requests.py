@@ -20,8 +20,11 @@ def watermarked(log: DataFrame, delay: str = WATERMARK) -> DataFrame:
 
 
 def first_per_request(log: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """Drop repeats of a request id that come within ``delay``."""
-    return watermarked(log, delay).dropDuplicatesWithinWatermark(["request_id"])
+    """Drop repeats of a request id that come within ``delay``; rows without an
+    id are all kept, and need no state."""
+    marked = watermarked(log, delay)
+    named = marked.filter(F.col("request_id").isNotNull()).dropDuplicatesWithinWatermark(["request_id"])
+    return named.unionByName(marked.filter(F.col("request_id").isNull()))
 
 
 def session_totals(log: DataFrame, session: str, gap: str = "30 minutes", delay: str = WATERMARK) -> DataFrame:

@@ -124,10 +124,20 @@ def test_silver_labels_and_report(spark):
 
 
 def test_model_agreement(spark):
-    a = spark.createDataFrame([("1", 0, 1, "Chemical"), ("1", 4, 4, "Disease"), ("2", 1, 1, "Disease")], "doc_id string, start int, end int, label string")
-    b = spark.createDataFrame([("1", 0, 1, "Chemical"), ("1", 4, 4, "Chemical"), ("3", 0, 0, "Disease")], a.schema)
+    schema = "doc_id string, spans array<struct<start:int,end:int,label:string>>"
+    a = spark.createDataFrame(
+        [("1", [(0, 1, "Chemical"), (4, 4, "Disease")]), ("2", [(1, 1, "Disease")]), ("4", []), (None, [(0, 0, "Disease")])], schema
+    )
+    b = spark.createDataFrame([("1", [(0, 1, "Chemical"), (4, 4, "Chemical")]), ("3", [(0, 0, "Disease")]), ("4", [])], schema)
     got = {r.doc_id: (r.entities_a, r.entities_b, r.both, r.only_a, r.only_b) for r in lab.compare_models(a, b).collect()}
-    assert got == {"1": (2, 2, 1, 1, 1), "2": (1, 0, 0, 1, 0), "3": (0, 1, 0, 0, 1)}
+    # A document without spans stays.
+    assert got == {"1": (2, 2, 1, 1, 1), "2": (1, 0, 0, 1, 0), "3": (0, 1, 0, 0, 1), "4": (0, 0, 0, 0, 0), None: (1, 0, 0, 1, 0)}
+
+
+def test_ignored_stretches_are_not_gathered(spark):
+    rows = [("1", i, "x", 2, 0.9) for i in range(300)] + [("1", 300, "a", 1, 0.9), ("1", 301, "##b", 2, 0.8), ("1", 302, "c", 0, 0.9)]
+    df = spark.createDataFrame(rows, "doc_id string, position int, token string, label_id int, confidence double")
+    assert [(r.text, r.start, r.end) for r in lab.decode_token_rows(df, ["doc_id"]).collect()] == [("ab", 300, 301)]
 
 
 def test_alignment_padding_softmax(spark):

@@ -1,3 +1,4 @@
+import html
 import re
 
 from pyspark.ml.feature import NGram, StopWordsRemover, Tokenizer
@@ -93,26 +94,18 @@ def test_abstracts_from_a_dump(spark):
 
 
 def mark(text, entities):
-    """One pass per label over unmarked text, longest entity first."""
-    escape = lambda s: s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    parts = [(escape(text), None)]
-    for label in ("Chemical", "Disease"):
-        found = sorted({escape(e.lower()) for kind, e in entities if kind == label}, key=lambda e: (-len(e), e))
-        if not found:
-            continue
-        pattern = re.compile("|".join(map(re.escape, found)), re.IGNORECASE)
-        cut = []
-        for part, tag in parts:
-            if tag:
-                cut.append((part, tag))
-                continue
-            last = 0
-            for m in pattern.finditer(part):
-                cut += [(part[last : m.start()], None), (m.group(), label)]
-                last = m.end()
-            cut.append((part[last:], None))
-        parts = cut
-    return "".join(f'<span class="entity entity-{g}" title="{g}">{p}</span>' if g else p for p, g in parts)
+    """One alternation over all labels, the longest text first."""
+    label = {e.lower(): g for g, e in sorted(entities, reverse=True)}
+    if not label:
+        return html.escape(text, quote=False)
+    choice = "|".join(re.escape(e) for e in sorted(label, key=lambda e: (-len(e), e)))
+    parts, last = [], 0
+    for m in re.finditer(choice, text, re.I):
+        g = label[m.group().lower()]
+        parts += [html.escape(text[last : m.start()], quote=False)]
+        parts += [f'<span class="entity entity-{g}" title="{g}">{html.escape(m.group(), quote=False)}</span>']
+        last = m.end()
+    return "".join(parts) + html.escape(text[last:], quote=False)
 
 
 def test_annotate_text(spark):
@@ -125,10 +118,29 @@ def test_annotate_text(spark):
     frame = spark.createDataFrame([(d, x) for d, x, _ in docs], "doc_id string, text string")
     rows = [(d, label, e) for d, _, es in docs for label, e in es]
     entities = spark.createDataFrame(rows, "doc_id string, label string, text string")
-    got = {r.doc_id: r.annotated for r in cleaning.annotate_text(frame, entities, ["Chemical", "Disease"]).collect()}
+    got = {r.doc_id: r.annotated for r in cleaning.annotate_text(frame, entities).collect()}
     assert got == {d: mark(x, es) for d, x, es in docs}
 
 
+def test_annotation_wins_by_length_and_confidence(spark):
+    docs = [
+        ("1", "acid reflux and ACID <b> \ue000x\ue001 amp;", [("Chemical", "acid", 0.9), ("Disease", "Acid Reflux", 0.87)]),
+        ("2", "cold cold", [("Disease", "cold", 0.86), ("Chemical", "Cold", 0.95), ("Disease", "amp", 0.9)]),
+    ]
+    frame = spark.createDataFrame([(d, x) for d, x, _ in docs], "doc_id string, text string")
+    entities = spark.createDataFrame(
+        [(d, *e) for d, _, es in docs for e in es], "doc_id string, label string, text string, confidence double"
+    )
+    got = {r.doc_id: r.annotated for r in cleaning.annotate_text(frame, entities).collect()}
+
+    def tag(label, share, text):
+        return f'<span class="entity entity-{label}" title="{label}: {share}% confidence">{text}</span>'
+
+    reflux, acid = tag("Disease", "87.0", "acid reflux"), tag("Chemical", "90.0", "ACID")
+    assert got["1"] == f"{reflux} and {acid} &lt;b&gt; \ue000x\ue001 amp;"
+    assert got["2"] == " ".join([tag("Chemical", "95.0", "cold")] * 2)
+
+
 def test_request_id(spark):
     df = spark.createDataFrame([(1, "given"), (2, None)], "k int, r string")
     first = [r.x for r in df.select(cleaning.request_id(F.col("r"), F.col("k")).alias("x")).collect()]
