@@ -60,8 +60,7 @@ def test_stages_against_brute_force(spark):
     assert set(kept[1]) == firsts
     assert set(kept[2]) == firsts - exact
     assert set(kept[3]) == set(kept[2])
-    for d, t in kept[3].items():
-        assert not op10.base_spans(t) or t == kept[2][d].replace("", "")
+    assert not any(op10.base_spans(t) for t in kept[3].values())
     final = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
     assert set(final) == set(kept[3])
     ranks = op2.read_ranks(__import__("public_tokenizers").path("byte_bpe_multi_50k.tiktoken"))
@@ -73,7 +72,8 @@ def test_stages_against_brute_force(spark):
 def test_stages_take_odd_and_empty_tables(spark, tmp_path):
     items_of(spark, [(1, "never in any of these texts at all"), (2, None)]).write.parquet(f"{tmp_path}/benchmark.parquet")
     long = " ".join(f"word{i}" for i in range(80))
-    docs = [*ODD, (200, long), (201, long + " more"), (201, long + " more"), (None, long)]
+    other = " ".join(f"term{i}" for i in range(90))
+    docs = [*ODD, (200, long), (201, other), (201, other), (None, long)]
     for rows, clashing in ((docs, True), ([], False)):
         current = docs_of(spark, rows, clashing)
         columns = current.columns
