@@ -126,6 +126,15 @@ def p01(spark: SparkSession, sf: str) -> DataFrame:
     return drawn.unionByName(src.sample_docs(docs, 0.1, by="doc_id").select(F.lit("hashed").alias("method"), "doc_id"))
 
 
+@query(
+    "p01_sample_hashed",
+    f"SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM documents "
+    f"WHERE substr(sha256('42:' || CAST(doc_id AS VARCHAR)), 1, 8) < '{int(0.1 * 2**32):08x}'",
+)
+def p01_hashed(spark: SparkSession, sf: str) -> DataFrame:
+    return src.sample_docs(t.documents(spark, sf), 0.1, by="doc_id").select("doc_id")
+
+
 @query("p02_filter_text", "SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND length(text) > 10")
 def p02(spark: SparkSession, sf: str) -> DataFrame:
     return t.table(spark, sf, "documents").filter(X.has_text(F.col("text"))).select("doc_id", "text")
@@ -315,6 +324,36 @@ def x07(spark: SparkSession, sf: str) -> DataFrame:
     return _entries(spark, sf, "bigrams", True)
 
 
+def _off(spark: SparkSession, sf: str, words: str) -> DataFrame:
+    """Per document, entries whose weight is not tf * ln((m + 1) / (df + 1)),
+    with the frequencies counted again from the plain entries."""
+    counts = via_table(_entries(spark, sf, words, False), "counts")
+    weights = _entries(spark, sf, words, True).withColumnRenamed("value", "weight")
+    m = counts.select(F.count_distinct("doc_id")).scalar()
+    df = counts.groupBy("index").agg(F.count(F.lit(1)).alias("df"))
+    both = counts.join(df, "index").join(weights, ["doc_id", "index"], "left")
+    all_docs = t.features(spark, sf).agg(F.count(F.lit(1))).scalar()
+    want = F.col("value") * F.log((F.greatest(all_docs, m) + 1) / (F.col("df") + 1))
+    differs = F.abs(F.coalesce("weight", F.lit(0.0)) - want) > 1e-9
+    return both.groupBy("doc_id").agg(F.count(F.lit(1)).alias("entries"), F.count_if(differs).alias("off")).select("doc_id", "off")
+
+
+@query(
+    "x05_idf_recomputed",
+    f"WITH {t.TOKENS} SELECT doc_id, CAST(0 AS BIGINT) AS off FROM filtered WHERE len(filtered_words) > 0",
+)
+def x05_off(spark: SparkSession, sf: str) -> DataFrame:
+    return _off(spark, sf, "filtered_words")
+
+
+@query(
+    "x07_idf_recomputed",
+    f"WITH {t.TOKENS} SELECT doc_id, CAST(0 AS BIGINT) AS off FROM filtered WHERE len(filtered_words) > 1",
+)
+def x07_off(spark: SparkSession, sf: str) -> DataFrame:
+    return _off(spark, sf, "bigrams")
+
+
 @query("x08_extract_features")
 def x08(spark: SparkSession, sf: str) -> DataFrame:
     vectors, _ = feats.extract_features(cleaning.clean_text(t.corpus(spark, sf), keep_words=True))
@@ -452,6 +491,20 @@ def a08(spark: SparkSession, sf: str) -> DataFrame:
     return corpusstats.run_metrics(t.cleaned(spark, sf))
 
 
+@query(
+    "a08_run_counts",
+    f"WITH {t.CLEAN} SELECT count(*) AS input_records, 'batch' AS mode, TRUE AS timed, TRUE AS consistent FROM clean",
+)
+def a08_counts(spark: SparkSession, sf: str) -> DataFrame:
+    seconds, rate = F.col("total_runtime_seconds"), F.col("throughput_docs_per_second")
+    return a08(spark, sf).select(
+        "input_records",
+        "mode",
+        (seconds > 0).alias("timed"),
+        (F.abs(rate * seconds - F.col("input_records")) < 0.001).alias("consistent"),
+    )
+
+
 @query(
     "a09_text_lengths",
     f"""WITH {PARTS} SELECT count(*) AS total_abstracts, round(avg(length(text)), 6) AS avg_length

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpuslab.functions.stats import EXACT_PAIRS, EXACT_SMALLER
 from corpuslab.operators import experiment as ex, ranks
 from corpuslab.session import scratch_path, via_table
 from corpuslab.sources import files
@@ -42,7 +43,12 @@ LOG_COLUMNS = (
 )
 
 
-@query("t01_assign_groups")
+@query(
+    "t01_assign_groups",
+    """SELECT doc_id AS sample_id,
+      CASE WHEN substr(sha256('42:' || CAST(doc_id AS VARCHAR)), 64, 1) IN ('0', '2', '4', '6', '8', 'a', 'c', 'e')
+        THEN 'A' ELSE 'B' END AS assigned_group FROM documents""",
+)
 def t01(spark: SparkSession, sf: str) -> DataFrame:
     docs = t.documents(spark, sf).select(F.col("doc_id").cast("bigint").alias("sample_id"))
     return docs.withColumn("assigned_group", ex.assigned_group(F.col("sample_id")))
@@ -108,6 +114,18 @@ def t05_p(spark: SparkSession, sf: str) -> DataFrame:
     return ex.mann_whitney(log(spark, sf), BY, "latency_a_ms", "latency_b_ms")
 
 
+@query(
+    "t05_rank_sum_significant",
+    f"""{RANK_SUM} SELECT experiment_id, CASE WHEN least(n_a, n_b) > {EXACT_SMALLER} OR ties > 0
+      THEN z > 1.959964 END AS significant FROM rank_sum""",
+)
+def t05_significant(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the tests that use the normal tail; z is never negative but for the continuity correction."""
+    tested = ex.mann_whitney(log(spark, sf), BY, "latency_a_ms", "latency_b_ms")
+    normal = (F.least("n_a", "n_b") > EXACT_SMALLER) | (F.col("ties") > 0)
+    return tested.select("experiment_id", F.when(normal, ex.significant(F.col("p_value"))).alias("significant"))
+
+
 @query(
     "t06_mean_interval",
     f"""{LOG} SELECT experiment_id, count(*) AS num_samples, round(avg(latency_a_ms), 6) AS mean_a,
@@ -142,6 +160,20 @@ def t07(spark: SparkSession, sf: str) -> DataFrame:
     return tested.drop("p_value").withColumn("z", F.round("z", 6))
 
 
+@query(
+    "t07_signed_rank_significant",
+    f"""{SIGNED}, scored AS (SELECT experiment_id, pairs, ties, (least(w_plus, w_minus) - pairs * (pairs + 1) / 4)
+        / sqrt((pairs * (pairs + 1) * (2 * pairs + 1) - ties / 2) / 24) AS z FROM signed)
+    SELECT experiment_id, CASE WHEN pairs > {EXACT_PAIRS} OR ties > 0 THEN abs(z) > 1.959964 END AS significant
+    FROM scored""",
+)
+def t07_significant(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the tests that use the normal tail."""
+    tested = ex.wilcoxon(log(spark, sf), BY, "f1_a", "f1_b")
+    normal = (F.col("pairs") > EXACT_PAIRS) | (F.col("ties") > 0)
+    return tested.select("experiment_id", F.when(normal, ex.significant(F.col("p_value"))).alias("significant"))
+
+
 @query("t07_signed_rank_p")
 def t07_p(spark: SparkSession, sf: str) -> DataFrame:
     return ex.wilcoxon(log(spark, sf), BY, "f1_a", "f1_b")

@@ -24,9 +24,13 @@ TIE_BAND = 0.001
 EXPERIMENT = ["experiment_id"]
 
 
-def assigned_group(sample: Column, seed: int = SEED) -> Column:
-    """A or B by a hash of the sample, the same under any partitioning."""
-    return F.when(F.pmod(F.xxhash64(sample, F.lit(seed)), F.lit(2)) == 0, "A").otherwise("B")
+def assigned_group(sample: Column, seed: int = SEED, fast: bool = False) -> Column:
+    """A or B by a hash of the sample, the same under any partitioning: by the
+    last bit of a SHA-256, which any engine can repeat, or ``fast`` of an XXH64."""
+    if fast:
+        return F.when(F.pmod(F.xxhash64(sample, F.lit(seed)), F.lit(2)) == 0, "A").otherwise("B")
+    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), sample.cast("string")), 256)
+    return F.when(F.substring(digest, 64, 1).isin(*"02468ace"), "A").otherwise("B")
 
 
 def join_arms(gold: DataFrame, a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -50,13 +50,20 @@ def union_ids(frames: list[DataFrame], column: str = "doc_id") -> DataFrame:
     return reduce(DataFrame.unionByName, [f.select(column) for f in frames]).distinct()
 
 
-def sample_docs(df: DataFrame, fraction: float, seed: int = 42, by: str | None = None) -> DataFrame:
+def sample_docs(
+    df: DataFrame, fraction: float, seed: int = 42, by: str | None = None, fast: bool = False
+) -> DataFrame:
     """Bernoulli sample. With ``by`` the draw depends on that column alone, so
-    it does not change with the partitioning."""
+    it does not change with the partitioning: on the first 32 bits of a
+    SHA-256, which any engine can repeat, or ``fast`` on an XXH64."""
     if by is None:
         return df.sample(fraction, seed)
-    steps = 1_000_000
-    return df.filter(F.pmod(F.xxhash64(F.col(by), F.lit(seed)), F.lit(steps)) < int(fraction * steps))
+    if fast:
+        steps = 1_000_000
+        return df.filter(F.pmod(F.xxhash64(F.col(by), F.lit(seed)), F.lit(steps)) < int(fraction * steps))
+    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(by).cast("string")), 256)
+    limit = int(fraction * 2**32)
+    return df if limit >= 2**32 else df.filter(F.substring(digest, 1, 8) < f"{limit:08x}")
 
 
 def spread(df: DataFrame, minimum: int) -> DataFrame:
