@@ -34,6 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from corpuslab.operators.skew import lookup_join
 from corpuslab.session import via_table
 
 from .common import documents, map_batches
@@ -52,7 +53,8 @@ BUCKET_BYTES = 16 << 20
 GROUP_BYTES = 1 << 20
 FLUSH = 2_000_000
 RECORDS = 20_000
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 64
 LAST = 2**63 - 1
 
 
@@ -455,10 +457,12 @@ def merged(ranges: DataFrame) -> DataFrame:
     )
 
 
-def checked(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table, marked for broadcast if it has at most ``rows`` rows;
-    beyond that the join shuffles."""
-    return F.broadcast(df) if df.count() <= rows else df
+def checked(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table, marked for broadcast if its rows take at most ``most``
+    bytes; beyond that the join shuffles."""
+    binary = [F.octet_length(c) for c, kind in df.dtypes if kind == "binary"]
+    size = df.agg(F.sum(sum(binary, F.lit(ROW_BYTES)))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def kept_digests(texts: DataFrame) -> DataFrame:
@@ -508,8 +512,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     buckets, groups = max(8, total // BUCKET_BYTES), max(8, total // GROUP_BYTES)
 
     # Of each text one row goes on: by broadcast of the other copies while these are few.
-    several = first.filter("n > 1").select("sha", "first")
-    of_several = rows.join(several, "sha")
+    several = via_table(first.filter("n > 1").select("sha", "first", "n"), "copied-texts")
+    of_several = via_table(lookup_join(rows, several, "sha", "n").drop("n"), "rows-of-copied-texts")
     copies = checked(via_table(of_several.filter("ord > first").select("sha", "ord").distinct(), "copies"))
     once = all_rows.join(copies, ["sha", "ord"], "left_anti")
     if not of_several.filter("ord = first").groupBy("sha").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
@@ -525,9 +529,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     keyed = first.select("sha", key_of("sha").alias("key"), _group("sha", groups).alias("grp"))
     found = via_table(keyed.join(spans, ["grp", "key"]).select("sha", "n_removed", "n_spans", "ranges"), "text-spans")
     cut = kept_digests(texts.join(checked(found.select("sha", "ranges")), "sha"))
-    by_text = first.select("sha", "first").join(found.drop("ranges"), "sha", "left").join(cut, "sha", "left")
+    with_spans = first.select("sha", "first", "n").join(found.drop("ranges"), "sha", "left")
+    by_text = via_table(with_spans.join(cut, "sha", "left"), "results-by-text")
     copied = (F.col("ord") > F.col("first")) & (F.col("n_bytes") >= LENGTH)
-    return rows.join(by_text, "sha").select(
+    return lookup_join(rows, by_text, "sha", "n").select(
         "doc_id",
         "n_bytes",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
