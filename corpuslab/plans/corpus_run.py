@@ -14,7 +14,7 @@ from corpuslab.functions.text import has_text
 from corpuslab.operators.cleaning import clean_text
 from corpuslab.operators.corpusstats import corpus_statistics
 from corpuslab.operators.features import extract_features
-from corpuslab.session import build_session, via_table
+from corpuslab.session import build_session, scratch_tables
 from corpuslab.sources.corpus import normalize_schema, read_corpus, sample_docs, spread
 from corpuslab.sources.sinks import write_features, write_stats
 
@@ -33,20 +33,21 @@ def run(
 ) -> DataFrame:
     """Write ``features`` and ``stats`` below ``output``; return one row of run metrics.
 
-    The cleaned corpus is written once, since fitting reads it twice, and the
-    statistics come from the written features, of which they need three columns.
+    Words and hashed vectors are written once for the two fits and deleted at
+    the end; the statistics come from the written features, of which they need
+    three columns.
     """
     started = time.monotonic()
     raw = ingest(spark, source, sample, partitions)
-    cleaned = via_table(clean_text(raw), "cleaned")
-    vectors, _ = extract_features(cleaned)
-    write_features(vectors, f"{output}/features")
-    stats = corpus_statistics(spark.read.parquet(f"{output}/features"))
-    write_stats(stats, f"{output}/stats")
+    with scratch_tables():
+        vectors, _ = extract_features(clean_text(raw, keep_words=True))
+        write_features(vectors, f"{output}/features")
+    features = spark.read.parquet(f"{output}/features")
+    write_stats(corpus_statistics(features), f"{output}/stats")
     records = raw.count()
     seconds = time.monotonic() - started
     return spark.createDataFrame(
-        [(records, cleaned.count(), round(seconds, 1), round(records / seconds, 1))],
+        [(records, features.count(), round(seconds, 1), round(records / seconds, 1))],
         "input_records long, clean_records long, total_runtime_seconds double, throughput_docs_per_second double",
     )
 

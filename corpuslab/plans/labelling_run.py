@@ -15,7 +15,7 @@ from corpuslab.operators.labelling import (
     predict_tokens,
     silver_labels,
 )
-from corpuslab.session import via_table
+from corpuslab.session import scratch_tables, via_table
 from corpuslab.sources.corpus import read_abstracts
 from corpuslab.sources.sinks import SILVER_SOURCE, write_silver_labels
 
@@ -32,14 +32,16 @@ def run(
     """Label the abstracts (pmid, text) under ``source``; return the report row.
 
     The model runs once per text: its tokens are written before they are used
-    for both the labels and the report.
+    for both the labels and the report. They are deleted at the end.
     """
     started = time.monotonic()
     texts = read_abstracts(spark, source, max_docs)
     labelled = predict_tokens(texts.select(F.col("pmid").alias("doc_id"), "text"), predictor_factory)
-    decoded = decode_spans(via_table(labelled, "tokens"))
-    write_silver_labels(silver_labels(decoded, threshold), f"{output}/labels", source_name)
-    report = via_table(label_report(decoded, threshold), "label-report")
+    with scratch_tables():
+        decoded = decode_spans(via_table(labelled, "tokens"))
+        write_silver_labels(silver_labels(decoded, threshold), f"{output}/labels", source_name)
+        totals = label_report(decoded, threshold)
+        report = spark.createDataFrame(totals.collect(), totals.schema)  # one row
     seconds = time.monotonic() - started
     return report.withColumns(
         {

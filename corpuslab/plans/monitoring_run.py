@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from corpuslab.operators import regress, requests
-from corpuslab.session import via_table
+from corpuslab.session import scratch_tables, via_table
 from corpuslab.sources.files import read_request_log
 from corpuslab.streaming import requests as live
 
@@ -14,16 +14,17 @@ from corpuslab.streaming import requests as live
 def check_reports(report: DataFrame, output: str, run: str = "run_id") -> DataFrame:
     """Findings, alerts, status and summary of every run in a long report;
     returns the status rows."""
-    kept = via_table(report, "report")
-    findings = via_table(regress.find_regressions(kept, [run]), "findings")
-    tables = {
-        "findings": findings,
-        "alerts": regress.alerts(findings),
-        "summary": regress.evaluation_summary(kept, findings, run),
-        "status": regress.overall_status(findings, [run]).join(regress.alert_summary(findings, [run]), run),
-    }
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{output}/{name}")
+    with scratch_tables():
+        kept = via_table(report, "report")
+        findings = via_table(regress.find_regressions(kept, [run]), "findings")
+        tables = {
+            "findings": findings,
+            "alerts": regress.alerts(findings),
+            "summary": regress.evaluation_summary(kept, findings, run),
+            "status": regress.overall_status(findings, [run]).join(regress.alert_summary(findings, [run]), run),
+        }
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{output}/{name}")
     return report.sparkSession.read.parquet(f"{output}/status")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +56,43 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _jobs:
+        _jobs[-1].append(path)
+    return path
+
+
+_jobs: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables() -> Iterator[None]:
+    """Delete the scratch tables made inside the block at its end. Nothing that
+    leaves the block may read them: a job returns what it has written as output."""
+    paths: list[str] = []
+    _jobs.append(paths)
+    try:
+        yield
+    finally:
+        _jobs.remove(paths)
+        for path in paths:
+            drop_table(path)
+
+
+def store_of(path: str):
+    """The file system of a shared folder or file, and the path inside it."""
+    from pyarrow import fs
+
+    if "://" in path and not path.startswith("file:"):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+
+
+def drop_table(path: str) -> None:
+    """Delete a scratch table that nothing reads any more, if it was written."""
+    store, root = store_of(path)
+    with suppress(FileNotFoundError):
+        store.delete_dir(root)
 
 
 def via_table(df: DataFrame, name: str) -> DataFrame:
