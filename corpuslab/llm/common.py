@@ -55,21 +55,6 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], Iterator[dict
     return df.mapInArrow(run, schema)
 
 
-def store_of(path: str):
-    """The file system of a shared folder or file, and the path inside it."""
-    from pyarrow import fs
-
-    if "://" in path and not path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-
-
-def drop_table(path: str) -> None:
-    """Delete a table that this job wrote and no longer reads."""
-    store, root = store_of(path)
-    store.delete_dir(root)
-
-
 def as_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema

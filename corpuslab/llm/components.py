@@ -5,9 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpuslab.session import scratch_path
-
-from .common import drop_table
+from corpuslab.session import drop_table, scratch_path
 
 
 def _hang(pairs: DataFrame, smallest: DataFrame) -> DataFrame:

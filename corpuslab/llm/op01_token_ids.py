@@ -23,9 +23,9 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from corpuslab.session import scratch_path, via_table
+from corpuslab.session import drop_table, scratch_path, store_of, via_table
 
-from .common import documents, drop_table, map_batches, store_of, texts
+from .common import documents, map_batches, texts
 from .units import UnitCoder, worker_table
 
 MAGIC = b"TOKRANK1"
