@@ -42,6 +42,8 @@ GOOD, BAD, SILENT = 1, 0, 2
 MISTAKE, BELIEF = 0.01, 0.2
 MARKED = re.compile(r"[^\w\s]{2,}(?!\S)")
 BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
+NOT_MARKS = bytes(b for b in range(256) if not 33 <= b <= 126 or chr(b).isalnum())
+NOT_UPPER = bytes(b for b in range(256) if not 65 <= b <= 90)
 ENDS = frozenset(".?!\"'")
 
 
@@ -50,8 +52,8 @@ def flag(bad: bool) -> int:
 
 
 def marks(v: View) -> int:
-    """Characters of words that are neither letters nor digits."""
-    return sum(not c.isalnum() for c in v.text) - len(v.text) + v.word_chars
+    """ASCII characters that are visible and neither letters nor digits."""
+    return len(v.raw.translate(None, NOT_MARKS))
 
 
 def marked_words(v: View) -> int:
@@ -75,7 +77,7 @@ def _variety(v: View) -> int:
 
 
 def _shouting(v: View) -> int:
-    upper = sum(map(str.isupper, v.text))
+    upper = len(v.raw.translate(None, NOT_UPPER))
     return flag(v.n_words >= 10 and 2 * upper > v.word_chars)
 
 
@@ -90,7 +92,8 @@ def _prose(v: View) -> int:
 #: Several look at one defect, each in its own way.
 LABELLERS: dict[str, Callable[[View], int]] = {
     "symbols": lambda v: flag(10 * v.n_symbols > v.n_words),
-    "marked_words": lambda v: flag(v.n_words >= 10 and 5 * marked_words(v) > v.n_words),
+    # A marked word has two marks at least, so most texts need not be searched.
+    "marked_words": lambda v: flag(v.n_words >= 10 and 5 * marks(v) > 2 * v.n_words and 5 * marked_words(v) > v.n_words),
     "bare_words": lambda v: flag(v.n_words >= 10 and 12 * bare_words(v) > v.n_words),
     "marks": lambda v: flag(v.n_words >= 10 and 5 * marks(v) > v.word_chars),
     "repeats": lambda v: flag(v.n_words >= 20 and 10 * v.n_repeat_words > 4 * v.n_words),

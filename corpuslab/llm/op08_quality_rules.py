@@ -37,9 +37,13 @@ class View:
     def __init__(self, text: str | None):
         self.text = text or ""
 
+    @cached_property
+    def raw(self) -> bytes:
+        return self.text.encode()
+
     @cached_property
     def words(self) -> list[bytes]:
-        return self.text.encode().split()
+        return self.raw.split()
 
     @cached_property
     def n_words(self) -> int:
