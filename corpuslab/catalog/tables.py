@@ -13,7 +13,8 @@ from corpuslab.sources.corpus import read_corpus, spread
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A given table. An input with fewer partitions than the session has
     cores is spread over them; a large one is left as it is."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spread(read_corpus(spark, f"{sf}/{name}.parquet"), spark.sparkContext.defaultParallelism)
 
 

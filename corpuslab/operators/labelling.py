@@ -192,13 +192,11 @@ def decode_token_rows(rows: DataFrame, keys: list[str], group_rows: int | None =
     it is scanned in blocks, so one long sequence does not end in one task.
     """
     seen = rows.filter(~F.col("token").isin(SPECIAL_TOKENS))
-    mark = F.when(F.col("label_id").isin(INSIDE_IDS), 0).otherwise(1).cast("bigint")
-    stretches = running(seen, keys, ["position"], [Running("_stretch", "sum", mark)], group_rows)
-    # Stretch 0 has no mark to begin with: tokens inside of nothing, which are ignored however many they are.
-    begun = stretches.filter(F.col("_stretch") > 0)
-    # An O token is a mark of its own; only what follows a B- token is gathered.
-    opened = Running("_begin", "last", F.when(~F.col("label_id").isin(INSIDE_IDS), F.col("label_id")))
-    known = running(begun, keys, ["position"], [opened], group_rows).filter(F.col("_begin").isin(BEGIN_IDS))
+    is_mark = ~F.col("label_id").isin(INSIDE_IDS)
+    numbered = Running("_stretch", "sum", F.when(is_mark, 1).otherwise(0).cast("bigint"))
+    begun = Running("_begin", "last", F.when(is_mark, F.col("label_id")))
+    # Only what follows a B- token is gathered; ignored tokens are not, however many they are.
+    known = running(seen, keys, ["position"], [numbered, begun], group_rows).filter(F.col("_begin").isin(BEGIN_IDS))
     parts = F.array_sort(F.collect_list(F.struct("position", "token")))
     return (
         known.groupBy(*keys, "_stretch")
