@@ -230,3 +230,28 @@ def test_sessions_end_after_a_gap(spark, tmp_path):
     stream = live.session_totals(files.read_request_log(spark, str(tmp_path / "in"), streaming=True), "model_version", "5 minutes")
     got = sorted((r.requests, r.entities, r.sla_pct) for r in run(spark, stream, tmp_path, "s").collect())
     assert got == [(2, 2, 100.0), (3, 3, 100.0)]
+
+
+def test_running_numbers_on_a_stream(spark, tmp_path):
+    rows = entries(300)
+    source = tmp_path / "in"
+    for i in range(3):
+        write(source, f"{i}.json", rows[i * 100 : (i + 1) * 100])
+        log = files.read_request_log(spark, str(source), streaming=True)
+        got = run(spark, live.session_numbers(log, "model_version"), tmp_path, "numbers")
+    batch = req.session_metrics(files.read_request_log(spark, str(source)), "model_version", ["timestamp"])
+    names = ["model_version", "timestamp", "requests", "entities"]
+    assert sorted(map(tuple, got.select(names).collect())) == sorted(map(tuple, batch.select(names).collect()))
+    both = got.join(batch.withColumnsRenamed({"mean_latency_ms": "m", "sla_pct": "s"}), ["model_version", "timestamp"])
+    assert both.filter("abs(mean_latency_ms - m) > 1e-9 or abs(sla_pct - s) > 1e-9").count() == 0
+
+
+def test_running_numbers_begin_again_after_a_gap(spark, tmp_path):
+    source = tmp_path / "in"
+    for i, at in enumerate([0, 60, 20_000, 40_000]):
+        write(source, f"{i}.json", [entry(i, at, 10.0, entities={"Disease": 1}), entry(50 + i, at + 1, 90.0)])
+        log = files.read_request_log(spark, str(source), streaming=True)
+        got = run(spark, live.session_numbers(log, "model_version", 300, "1 minute"), tmp_path, "again")
+    found = [(r.requests, r.entities, r.sla_pct) for r in got.orderBy("timestamp").collect()]
+    once = [(1, 1, 100.0), (2, 1, 50.0)]
+    assert found == [*once, (3, 2, 200 / 3), (4, 2, 50.0), *once, *once]
