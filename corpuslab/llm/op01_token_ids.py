@@ -107,15 +107,15 @@ def parse_file(content: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 # ---- the job
 
 
-def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids of strings by the tokenizers library, packed as unsigned 16-bit
-    integers (32-bit for larger vocabularies)."""
+def library_encoder(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
+    """Ids of strings by the tokenizers library, packed as unsigned integers of
+    ``width`` bytes (2 or 4)."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    kind = "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
+    kind = {2: "H", 4: "I"}[width]
 
     def encode(strings: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(strings, add_special_tokens=False) if strings else []
@@ -133,11 +133,11 @@ class TokenFiles:
     id_of_rank: np.ndarray
 
 
-def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
+def tokenized(docs: DataFrame, vocabulary: str, width: int) -> DataFrame:
     """doc_id, and the packed ids of each text."""
 
     def make():
-        code = UnitCoder(library_encoder(vocabulary), worker_table(f"library {vocabulary}"))
+        code = UnitCoder(library_encoder(vocabulary, width), worker_table(f"library {vocabulary} {width}"))
 
         def step(rows):
             for at in range(0, len(rows["doc_id"]), SLICE):
@@ -185,7 +185,7 @@ def write_token_files(
     size = max(Tokenizer.from_file(vocabulary).get_vocab_size(), end_id + 1)
     width, bits = (2 if size <= 1 << 16 else 4), control_bits(size)
     scratch = scratch_path(spark, "token-ids")
-    tokenized(docs, vocabulary).write.option("compression", "zstd").parquet(scratch)
+    tokenized(docs, vocabulary, width).write.option("compression", "zstd").parquet(scratch)
     ids = spark.read.parquet(scratch)
 
     # The vocabulary bounds what is collected.

@@ -50,7 +50,7 @@ DICTIONARY = [
     "example", "sample", "test", "dummy", "fake", "placeholder", "change", "replace", "your", "here", "insert", "todo",
     "password", "secret", "token", "key", "user", "admin", "name", "value", "data", "file", "path", "index", "page",
     "post", "http", "https", "www", "html", "image", "version", "release", "build", "node", "class", "function",
-    "license", "public", "private", "license", "default", "config", "session", "request", "response", "number", "order",
+    "license", "public", "private", "default", "config", "session", "request", "response", "number", "order",
     "date", "time", "year", "the", "and", "for", "with", "this", "that", "from", "xxxx", "abcd", "1234", "0000",
 ]
 SECRET_WORDS = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[ _-]?key|access[ _-]?key|auth|bearer|credential|private[ _-]?key)"
