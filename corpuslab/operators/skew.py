@@ -10,7 +10,10 @@ MAX_BROADCAST_ROWS = 10_000
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join where null keys match, keeping the left key columns."""
+    """Equi-join where null keys match, keeping the left key columns. Without
+    keys ``right`` is the one row of an aggregate over everything."""
+    if not keys:
+        return left.join(F.broadcast(right), F.lit(True), how)
     renamed = reduce(lambda d, k: d.withColumnRenamed(k, f"_r_{k}"), keys, right)
     same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     return left.join(renamed, reduce(Column.__and__, same), how).drop(*[f"_r_{k}" for k in keys])

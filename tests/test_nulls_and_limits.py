@@ -38,6 +38,7 @@ def test_null_groups_stay(spark):
     df = spark.createDataFrame(rows, "model string, i int, latency_ms double")
     profile = {r.model: (r.runs, r.p50) for r in evaluate.latency_profile(df, ["model"]).collect()}
     assert profile == {"a": (20, 9.5), None: (20, 9.5)}
+    assert [(r.runs, r.p50) for r in evaluate.latency_profile(df, []).collect()] == [(40, 9.5)]
     kept = evaluate.skip_warmup(df, ["model"], "i", 5)
     assert {(r.model, r["count"]) for r in kept.groupBy("model").count().collect()} == {("a", 15), (None, 15)}
     bins = corpusstats.histogram(df, ["model"], "latency_ms", 4).collect()
