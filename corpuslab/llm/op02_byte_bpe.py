@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,7 @@ SLICE = 125
 BATCH_BYTES = 64
 BATCH_PIECES = 20_000
 NONE = np.int64(2**62)
+PROBE = r"'s| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 #: The white space of the split pattern, Unicode's White_Space.
 SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -191,11 +193,41 @@ def encode_pieces(ranks: Ranks, whole: dict[bytes, int], pieces: list[bytes]) ->
     return out
 
 
+def newer_characters() -> str:
+    """Letters and digits of the regex package that the installed tiktoken, with
+    an older Unicode, does not know as such, as ranges of a character set. After
+    a letter or digit a contraction is a match of its own, after others it is not."""
+    import regex
+
+    try:
+        import tiktoken
+    except ImportError:
+        return ""
+    ranks = {bytes([b]): b for b in range(256)} | {b"'s": 256}
+    probe = tiktoken.Encoding("probe", pat_str=PROBE, mergeable_ranks=ranks, special_tokens={})
+    every = "".join(map(chr, [*range(128, 0xD800), *range(0xE000, 0x110000)]))
+    unsure = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+    codes = [ord(c) for c in unsure if probe.encode_ordinary(c + "'s")[-1] != 256]
+    starts = [c for c, before in zip(codes, [-1, *codes], strict=False) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], -1], strict=True) if after != c + 1]
+    return "".join(f"\\U{s:08X}-\\U{e:08X}" for s, e in zip(starts, ends, strict=True))
+
+
+def split_pattern(pattern: str) -> str:
+    """``pattern`` for the regex package, with white space, letters and digits as
+    in tiktoken."""
+    spaced = pattern.replace(r"[^\s", "[^" + SPACE).replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
+    newer = newer_characters()
+    if not newer:
+        return spaced
+    return "(?V1)" + spaced.replace(r"\p{L}", rf"[\p{{L}}--[{newer}]]").replace(r"\p{N}", rf"[\p{{N}}--[{newer}]]")
+
+
 def unit_encoder(ranks: Ranks, pattern: str):
-    """Packed ids of strings, each split by ``pattern``."""
+    """Packed ids of strings, each split by ``pattern`` (of ``split_pattern``)."""
     import regex
 
-    split = regex.compile(pattern.replace(r"[^\s", "[^" + SPACE).replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
+    split = regex.compile(pattern)
     whole = {token: rank for rank, token in enumerate(ranks.tokens) if token}
 
     def encode(strings: list[str]) -> list[bytes]:
@@ -213,7 +245,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str) -> DataFram
 
 
 def _coded(docs: DataFrame, vocabulary: str, pattern: str, columns: str, of) -> DataFrame:
-    ranks = read_ranks(vocabulary)
+    ranks, pattern = read_ranks(vocabulary), split_pattern(pattern)
 
     def make():
         code = UnitCoder(unit_encoder(ranks, pattern), worker_table(f"trees {vocabulary} {pattern}"))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -15,6 +16,7 @@ from .helpers import ODD, docs_of, rows
 SF = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+SPLIT = op2.split_pattern(public_tokenizers.PATTERN)
 
 
 @pytest.fixture(scope="module")
@@ -81,12 +83,26 @@ def test_units_do_not_change_ids(reference, text):
     assert "".join(units_of(text)) == text
     ranks = op2.read_ranks(RANKS) if not hasattr(test_units_do_not_change_ids, "ranks") else test_units_do_not_change_ids.ranks
     test_units_do_not_change_ids.ranks = ranks
-    code = UnitCoder(op2.unit_encoder(ranks, public_tokenizers.PATTERN))
+    code = UnitCoder(op2.unit_encoder(ranks, SPLIT))
     assert np.frombuffer(code([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
 
 
+def test_code_points(reference, library):
+    rng = random.Random(5)
+    codes = [*range(0x20, 0x3400), *rng.sample([c for c in range(0x3400, 0x110000) if not 0xD800 <= c < 0xE000], 6000)]
+    # Letters that newer tables know and older ones do not.
+    codes += [0x558, 0x88F, 0x1C89, 0x105C0, 0x323B0]
+    texts = [f"a{chr(c)}b {chr(c)}1 {chr(c)} {chr(c)}{chr(c)}'s  x" for c in codes if not 0xD800 <= c < 0xE000]
+    trees = UnitCoder(op2.unit_encoder(op2.read_ranks(RANKS), SPLIT))
+    files = UnitCoder(op1.library_encoder(VOCABULARY, 2))
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        assert [np.frombuffer(i, "<u4").tolist() for i in trees(some)] == list(map(reference.encode_ordinary, some))
+        assert [np.frombuffer(i, "<u2").tolist() for i in files(some)] == list(map(library, some))
+
+
 def test_table_of_units_may_overflow(reference):
-    code = UnitCoder(op2.unit_encoder(op2.read_ranks(RANKS), public_tokenizers.PATTERN), max_units=2)
+    code = UnitCoder(op2.unit_encoder(op2.read_ranks(RANKS), SPLIT), max_units=2)
     for text in ("a b c", "c b a d", "", "a  b"):
         assert np.frombuffer(code([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
 
