@@ -49,7 +49,7 @@ PLACE = np.uint64((1 << 24) - 1)
 ID_BITS = 47
 IDS = np.uint64((1 << ID_BITS) - 1)
 HOT_TEXTS = 50_000
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 GROUP_BYTES = 1 << 20
 FLUSH = 2_000_000
 RECORDS = 20_000
