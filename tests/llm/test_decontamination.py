@@ -11,6 +11,7 @@ from corpuslab.llm.wordhash import Lookup, Powers, words_of
 from .helpers import ODD, docs_of, rows
 
 SF = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.1"
 ITEMS = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("share", T.StringType())])
 
 
@@ -160,3 +161,37 @@ def test_query(spark):
     exact = {(d, i) for d, t in docs for i, x in items if " ".join(split(x)) in " ".join(split(t))}
     assert exact <= got
     assert len(got) <= len(exact) + 2
+
+
+def test_many_items_of_document_words(spark):
+    """Verbatim items are found whatever their length, and edited ones as brute
+    force finds them, with 2,000 items of the words that documents have."""
+    rng = random.Random(5)
+    own = [r.text for r in spark.read.parquet(f"{LARGER}/documents.parquet").orderBy("doc_id").limit(600).collect()]
+    words = [w for r in spark.read.parquet(f"{LARGER}/benchmark.parquet").orderBy("item_id").collect() for w in split(r.text)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(15, 60)))) for i in range(2000)]
+    docs, copies, others = [], set(), set()
+    for i, text in enumerate(own):
+        item, passage = rng.choice(items)
+        if i % 2:
+            # Three of ten words go, but none of the answer's.
+            *head, answer = passage.rpartition(op9.answer_of(passage))[:2]
+            kept = [w for w in head[0].split() if rng.random() > 0.3]
+            passage = " ".join([*kept, answer])
+        (others if i % 2 else copies).add((i, item))
+        around = (text or "").split()
+        cut = rng.randint(0, len(around))
+        docs.append((i, " ".join([*around[:cut], passage, *around[cut:]])))
+    got = {(r["doc_id"], r["item_id"]) for r in rows(op9.findings(docs_of(spark, docs), items_of(spark, items)))}
+    assert copies <= got
+    texts, wanted = dict(docs), dict(items)
+    others = {(d, i) for d, i in others if brute([(i, wanted[i])], [(d, texts[d])])}
+    assert len(others) > 200 and others <= got
+
+
+def test_findings_do_not_depend_on_the_directions(spark, monkeypatch):
+    items, docs, _ = world(3)
+    found = lambda: sorted(map(tuple, op9.findings(docs_of(spark, docs), items_of(spark, items)).collect()))
+    want = found()
+    monkeypatch.setattr(op9, "term_directions", lambda matrix, size, rank=1: np.zeros((size, 1)))
+    assert found() == want
