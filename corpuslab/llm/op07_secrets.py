@@ -1,8 +1,10 @@
 """Secret scans with false positives removed by a random forest. SQL functions
 and Spark ML only.
 
-A pattern proposes findings: long tokens with a digit, tokens that begin like
-the keys of known issuers, and private key headers. Splitting the text at the
+A pattern proposes findings: values of six characters or more assigned to a name
+like "token" (in quotes, or with a digit), other long tokens with a digit, tokens
+that begin like the keys of known issuers, and private key headers. A name before
+"=" is no part of the finding. Splitting the text at the
 same pattern gives what stands between them, so places and neighbouring text
 need no second search. A finding is described by its length, its character
 classes and the changes between them, the share of it that dictionary words
@@ -37,13 +39,40 @@ TREES, DEPTH = 20, 6
 THRESHOLD = 0.5
 NEAR = 40
 
-TOKEN = "A-Za-z0-9+/_="
+TOKEN = "A-Za-z0-9+/_"
+#: "=" belongs to a token as padding at its end only.
+PADDING = f"(?:=++(?![{TOKEN}\"'`-]))?+"
 #: How keys of known issuers begin.
 ISSUED = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abps]-|sk_live_|rk_live_|sk-|AIza|ya29|SG[.]|npm_|eyJ"
 HEADER = "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+#: Names that secrets are assigned to, by width.
+NAMES = {
+    3: "pwd", 4: "auth", 5: "token", 6: "passwd|secret|apikey|bearer", 7: "api[ _-]key", 8: "password", 9: "accesskey|secretkey",
+    10: "access[ _-]key|secret[ _-]key|privatekey|credential", 11: "private[ _-]key",
+}
+#: Characters between a name and the sign, and between the sign and the value.
+BEFORE_SIGN, AFTER_SIGN = 12, 3
+QUOTE = "\"'`"
+BARE, QUOTED = f" \t\r\n{QUOTE},;&<>(){{}}=:", f" \t\r\n{QUOTE}"
+
+
+def _named() -> str:
+    """A place after a name, "=" or ":", and blanks or a quote. Lookbehinds of
+    one width each, as not all engines take others, the sign first, so that most
+    places cost little."""
+    name = "|".join(f"(?<=(?i:{same}))" for same in NAMES.values())
+    between = ["", *(f"[^A-RT-Za-rt-z\r\n][^\r\n=,;]{{{more}}}" for more in range(BEFORE_SIGN))]
+    sign = "|".join(f"(?<=(?:{name}){gap}[=:])" for gap in between)
+    blanks = [f"[ \t>{QUOTE}]{{{after}}}" for after in range(AFTER_SIGN + 1)]
+    return "(?:" + "|".join(f"(?<=[=:]{after})(?<=(?:{sign}){after})" for after in blanks) + ")"
+
+
 #: A token starts after a character that no token has, so the search is linear.
 PATTERN = (
-    f"{HEADER}|(?<![{TOKEN}-])(?:(?:{ISSUED})[{TOKEN}.-]{{12,}}+|(?=[A-Za-z+/_=-]*+[0-9])[{TOKEN}-]{{16,}}+)"
+    f"{HEADER}|(?<![{TOKEN}-])(?:{ISSUED})[{TOKEN}.-]{{12,}}+{PADDING}"
+    f"|(?=[^{QUOTED}]{{6}}){_named()}(?:(?<=[{QUOTE}])[^{QUOTED}]{{6,}}+(?=[{QUOTE}])"
+    f"|(?<![{QUOTE}])(?=[^{BARE}0-9]*+[0-9])[^{BARE}]{{6,}}+{PADDING})"
+    f"|(?<![{TOKEN}-])(?=[A-Za-z+/_-]*+[0-9])[{TOKEN}-]{{16,}}+{PADDING}"
 )
 #: Words that keys do not hold, and that placeholders and names do.
 DICTIONARY = [
@@ -56,6 +85,7 @@ DICTIONARY = [
 SECRET_WORDS = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[ _-]?key|access[ _-]?key|auth|bearer|credential|private[ _-]?key)"
 DIGEST_WORDS = r"(?i)\b(sha[0-9]*|md5|commit|revision|digest|checksum|hash|uuid|guid|etag|isbn|card|order|invoice|phone)\b"
 ASSIGNED = r"[=:]\s*[\"']?$"
+JOINED = r"^[\"'`]?\s*[=:]\s*[\"'`]?$"
 TEST_PATH = r"(?i)(test|example|sample|fixture|mock|doc|vendor|lock)"
 UUID = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
@@ -75,12 +105,18 @@ def proposals(docs: DataFrame) -> DataFrame:
         found=F.regexp_extract_all("text", F.lit(f"({PATTERN})"), F.lit(1)),
         between=F.split("text", PATTERN, -1),
     )
+
+    def named(i):
+        """The finding before, if it is the name of this one."""
+        name = F.substring(F.get("found", i - 1), -NEAR, NEAR)
+        return F.when((i > 0) & F.get("between", i).rlike(JOINED), name).otherwise("")
+
     each = F.transform(
         F.col("found"),
         lambda token, i: F.struct(
             i.alias("number"),
             token.alias("token"),
-            F.substring(F.get("between", i), -NEAR, NEAR).alias("before"),
+            F.substring(F.concat(named(i), F.get("between", i)), -NEAR, NEAR).alias("before"),
             F.substring(F.get("between", i + 1), 1, NEAR).alias("after"),
             F.length(F.get("between", i)).alias("gap"),
         ),
