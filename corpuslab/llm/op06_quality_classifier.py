@@ -40,6 +40,7 @@ ROUNDS = 200
 KEPT_FROM = 0.5
 GOOD, BAD, SILENT = 1, 0, 2
 MISTAKE, BELIEF = 0.01, 0.2
+VARIETY_WORDS = 1000
 MARKED = re.compile(r"[^\w\s]{2,}(?!\S)")
 BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
 NOT_MARKS = bytes(b for b in range(256) if not 33 <= b <= 126 or chr(b).isalnum())
@@ -66,9 +67,10 @@ def bare_words(v: View) -> int:
 
 
 def different(v: View) -> tuple[int, int]:
-    """Distinct and all words of the first thousand."""
-    first = v.words[:1000]
-    return len(set(first)), len(first)
+    """Distinct words of each thousand, added up, and all words: the share does
+    not fall with the length of a text."""
+    parts = range(0, v.n_words, VARIETY_WORDS)
+    return sum(len(set(v.words[at : at + VARIETY_WORDS])) for at in parts), v.n_words
 
 
 def _variety(v: View) -> int:

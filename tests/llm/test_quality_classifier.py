@@ -93,3 +93,15 @@ def test_query_on_true_labels(spark):
     area = (good[:, None] > bad[None, :]).mean() + 0.5 * (good[:, None] == bad[None, :]).mean()
     assert area > 0.9
     assert sum(k for _, q, k in known if q == 1) >= 0.97 * len(good)
+
+
+def test_defects_after_the_first_thousand_words():
+    rng = random.Random(6)
+    varied = ["".join(rng.choice("abcdefgh") for _ in range(6)) + "." for _ in range(3000)]
+    votes = lambda words: dict(zip(op6.LABELLERS, op6.pattern_of(" ".join(words)), strict=True))
+    late = votes([*varied[:1000], *["one", "two", "three."] * 5000])
+    assert (late["variety"], late["prose"]) == (str(op6.BAD), str(op6.SILENT))
+    early = votes([*["one", "two", "three."] * 100, *varied])
+    assert (early["variety"], early["prose"]) == (str(op6.SILENT), str(op6.GOOD))
+    # As varied at any length.
+    assert votes(varied * 6)["prose"] == votes(varied[:1000])["prose"] == str(op6.GOOD)
