@@ -14,7 +14,8 @@ The forest is trained on labelled findings. They can be given; without them,
 rules label those findings that are clear (keys of known issuers, and values
 assigned to a name like "token", against plain numbers, placeholders, and
 digests named as such), and the forest decides on all others as well. The
-labelled rows are a bounded sample of ``SAMPLE_ROWS``, ordered by a hash. Where
+labelled rows are a bounded sample of ``SAMPLE_ROWS``, ordered by a hash; copies
+of a finding are one row with their number as weight. Where
 the sample has one class only, every finding gets the share of positives.
 
 Null and empty texts have no findings; repeated rows are each scanned; an empty
@@ -197,26 +198,29 @@ def order_key() -> Column:
 
 
 def training_rows(found: DataFrame, labels: DataFrame | None, sample_rows: int) -> DataFrame:
-    """At most ``sample_rows`` described findings with a label, in the order of
-    a hash. ``labels`` has doc_id, start and label."""
+    """At most ``sample_rows`` different described findings with a label and how
+    often they occur as weight, in the order of a hash. ``labels`` has doc_id,
+    start and label."""
     if labels is None:
         rows = found.withColumn("label", rule_label())
     else:
         rows = found.join(labels.select("doc_id", "start", F.col("label").cast("int").alias("label")), ["doc_id", "start"])
     features = [f"f_{name}" for name in FEATURES]
-    known = rows.filter("label IS NOT NULL").withColumn("_order", order_key())
-    return known.orderBy("_order", "label", *features).limit(sample_rows).select("label", *features)
+    known = rows.filter("label IS NOT NULL").groupBy("token", "before", "after", "path", "label", *features)
+    different = known.agg(F.count(F.lit(1)).cast("double").alias("weight")).withColumn("_order", order_key())
+    return different.orderBy("_order", "label", *features).limit(sample_rows).select("label", "weight", *features)
 
 
 def secret_findings(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per finding: doc_id, start, end, kind, score and secret (the verdict)."""
     found = via_table(described(proposals(docs)), "findings")
     train = via_table(training_rows(found, labels, sample_rows), "labelled-findings")
-    state = train.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("positive")).first()
+    positive = F.col("label") * F.col("weight")
+    state = train.agg(*(F.coalesce(F.sum(x), F.lit(0.0)).alias(k) for k, x in (("n", F.col("weight")), ("positive", positive)))).first()
     if 0 < state["positive"] < state["n"]:
         columns = [f"f_{name}" for name in FEATURES]
         forest = RandomForestClassifier(
-            featuresCol="_features", labelCol="label", probabilityCol="_chance", rawPredictionCol="_votes",
+            featuresCol="_features", labelCol="label", weightCol="weight", probabilityCol="_chance", rawPredictionCol="_votes",
             predictionCol="_class", numTrees=TREES, maxDepth=DEPTH, seed=7,
         )
         model = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="_features"), forest]).fit(train)

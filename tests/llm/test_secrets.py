@@ -137,3 +137,14 @@ def test_values_after_names(spark):
     long = rows(op7.described(op7.proposals(docs_of(spark, [(1, "MY_SERVICE_2_SECRET_TOKEN=Zx81kQpLm2Zx81kQ")]))))
     assert {r["token"]: r["f_secret_word"] for r in long}["Zx81kQpLm2Zx81kQ"] == 1
     assert not plain([(1, "token: patience and author: some1one, a secret place=here1")])
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    once = list(findings(24))
+    texts = {100 * i + k: t for i, t in once for k in range(30)}
+    docs = docs_of(spark, list(texts.items()))
+    train = rows(op7.training_rows(op7.described(op7.proposals(docs)), None, 20))
+    assert len(train) == 20 and all(r["weight"] >= 30 for r in train)
+    got = rows(op7.secret_findings(docs, sample_rows=20))
+    right = sum(r["secret"] == (r["start"] < texts[r["doc_id"]].index(" and then ")) for r in got)
+    assert len({r["score"] for r in got}) > 1 and right >= 0.9 * len(got)
