@@ -12,6 +12,7 @@ from .op07_secrets import op7_secrets
 from .op08_quality_rules import OP8_SQL, op8_quality_rules
 from .op09_decontamination import op9_decontamination
 from .op10_pii import op10_pii
+from .op11_periodic_runs import op11_periodic_runs
 from .op12_lexical_search import OP12_SQL, op12_lexical_search
 from .op13_url_filter import OP13_SQL, op13_url_filter
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_lexical_search": op12_lexical_search,
     "op13_url_filter": op13_url_filter,
 }
