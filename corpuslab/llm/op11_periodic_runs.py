@@ -38,6 +38,7 @@ from .common import documents, map_batches, texts
 
 GRAM = 6
 TILE_WORDS = 8_192
+TASK_ROWS = 4_000
 COMPARED = 1 << 20
 SMALL = 16
 
@@ -350,7 +351,9 @@ def periodic_runs(docs: DataFrame, change: Callable[[int | None, list[bytes]], l
     first period. ``change`` may rewrite a document's words beforehand."""
     rows = via_table(prepared(docs, change), "period-tiles")
     tiles = rows.filter(F.col("octave").isNotNull()).select(*TILE)
-    spread = tiles.repartition("key", "octave", "first")
+    # Solving costs far more than moving, so the tasks follow the number of rows, not their bytes.
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-tiles.count() // TASK_ROWS))
+    spread = tiles.repartition(tasks, "key", "octave", "first")
     runs = stitched(solved(spread)).groupBy("key").agg(F.collect_list(F.struct("start", "length", "period")).alias("runs"))
     open_ = rows.filter(F.col("text").isNotNull()).select("key", "doc_id", "n_words", "text").join(runs, "key", "left")
 
