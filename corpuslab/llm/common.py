@@ -55,6 +55,18 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], Iterator[dict
     return df.mapInArrow(run, schema)
 
 
+def slices(strings: list[str], chars: int) -> Iterator[slice]:
+    """Slices of at most ``chars`` characters, or of one string."""
+    at, held = 0, 0
+    for i, string in enumerate(strings):
+        if i > at and held + len(string) > chars:
+            yield slice(at, i)
+            at, held = i, 0
+        held += len(string)
+    if at < len(strings):
+        yield slice(at, len(strings))
+
+
 def as_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema

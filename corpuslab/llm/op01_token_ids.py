@@ -6,9 +6,12 @@ header, the documents' ids and lengths, the control bytes and the value bytes.
 A control byte describes 8 values of 1 or 2 bytes (vocabularies of up to
 65,536 ids) or 4 values of 1 to 4 bytes, and is decoded by table lookup.
 
-Rows with null text have only the end id; rows with null doc_id come first;
-repeated doc_ids are kept, in the order of their ids; an empty table gives no
-files and no rows; columns besides doc_id and text are not read.
+Rows with null text have only the end id; special strings in a text get the
+ids that the library gives them; very long texts are encoded by units like
+others, and units of over 100 characters wherever they occur; rows with null
+doc_id come first; repeated doc_ids are kept, in the order of their ids; an
+empty table gives no files and no rows; columns besides doc_id and text are
+not read.
 """
 
 from __future__ import annotations
@@ -25,14 +28,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpuslab.session import drop_table, scratch_path, store_of, via_table
 
-from .common import documents, map_batches, texts
-from .units import UnitCoder, worker_table
+from .common import documents, map_batches, slices, texts
+from .units import UnitCoder, starts_unit, worker_table
 
 MAGIC = b"TOKRANK1"
 HEADER = "<8sQQQQQ"
 FILE_IDS = 8_000_000
 FILES_PER_READ = 100_000
-SLICE = 125
+SLICE_CHARS = 4_000_000
+GROUP_CHARS = 2_000
 
 
 # ---- the coding of one run of ranks
@@ -107,21 +111,54 @@ def parse_file(content: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 # ---- the job
 
 
-def library_encoder(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
+def library_encoder(path: str, width: int) -> tuple[Callable[[list[str]], list[bytes]], Callable[[str], bool]]:
     """Ids of strings by the tokenizers library, packed as unsigned integers of
-    ``width`` bytes (2 or 4)."""
+    ``width`` bytes (2 or 4), and whether a text holds an added token, which the
+    library finds before it splits."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     kind = {2: "H", 4: "I"}[width]
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    # In byte-level vocabularies a character of a token stands for one byte.
+    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, number in tokenizer.get_vocab().items():
+        sizes[number] = len(token)
 
-    def encode(strings: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(strings, add_special_tokens=False) if strings else []
-        return [array(kind, e.ids).tobytes() for e in found]
+    def holds_added(text: str) -> bool:
+        return any(token in text for token in added)
 
-    return encode
+    def encode(strings: list[str]) -> list[bytes]:
+        """Strings that begin a unit are encoded many at a time, and the ids cut
+        where the bytes of a string end."""
+        groups: list[list[str]] = []
+        held = 0
+        for string in strings:
+            joins = string[:1] == " " and starts_unit(string[1:]) and not holds_added(string)
+            if not joins or not groups or held > GROUP_CHARS:
+                groups.append([])
+                held = 0 if joins else GROUP_CHARS + 1
+            groups[-1].append(string)
+            held += len(string)
+        found = tokenizer.encode_batch_fast(list(map("".join, groups)), add_special_tokens=False) if groups else []
+        out: list[bytes] = []
+        for group, encoding in zip(groups, found, strict=True):
+            ids = array(kind, encoding.ids).tobytes()
+            if len(group) == 1:
+                out.append(ids)
+                continue
+            ends = np.cumsum(np.fromiter((len(s.encode()) for s in group), np.int64, len(group)))
+            reached = np.cumsum(sizes[np.frombuffer(ids, f"<u{width}")])
+            at = np.searchsorted(reached, ends)
+            if at[-1] != len(reached) - 1 or (reached[at] != ends).any():
+                out += [array(kind, e.ids).tobytes() for e in tokenizer.encode_batch_fast(group, add_special_tokens=False)]
+                continue
+            cut = [0, *((at + 1) * width).tolist()]
+            out += [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+        return out
+
+    return encode, holds_added
 
 
 @dataclass(frozen=True)
@@ -134,19 +171,19 @@ class TokenFiles:
 
 
 def tokenized(docs: DataFrame, vocabulary: str, width: int) -> DataFrame:
-    """doc_id, and the packed ids of each text."""
+    """doc_id, the packed ids of each text, and a number of the row."""
 
     def make():
-        code = UnitCoder(library_encoder(vocabulary, width), worker_table(f"library {vocabulary} {width}"))
+        encode, holds_added = library_encoder(vocabulary, width)
+        code = UnitCoder(encode, width, worker_table(f"library {vocabulary} {width}"), undivided=holds_added)
 
         def step(rows):
-            for at in range(0, len(rows["doc_id"]), SLICE):
-                ids = code(rows["text"][at : at + SLICE])
-                yield {"doc_id": rows["doc_id"][at : at + SLICE], "ids": ids}
+            for some in slices(rows["text"], SLICE_CHARS):
+                yield {"doc_id": rows["doc_id"][some], "ids": code(rows["text"][some])}
 
         return step
 
-    return map_batches(texts(docs), make, "doc_id bigint, ids binary")
+    return map_batches(texts(docs), make, "doc_id bigint, ids binary").withColumn("row", F.monotonically_increasing_id())
 
 
 def id_counts(ids: DataFrame, size: int, width: int) -> DataFrame:
@@ -198,7 +235,9 @@ def write_token_files(
     rank_of_id[id_of_rank] = np.arange(size, dtype=np.uint32)
 
     parts = max(spark.sparkContext.defaultParallelism, -(-int(counts.sum()) // file_ids))
-    ordered = ids.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
+    # Rows without doc_id and repeated rows spread over ranges as well.
+    order = ("doc_id", "ids", "row")
+    ordered = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def make():
         from pyspark import TaskContext

@@ -22,10 +22,10 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, map_batches, texts
+from .common import documents, map_batches, slices, texts
 from .units import UnitCoder, worker_table
 
-SLICE = 125
+SLICE_CHARS = 4_000_000
 BATCH_BYTES = 64
 BATCH_PIECES = 20_000
 NONE = np.int64(2**62)
@@ -248,12 +248,11 @@ def _coded(docs: DataFrame, vocabulary: str, pattern: str, columns: str, of) ->
     ranks, pattern = read_ranks(vocabulary), split_pattern(pattern)
 
     def make():
-        code = UnitCoder(unit_encoder(ranks, pattern), worker_table(f"trees {vocabulary} {pattern}"))
+        code = UnitCoder(unit_encoder(ranks, pattern), 4, worker_table(f"trees {vocabulary} {pattern}"))
 
         def step(rows):
-            for at in range(0, len(rows["doc_id"]), SLICE):
-                out = of(code(rows["text"][at : at + SLICE]), ranks.tokens)
-                yield {"doc_id": rows["doc_id"][at : at + SLICE], **out}
+            for some in slices(rows["text"], SLICE_CHARS):
+                yield {"doc_id": rows["doc_id"][some], **of(code(rows["text"][some]), ranks.tokens)}
 
         return step
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpuslab.session import drop_table, scratch_path, via_table
 
-from .common import documents, map_batches, texts
+from .common import documents, map_batches, slices, texts
 from .wordhash import Lookup, Powers, words_of
 
 BEST = 10
@@ -86,18 +86,6 @@ def blocks_of(items: DataFrame) -> Iterator[Items]:
         yield terms_of(items.collect())
 
 
-def pieces(strings: list[str]) -> Iterator[slice]:
-    """Slices of at most ``SLICE_CHARS`` characters, or of one string."""
-    at, held = 0, 0
-    for i, string in enumerate(strings):
-        if held and held + len(string) > SLICE_CHARS:
-            yield slice(at, i)
-            at, held = i, 0
-        held += len(string)
-    if at < len(strings):
-        yield slice(at, len(strings))
-
-
 def indexed(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
     """Per document: doc_id, n (terms with repeats), and the numbers and counts
     of the terms among ``hashes``, as little-endian 32-bit integers."""
@@ -106,7 +94,7 @@ def indexed(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
         numbers, held = Lookup(hashes, len(hashes)), Powers()
 
         def step(rows):
-            for some in pieces(rows["text"]):
+            for some in slices(rows["text"], SLICE_CHARS):
                 found = words_of(rows["text"][some], held)
                 number = numbers(found.hash)
                 doc = np.repeat(np.arange(len(found.first) - 1), np.diff(found.first))

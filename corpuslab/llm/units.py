@@ -11,9 +11,16 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable
-from itertools import chain, islice
+from itertools import chain
+
+import numpy as np
 
 MAX_UNITS = 1_000_000
+#: What the kept units of a table may take: their characters and ids, and about 200 bytes each besides.
+TABLE_BYTES = 256 << 20
+ENTRY_BYTES = 200
+#: Longer units are encoded wherever they occur: in scripts without spaces a unit is a paragraph.
+LONGEST_UNIT = 100
 
 
 def starts_unit(chunk: str) -> bool:
@@ -33,53 +40,99 @@ def units_of(text: str) -> list[str]:
     return units
 
 
-def worker_table(name: str) -> dict:
-    """A dictionary that tasks of one Python worker share. Functions reach the
+class UnitTable(dict):
+    """Ids of units by the unit, and the bytes that they take."""
+
+    size = 0
+
+
+def worker_table(name: str) -> UnitTable:
+    """A table that tasks of one Python worker share. Functions reach the
     workers by value, so it hangs on a module of its own."""
     holder = sys.modules.setdefault("_unit_tables", types.ModuleType("_unit_tables"))
-    return holder.__dict__.setdefault(name, {})
+    if name not in holder.__dict__:
+        holder.__dict__[name] = UnitTable()
+    return holder.__dict__[name]
 
 
 class UnitCoder:
     """Encodes texts through a bounded table of units.
 
-    ``encode`` takes a list of strings and returns the packed ids of each.
-    ``table`` keeps the first ``max_units`` units seen, so memory is bounded;
-    further ones are encoded wherever they occur.
+    ``encode`` takes a list of strings and returns the packed ids of each, of
+    ``width`` bytes an id. ``table`` keeps the units seen first, at most
+    ``max_units`` and ``max_bytes``; further ones are encoded once for each
+    call. Texts for which ``undivided`` holds are encoded in one piece.
     """
 
     def __init__(
         self,
         encode: Callable[[list[str]], list[bytes]],
-        table: dict[str, bytes | None] | None = None,
+        width: int,
+        table: UnitTable | None = None,
         max_units: int = MAX_UNITS,
+        max_bytes: int = TABLE_BYTES,
+        undivided: Callable[[str], bool] = lambda text: False,
     ):
-        self.encode, self.max_units = encode, max_units
-        self.after_space = {} if table is None else table
+        self.encode, self.width, self.max_units, self.max_bytes = encode, width, max_units, max_bytes
+        self.undivided = undivided
+        self.table = UnitTable() if table is None else table
+
+    def ids_of(self, keys: list[str]) -> list[bytes | None]:
+        """Packed ids by key: a chunk behind a space, or a space and the first
+        chunk of a text. None: the chunk belongs to the unit before it."""
+        table = self.table
+        found = list(map(table.get, keys))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        coded = [i for i in new if keys[i][:1] == " " or starts_unit(keys[i])]
+        strings = [keys[i][1:] if keys[i][:1] == " " else " " + keys[i] for i in coded]
+        for i, ids in zip(coded, self.encode(strings), strict=True):
+            key = keys[i]
+            found[i] = ids
+            if len(key) <= LONGEST_UNIT and len(table) < self.max_units and table.size < self.max_bytes:
+                table[key] = ids
+                table.size += ENTRY_BYTES + len(key) + len(ids)
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        table = self.after_space
-        split = [text.split(" ") for text in texts]
-        heads = dict.fromkeys(chunks[0] for chunks in split if chunks[0])
-        heads.update(zip(heads, self.encode(list(heads)), strict=True))
-        heads[""] = b""
-        new = set(chain.from_iterable(split)).difference(table)
-        regular = [chunk for chunk in new if starts_unit(chunk)]
-        room = max(0, self.max_units - len(table))
-        table.update(dict.fromkeys(new.difference(regular)))
-        table.update(zip(regular, self.encode([" " + chunk for chunk in regular]), strict=True))
-        odd: dict[str, bytes] = {}
-        out = []
-        for text, chunks in zip(texts, split, strict=True):
-            first = heads[chunks[0]]
-            del chunks[0]
-            try:
-                out.append(first + b"".join(map(table.__getitem__, chunks)))
-            except TypeError:  # a chunk that belongs to the unit before it
-                units = units_of(text)
-                unknown = [u for u in dict.fromkeys(units) if u and u not in odd]
-                odd.update(zip(unknown, self.encode(unknown), strict=True))
-                out.append(b"".join(odd[u] for u in units if u))
-        for chunk in islice(new, room, None):
-            del table[chunk]
+        out: list[bytes | None] = [None] * len(texts)
+        split, where = [], []
+        for i, text in enumerate(texts):
+            if not self.undivided(text):
+                chunks = text.split(" ")
+                chunks[0] = " " + chunks[0]
+                split.append(chunks)
+                where.append(i)
+        # Chunks are numbered once in the call; ids are then gathered by number.
+        numbers = dict.fromkeys(chain.from_iterable(split))
+        keys = list(numbers)
+        ids = self.ids_of(keys)
+        numbers.update(zip(keys, range(len(keys)), strict=True))
+        regular = np.fromiter((i is not None for i in ids), bool, len(ids))
+        packed = [i or b"" for i in ids]
+        flat = np.frombuffer(b"".join(packed), f"<u{self.width}")
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        every = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        ends = np.cumsum(counts)
+        length = sizes[every]
+        behind = np.cumsum(length)
+        gathered = flat[np.arange(int(behind[-1]) if len(behind) else 0) + np.repeat(starts[every] - behind + length, length)]
+        cut = np.append(0, behind)
+        odd_before = np.append(0, np.cumsum(~regular[every]))
+        again = []
+        for i, begin, end in zip(where, (ends - counts).tolist(), ends.tolist(), strict=True):
+            if odd_before[end] > odd_before[begin]:
+                again.append(i)
+            else:
+                out[i] = gathered[cut[begin] : cut[end]].tobytes()
+        # Texts with a chunk that belongs to the unit before it.
+        units = {i: [u for u in units_of(texts[i]) if u] for i in again}
+        different = list(dict.fromkeys(chain.from_iterable(units.values())))
+        ids_of_unit = dict(zip(different, self.encode(different), strict=True))
+        for i, own in units.items():
+            out[i] = b"".join(map(ids_of_unit.__getitem__, own))
+        whole = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(whole, self.encode([texts[i] for i in whole]), strict=True):
+            out[i] = ids
         return out

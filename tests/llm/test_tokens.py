@@ -24,7 +24,6 @@ def library():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -48,6 +47,56 @@ def test_packing_round_trip(values, bits):
     assert back.tolist() == ranks.tolist()
 
 
+def library_coder(**bounds):
+    encode, holds_added = op1.library_encoder(VOCABULARY, 2)
+    return UnitCoder(encode, 2, undivided=holds_added, **bounds)
+
+
+def packed_ids(packed):
+    return [np.frombuffer(p, "<u2").tolist() for p in packed]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", " ", "  ", "a", "é's", "\n", "<|", "|>", " 12", "你好", "\t"]), max_size=12).map("".join), max_size=8))
+def test_ids_are_those_of_the_library(library, given):
+    coder = test_ids_are_those_of_the_library.__dict__.setdefault("coder", library_coder())
+    assert packed_ids(coder(given)) == list(map(library, given))
+    assert packed_ids(library_coder(max_units=1)(given)) == list(map(library, given))
+
+
+def test_random_strings(library):
+    rng = random.Random(9)
+    pieces = ["<|endoftext|>", " ", " ", " ", "word", "Word", "'ll", "!!", "\n", "é", "x" * 120, "漢字" * 60, "1234"]
+    given = ["".join(rng.choices(pieces, k=rng.randrange(40))) for _ in range(5_000)]
+    assert packed_ids(library_coder()(given)) == list(map(library, given))
+
+
+def test_tables_are_bounded_in_bytes(library):
+    """Scripts without spaces: a unit is a paragraph, and no table holds it."""
+    rng = random.Random(2)
+    codes = range(0x4E00, 0x4E00 + 500)
+    given = [" ".join("".join(map(chr, rng.choices(codes, k=3_000))) for _ in range(3)) for _ in range(20)]
+    coder = library_coder()
+    assert packed_ids(coder(given)) == list(map(library, given))
+    assert coder.table.size == 0
+    coder = library_coder(max_bytes=2_000)
+    given = [" ".join(f"word{i}x{j}" for j in range(50)) for i in range(20)]
+    assert packed_ids(coder(given)) == list(map(library, given))
+    assert 2_000 <= coder.table.size < 2_500
+
+
+def test_one_id_or_none_holds_many_rows(spark, library):
+    """Rows without doc_id, and copies of one row, spread over the files."""
+    given = [(None, f"text {i}") for i in range(300)] + [(7, "same text")] * 300 + [(i, "x") for i in range(10, 20)]
+    found = op1.write_token_files(docs_of(spark, given), VOCABULARY, scratch_path(spark, "t"))
+    got = sorted(rows(op1.read_token_files(found, "ids_crc32 bigint", zlib.crc32)), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 300 + [7] * 300 + list(range(10, 20))
+    assert len({r["part"] for r in found.files.collect()}) >= 4
+    assert sum(r["n_tokens"] for r in got) == sum(len(library(t)) + 1 for _, t in given)
+    ends = [r["start"] + r["n_tokens"] for r in got]
+    assert [r["start"] for r in got] == [0, *ends[:-1]]
+
+
 def expected(library, docs):
     start = 0
     for doc_id, text in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
@@ -83,7 +132,7 @@ def test_units_do_not_change_ids(reference, text):
     assert "".join(units_of(text)) == text
     ranks = op2.read_ranks(RANKS) if not hasattr(test_units_do_not_change_ids, "ranks") else test_units_do_not_change_ids.ranks
     test_units_do_not_change_ids.ranks = ranks
-    code = UnitCoder(op2.unit_encoder(ranks, SPLIT))
+    code = UnitCoder(op2.unit_encoder(ranks, SPLIT), 4)
     assert np.frombuffer(code([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
 
 
@@ -93,8 +142,8 @@ def test_code_points(reference, library):
     # Letters that newer tables know and older ones do not.
     codes += [0x558, 0x88F, 0x1C89, 0x105C0, 0x323B0]
     texts = [f"a{chr(c)}b {chr(c)}1 {chr(c)} {chr(c)}{chr(c)}'s  x" for c in codes if not 0xD800 <= c < 0xE000]
-    trees = UnitCoder(op2.unit_encoder(op2.read_ranks(RANKS), SPLIT))
-    files = UnitCoder(op1.library_encoder(VOCABULARY, 2))
+    trees = UnitCoder(op2.unit_encoder(op2.read_ranks(RANKS), SPLIT), 4)
+    files = library_coder()
     for at in range(0, len(texts), 500):
         some = texts[at : at + 500]
         assert [np.frombuffer(i, "<u4").tolist() for i in trees(some)] == list(map(reference.encode_ordinary, some))
@@ -102,7 +151,7 @@ def test_code_points(reference, library):
 
 
 def test_table_of_units_may_overflow(reference):
-    code = UnitCoder(op2.unit_encoder(op2.read_ranks(RANKS), SPLIT), max_units=2)
+    code = UnitCoder(op2.unit_encoder(op2.read_ranks(RANKS), SPLIT), 4, max_units=2)
     for text in ("a b c", "c b a d", "", "a  b"):
         assert np.frombuffer(code([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
 
