@@ -35,7 +35,7 @@ MAGIC = b"TOKRANK1"
 HEADER = "<8sQQQQQ"
 FILE_IDS = 8_000_000
 FILES_PER_READ = 100_000
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 GROUP_CHARS = 2_000
 
 

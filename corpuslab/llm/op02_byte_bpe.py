@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, map_batches, slices, texts
 from .units import UnitCoder, worker_table
 
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 BATCH_BYTES = 64
 BATCH_PIECES = 20_000
 NONE = np.int64(2**62)
