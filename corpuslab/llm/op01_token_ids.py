@@ -9,7 +9,7 @@ A control byte describes 8 values of 1 or 2 bytes (vocabularies of up to
 Rows with null text have only the end id; special strings in a text get the
 ids that the library gives them; very long texts are encoded by units like
 others, and units of over 100 characters wherever they occur; rows with null
-doc_id come first; repeated doc_ids are kept, in the order of their ids; an
+doc_id come first; repeated doc_ids are kept, in the order of a hash of their ids; an
 empty table gives no files and no rows; columns besides doc_id and text are
 not read.
 """
@@ -236,8 +236,9 @@ def write_token_files(
 
     parts = max(spark.sparkContext.defaultParallelism, -(-int(counts.sum()) // file_ids))
     # Rows without doc_id and repeated rows spread over ranges as well.
-    order = ("doc_id", "ids", "row")
-    ordered = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    order = ("doc_id", "key", "row")
+    keyed = ids.withColumn("key", F.xxhash64("ids"))
+    ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
 
     def make():
         from pyspark import TaskContext
