@@ -21,6 +21,16 @@ def texts(docs: DataFrame, *keep: str | Column) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *keep)
 
 
+def sampled_texts(docs: DataFrame, rows: int) -> DataFrame:
+    """Different texts (null: empty) of about ``rows`` documents, at most, with
+    the number of their copies as ``copies``. A hash of the text chooses, so the
+    sample does not depend on partitions, and copies are one row."""
+    share = min(1.0, rows / max(1, docs.count()))
+    key = F.xxhash64("text")
+    chosen = texts(docs).select("text").filter(F.pmod(key, F.lit(1 << 30)) < int(share * (1 << 30)))
+    return chosen.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Texts may be long, so batches are kept to ``BATCH_ROWS`` rows: the
     session setting is lowered where it is larger."""

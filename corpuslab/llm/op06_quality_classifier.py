@@ -7,12 +7,14 @@ share of good texts and, for each heuristic, how often it votes which way on
 good and on bad ones, without any true label. The posteriors of a bounded
 sample of ``TRAIN_DOCS`` documents then train a logistic scorer on hashed
 tokens, which scores every document; it also judges where the heuristics have
-no opinion.
-
-Null and empty texts get no opinion from any heuristic, and a score from their
-few tokens; repeated rows are each scored; an
-empty table gives no rows; columns besides doc_id and text are not read. Where
-the sample has no doubt at all (one class), every score is the estimated share.
+no opinion. The sample is chosen by a hash of the text; a text with copies is
+one row of it, weighted by their number.
+
+Null and empty texts get no opinion from any heuristic, and a score from how
+varied they are; long texts are scored whole, in batches of bounded size;
+repeated rows are each scored; scores of exactly one half are kept; an empty
+table gives no rows; columns besides doc_id and text are not read. Where all of
+the sample is of one class, every score is the estimated share.
 """
 
 from __future__ import annotations
@@ -20,22 +22,21 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from corpuslab.functions.arrays import once
-from corpuslab.session import via_table
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, map_batches, texts
+from .common import documents, map_batches, sampled_texts, slices, texts
 from .op08_quality_rules import View
+from .wordhash import FOLD, Powers, words_of
 
 TRAIN_DOCS = 4_000
 HASHED = 1 << 14
+#: Hashed tokens, and how varied the words are.
+WIDTH = HASHED + 11
+STEPS, RATE, SHRINK = 150, 0.05, 1e-4
+SLICE_CHARS = 1_000_000
 ROUNDS = 200
 KEPT_FROM = 0.5
 GOOD, BAD, SILENT = 1, 0, 2
@@ -170,55 +171,121 @@ def estimate(
     return dict(zip(patterns, chance.tolist(), strict=True)), float(share), given
 
 
-def tokens() -> Column:
-    """What the scorer sees: words, runs of symbols, and how varied the words are."""
-    variety = F.floor(10 * F.size(F.array_distinct("_words")) / F.greatest(F.size("_words"), F.lit(1)))
-    marks = F.transform(F.regexp_extract_all("text", F.lit(r"([^\p{L}\p{N}\s]+)"), F.lit(1)), lambda m: F.concat(F.lit("\x01"), m))
-    return F.concat("_words", marks, F.array(F.concat(F.lit("\x02"), variety.cast("string"))))
+# ---- the scorer
+
+#: Runs of visible ASCII characters that are neither letters nor digits.
+MARK_RUNS = np.array([b if 33 <= b <= 126 and not chr(b).isalnum() else 0 for b in range(256)], np.uint8)
+MARK_SALT = np.uint64(0x5851F42D4C957F2D)
+
+
+def features_of(batch: list[str], held: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """What the scorer sees of each text, as numbers below ``WIDTH`` with the
+    places where each text's begin: its hashed words, its hashed runs of marks,
+    and how varied its words are, in tenths."""
+    docs = np.arange(len(batch))
+    parts = []
+    for fold, salt in ((FOLD, np.uint64(0)), (MARK_RUNS, MARK_SALT)):
+        found = words_of(batch, held, fold)
+        doc = np.repeat(docs, np.diff(found.first))
+        parts.append(doc * WIDTH + ((found.hash ^ salt) % np.uint64(HASHED)).astype(np.int64))
+        if fold is FOLD:
+            order = np.lexsort((found.hash, doc))
+            first = np.ones(len(order), bool)
+            first[1:] = (np.diff(doc[order]) != 0) | (found.hash[order][1:] != found.hash[order][:-1])
+            different_words = np.bincount(doc[order][first], minlength=len(batch))
+            parts.append(docs * WIDTH + HASHED + 10 * different_words // np.maximum(1, np.diff(found.first)))
+    doc, feature = np.divmod(np.unique(np.concatenate(parts)), WIDTH)
+    return feature, np.searchsorted(doc, np.arange(len(batch) + 1))
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """A logistic model over the features."""
+
+    weight: np.ndarray
+    start: float
+
+    def __call__(self, feature: np.ndarray, first: np.ndarray) -> np.ndarray:
+        # Every text has at least its variety, so no part is empty.
+        margin = self.start + (np.add.reduceat(self.weight[feature], first[:-1]) if len(first) > 1 else 0)
+        return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
+
+
+def fitted(feature: np.ndarray, first: np.ndarray, chance: np.ndarray, copies: np.ndarray) -> Scorer:
+    """Weights for the cross entropy with the posteriors ``chance``, by ``STEPS``
+    full steps of momentum with a scale of their own for each weight."""
+    row = np.repeat(np.arange(len(chance)), np.diff(first))
+    model = Scorer(np.zeros(WIDTH), float(np.log((chance @ copies + 1) / ((1 - chance) @ copies + 1))))
+    total = copies.sum()
+    mean, square, mean_start, square_start = np.zeros(WIDTH), np.zeros(WIDTH), 0.0, 0.0
+    for step in range(1, STEPS + 1):
+        error = (model(feature, first) - chance) * copies / total
+        slope = np.bincount(feature, error[row], WIDTH) + SHRINK * model.weight
+        slope_start = error.sum()
+        mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
+        mean_start, square_start = 0.9 * mean_start + 0.1 * slope_start, 0.99 * square_start + 0.01 * slope_start**2
+        scale = RATE * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+        model = Scorer(
+            model.weight - scale * mean / (np.sqrt(square) + 1e-9),
+            model.start - scale * mean_start / (np.sqrt(square_start) + 1e-9),
+        )
+    return model
+
+
+def training_rows(docs: DataFrame, posterior: dict[str, float], train_docs: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Different texts of about ``train_docs`` documents from all parts of the
+    table, the posterior of each and how many documents it stands for."""
+
+    def make():
+        held = Powers()
+
+        def step(rows):
+            for some in slices(rows["text"], SLICE_CHARS):
+                feature, first = features_of(rows["text"][some], held)
+                yield {
+                    "features": [feature[a:b].astype("<i4").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)],
+                    "chance": [posterior.get(pattern_of(t), 0.5) for t in rows["text"][some]],
+                    "copies": rows["copies"][some],
+                }
+
+        return step
+
+    found = map_batches(sampled_texts(docs, train_docs), make, "features binary, chance double, copies bigint")
+    # Equal features and chances are one row, and the order does not depend on partitions.
+    one = found.groupBy("features", "chance").agg(F.sum("copies").alias("copies")).collect()
+    one.sort(key=lambda r: (bytes(r["features"]), r["chance"]))
+    return [bytes(r["features"]) for r in one], np.array([r["chance"] for r in one]), np.array([float(r["copies"]) for r in one])
 
 
-def with_tokens(rows: DataFrame) -> DataFrame:
-    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    cut = once(rows, _words=words)
-    return cut.withColumn("_tokens", tokens()).drop("_words")
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Scorer:
+    posterior, share, _ = estimate(pattern_counts(docs))
+    packed, chance, copies = training_rows(docs, posterior, train_docs)
+    if not packed or chance.max() < KEPT_FROM or chance.min() >= KEPT_FROM:
+        share = min(max(share, 1e-6), 1 - 1e-6)
+        return Scorer(np.zeros(WIDTH), float(np.log(share / (1 - share))))
+    first = np.append(0, np.cumsum([len(p) // 4 for p in packed]))
+    return fitted(np.frombuffer(b"".join(packed), "<i4"), first, chance, copies)
 
 
-def training_rows(docs: DataFrame, posterior: dict[str, float], train_docs: int) -> DataFrame:
-    """Two weighted rows for each of about ``train_docs`` documents from all
-    parts of the table: good with the posterior, bad with the rest."""
-    share = min(1.0, train_docs / max(1, docs.count()))
+def scored(docs: DataFrame, model: Scorer) -> DataFrame:
+    """Per row: doc_id, score (chance of good quality) and kept."""
 
     def make():
+        held = Powers()
+
         def step(rows):
-            chance = [posterior.get(pattern_of(t), 0.5) for t in rows["text"]]
-            yield {"text": rows["text"], "chance": chance}
+            for some in slices(rows["text"], SLICE_CHARS):
+                score = np.round(model(*features_of(rows["text"][some], held)), 6)
+                yield {"doc_id": rows["doc_id"][some], "score": score, "kept": score >= KEPT_FROM}
 
         return step
 
-    sampled = map_batches(texts(docs).select("text").sample(share, 7), make, "text string, chance double")
-    both = F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("chance").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (1 - F.col("chance")).alias("weight")),
-    )
-    return sampled.select("text", F.inline(both)).filter("weight > 0.001")
+    return map_batches(texts(docs), make, "doc_id bigint, score double, kept boolean")
 
 
 def quality_scores(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """Per row: doc_id, score (chance of good quality) and kept."""
-    posterior, share, _ = estimate(pattern_counts(docs))
-    train = via_table(training_rows(docs, posterior, train_docs), "weak-labels")
-    rows = texts(docs)
-    if train.select("label").distinct().count() < 2:
-        scored = rows.withColumn("score", F.lit(share))
-    else:
-        hashing = HashingTF(numFeatures=HASHED, binary=True, inputCol="_tokens", outputCol="_features")
-        scorer = LogisticRegression(
-            featuresCol="_features", labelCol="label", weightCol="weight", probabilityCol="_chance",
-            rawPredictionCol="_raw", predictionCol="_class", maxIter=25, regParam=0.01,
-        )
-        model = Pipeline(stages=[hashing, scorer]).fit(with_tokens(train))
-        scored = model.transform(with_tokens(rows)).withColumn("score", F.get(vector_to_array("_chance"), F.lit(1)))
-    return scored.select("doc_id", F.round("score", 6).alias("score"), (F.col("score") >= KEPT_FROM).alias("kept"))
+    """``scored`` by a model of the same documents."""
+    return scored(docs, train(docs, train_docs))
 
 
 def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:

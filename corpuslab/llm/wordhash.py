@@ -61,11 +61,12 @@ class Words:
         return self.folded[self.start[i] : self.end[i]].tobytes()
 
 
-def words_of(texts: list[str], held: Powers) -> Words:
+def words_of(texts: list[str], held: Powers, fold: np.ndarray = FOLD) -> Words:
+    """Words are runs of bytes that ``fold`` does not map to zero."""
     raw = [t.encode() for t in texts]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     # A zero after each text keeps words of neighbours apart.
-    folded = FOLD[np.frombuffer(b"\0".join(raw) + b"\0", np.uint8)]
+    folded = fold[np.frombuffer(b"\0".join(raw) + b"\0", np.uint8)]
     inside = np.concatenate([[False], folded != 0, [False]]).view(np.int8)
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[::2], edges[1::2]

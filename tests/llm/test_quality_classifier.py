@@ -1,9 +1,12 @@
 import itertools
+import math
 import random
+import re
 
 import numpy as np
 
-from corpuslab.llm import op06_quality_classifier as op6
+from corpuslab.llm import op06_quality_classifier as op6, wordhash
+from corpuslab.llm.common import sampled_texts
 
 from .helpers import ODD, docs_of, rows
 
@@ -105,3 +108,51 @@ def test_defects_after_the_first_thousand_words():
     assert (early["variety"], early["prose"]) == (str(op6.SILENT), str(op6.GOOD))
     # As varied at any length.
     assert votes(varied * 6)["prose"] == votes(varied[:1000])["prose"] == str(op6.GOOD)
+
+
+def plain_features(text):
+    """The scorer's features, word by word with whole numbers."""
+
+    def hashed(word, salt):
+        h = sum(b * pow(wordhash.BASE, i, 1 << 64) for i, b in enumerate(word)) % (1 << 64)
+        h ^= h >> 32
+        h = h * int(wordhash.MIX) % (1 << 64)
+        h ^= h >> 29
+        return (h ^ salt) % op6.HASHED
+
+    folded = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode()
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", folded)
+    marks = re.findall(rb"[!-/:-@\[-`{-~]+", (text or "").encode())
+    varied = 10 * len(set(words)) // max(1, len(words))
+    return {hashed(w, 0) for w in words} | {hashed(m, int(op6.MARK_SALT)) for m in marks} | {op6.HASHED + varied}
+
+
+def test_scores_against_plain_features(spark):
+    """Scores of all rows, recomputed from the model's weights text by text."""
+    docs = [*ODD, *mixed(60), (500, "### $$ ok"), (501, "ab" * 50_000 + " # " * 2_000)]
+    df = docs_of(spark, docs, clashing=True)
+    model = op6.train(df)
+    assert np.abs(model.weight).max() > 0
+    got = rows(op6.scored(df, model))
+    wanted = []
+    for doc_id, text in docs:
+        margin = model.start + sum(model.weight[f] for f in sorted(plain_features(text)))
+        wanted.append((doc_id, 1 / (1 + math.exp(-margin))))
+    got = sorted(((r["doc_id"], r["score"]) for r in got), key=str)
+    for (a, score), (b, plain) in zip(got, sorted(wanted, key=str), strict=True):
+        assert a == b and abs(score - plain) < 2e-6
+
+
+def test_sample_does_not_depend_on_partitions(spark):
+    docs = [*mixed(80), *[(1_000 + i, "one copied text of some words") for i in range(300)]]
+    one = op6.train(docs_of(spark, docs).repartition(1), 100)
+    many = op6.train(docs_of(spark, docs[::-1]).repartition(7), 100)
+    assert (one.weight == many.weight).all() and one.start == many.start
+    assert sampled_texts(docs_of(spark, docs), 380).filter("copies = 300").count() == 1
+
+
+def test_fit_reaches_the_posteriors():
+    feature, first = np.array([0, 2, 1, 2, 0, 1]), np.array([0, 2, 4, 6])
+    chance = np.array([0.9, 0.1, 0.5])
+    model = op6.fitted(feature, first, chance, np.array([1.0, 1.0, 1.0]))
+    assert np.abs(model(feature, first) - chance).max() < 0.1
