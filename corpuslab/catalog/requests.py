@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpuslab.functions.numbers import half_up
 from corpuslab.operators import requests as req
+from corpuslab.operators.spans import stage_durations
 from corpuslab.session import scratch_path
 from corpuslab.sources import files
 from corpuslab.streaming import requests as live
@@ -246,6 +247,52 @@ def o11_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_rate(req.request_rate(log(spark, sf), slide="20 seconds"))
 
 
+def sql_slid(span: int, slide: int, source: str = "log") -> str:
+    """Every row once for each window of ``span`` seconds that it falls into."""
+    return f"""slid AS (SELECT *, (us // {slide * 1_000_000} - k) * {slide} AS window_start
+      FROM {source}, range({span // slide}) r(k))"""
+
+
+@query(
+    "o11_request_rate_5m_15s",
+    f"""WITH {LOG}, {sql_slid(300, 15)}
+    SELECT window_start, model_version, status, count(*) AS requests, round(count(*) / 300, 9) AS rate
+    FROM slid GROUP BY ALL""",
+)
+def o11_panes(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded_rate(req.request_rate(log(spark, sf), "5 minutes", 300, "15 seconds"))
+
+
+@query(
+    "o13_entity_rate_5m_15s",
+    f"""WITH {LOG}, {sql_slid(300, 15, "entities")}
+    SELECT window_start, model_version, entity_type, CAST(sum(n) AS BIGINT) AS entities,
+      round(CAST(sum(n) AS BIGINT) / 300, 9) AS rate FROM slid GROUP BY ALL""",
+)
+def o13_panes(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded_rate(req.entity_rate(log(spark, sf), slide="15 seconds"))
+
+
+@query(
+    "o14_error_rate_5m_15s",
+    f"""WITH {LOG}, {sql_slid(300, 15)}
+    SELECT window_start, model_version, error_type, count(*) AS errors, round(count(*) / 300, 9) AS rate
+    FROM slid WHERE error_type IS NOT NULL GROUP BY ALL""",
+)
+def o14_panes(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded_rate(req.error_rate(log(spark, sf), slide="15 seconds"))
+
+
+@query(
+    "o15_bucket_rate_5m_1m",
+    f"""WITH {LOG}, {sql_slid(300, 60)},
+    {sql_buckets('slid', 'window_start, model_version', 'input_length', req.INPUT_LENGTH_BOUNDS)}
+    SELECT window_start, model_version, le, bucket, round(bucket / 300, 9) AS rate FROM bucket_rows""",
+)
+def o15_panes(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded_rate(req.bucket_rate(log(spark, sf), "input_length", req.INPUT_LENGTH_BOUNDS, slide="1 minute"))
+
+
 QUANTILES = f"""{LOG}, windowed AS (SELECT *, {sql_window(300)} FROM log),
 {sql_buckets('windowed', 'window_start, model_version', '(latency_ms / 1000)', req.LATENCY_BOUNDS)},
 stepped AS (
@@ -363,45 +410,91 @@ def o17(spark: SparkSession, sf: str) -> DataFrame:
     return found.drop("timestamp").withColumns({c: half_up(c, 6) for c in ("mean_latency_ms", "sla_pct")})
 
 
-@query(
-    "o18_active_requests",
-    f"""WITH {LOG}, edges AS (
+EDGES = """edges AS (
       SELECT (us // 60000000) * 60 AS span_start, 0 AS started, 1 AS ended FROM log
       UNION ALL
       SELECT ((us - CAST(round(coalesce(latency_ms, 0) * 1000) AS BIGINT)) // 60000000) * 60, 1, 0 FROM log),
     counted AS (SELECT span_start, CAST(sum(started) AS BIGINT) AS started, CAST(sum(ended) AS BIGINT) AS ended
-      FROM edges GROUP BY span_start)
-    SELECT *, CAST(sum(started - ended) OVER (ORDER BY span_start) AS BIGINT) AS in_flight FROM counted""",
+      FROM edges GROUP BY span_start)"""
+
+
+@query(
+    "o18_active_requests",
+    f"""WITH {LOG}, {EDGES},
+    grid AS (SELECT unnest(generate_series((SELECT min(span_start) FROM counted), (SELECT max(span_start) FROM counted), 60))
+      AS span_start),
+    filled AS (SELECT span_start, coalesce(started, 0) AS started, coalesce(ended, 0) AS ended
+      FROM grid LEFT JOIN counted USING (span_start))
+    SELECT *, CAST(sum(started - ended) OVER (ORDER BY span_start) AS BIGINT) AS in_flight FROM filled""",
 )
 def o18(spark: SparkSession, sf: str) -> DataFrame:
+    """Every minute between the first and the last edge has a row."""
     return req.active_requests(log(spark, sf))
 
 
-# Share of a request's time: its own, then the three stages inside it.
-STAGES = {"ner_inference": 1.0, "tokenization": 0.125, "model_inference": 0.625, "postprocessing": 0.125}
-
-
 @query(
-    "o19_stage_durations",
-    f"""WITH {LOG}, stages(name, share) AS (VALUES {', '.join(f"('{n}', CAST({s} AS DOUBLE))" for n, s in STAGES.items())})
-    SELECT name, count(*) AS spans, round(avg(latency_ms * share), 6) AS mean_ms,
-      round(avg(latency_ms * CASE name WHEN 'ner_inference' THEN 0.125 ELSE share END), 6) AS mean_self_ms
-    FROM log CROSS JOIN stages WHERE latency_ms IS NOT NULL GROUP BY name""",
+    "o18_active_requests_edges",
+    f"""WITH {LOG}, {EDGES}
+    SELECT *, CAST(sum(started - ended) OVER (ORDER BY span_start) AS BIGINT) AS in_flight FROM counted""",
 )
-def o19(spark: SparkSession, sf: str) -> DataFrame:
-    root = "ner_inference"
+def o18_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return req.active_requests(log(spark, sf), dense=False)
+
+
+# Name, parent, and first and last eighth of the request's time. Stages overlap, and one outlasts its parent.
+STAGES = [
+    ("ner_inference", None, 0, 8),
+    ("tokenization", "ner_inference", 0, 2),
+    ("model_inference", "ner_inference", 1, 6),
+    ("postprocessing", "ner_inference", 5, 9),
+    ("attention", "model_inference", 2, 4),
+    ("feed_forward", "model_inference", 3, 5),
+    ("export", "postprocessing", 7, 8),
+]
+
+
+def request_spans(spark: SparkSession, sf: str) -> DataFrame:
+    length = F.round(F.col("latency_ms") * 1000).cast("bigint")
+    begin = F.unix_micros("timestamp") - length
+
+    def eighth(n: int) -> Column:
+        return begin + F.floor(length * n / 8)
+
     parts = [
         F.struct(
             F.lit(name).alias("name"),
             F.lit(name).alias("span_id"),
-            F.lit(None if name == root else root).cast("string").alias("parent_id"),
-            (F.col("latency_ms") * share).alias("duration_ms"),
+            F.lit(parent).cast("string").alias("parent_id"),
+            eighth(first).alias("start_us"),
+            eighth(last).alias("end_us"),
         )
-        for name, share in STAGES.items()
+        for name, parent, first, last in STAGES
     ]
     answered = log(spark, sf).filter(F.col("latency_ms").isNotNull())
-    spans = answered.select(F.col("request_id").alias("trace_id"), F.inline(F.array(*parts)))
-    return req.stage_durations(spans).withColumns({c: F.round(c, 6) for c in ("mean_ms", "mean_self_ms")})
+    return answered.select(F.col("request_id").alias("trace_id"), F.inline(F.array(*parts)))
+
+
+SQL_STAGES = ", ".join(f"('{n}', {repr(p) if p else 'NULL'}, {a}, {b})" for n, p, a, b in STAGES)
+
+
+@query(
+    "o19_stage_durations",
+    f"""WITH {LOG}, stages(name, parent, a, b) AS (VALUES {SQL_STAGES}),
+    timed AS (SELECT request_id, us, CAST(round(latency_ms * 1000) AS BIGINT) AS n FROM log WHERE latency_ms IS NOT NULL),
+    spans AS (SELECT request_id, name, parent, us - n + (n * a) // 8 AS s, us - n + (n * b) // 8 AS e FROM timed CROSS JOIN stages),
+    inside AS (SELECT c.request_id, c.parent, c.name, greatest(c.s, p.s) AS s, least(c.e, p.e) AS e
+      FROM spans c JOIN spans p ON c.request_id = p.request_id AND c.parent = p.name),
+    islands AS (SELECT *, max(e) OVER (PARTITION BY request_id, parent ORDER BY s, e, name
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM inside WHERE e > s),
+    covered AS (SELECT request_id, parent AS name, CAST(sum(greatest(0, e - greatest(s, coalesce(reached, s)))) AS BIGINT) AS us
+      FROM islands GROUP BY ALL)
+    SELECT name, count(*) AS spans, round(avg(e - s) / 1000, 6) AS mean_ms,
+      round(avg(e - s - coalesce(covered.us, 0)) / 1000, 6) AS mean_self_ms
+    FROM spans LEFT JOIN covered USING (request_id, name) GROUP BY name""",
+)
+def o19(spark: SparkSession, sf: str) -> DataFrame:
+    found = stage_durations(request_spans(spark, sf))
+    return found.withColumns({c: F.round(c, 6) for c in ("mean_ms", "mean_self_ms")})
 
 
 @query(

@@ -6,13 +6,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuslab.functions.numbers import exact_decimals
 
+from .panes import pane_of, sliding
 from .ranks import nearest_ranks
 from .scan import Running, running, running_count
 from .skew import join_keys, small_side
+from .spans import on_grid
 
 By = list[str | Column]
 
@@ -147,35 +151,69 @@ def per_second(counted: DataFrame, count: str, seconds: int, rate: str = "rate")
     )
 
 
+def over_windows(
+    counted: Callable[[Column], DataFrame], keys: list[str], counts: list[str], span: str, slide: str | None
+) -> DataFrame:
+    """Counts of ``counted`` (given the time window to group by) over windows of
+    ``span``; with ``slide`` events are counted by panes, which add up."""
+    if slide is None:
+        return counted(F.window("timestamp", span))
+    return sliding(counted(pane_of("timestamp", span, slide)), keys, counts, span, slide)
+
+
 def request_rate(log: DataFrame, span: str = "1 minute", seconds: int = 60, slide: str | None = None) -> DataFrame:
-    return per_second(request_counts(log, [F.window("timestamp", span, slide)]), "requests", seconds)
+    counted = over_windows(lambda w: request_counts(log, [w]), ["model_version", "status"], ["requests"], span, slide)
+    return per_second(counted, "requests", seconds)
 
 
 def entity_rate(log: DataFrame, span: str = "5 minutes", seconds: int = 300, slide: str | None = None) -> DataFrame:
-    return per_second(entity_counts(log, [F.window("timestamp", span, slide)]), "entities", seconds)
+    counted = over_windows(lambda w: entity_counts(log, [w]), ["model_version", "entity_type"], ["entities"], span, slide)
+    return per_second(counted, "entities", seconds)
 
 
 def error_rate(log: DataFrame, span: str = "5 minutes", seconds: int = 300, slide: str | None = None) -> DataFrame:
-    return per_second(error_counts(log, [F.window("timestamp", span, slide)]), "errors", seconds)
+    counted = over_windows(lambda w: error_counts(log, [w]), ["model_version", "error_type"], ["errors"], span, slide)
+    return per_second(counted, "errors", seconds)
+
+
+def windowed_buckets(
+    df: DataFrame, keys: list[str], value: str | Column, bounds: list[float], span: str, slide: str | None
+) -> DataFrame:
+    """``buckets`` without the sum, over time windows; panes add up per counter."""
+    if slide is None:
+        return buckets(df, [F.window("timestamp", span), *keys], value, bounds).drop("sum")
+    names = [f"_le{i}" for i in range(len(bounds))]
+
+    def counted(window: Column) -> DataFrame:
+        found = buckets(df, [window, *keys], value, bounds)
+        return found.select("window", *keys, *[F.get("cumulative", i).alias(n) for i, n in enumerate(names)], "count")
+
+    added = over_windows(counted, keys, [*names, "count"], span, slide)
+    return added.select("window", *keys, "count", F.array(*names, "count").alias("cumulative"))
 
 
 def windowed_quantiles(log: DataFrame, span: str = "5 minutes", slide: str | None = None) -> DataFrame:
-    found = latency_quantiles(log, [F.window("timestamp", span, slide), "model_version"])
-    return found.select(
-        F.col("window.start").alias("window_start"), *[c for c in found.columns if c != "window"]
-    )
+    answered = log.filter(F.col("latency_ms").isNotNull())
+    counted = windowed_buckets(answered, ["model_version"], latency_seconds(), LATENCY_BOUNDS, span, slide)
+    found = [bucket_quantile(F.col("cumulative"), LATENCY_BOUNDS, q).alias(f"p{q * 100:g}") for q in (0.5, 0.95, 0.99)]
+    return counted.select(F.col("window.start").alias("window_start"), "model_version", "count", *found)
 
 
 def bucket_rate(
-    df: DataFrame, value: str, bounds: list[float], span: str = "5 minutes", seconds: int = 300
+    df: DataFrame,
+    value: str,
+    bounds: list[float],
+    span: str = "5 minutes",
+    seconds: int = 300,
+    slide: str | None = None,
 ) -> DataFrame:
     """Rate per second of every bucket of ``value``."""
     known = df.filter(F.col(value).isNotNull())
-    counted = buckets(known, [F.window("timestamp", span), "model_version"], value, bounds)
-    return per_second(bucket_rows(counted.drop("sum", "count"), bounds), "bucket", seconds)
+    counted = windowed_buckets(known, ["model_version"], value, bounds, span, slide)
+    return per_second(bucket_rows(counted.drop("count"), bounds), "bucket", seconds)
 
 
-# ---- load tests, sessions, gauges, spans
+# ---- load tests, sessions, gauges
 
 
 def load_test_summary(results: DataFrame, by: list[str], group_rows: int | None = None) -> DataFrame:
@@ -227,8 +265,11 @@ def session_metrics(
     )
 
 
-def active_requests(log: DataFrame, span_seconds: int = 60, group_rows: int | None = None) -> DataFrame:
-    """Requests in flight at the end of every time span in which one began or ended.
+def active_requests(
+    log: DataFrame, span_seconds: int = 60, group_rows: int | None = None, dense: bool = True
+) -> DataFrame:
+    """Requests in flight at the end of every time span between the first and
+    the last in which one began or ended; without ``dense`` of those spans only.
 
     A log line is written when a request ends, so it began latency_ms earlier.
     """
@@ -245,7 +286,7 @@ def active_requests(log: DataFrame, span_seconds: int = 60, group_rows: int | No
 
     edges = log.select(F.inline(F.array(edge(begin, 1, 0), edge(end, 0, 1))))
     counted = edges.groupBy("span_start").agg(F.sum("started").alias("started"), F.sum("ended").alias("ended"))
-    return running(
+    gauge = running(
         counted,
         [],
         ["span_start"],
@@ -253,20 +294,7 @@ def active_requests(log: DataFrame, span_seconds: int = 60, group_rows: int | No
         group_rows,
         sizing=edges,
     )
-
-
-def stage_durations(spans: DataFrame) -> DataFrame:
-    """Per span name: number, mean duration and mean time not spent in child spans."""
-    children = (
-        spans.filter(F.col("parent_id").isNotNull())
-        .groupBy(F.col("trace_id"), F.col("parent_id").alias("span_id"))
-        .agg(F.sum("duration_ms").alias("_children"))
-    )
-    timed = spans.join(children, ["trace_id", "span_id"], "left")
-    own = F.col("duration_ms") - F.coalesce("_children", F.lit(0.0))
-    return timed.groupBy("name").agg(
-        F.count(F.lit(1)).alias("spans"), F.avg("duration_ms").alias("mean_ms"), F.avg(own).alias("mean_self_ms")
-    )
+    return on_grid(gauge, "span_start", "in_flight", ["started", "ended"], span_seconds, group_rows) if dense else gauge
 
 
 def freshness(log: DataFrame, as_of: Column | None = None, max_age_seconds: int | None = None) -> DataFrame:

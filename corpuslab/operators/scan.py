@@ -29,7 +29,8 @@ GROUP = "_group"
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: ``kind`` is sum, max, last or previous."""
+    """One running value: ``kind`` is sum, max, max_before (without the current
+    row), last or previous."""
 
     name: str
     kind: str
@@ -128,6 +129,8 @@ def running(
             return F.sum(v.value).over(so_far)
         if v.kind == "max":
             return F.max(v.value).over(so_far)
+        if v.kind == "max_before":
+            return F.max(v.value).over(rows.rowsBetween(Window.unboundedPreceding, -1))
         if v.kind == "last":
             return F.last(v.value, ignorenulls=True).over(so_far)
         if v.kind == "previous":
@@ -154,7 +157,7 @@ def _add_carry(
     def total(v: Running) -> Column:
         if v.kind == "sum":
             return F.sum(v.value)
-        if v.kind == "max":
+        if v.kind in ("max", "max_before"):
             return F.max(v.value)
         if v.kind == "last":
             return F.max_by(v.value, F.when(v.value.isNotNull(), at))
@@ -175,6 +178,7 @@ def _add_carry(
     carried = {
         "sum": lambda c: F.sum(c).over(before),
         "max": lambda c: F.max(c).over(before),
+        "max_before": lambda c: F.max(c).over(before),
         "last": lambda c: F.last(c, ignorenulls=True).over(before),
         "previous": lambda c: F.last(c).over(before),
     }
@@ -187,7 +191,7 @@ def _add_carry(
         here, earlier = F.col(v.name), F.col(f"_c_{v.name}")
         if v.kind == "sum":
             return F.when(here.isNull(), earlier).otherwise(here + F.coalesce(earlier, F.lit(0)))
-        if v.kind == "max":
+        if v.kind in ("max", "max_before"):
             return F.greatest(here, earlier)
         return F.coalesce(here, earlier)
 

@@ -147,17 +147,15 @@ def test_active_requests(spark, group_rows):
         [(START + timedelta(seconds=e), d) for e, d in rows], "timestamp timestamp, latency_ms double"
     )
     base = int(START.timestamp())
-    got = {r.span_start - base: (r.started, r.ended, r.in_flight) for r in req.active_requests(df, group_rows=group_rows).collect()}
-    assert got == {0: (2, 0, 2), 60: (2, 2, 2), 120: (1, 2, 1), 360: (0, 1, 0)}
+    for dense in (False, True):
+        found = req.active_requests(df, group_rows=group_rows, dense=dense).collect()
+        got = {r.span_start - base: (r.started, r.ended, r.in_flight) for r in found}
+        steps = {180: (0, 0, 1), 240: (0, 0, 1), 300: (0, 0, 1)} if dense else {}
+        assert got == {0: (2, 0, 2), 60: (2, 2, 2), 120: (1, 2, 1), 360: (0, 1, 0), **steps} and len(found) == len(got)
+    assert req.active_requests(df.limit(0)).count() == 0
 
 
-def test_stages_freshness_and_load_test(spark, log):
-    spans = spark.createDataFrame(
-        [("t", "a", None, "request", 10.0), ("t", "b", "a", "tokenize", 2.0), ("t", "c", "a", "infer", 7.0), ("u", "a", None, "request", 4.0)],
-        "trace_id string, span_id string, parent_id string, name string, duration_ms double",
-    )
-    got = {r.name: (r.spans, r.mean_ms, r.mean_self_ms) for r in req.stage_durations(spans).collect()}
-    assert got == {"request": (2, 7.0, 2.5), "tokenize": (1, 2.0, 2.0), "infer": (1, 7.0, 7.0)}
+def test_freshness_and_load_test(spark, log):
     now = F.lit(START + timedelta(seconds=900)).cast("timestamp")
     assert {r.status for r in req.freshness(log).collect()} == {"healthy"}
     assert {r.status for r in req.freshness(log, now, 100_000).collect()} == {"healthy"}
