@@ -10,6 +10,8 @@ from corpuslab.operators.spans import stage_durations
 from corpuslab.session import scratch_path
 from corpuslab.sources import files
 from corpuslab.streaming import requests as live
+from corpuslab.streaming.late import accounted, late_counts, write_late_counts
+from corpuslab.streaming.stateful import active_requests_stream, ordered_session_numbers, rocksdb_state
 
 from . import tables as t, tokens as tok
 from .registry import registry
@@ -581,6 +583,125 @@ def o17_stream(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+FILES = 6
+#: Every fortieth event is written two files later than its time says.
+ARRIVED = f"""bounds AS (SELECT min(us) AS low, max(us) AS high FROM log),
+arrived AS (SELECT log.*, least({FILES - 1}, {FILES} * (us - low) // (high - low + 1)
+  + CASE WHEN event_id % 40 = 0 THEN 2 ELSE 0 END) AS file FROM log, bounds)"""
+
+
+def arriving_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log as a stream of ``FILES`` files, one to a micro-batch, with late rows."""
+    events = t.table(spark, sf, "events")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(us), F.max(us)).first()
+    if low is None:
+        low, high = 0, 0
+    file = F.least(
+        F.lit(FILES - 1),
+        F.floor(FILES * (us - low) / (high - low + 1)) + F.when(F.col("event_id") % 40 == 0, 2).otherwise(0),
+    )
+    rows, path = as_log(events.withColumn("file", file), "user_id", "file"), scratch_path(spark, "arriving")
+    for i in range(FILES):
+        rows.filter(F.col("file") == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+SESSION_GAP, LATE_DAYS = 6 * 3600, 11
+
+
+@query(
+    "o17_session_numbers_stream",
+    f"""WITH {LOG}, answered AS (
+      SELECT *, us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id) > {SESSION_GAP * 1_000_000} AS starts
+      FROM log WHERE latency_ms IS NOT NULL),
+    parts AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY us, event_id) AS part
+      FROM answered),
+    numbered AS (SELECT user_id, request_id, us AS at_us, row_number() OVER w AS requests,
+      CAST(sum(chemical + disease) OVER w AS BIGINT) AS entities,
+      {t.sql_half_up('CAST(sum(CAST(latency_ms AS DECIMAL(18, 6))) OVER w AS DOUBLE) / row_number() OVER w', 6)}
+        AS mean_latency_ms,
+      {t.sql_half_up('CAST(sum(CASE WHEN latency_ms < 50 THEN 1 ELSE 0 END) OVER w AS BIGINT) * 100 / row_number() OVER w', 6)}
+        AS sla_pct
+    FROM parts WINDOW w AS (PARTITION BY user_id, part ORDER BY us, event_id ROWS UNBOUNDED PRECEDING))
+    SELECT * FROM numbered
+    WHERE at_us <= (SELECT max(us) // 1000 * 1000 - {LATE_DAYS * 86_400_000_000} FROM answered)""",
+)
+def o17_numbers_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers of all requests the watermark has passed; late rows are counted in their place."""
+    stream = arriving_log(spark, sf)
+    with rocksdb_state(spark):
+        done = _streamed(spark, ordered_session_numbers(stream, "user_id", SESSION_GAP, f"{LATE_DAYS} days"), "session-numbers")
+    return done.withColumns({c: half_up(c, 6) for c in ("mean_latency_ms", "sla_pct")})
+
+
+@query(
+    "o17_session_metrics_gap",
+    f"""WITH {LOG}, answered AS (
+      SELECT *, us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id) > {SESSION_GAP * 1_000_000} AS starts
+      FROM log WHERE latency_ms IS NOT NULL),
+    parts AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY us, event_id) AS part
+      FROM answered)
+    SELECT user_id, event_id, row_number() OVER w AS requests, CAST(sum(chemical + disease) OVER w AS BIGINT) AS entities
+    FROM parts WINDOW w AS (PARTITION BY user_id, part ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)""",
+)
+def o17_gap(spark: SparkSession, sf: str) -> DataFrame:
+    rows = as_log(t.table(spark, sf, "events"), "event_id", "user_id")
+    found = req.session_metrics(rows, "user_id", ["timestamp", "event_id"], gap_seconds=SESSION_GAP)
+    return found.select("user_id", "event_id", "requests", "entities")
+
+
+@query(
+    "o18_active_requests_stream",
+    f"""WITH {LOG}, edges AS (
+      SELECT model_version, us AS edge_us, 0 AS started, 1 AS ended FROM log
+      UNION ALL
+      SELECT model_version, us - CAST(round(coalesce(latency_ms, 0) * 1000) AS BIGINT), 1, 0 FROM log),
+    minutes AS (SELECT model_version, (edge_us // 60000000) * 60 AS span_start, CAST(sum(started) AS BIGINT) AS started,
+      CAST(sum(ended) AS BIGINT) AS ended FROM edges GROUP BY 1, 2),
+    counted AS (SELECT * FROM minutes
+      WHERE (span_start + 60) * 1000000 <= (SELECT max(edge_us) // 1000 * 1000 - 600000000 FROM edges)),
+    grid AS (SELECT model_version, unnest(generate_series(min(span_start), max(span_start), 60)) AS span_start
+      FROM counted GROUP BY model_version),
+    filled AS (SELECT model_version, span_start, coalesce(started, 0) AS started, coalesce(ended, 0) AS ended
+      FROM grid LEFT JOIN counted USING (model_version, span_start))
+    SELECT *, CAST(sum(started - ended) OVER (PARTITION BY model_version ORDER BY span_start) AS BIGINT) AS in_flight
+    FROM filled""",
+)
+def o18_stream(spark: SparkSession, sf: str) -> DataFrame:
+    with rocksdb_state(spark):
+        return _streamed(spark, active_requests_stream(stream_log(spark, sf), "model_version"), "gauge")
+
+
+@query(
+    "o21_late_accounting",
+    f"""WITH {LOG}, {ARRIVED},
+    windowed AS (SELECT *, {sql_window(60)} FROM arrived),
+    newest AS (SELECT file, max(us) AS us FROM arrived GROUP BY file),
+    marks AS (SELECT f.file, max(n.us) // 1000 * 1000 - 600000000 AS mark
+      FROM (SELECT DISTINCT file FROM arrived) f JOIN newest n ON n.file < f.file - 1 GROUP BY f.file),
+    judged AS (SELECT w.*, coalesce((window_start + 60) * 1000000 <= mark, false) AS late
+      FROM windowed w LEFT JOIN marks USING (file)),
+    counts AS (SELECT window_start, model_version, status, count(*) AS requests,
+      count(*) FILTER (NOT late) AS streamed, count(*) FILTER (late) AS late FROM judged GROUP BY ALL)
+    SELECT * FROM counts WHERE (window_start + 60) * 1000000 <= (SELECT max(us) // 1000 * 1000 - 600000000 FROM log)""",
+)
+def o21_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed windows: requests in all, those the stream counted, and those that came too late."""
+    stream, keys = arriving_log(spark, sf), ["model_version", "status"]
+    counted = _streamed(spark, req.request_counts(live.watermarked(stream), [F.window("timestamp", "1 minute")]), "closed")
+    path = scratch_path(spark, "late")
+    marked = stream.withColumn("status", req.request_status(stream))
+    write_late_counts(marked, keys, "1 minute", live.WATERMARK, path, scratch_path(spark, "late-state")).awaitTermination()
+    every = req.request_counts(log(spark, sf), [F.window("timestamp", "1 minute")])
+    found = accounted(every, counted, late_counts(spark, path, keys), keys, "requests")
+    newest = log(spark, sf).agg(F.max(F.unix_micros("timestamp"))).scalar()
+    closed = F.unix_micros("window.end") <= F.floor(newest / 1000) * 1000 - 600_000_000
+    return found.filter(closed).select(
+        F.unix_seconds("window.start").alias("window_start"), *keys, F.col("all").alias("requests"), "streamed", "late"
+    )
+
+
 def _with_retries(log_rows: DataFrame) -> DataFrame:
     """Every failed request is logged again half a minute later."""
     again = log_rows.filter(F.col("level") == "ERROR")

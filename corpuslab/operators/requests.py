@@ -231,12 +231,31 @@ def load_test_summary(results: DataFrame, by: list[str], group_rows: int | None
     return join_keys(counted, p95, by, "left")
 
 
+def by_gap(log: DataFrame, session: str, order: list[str], gap_seconds: int, group_rows: int | None = None) -> DataFrame:
+    """``log`` with ``_part``: the number of gaps of more than ``gap_seconds``
+    before a row in its session. ``order`` begins with a timestamp."""
+    at = F.unix_micros(order[0])
+    before = running(log, [session], order, [Running("_before", "previous", at)], group_rows)
+    new = (at - F.col("_before") > gap_seconds * 1_000_000).cast("bigint")
+    return running(before, [session], order, [Running("_part", "sum", F.coalesce(new, F.lit(0)))], group_rows).drop("_before")
+
+
 def session_metrics(
-    log: DataFrame, session: str, order: list[str], limit_ms: float = SLA_MS, group_rows: int | None = None
+    log: DataFrame,
+    session: str,
+    order: list[str],
+    limit_ms: float = SLA_MS,
+    group_rows: int | None = None,
+    gap_seconds: int | None = None,
 ) -> DataFrame:
     """Per answered request: requests, entities, mean latency and share below
-    the limit so far in its session. Long sessions are scanned in blocks."""
+    the limit so far in its session. Long sessions are scanned in blocks. With
+    ``gap_seconds`` a session ends after as long without a request, and the
+    numbers begin again."""
     answered = log.filter(F.col("latency_ms").isNotNull())
+    keys = [session]
+    if gap_seconds is not None:
+        answered, keys = by_gap(answered, session, order, gap_seconds, group_rows), [session, "_part"]
     entities = F.aggregate(
         F.map_values(F.coalesce("entity_counts", F.create_map().cast("map<string,int>"))),
         F.lit(0).cast("bigint"),
@@ -245,7 +264,7 @@ def session_metrics(
     exact = exact_decimals(answered, ["latency_ms"])["latency_ms"]
     scanned = running(
         answered.withColumn("_entities", entities),
-        [session],
+        keys,
         order,
         [
             running_count("requests"),
@@ -265,6 +284,17 @@ def session_metrics(
     )
 
 
+def edges_of() -> Column:
+    """Begin and end of a request, with what they add to started and ended."""
+    end = F.unix_micros("timestamp")
+    begin = end - F.round(F.coalesce("latency_ms", F.lit(0.0)) * 1000).cast("bigint")
+
+    def edge(at: Column, started: int, ended: int) -> Column:
+        return F.struct(F.timestamp_micros(at).alias("edge"), F.lit(started).alias("started"), F.lit(ended).alias("ended"))
+
+    return F.array(edge(begin, 1, 0), edge(end, 0, 1))
+
+
 def active_requests(
     log: DataFrame, span_seconds: int = 60, group_rows: int | None = None, dense: bool = True
 ) -> DataFrame:
@@ -273,18 +303,8 @@ def active_requests(
 
     A log line is written when a request ends, so it began latency_ms earlier.
     """
-    end = F.unix_micros("timestamp")
-    begin = end - F.round(F.coalesce("latency_ms", F.lit(0.0)) * 1000).cast("bigint")
-    width = span_seconds * 1_000_000
-
-    def edge(at: Column, started: int, ended: int) -> Column:
-        return F.struct(
-            (F.floor(at / width) * span_seconds).alias("span_start"),
-            F.lit(started).alias("started"),
-            F.lit(ended).alias("ended"),
-        )
-
-    edges = log.select(F.inline(F.array(edge(begin, 1, 0), edge(end, 0, 1))))
+    span_start = F.floor(F.unix_micros("edge") / (span_seconds * 1_000_000)) * span_seconds
+    edges = log.select(F.inline(edges_of())).withColumn("span_start", span_start)
     counted = edges.groupBy("span_start").agg(F.sum("started").alias("started"), F.sum("ended").alias("ended"))
     gauge = running(
         counted,

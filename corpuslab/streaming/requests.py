@@ -31,7 +31,8 @@ def first_per_request(log: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return named.unionByName(marked.filter(F.col("request_id").isNull()))
 
 
-def _entities() -> Column:
+def entities_of() -> Column:
+    """Entities found by a request."""
     counts = F.map_values(F.coalesce("entity_counts", F.create_map().cast("map<string,int>")))
     return F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, n: a + n)
 
@@ -46,7 +47,7 @@ def session_numbers(
     without a request, and is forgotten once the watermark has passed that end.
     """
     rows = watermarked(log.filter(F.col("latency_ms").isNotNull()), delay).select(
-        session, "timestamp", "latency_ms", _entities().alias("entities")
+        session, "timestamp", "latency_ms", entities_of().alias("entities")
     )
     key = rows.schema[session]
     out = T.StructType(
@@ -96,7 +97,7 @@ def session_totals(log: DataFrame, session: str, gap: str = "30 minutes", delay:
     answered = watermarked(log.filter(F.col("latency_ms").isNotNull()), delay)
     totals = answered.groupBy(F.session_window("timestamp", gap), session).agg(
         F.count(F.lit(1)).alias("requests"),
-        F.sum(_entities()).alias("entities"),
+        F.sum(entities_of()).alias("entities"),
         F.avg("latency_ms").alias("mean_latency_ms"),
         (F.avg((F.col("latency_ms") < SLA_MS).cast("double")) * 100).alias("sla_pct"),
     )
