@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpuslab.functions.numbers import half_up
-from corpuslab.operators import requests as req
+from corpuslab.operators import requests as req, sketches
+from corpuslab.operators.skew import join_keys
 from corpuslab.operators.spans import stage_durations
-from corpuslab.session import scratch_path
+from corpuslab.session import scratch_path, via_table
 from corpuslab.sources import files
 from corpuslab.streaming import requests as live
 from corpuslab.streaming.late import accounted, late_counts, write_late_counts
@@ -320,6 +321,34 @@ def o12(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 9) for c in ("p50", "p95", "p99")})
 
 
+@query(
+    "o12_merged_sketches",
+    f"""WITH {LOG}, days AS (SELECT (us // 864000000000) * 864000 AS window_start, model_version, latency_ms FROM log)
+    SELECT window_start, model_version, count(*) AS count, true AS p50_near, true AS p95_near, true AS p99_near
+    FROM days WHERE latency_ms IS NOT NULL GROUP BY ALL""",
+)
+def o12_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches of every minute, stored, then merged over ten days: whether the
+    rank of each quantile among the rows is within the stated error."""
+    rows, span = log(spark, sf).filter(F.col("latency_ms").isNotNull()), "10 days"
+    stored = via_table(sketches.latency_sketches(rows, ["model_version"]), "minute-sketches")
+    keys = ["model_version"]
+    found = sketches.sketch_quantiles(sketches.merged(stored, [sketches.later_window(span), *keys]))
+    wide = rows.withColumn("window", F.window("timestamp", span))
+    # Three times the error: the stated one holds with 99 % confidence.
+    slack = 3 * sketches.rank_error()
+    names = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    both = join_keys(wide.select("window", *keys, "latency_ms"), found, ["window", *keys])
+    below = [F.count_if(F.col("latency_ms") < F.col(p)).alias(f"_below_{p}") for p in names]
+    upto = [F.count_if(F.col("latency_ms") <= F.col(p)).alias(f"_upto_{p}") for p in names]
+    ranked = both.groupBy("window", *keys, "count").agg(*below, *upto)
+    near = [
+        ((F.col(f"_below_{p}") <= (q + slack) * F.col("count")) & (F.col(f"_upto_{p}") >= (q - slack) * F.col("count"))).alias(f"{p}_near")
+        for p, q in names.items()
+    ]
+    return ranked.select(F.unix_seconds("window.start").alias("window_start"), *keys, "count", *near)
+
+
 @query(
     "o13_entity_rate",
     f"""WITH {LOG} SELECT {sql_window(300)}, model_version, entity_type, CAST(sum(n) AS BIGINT) AS entities,

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpuslab.session import via_table
+
 from .labelling import IGNORE, LABELS
 from .ranks import percentiles
 from .scan import Running, running, running_count
@@ -299,10 +301,11 @@ def select_checkpoint(
     """Best epoch of each run. An epoch counts as better by more than
     ``min_delta``; after ``patience`` epochs without one the run stops.
 
-    Only a value above all earlier ones can be better, so just these rows of
-    each run are folded in order; which rows they are is found by a scan that
-    splits long runs. F1 stated with 4 places rises at most 10 000 times in a run;
-    with more places a run may have as many such rows as it has epochs.
+    Only a value above all earlier ones can be better; a scan that splits long
+    runs finds those rows. A second scan links each to the next one that is
+    better by ``min_delta``, if it comes before patience is out. The end of the
+    chain of links from a run's start is found by doubling: in every round each
+    row takes over the link of the row it points to.
     """
     numbered = running(
         history,
@@ -312,40 +315,78 @@ def select_checkpoint(
         group_rows,
     )
     before = running(numbered, by, ["epoch"], [Running("_before", "previous", F.col("_max"))], group_rows)
+    rows = via_table(before, "epochs")
+    runs = rows.groupBy(*by).agg(F.max("_row").alias("_epochs"))
     record = F.col("_before").isNull() | (F.col("val_macro_f1") > F.col("_before"))
-    rows = F.struct(F.col("_row").alias("row"), F.col("epoch").alias("epoch"), F.col("val_macro_f1").alias("value"))
-    runs = before.groupBy(*by).agg(
-        F.max("_row").alias("_epochs"), F.array_sort(F.collect_list(F.when(record, rows))).alias("_records")
+    records = rows.filter(record & F.col("val_macro_f1").isNotNull()).select(
+        *by, "_row", "epoch", F.col("val_macro_f1").cast("double").alias("value")
     )
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("row"),
+    starts = runs.select(
+        *by,
+        F.lit(0).cast("bigint").alias("_row"),
         F.lit(None).cast(history.schema["epoch"].dataType).alias("epoch"),
         F.lit(0.0).alias("value"),
-        F.lit(False).alias("stopped"),
     )
-
-    def step(state: Column, r: Column) -> Column:
-        waited = r["row"] - state["row"] - 1
-        stopped = state["stopped"] | (F.lit(False) if patience is None else waited >= patience)
-        better = ~stopped & (r["value"] > state["value"] + min_delta)
-
-        def pick(name: str) -> Column:
-            return F.when(better, r[name]).otherwise(state[name]).alias(name)
-
-        return F.struct(pick("row"), pick("epoch"), pick("value"), stopped.alias("stopped"))
-
-    folded = runs.withColumn("_best", F.aggregate("_records", start, step))
-    last = F.col("_epochs") if patience is None else F.least("_epochs", F.col("_best.row") + patience)
-    early = F.lit(False) if patience is None else F.col("_epochs") - F.col("_best.row") >= patience
+    ends = _chain_ends(_linked(records, starts, by, min_delta, patience, group_rows), by)
+    folded = join_keys(runs, ends, by)
+    last = F.col("_epochs") if patience is None else F.least("_epochs", F.col("_row") + patience)
+    early = F.lit(False) if patience is None else F.col("_epochs") - F.col("_row") >= patience
     return folded.select(
         *by,
-        F.col("_best.epoch").alias("best_epoch"),
-        F.col("_best.value").alias("best_value"),
+        F.col("epoch").alias("best_epoch"),
+        F.col("value").alias("best_value"),
         last.alias("epochs_run"),
         early.alias("stopped_early"),
     )
 
 
+def _linked(
+    records: DataFrame, starts: DataFrame, by: list[str], min_delta: float, patience: int | None, group_rows: int | None
+) -> DataFrame:
+    """Records and starts with ``_to``: the row of the next record with a value
+    above one's own and ``min_delta``, or the own row where there is none in time.
+
+    Along falling values each record is followed by those that look for
+    something below it, so what they look for is the last record before them.
+    """
+    none = F.lit(None).cast("bigint")
+    nodes = records.unionByName(starts)
+    held = records.select(*by, (-F.col("value")).alias("_at"), F.lit(1).alias("_kind"), F.col("_row").alias("_target"), none.alias("_row"))
+    looking = nodes.select(
+        *by, (-(F.col("value") + min_delta)).alias("_at"), F.lit(0).alias("_kind"), none.alias("_target"), "_row"
+    )
+    # At one value those that look come before the record, which must be above it.
+    scanned = running(
+        held.unionByName(looking),
+        by,
+        ["_at", "_kind", "_row", "_target"],
+        [Running("_next", "last", F.col("_target"))],
+        group_rows,
+    )
+    links = scanned.filter(F.col("_kind") == 0).select(*by, "_row", "_next")
+    found = join_keys(nodes, links, [*by, "_row"])
+    reached = F.col("_next").isNotNull()
+    if patience is not None:
+        reached &= F.col("_next") - F.col("_row") <= patience
+    return found.withColumn("_to", F.when(reached, F.col("_next")).otherwise(F.col("_row"))).drop("_next")
+
+
+def _chain_ends(nodes: DataFrame, by: list[str]) -> DataFrame:
+    """For each group the last node (_row, epoch, value) of the chain of ``_to``
+    that begins at row 0; as many rounds as the logarithm of the longest chain."""
+    nodes = via_table(nodes, "links")
+    while True:
+        onward = nodes.select(*by, F.col("_row").alias("_to"), F.col("_to").alias("_further"))
+        hopped = join_keys(nodes, onward, [*by, "_to"])
+        moved = hopped.withColumn("_moved", F.col("_further") != F.col("_to"))
+        nodes = via_table(moved.drop("_to").withColumnRenamed("_further", "_to"), "links")
+        if nodes.filter("_moved").isEmpty():
+            break
+        nodes = nodes.drop("_moved")
+    ends = nodes.filter("_row = 0").select(*by, F.col("_to").alias("_row"))
+    return join_keys(ends, nodes.select(*by, "_row", "epoch", "value"), [*by, "_row"])
+
+
 # ---- distillation loss
 
 TEMPERATURE, ALPHA = 4.0, 0.5

@@ -8,10 +8,14 @@ give one row per token.
 
 from __future__ import annotations
 
+import hashlib
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -27,6 +31,8 @@ MAX_TOKENS = 128
 MAX_DOCUMENT_TOKENS = 512
 IGNORE = -100
 
+MODELS_PER_WORKER = 2
+
 ENTITY_TYPES = [name[2:] for name in LABELS if name.startswith("B-")]
 BEGIN_IDS = [i for i, name in enumerate(LABELS) if name.startswith("B-")]
 INSIDE_IDS = [i for i, name in enumerate(LABELS) if name.startswith("I-")]
@@ -51,6 +57,30 @@ def entity_type(label_id: Column) -> Column:
     return F.substring(label_name(label_id), 3, 100)
 
 
+def worker_model(key: str, factory: Callable[[], Predictor]) -> Predictor:
+    """The model of ``key`` in this worker, built where it is not there yet.
+    Functions reach the workers by value, so it hangs on a module of its own; a
+    worker keeps the last ``MODELS_PER_WORKER``."""
+    models = sys.modules.setdefault("_worker_models", types.ModuleType("_worker_models")).__dict__
+    held = models.setdefault("held", {})
+    if key not in held:
+        while len(held) >= MODELS_PER_WORKER:
+            del held[next(iter(held))]
+        held[key] = factory()
+    return held[key]
+
+
+def predicted(predict: Predictor, texts: list[str], batch_size: int) -> list:
+    """What ``predict`` gives for each text, asked in batches by length."""
+    order = sorted(range(len(texts)), key=lambda i: (len(texts[i] or ""), i))
+    out: list = [None] * len(texts)
+    for at in range(0, len(order), batch_size):
+        some = order[at : at + batch_size]
+        for i, found in zip(some, predict([texts[i] for i in some]), strict=True):
+            out[i] = found
+    return out
+
+
 def predict_tokens(
     df: DataFrame,
     predictor_factory: Callable[[], Predictor],
@@ -58,23 +88,26 @@ def predict_tokens(
     text: str = "text",
     batch_size: int = 16,
 ) -> DataFrame:
-    """Label every text with a model that is built once per Python worker.
+    """Label every text with a model that is built once per Python worker, and
+    stays in it for later tasks.
 
     ``predictor_factory()`` returns a function from a list of texts to, per
-    text, (token, label id, confidence) triples. Confidences are rounded to 4
-    places. Rows stay in their partitions.
+    text, (token, label id, confidence) triples. Texts of similar length share
+    a batch, so that little is padded. Confidences are rounded to 4 places.
+    Rows stay in their partitions.
     """
+    made = hashlib.sha256(cloudpickle.dumps(predictor_factory)).hexdigest()
 
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([source.schema["doc_id"], T.StructField("tokens", T.ArrayType(TOKEN))])
     kinds = to_arrow_schema(schema)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = predictor_factory()
+        predict = worker_model(made, predictor_factory)
         fields = list(kinds.field("tokens").type.value_type)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            found = [doc for i in range(0, len(texts), batch_size) for doc in predict(texts[i : i + batch_size])]
+            found = predicted(predict, texts, batch_size)
             ends = np.cumsum([0, *map(len, found)])
             position = np.arange(ends[-1]) - np.repeat(ends[:-1], np.diff(ends))
             flat = [t for doc in found for t in doc]
@@ -291,7 +324,18 @@ def span_agreement(df: DataFrame, a: str = "spans_a", b: str = "spans_b") -> Dat
     def spots(spans: str) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["label"].alias("label")))
 
-    both = once(df, _both=F.size(F.array_intersect(spots(a), spots(b))))
+    def number(s: Column) -> Column:
+        """Start (31 bits), length (24) and label (8) as one number, null where they do not fit."""
+        label = F.array_position(F.array(*[F.lit(x) for x in ENTITY_TYPES]), s["label"]).cast("bigint")
+        length = s["end"].cast("bigint") - s["start"]
+        fits = (label > 0) & (s["start"] >= 0) & length.between(0, (1 << 24) - 1)
+        return F.when(fits, F.shiftleft(F.shiftleft(s["start"].cast("bigint"), 24) + length, 8) + label)
+
+    numbered = once(df, _a=F.transform(a, number), _b=F.transform(b, number))
+    plain = ~F.exists("_a", lambda n: n.isNull()) & ~F.exists("_b", lambda n: n.isNull())
+    # Numbers are compared by hash; structs would be compared pair by pair.
+    common = F.when(plain, F.size(F.array_intersect("_a", "_b"))).otherwise(F.size(F.array_intersect(spots(a), spots(b))))
+    both = once(numbered, _both=common)
     kept = [c for c in df.columns if c not in (a, b)]
     return both.select(
         *kept,

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from corpuslab.functions.text import trim_all
+from corpuslab.session import store_of, via_table
 
 REQUEST_LOG = T.StructType(
     [
@@ -54,21 +58,67 @@ LOAD_TEST = T.StructType(
 )
 
 EMPTY_FILE = "File is empty"
+#: Listings write an empty authority as three slashes, rows as one.
+SLASHES = "^([a-z0-9]+):///"
 NESTED = "map<string,string>"
 
 
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of all files of no bytes below ``path``, hidden ones left out.
+
+    Each round lists the folders that the one before found, in tasks, so the
+    driver holds no names. File systems and patterns that only Spark's readers
+    know are listed by the reader.
+    """
+    try:
+        store_of(path)
+    except (ValueError, pa.ArrowException):
+        known = False
+    else:
+        known = not any(c in path for c in "*?[{")
+    if not known:
+        names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        listed = [(name,) for name in spark.read.text(path, wholetext=True).inputFiles()] if path_exists(spark, path) else []
+        every = spark.createDataFrame(listed, "path string").select(F.regexp_replace("path", SLASHES, "$1:/").alias("path"))
+        return every.join(names.select(F.regexp_replace("path", SLASHES, "$1:/").alias("path")), "path", "left_anti")
+    prefix = path[: path.index("://") + 3] if "://" in path and not path.startswith("file:") else "file:"
+    schema = "path string, folder boolean"
+
+    def listed(batches):
+        for batch in batches:
+            found = []
+            for name in batch.column("path").to_pylist():
+                store, root = store_of(name)
+                info = store.get_file_info(root)
+                inside = store.get_file_info(fs.FileSelector(root)) if info.type == fs.FileType.Directory else [info]
+                for entry in inside:
+                    if not entry.base_name.startswith(("_", ".")):
+                        if entry.type == fs.FileType.Directory or entry.size == 0:
+                            found.append((prefix + entry.path, entry.type == fs.FileType.Directory))
+            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "folder"])
+
+    # Readers write names as in addresses.
+    address = F.udf(lambda name: quote(name, safe="/!$&'()*+,;=:@~-._"), "string")
+
+    level = via_table(spark.createDataFrame([(path,)], "path string").mapInArrow(listed, schema), "listing")
+    out = level.filter("NOT folder").select("path")
+    while not (folders := level.filter("folder")).isEmpty():
+        tasks = spark.sparkContext.defaultParallelism
+        level = via_table(folders.select("path").repartition(tasks).mapInArrow(listed, schema), "listing")
+        out = out.unionByName(level.filter("NOT folder").select("path"))
+    return out.select(address("path").alias("path"))
+
+
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with its trimmed text, or an error for an empty one.
 
-    Readers make no row for a file of no bytes; such files come from the listing
-    that the reader holds anyway.
+    Readers make no row for a file of no bytes; such files are found by a
+    listing that tasks share, folder by folder. Texts do not move.
     """
     content = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     files = content.select(F.col("_metadata.file_path").alias("path"), trim_all(F.col("value")).alias("text"))
-    names = spark.createDataFrame([(name,) for name in content.inputFiles()], "path string")
-    # Listings write an empty authority as three slashes, rows as one.
-    listed = names.select(F.regexp_replace("path", "^([a-z0-9]+):///", "$1:/").alias("path"))
-    every = listed.join(files, "path", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    every = files.unionByName(empty_files(spark, path).select("path", F.lit("").alias("text")))
     empty = F.length("text") == 0
     return every.select(
         "path",

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpuslab.session import drop_table, store_of
+
+# The columns of the feature table, and the name of the silver source.
 FEATURE_COLUMNS = [
     "doc_id",
     "text_clean",
@@ -19,18 +26,52 @@ SILVER_SOURCE = "pubmed_weak_label"
 
 def write_features(df: DataFrame, path: str) -> None:
     """The eight feature columns as Parquet, one folder per rating. No shuffle:
-    a rating that holds most rows is written by all tasks that have some."""
-    df.select(*FEATURE_COLUMNS).write.mode("overwrite").partitionBy("rating").parquet(path)
+    a rating that holds most rows is written by all tasks that have some.
+
+    Ratings that ``df`` has are replaced when all of it is written, others stay;
+    a job that fails on the way leaves the table as it was.
+    """
+    rows = df.select(*FEATURE_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy("rating").parquet(path)
+
+
+def replace_folder(path: str, write: Callable[[str], None]) -> None:
+    """``write`` fills a folder beside ``path`` that takes its place when all is
+    written: a job that fails on the way leaves the former content readable. If
+    the exchange itself is cut off, the former content is found in
+    ``path``-former, and the next run puts it back or finishes."""
+    store, root = store_of(path)
+    fresh, former = f"{path.rstrip('/')}-new-{uuid.uuid4().hex}", f"{root.rstrip('/')}-former"
+    if _exists(store, former) and not _exists(store, root):
+        store.move(former, root)
+    try:
+        write(fresh)
+        if _exists(store, former):
+            store.delete_dir(former)
+        if _exists(store, root):
+            store.move(root, former)
+        store.move(store_of(fresh)[1], root)
+    except BaseException:
+        drop_table(fresh)
+        raise
+    if _exists(store, former):
+        store.delete_dir(former)
+
+
+def _exists(store: fs.FileSystem, path: str) -> bool:
+    return store.get_file_info(path).type != fs.FileType.NotFound
 
 
 def write_stats(df: DataFrame, path: str) -> None:
-    df.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
+    rows = df.select(F.to_json(F.struct("*")).alias("value"))
+    replace_folder(path, lambda fresh: rows.write.text(fresh))
 
 
 def write_silver_labels(df: DataFrame, path: str, source: str = SILVER_SOURCE) -> None:
-    df.select(
+    rows = df.select(
         "tokens", "tags", "doc_id", F.lit(source).alias("source"), F.col("avg_confidence").alias("confidence")
-    ).write.mode("overwrite").json(path)
+    )
+    replace_folder(path, lambda fresh: rows.write.json(fresh))
 
 
 def feature_rules(df: DataFrame) -> dict[str, Column]:
