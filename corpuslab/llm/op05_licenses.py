@@ -13,8 +13,10 @@ accepted place could lack.
 Phrases of three licenses are found by themselves, wherever they stand; the
 templates add labels, and take none away.
 
-Null and empty texts have no words; repeated rows are each scanned; an empty
-table gives no rows; columns besides doc_id and text are not read.
+Null and empty texts have no words; very long texts are scanned whole; of
+equal scores of one label any place counts, as only the score is given; repeated
+rows are each scanned; an empty table gives no rows; columns besides doc_id and
+text are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ PHRASES = {
     "general public license": "gpl",
 }
 
+PHRASE_ENDS = {phrase.encode().split()[-1] for phrase in PHRASES}
+
 #: label, notice, and phrases that must stand in it.
 NOTICES = [
     *((label, phrase, [phrase]) for phrase, label in PHRASES.items()),
@@ -165,12 +169,15 @@ def scan(words: list[bytes], places: dict, template: Template, idf: dict) -> flo
     return best
 
 
-def base_places(words: list[bytes], places: dict) -> tuple[list[int], list[str]]:
-    """Starts of all phrases found by themselves, and their labels."""
+def base_places(words: list[bytes]) -> tuple[list[int], list[str]]:
+    """Starts of all phrases found by themselves, and their labels, whatever the
+    notices are."""
     starts, labels = [], []
     for phrase, label in PHRASES.items():
-        first, *rest = phrase.encode().split()
-        found = [i for i in places.get(first, ()) if words[i + 1 : i + 1 + len(rest)] == rest]
+        wanted = phrase.encode().split()
+        n = len(wanted)
+        ends = [i + 1 for i, word in enumerate(words) if word == wanted[-1]]
+        found = [end - n for end in ends if end >= n and words[end - n : end] == wanted]
         if found:
             starts += found
             labels.append(label)
@@ -180,13 +187,13 @@ def base_places(words: list[bytes], places: dict) -> tuple[list[int], list[str]]
 def scan_text(text: str, known: list[Template], vocabulary: frozenset, idf: dict) -> dict:
     words = words_of(text)
     present = vocabulary.intersection(words)
-    starts, base, found = [], [], {}
+    starts, base = base_places(words) if any(end in words for end in PHRASE_ENDS) else ([], [])
+    found: dict[str, float] = {}
     if any(t.needed <= present for t in known):
         places = defaultdict(list)
         for i, word in enumerate(words):
             if word in present:
                 places[word].append(i)
-        starts, base = base_places(words, places)
         for template in known:
             score = scan(words, places, template, idf)
             if score:

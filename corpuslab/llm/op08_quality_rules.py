@@ -6,8 +6,10 @@ rejections per second, and a text leaves at its first rejection, so later
 rules and their measurements are not computed for it. The order changes the
 cost only: a text is kept if no rule rejects it.
 
-Null and empty texts have no words and are rejected as too short; repeated rows
-are each judged; an empty table gives no rows; other columns pass unread.
+Null and empty texts have no words and are rejected as too short; very long
+texts are measured whole; rules of equal rejections per second run in the order
+of their time, then their names; repeated rows are each judged; an empty table
+gives no rows; other columns pass unread.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from functools import cached_property
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import bounded_batches, documents, map_batches, texts
+from .common import bounded_batches, documents, map_batches, sampled_texts, texts
 
 SAMPLE_DOCS = 2_000
 WINDOW = 3
@@ -94,7 +96,6 @@ BASE = ("too_few_words", "repeated_words")
 def estimate(docs: DataFrame, rules: dict = RULES, sample_docs: int = SAMPLE_DOCS) -> list[str]:
     """Names of ``rules``, those with most rejections per second first. About
     ``sample_docs`` documents from all parts of the table are timed."""
-    share = min(1.0, sample_docs / max(1, docs.count()))
 
     def make():
         spent, rejected = dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0)
@@ -113,7 +114,7 @@ def estimate(docs: DataFrame, rules: dict = RULES, sample_docs: int = SAMPLE_DOC
         step.finish = finish
         return step
 
-    measured = map_batches(docs.select("text").sample(share, 7), make, "rule string, seconds double, rejected bigint")
+    measured = map_batches(sampled_texts(docs, sample_docs), make, "rule string, seconds double, rejected bigint")
     # One row per rule.
     rows = measured.groupBy("rule").agg(F.sum("seconds").alias("s"), F.sum("rejected").alias("r")).collect()
     value = {row["rule"]: (-row["r"] / max(row["s"], 1e-9), row["s"]) for row in rows}
@@ -125,18 +126,20 @@ def first_rejection(view: View, ordered: list[tuple[str, Callable]]) -> str | No
 
 
 def judged(docs: DataFrame, rules: dict = RULES, order: list[str] | None = None) -> DataFrame:
-    """Per row: doc_id, the measurements, base_failed and kept."""
+    """Per row: doc_id, the measurements, base_failed and kept: what fails a base
+    rule is not kept, whatever ``rules`` are."""
     ordered = [(name, rules[name]) for name in order or estimate(docs, rules)]
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
     def make():
         def step(rows):
             views = [View(text) for text in rows["text"]]
-            kept = [first_rejection(v, ordered) is None for v in views]
+            failed = [any(RULES[name](v) for name in BASE) for v in views]
+            kept = [not f and first_rejection(v, ordered) is None for v, f in zip(views, failed, strict=True)]
             yield {
                 "doc_id": rows["doc_id"],
                 **{f: [getattr(v, f) for v in views] for f in fields},
-                "base_failed": [any(RULES[name](v) for name in BASE) for v in views],
+                "base_failed": failed,
                 "kept": kept,
             }
 

@@ -118,7 +118,7 @@ def test_recall_against_brute_force(spark):
     # Every exact passage is found, and nothing in a document without one.
     assert all((d, i) in got and got[d, i] == 1 for d, i in planted.items() if d % 4 == 1)
     assert {d for d, _ in got} <= planted.keys()
-    assert all(share >= op9.PARAPHRASE for share in got.values())
+    assert all(share >= op9.REWORDED for share in got.values())
     kept = op9.without_leaks(docs_of(spark, docs), items_of(spark, items))
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in got}
 
@@ -136,9 +136,9 @@ def test_odd_rows(spark):
     items = [(1, "same same"), (2, None), (3, ""), (4, "one two three four five six"), (4, "one two three four five six"), (None, "x y z u v w t")]
     docs = [*ODD, (80, "One, two three; four five SIX"), (80, "one two three four five six"), (81, "x y z u v w t " * 50)]
     found = rows(op9.findings(docs_of(spark, docs), items_of(spark, items)))
-    assert {(r["doc_id"], r["item_id"]) for r in found} == {(80, 4), (81, None)}
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(80, 4), (81, None), (11, 1), (12, 1)}
     kept = op9.without_leaks(docs_of(spark, docs, clashing=True), items_of(spark, items))
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in ODD)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in ODD if d not in (11, 12))
     empty = docs_of(spark, [])
     assert op9.findings(empty, items_of(spark, items)).count() == 0
     assert op9.findings(docs_of(spark, docs), items_of(spark, [])).count() == 0
@@ -189,9 +189,43 @@ def test_many_items_of_document_words(spark):
     assert len(others) > 200 and others <= got
 
 
-def test_findings_do_not_depend_on_the_directions(spark, monkeypatch):
-    items, docs, _ = world(3)
-    found = lambda: sorted(map(tuple, op9.findings(docs_of(spark, docs), items_of(spark, items)).collect()))
-    want = found()
+def reworded(rng, item):
+    """The item's clauses in another order, one word in ten another one, and the answer last."""
+    answer = op9.answer_of(item)
+    head = item[: item.rindex(answer)].split()
+    head = [prose(rng, 1, "uvwxyz") if rng.random() < 0.1 else w for w in head]
+    cuts = [head[i * len(head) // 5 : (i + 1) * len(head) // 5] for i in range(5)]
+    return " ".join([*(" ".join(c) for c in reversed(cuts)), answer])
+
+
+def test_reworded_items_are_found_by_the_directions_alone(spark, monkeypatch):
+    """Items told in another order share too few words in a row for the other
+    path: with the directions at zero none of them is found, while copies are."""
+    rng = random.Random(8)
+    items = [(i, sentences(rng, rng.randint(40, 90))) for i in range(40)]
+    docs = []
+    for i in range(160):
+        around = prose(rng, rng.randint(100, 300)).split()
+        cut = rng.randint(0, len(around))
+        item = items[i % 40][1]
+        passage = {0: reworded(rng, item), 1: item, 2: "", 3: ""}[i // 40]
+        docs.append((i, " ".join([*around[:cut], passage, *around[cut:]])))
+    found = lambda: {(r["doc_id"], r["item_id"]) for r in rows(op9.findings(docs_of(spark, docs), items_of(spark, items)))}
+    got = found()
+    assert sum((i, i) in got for i in range(40)) >= 36
+    assert all((40 + i, i) in got for i in range(40))
+    assert {d for d, _ in got} <= set(range(80))
     monkeypatch.setattr(op9, "term_directions", lambda matrix, size, rank=1: np.zeros((size, 1)))
-    assert found() == want
+    without = found()
+    assert all((40 + i, i) in without for i in range(40))
+    lost = sum((i, i) in got and (i, i) not in without for i in range(40))
+    assert lost >= 30 and without <= got
+
+
+def test_short_items_are_exact_sequences(spark):
+    items = [(1, "alpha beta"), (2, "Gamma"), (3, "alpha beta gamma delta"), (4, "beta beta"), (5, "one long item of some seven words")]
+    docs = [(1, "x ALPHA, beta!"), (2, "alpha x beta"), (3, "a gamma"), (4, "alpha beta gamma"), (5, "delta alpha beta gamma delta"), (6, "beta"), (7, "beta beta beta")]
+    got = sorted((r["doc_id"], r["item_id"], r["first_word"]) for r in rows(op9.findings(docs_of(spark, docs), items_of(spark, items))))
+    assert got == [(1, 1, 1), (3, 2, 1), (4, 1, 0), (4, 2, 2), (5, 1, 1), (5, 2, 3), (5, 3, 1), (7, 4, 0)]
+    only = rows(op9.findings(docs_of(spark, docs), items_of(spark, items[:1])))
+    assert {r["doc_id"] for r in only} == {1, 4, 5}

@@ -84,3 +84,11 @@ def test_frequencies(spark):
 def test_query(spark):
     table = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert base_of(rows(op5.op5_licenses(spark, SF))) == sorted((plain(*d) for d in table), key=str)
+
+
+def test_base_places_do_not_depend_on_the_notices(spark):
+    own = [("isc", "Permission to use copy modify and distribute this software for any purpose", ["permission to use"])]
+    docs = [(1, "This is under the MIT License."), (2, "license"), (3, "mit license, apache license " * 200), (4, "general public license")]
+    got = rows(op5.license_scan(docs_of(spark, docs), own))
+    assert base_of(got) == [plain(*d) for d in docs]
+    assert [r["labels"] for r in sorted(got, key=lambda r: r["doc_id"])] == ["mit", "", "apache,mit", "gpl"]

@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 def test_all_are_registered():
     registered = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(entry.oracle_sql()) and "pipeline" not in entry.oracle_sql()
 
 

@@ -82,3 +82,9 @@ def test_query_against_sql(spark):
     cursor = base.execute(op8.OP8_SQL)
     assert [d[0] for d in cursor.description] == df.columns
     assert sorted(map(str, cursor.fetchall())) == sorted(str(tuple(r)) for r in df.collect())
+
+
+def test_base_rules_hold_with_rules_of_ones_own(spark):
+    docs = docs_of(spark, [(1, "too few words"), (2, "one two three " * 40), (3, " ".join(f"w{i}" for i in range(80)))])
+    got = {r.doc_id: (r.base_failed, r.kept) for r in op8.judged(docs, {"none": lambda v: False}).collect()}
+    assert got == {1: (True, False), 2: (True, False), 3: (False, True)}
