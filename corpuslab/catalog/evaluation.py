@@ -126,7 +126,7 @@ def e08(spark: SparkSession, sf: str) -> DataFrame:
     FROM hits JOIN scores USING (sample_id, model)""",
 )
 def e07_samples(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(ev.token_metrics(pairs(spark, sf, ["sample_id"]), ["sample_id", "model"]))
+    return rounded(ev.sample_metrics(tok.predictions(spark, sf), ["sample_id"], {"A": "pred_a", "B": "pred_b"}))
 
 
 # ---- latency

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpuslab.functions.arrays import once
 from corpuslab.session import via_table
 
 from .labelling import IGNORE, LABELS
@@ -131,6 +132,60 @@ def metric_sums(pred: str, labels: list[int] = LABEL_IDS) -> list[Column]:
     return sums
 
 
+def row_counts(df: DataFrame, keys: list[str], preds: dict[str, str], gold: str = "gold") -> DataFrame:
+    """keys, num_tokens and the counts of ``metric_sums`` for every row of
+    arrays, counted inside the row: no token becomes a row of its own. Arrays
+    are paired up to the shortest; ignored tokens and missing answers count
+    nowhere."""
+    size = F.least(F.size(gold), *[F.size(c) for c in preds.values()])
+    cut = once(
+        df.select(*keys, gold, *dict.fromkeys(preds.values())),
+        _gold=F.transform(F.slice(gold, F.lit(1), size), lambda g: F.when(g != IGNORE, g)),
+        **{f"_{p}": F.slice(c, F.lit(1), size) for p, c in preds.items()},
+    )
+    hits = {f"_{p}_hits": F.zip_with("_gold", f"_{p}", lambda g, x: F.when(g == x, g)) for p in preds}
+    guesses = {f"_{p}_guess": F.zip_with("_gold", f"_{p}", lambda g, x: F.when(g.isNotNull(), x)) for p in preds}
+    paired = once(cut, **hits, **guesses)
+
+    def known(values: str) -> Column:
+        return F.coalesce(F.size(F.array_compact(values)), F.lit(0)).cast("bigint")
+
+    def count(values: str, label: int) -> Column:
+        return F.coalesce(F.size(values) - F.size(F.array_remove(values, label)), F.lit(0)).cast("bigint")
+
+    columns = [known("_gold").alias("num_tokens")]
+    for p in preds:
+        columns.append(known(f"_{p}_hits").alias(f"{p}_correct"))
+        for x in LABEL_IDS:
+            columns += [
+                count(f"_{p}_hits", x).alias(f"{p}_h{x}"),
+                count("_gold", x).alias(f"{p}_g{x}"),
+                count(f"_{p}_guess", x).alias(f"{p}_p{x}"),
+            ]
+    return paired.select(*keys, *columns)
+
+
+def added_counts(counted: DataFrame, by: list[str]) -> DataFrame:
+    """``row_counts`` of all rows of a group."""
+    names = [c for c in counted.columns if c not in by]
+    return counted.groupBy(*by).agg(*[F.sum(c).alias(c) for c in names])
+
+
+def sample_metrics(df: DataFrame, keys: list[str], models: dict[str, str], gold: str = "gold") -> DataFrame:
+    """``token_metrics`` by keys and model, from arrays; samples without counted
+    tokens are left out."""
+    names = {model: f"m{i}" for i, model in enumerate(models)}
+    counted = row_counts(df, keys, {names[m]: c for m, c in models.items()}, gold)
+    answers = []
+    for model, name in names.items():
+        fields = [c for c in counted.columns if c.startswith(f"{name}_")]
+        renamed = [F.col(c).alias("pred" + c[len(name) :]) for c in fields]
+        answers.append(F.struct(F.lit(model).alias("model"), "num_tokens", *renamed))
+    rows = counted.filter(F.col("num_tokens") > 0).select(*keys, F.inline(F.array(*answers)))
+    summed = added_counts(rows, [*keys, "model"])
+    return summed.select(*keys, "model", "num_tokens", *[c.alias(n) for n, c in metric_columns("pred").items()])
+
+
 def metric_columns(pred: str, labels: list[int] = LABEL_IDS) -> dict[str, Column]:
     """Metrics computed from ``metric_sums``."""
     sizes = {x: F.col(f"{pred}_g{x}") + F.col(f"{pred}_p{x}") for x in labels}

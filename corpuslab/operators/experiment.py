@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpuslab.functions.numbers import half_up
 from corpuslab.functions.stats import rank_sum_p, signed_rank_p, t_quantile_of
 
-from .evaluate import LABEL_IDS, metric_columns, metric_sums, paired_rows, ratio
+from .evaluate import added_counts, metric_columns, ratio, row_counts
 from .ranks import ranked_values
 from .skew import join_keys
 
@@ -44,11 +44,7 @@ def experiment_log(arms: DataFrame, latencies: DataFrame, keys: list[str], sampl
     ``arms`` has the arrays gold, pred_a, pred_b. A sample without counted
     tokens stays, with zeros, and so does one without latencies, with nulls.
     """
-    counted = (
-        paired_rows(arms, keys, {"a": "pred_a", "b": "pred_b"})
-        .groupBy(*keys)
-        .agg(F.count("gold").alias("num_tokens"), *metric_sums("a", LABEL_IDS), *metric_sums("b", LABEL_IDS))
-    )
+    counted = added_counts(row_counts(arms, keys, {"a": "pred_a", "b": "pred_b"}), keys)
     a, b = metric_columns("a"), metric_columns("b")
     return counted.join(latencies, [k for k in keys if k in latencies.columns], "left").select(
         *keys,
