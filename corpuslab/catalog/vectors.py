@@ -131,3 +131,92 @@ def v09(spark: SparkSession, sf: str) -> DataFrame:
 def v10(spark: SparkSession, sf: str) -> DataFrame:
     top = table(spark, sf).select("vec_id", vec.top_components(F.col("v"), 18).alias("top"))
     return top.select("vec_id", F.posexplode("top").alias("rank", "i"))
+
+
+# ---- the same with a frame of signs, which SQL can write down
+
+FRAME_BITS, FRAME_SWEEP = 2.625, [1.375, 2.625, 3.875, 5.125]
+
+
+def framed(bits: float = FRAME_BITS) -> vec.PolarConfig:
+    return vec.PolarConfig(DIM, bits, rows="frame")
+
+
+def sql_polar(bits: float = FRAME_BITS) -> str:
+    """Signs, codes and restored vectors of one configuration."""
+    config = framed(bits)
+    rows, most = config.sign_bits, config.corrections
+    return f"""{ELEMENTS},
+    lengths AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * x)) AS length FROM elements GROUP BY vec_id),
+    units AS (SELECT vec_id, i AS j, x / (length + 1e-8) AS u FROM elements JOIN lengths USING (vec_id)),
+    frame AS (SELECT r.range AS k, c.range AS j, CASE WHEN (bit_count((r.range % {DIM}) & c.range)
+        + CASE WHEN r.range >= {DIM} AND c.range % (2 * (r.range // {DIM}) + 1) = 0 THEN 1 ELSE 0 END) % 2 = 0
+        THEN 1 ELSE -1 END AS e FROM range({rows}) r, range({DIM}) c),
+    signs AS (SELECT vec_id, k, sum(u * e) > 0 AS s FROM units JOIN frame USING (j) GROUP BY vec_id, k),
+    packed AS (SELECT vec_id, string_agg(printf('%02X', byte), '' ORDER BY b) AS signs FROM (
+      SELECT vec_id, k // 8 AS b, CAST(sum(CASE WHEN s THEN 1 << (7 - k % 8) ELSE 0 END) AS INTEGER) AS byte
+      FROM signs GROUP BY ALL) GROUP BY vec_id),
+    sums AS (SELECT vec_id, j, sum(CASE WHEN s THEN e ELSE -e END) / sqrt({rows}) AS a
+      FROM signs JOIN frame USING (k) GROUP BY vec_id, j),
+    near AS (SELECT vec_id, j, a / (sqrt(sum(a * a) OVER (PARTITION BY vec_id)) + 1e-8) AS a FROM sums),
+    rests AS (SELECT vec_id, j, a, u - a AS rest,
+      row_number() OVER (PARTITION BY vec_id ORDER BY abs(u - a) DESC, j) AS place FROM units JOIN near USING (vec_id, j)),
+    scales AS (SELECT (SELECT min(length) FROM lengths) AS r_min, (SELECT (max(length) - min(length)) / 255 FROM lengths) AS r_scale,
+      (SELECT max(abs(rest)) + 1e-8 FROM rests WHERE place <= {most}) AS c_scale),
+    radii AS (SELECT vec_id, CAST(floor(greatest(0, least(255, (length - r_min) / (r_scale + 1e-8)))) AS INTEGER) AS radius
+      FROM lengths, scales),
+    corrections AS (SELECT vec_id, j, place,
+      CAST(floor(greatest(0, least(3, (rest / c_scale + 1) * 1.5))) AS INTEGER) AS corr FROM rests, scales WHERE place <= {most}),
+    corrected AS (SELECT vec_id, j, a + coalesce((corr / 1.5 - 1) * c_scale, 0) AS d
+      FROM near LEFT JOIN corrections USING (vec_id, j), scales),
+    restored AS (SELECT vec_id, j AS i, (radius * r_scale + r_min) * d
+        / (sqrt(sum(d * d) OVER (PARTITION BY vec_id)) + 1e-8) AS x
+      FROM corrected JOIN radii USING (vec_id), scales)"""
+
+
+@query("v04_project_signs_frame", f"WITH {sql_polar()} SELECT vec_id, signs FROM packed")
+def v04_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return vec.project_signs(table(spark, sf), framed()).select("vec_id", F.hex("signs").alias("signs"))
+
+
+@query(
+    "v05_polar_encode_frame",
+    f"""WITH {sql_polar()} SELECT vec_id, radius, signs, string_agg(CAST(j AS VARCHAR), ',' ORDER BY place) AS idx,
+      string_agg(CAST(corr AS VARCHAR), ',' ORDER BY place) AS corr
+    FROM corrections JOIN packed USING (vec_id) JOIN radii USING (vec_id) GROUP BY ALL""",
+)
+def v05_frame(spark: SparkSession, sf: str) -> DataFrame:
+    codes, _ = vec.polar_encode(table(spark, sf), [framed()])
+    return codes.select(
+        "vec_id",
+        "radius",
+        F.hex("signs").alias("signs"),
+        t.joined(F.col("idx").cast("array<string>"), ",").alias("idx"),
+        t.joined(F.col("corr").cast("array<string>"), ",").alias("corr"),
+    )
+
+
+@query("v06_polar_decode_frame", f"WITH {sql_polar()} SELECT vec_id, CAST(i AS INTEGER) AS i, round(x, 9) AS x FROM restored")
+def v06_frame(spark: SparkSession, sf: str) -> DataFrame:
+    codes, scales = vec.polar_encode(table(spark, sf), [framed()])
+    restored = vec.polar_decode(codes, scales, [framed()])
+    return restored.select("vec_id", F.posexplode("restored").alias("i", "x")).withColumn("x", F.round("x", 9))
+
+
+def sql_quality(bits: float) -> str:
+    return f"""SELECT * FROM (WITH {sql_polar(bits)},
+      both_sides AS (SELECT vec_id, sum(e.x * r.x) AS dot, sqrt(sum(CAST(e.x AS DOUBLE) * e.x)) AS norm, sqrt(sum(r.x * r.x)) AS other,
+        sum((e.x - r.x) * (e.x - r.x)) AS error, count(*) AS dim
+        FROM elements e JOIN restored r USING (vec_id, i) GROUP BY vec_id),
+      cosines AS (SELECT *, dot / (norm * other) AS c FROM both_sides)
+      SELECT CAST({bits} AS DOUBLE) AS bits, count(*) AS vectors, round(avg(c), 6) AS cosine_mean,
+        round(avg(sqrt(error) / (norm + 1e-8)), 6) AS relative_l2_error, round(sum(error) / sum(dim), 8) AS mse FROM cosines)"""
+
+
+@query("v09_bit_sweep_frame", " UNION ALL ".join(sql_quality(b) for b in FRAME_SWEEP))
+def v09_frame(spark: SparkSession, sf: str) -> DataFrame:
+    found = vec.bit_sweep(table(spark, sf), DIM, FRAME_SWEEP, rows="frame")
+    return found.select(
+        "bits", "vectors", F.round("cosine_mean", 6).alias("cosine_mean"),
+        F.round("relative_l2_error", 6).alias("relative_l2_error"), F.round("mse", 8).alias("mse"),
+    )

@@ -18,9 +18,10 @@ from corpuslab.functions.arrays import chunk_literal, chunked, cuts_passed
 from .skew import as_local, join_keys
 
 GROUP_ROWS = 2_000_000
-MAX_BLOCKS = 4_096
-MAX_GROUP_BLOCKS = 1_024
-MAX_HOT_GROUPS = 1_024
+#: Blocks follow the rows up to here; cut points are part of the plan.
+MAX_BLOCKS = 65_536
+MAX_GROUP_BLOCKS = 16_384
+MAX_HOT_GROUPS = 16_384
 MAX_BROADCAST_BLOCKS = 100_000
 
 BLOCK = "_block"
@@ -67,7 +68,8 @@ def _cuts(df: DataFrame, keys: list[str], order: str, group_rows: int) -> tuple[
     wanted = {tuple(row[k] for k in keys): min(most, max(ceil(row["n"] / group_rows), 8)) for row in large}
     finest = max(wanted.values())
     fractions = [i / finest for i in range(1, finest)]
-    every = inside.groupBy(*keys).agg(F.percentile_approx("p", fractions, 50_000).alias("cuts"))
+    # Cuts only balance the blocks, so an error of an eighth of a block will do, and keeps the states small.
+    every = inside.groupBy(*keys).agg(F.percentile_approx("p", fractions, max(1_000, 8 * finest)).alias("cuts"))
     found = {tuple(row[k] for k in keys): row["cuts"] or [] for row in every.collect()}
     rows, blocks = [], 0
     for key, count in wanted.items():

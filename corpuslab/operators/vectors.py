@@ -14,6 +14,7 @@ from corpuslab.session import via_table
 from .ranks import select_rank
 from .skew import small_side
 
+# Fixed value: keeps quotients of zeros finite.
 EPSILON = 1e-8
 
 
@@ -86,14 +87,16 @@ def top_components(vector: Column, k: int) -> Column:
 
 @dataclass(frozen=True)
 class PolarConfig:
-    """Bit budget of one vector: 8 bits of radius, 80 % of the rest sign bits,
-    what then remains corrections of 2 bits."""
+    """Bit budget of one vector (fixed values): 8 bits of radius, 80 % of the rest
+    sign bits, what then remains corrections of 2 bits."""
 
     dim: int
     bits: float = 3.0
     radius_bits: int = 8
     correction_bits: int = 2
     seed: int = 42
+    #: "normal" numbers, or a "frame" of signs with orthogonal columns, which any engine can write down.
+    rows: str = "normal"
 
     @property
     def sign_bits(self) -> int:
@@ -105,7 +108,9 @@ class PolarConfig:
         return int(rest / self.correction_bits)
 
     def projection(self) -> np.ndarray:
-        """sign_bits x dim normal numbers scaled by 1 / sqrt(sign_bits)."""
+        """sign_bits x dim normal numbers, or signs, scaled by 1 / sqrt(sign_bits)."""
+        if self.rows == "frame":
+            return frame(self.sign_bits, self.dim) / np.sqrt(self.sign_bits)
         draws = np.random.default_rng(self.seed).standard_normal((self.sign_bits, self.dim))
         return draws / np.sqrt(self.sign_bits)
 
@@ -117,10 +122,22 @@ class PolarConfig:
         return unit((2.0 * signs - 1.0) @ inverse.T)
 
 
+def frame(rows: int, dim: int) -> np.ndarray:
+    """Signs with orthogonal columns: blocks of a Hadamard matrix, in block
+    b > 0 with every (2 b + 1)-th column negated."""
+    if dim & (dim - 1) or rows % dim:
+        raise ValueError("a frame needs a power of two as dimension, and whole blocks of rows")
+    i, j = np.arange(rows)[:, None], np.arange(dim)[None, :]
+    block = i // dim
+    odd = np.bitwise_count((i % dim) & j) + ((block > 0) & (j % (2 * block + 1) == 0))
+    return 1.0 - 2.0 * (odd % 2)
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / (np.linalg.norm(vectors, axis=1, keepdims=True) + EPSILON)
 
 
+# The bit rates that are compared.
 SWEEP_BITS = [2.0, 2.5, 3.0, 3.5, 4.0, 5.0, 6.0, 8.0]
 
 
@@ -315,10 +332,15 @@ def memory_report(df: DataFrame, by: list[str], config: PolarConfig) -> DataFram
 
 
 def bit_sweep(
-    df: DataFrame, dim: int, bits: list[float] = SWEEP_BITS, vec_id: str = "vec_id", vector: str = "v"
+    df: DataFrame,
+    dim: int,
+    bits: list[float] = SWEEP_BITS,
+    vec_id: str = "vec_id",
+    vector: str = "v",
+    rows: str = "normal",
 ) -> DataFrame:
     """Quality and compression at several bit rates, one row each."""
-    configs = [PolarConfig(dim, b) for b in bits]
+    configs = [PolarConfig(dim, b, rows=rows) for b in bits]
     source = df.select(vec_id, F.col(vector).alias("v"))
     codes, scales = polar_encode(source, configs, vec_id)
     restored = polar_decode(codes, scales, configs, vec_id).join(source, vec_id)

@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from corpuslab.operators import regress as rg, vectors as vec
+from corpuslab.operators import evaluate as ev, regress as rg, vectors as vec
 
 LONG = "run_id int, component string, variant string, metric string, value double"
 
@@ -191,3 +191,34 @@ def test_quality(spark):
 def test_top_components(spark):
     df = spark.createDataFrame([([1.0, -3.0, 3.0, 0.5],)], "v array<double>")
     assert df.select(vec.top_components(F.col("v"), 3).alias("t")).first().t == [1, 2, 0]
+
+
+def test_frame_of_signs():
+    for rows in (32, 64, 96, 128):
+        signs = vec.frame(rows, 32)
+        assert set(np.unique(signs)) == {-1.0, 1.0}
+        assert (signs.T @ signs == rows * np.eye(32)).all()
+    assert len({tuple(r) for r in vec.frame(128, 32).tolist()}) == 128
+    with pytest.raises(ValueError):
+        vec.frame(40, 32)
+    with pytest.raises(ValueError):
+        vec.frame(48, 24)
+
+
+def test_counts_in_the_row(spark):
+    rows = [
+        (1, "x", [0, 1, 3, -100, 4], [0, 1, 1, 0], [0, None, 3, 3]),
+        (1, "x", [1], [1], [9]),
+        (2, "x", [], [], []),
+        (3, "x", [-100], [1], [1]),
+        (4, "x", None, [1], [1]),
+        (5, "x", [7, 7, 1], [7, 1, 1], [0, 0, 0]),
+    ]
+    df = spark.createDataFrame(rows, "id int, clash string, gold array<int>, pa array<int>, pb array<int>")
+    counted = {r.id: r for r in ev.added_counts(ev.row_counts(df, ["id"], {"a": "pa", "b": "pb"}), ["id"]).collect()}
+    tokens = ev.paired_rows(df, ["id"], {"a": "pa", "b": "pb"})
+    plain = tokens.groupBy("id").agg(F.count("gold").alias("num_tokens"), *ev.metric_sums("a"), *ev.metric_sums("b"))
+    assert {r.id: r.asDict() for r in plain.collect()} == {k: v.asDict() for k, v in counted.items()}
+    got = ev.sample_metrics(df, ["id"], {"A": "pa", "B": "pb"})
+    want = ev.token_metrics(ev.prediction_pairs(df, ["id"], {"A": "pa", "B": "pb"}), ["id", "model"])
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
