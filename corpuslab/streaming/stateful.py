@@ -135,17 +135,20 @@ class DenseGauge(StatefulProcessor):
         self.level = handle.getValueState("level", "at long, in_flight long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # All at once: state belongs to the key of this call, which a generator would outlive.
         known = self.level.get() if self.level.exists() else None
         at, level = known if known is not None else (None, 0)
-        for frame in rows:
-            out = []
-            for now, started, ended in sorted(zip(frame["span_start"], frame["started"], frame["ended"], strict=True)):
-                if at is not None:
-                    out += [(key[0], t, 0, 0, level) for t in range(at + self.step, int(now), self.step)]
-                at, level = int(now), level + int(started) - int(ended)
-                out.append((key[0], at, int(started), int(ended), level))
-            yield pd.DataFrame(out, columns=self.names)
+        spans = sorted(
+            span for frame in rows for span in zip(frame["span_start"], frame["started"], frame["ended"], strict=True)
+        )
+        out = []
+        for now, started, ended in spans:
+            if at is not None:
+                out += [(key[0], t, 0, 0, level) for t in range(at + self.step, int(now), self.step)]
+            at, level = int(now), level + int(started) - int(ended)
+            out.append((key[0], at, int(started), int(ended), level))
         self.level.update((at, level))
+        return iter([pd.DataFrame(out, columns=self.names)])
 
     def close(self) -> None:
         pass
