@@ -6,13 +6,15 @@ smallest doc_id it starts in. Suffixes are sorted as far as this needs:
 1. Anchors. Of the ``GRAM``-byte strings inside each window of ``LENGTH`` bytes
    the one with the smallest hash is the window's anchor. It depends on the
    window alone, so equal windows have equal anchors, and about one position in
-   sixteen is an anchor. Anchors that occur in one text only are dropped.
+   sixteen is an anchor. Anchors that occur in one text only are dropped; which
+   do, is seen where all entries of an anchor meet. Anchors of very many texts
+   are counted in the tasks first and their entries are not gathered at all.
 2. Initial buckets. Each remaining anchor sends the bytes that its windows cover
    to the bucket of its gram, which thus gets all suffixes that can be equal.
    Copies inside a group of documents stay behind, since all but the first are
    known to be repeats. The windows of an anchor found in very many texts are
-   sent one by one to the bucket of their whole content, so no bucket has to
-   take them all.
+   sent one by one to the bucket of their whole content, cut into parts by group:
+   of each part only the first texts with a window go on to where all parts meet.
 3. Refinement. Suffixes with equal grams are sorted by the pair (bucket of the
    suffix, bucket of the suffix that starts where that one's compared bytes
    end); the new buckets are used in the same way, which doubles the length,
@@ -20,15 +22,18 @@ smallest doc_id it starts in. Suffixes are sorted as far as this needs:
    which of its windows go.
 
 Whole copies are found first by digest and only their first text is compared.
-Rows with null or short text lose nothing; rows with null doc_id come after all
-others and are no source for each other; repeated rows of one doc_id get the
+Rows with null or short text lose nothing; very long texts are worked on in runs
+of ``RUN`` bytes; rows with null doc_id come after all others and are no source
+for each other; repeated rows of one doc_id get the
 same result; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -49,6 +54,8 @@ PLACE = np.uint64((1 << 24) - 1)
 ID_BITS = 47
 IDS = np.uint64((1 << ID_BITS) - 1)
 HOT_TEXTS = 50_000
+HOT_LIST = 200_000
+LOCAL = 8
 BUCKET_BYTES = 8 << 20
 GROUP_BYTES = 1 << 20
 FLUSH = 2_000_000
@@ -212,8 +219,49 @@ def _group(digest: str, groups: int) -> Column:
     return F.pmod(F.conv(F.hex(F.substring(digest, 9, 7)), 16, 10).cast("bigint"), F.lit(groups)).cast("int")
 
 
-def anchor_rows(texts: DataFrame, buckets: int) -> DataFrame:
-    """bucket, and packed keys, groups, counts and anchor ids of some texts."""
+def once_in_a_text(texts: list[bytes], held: Powers) -> np.ndarray:
+    """Text and anchor id in one number, for each anchor of each text once."""
+    *_, doc, _, _, _, ids = anchors(texts, held)
+    return np.unique(doc.astype(np.uint64) << np.uint64(ID_BITS) | ids)
+
+
+def frequent_anchors(texts: DataFrame) -> np.ndarray:
+    """Ascending ids of anchors that occur in more than ``HOT_TEXTS`` texts, at
+    most ``HOT_LIST``, the most frequent first.
+
+    A task counts ``FLUSH`` entries at a time and passes on ids that it saw
+    ``LOCAL`` times, so an anchor may be missed. The list only says which entries
+    need not be gathered: results are the same whatever is on it.
+    """
+
+    def make():
+        held = Powers()
+        parts: list[np.ndarray] = []
+
+        def flush():
+            if parts:
+                ids, n = np.unique(np.concatenate(parts), return_counts=True)
+                parts.clear()
+                often = n >= LOCAL
+                yield {"id": ids[often].astype(np.int64), "n": n[often]}
+
+        def step(rows):
+            parts.append(once_in_a_text([t.encode() for t in rows["text"]], held) & IDS)
+            if sum(map(len, parts)) > FLUSH:
+                yield from flush()
+
+        step.finish = flush
+        return step
+
+    counted = map_batches(texts.select("text"), make, "id bigint, n bigint")
+    totals = counted.groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") > HOT_TEXTS)
+    listed = totals.orderBy(F.desc("n"), "id").limit(HOT_LIST).select("id").toArrow()
+    return np.sort(listed["id"].to_numpy().astype(np.uint64))
+
+
+def anchor_rows(texts: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
+    """bucket, and packed keys, groups, counts and anchor ids of some texts,
+    without the ids in ``hot``."""
 
     def make():
         held = Powers()
@@ -241,10 +289,8 @@ def anchor_rows(texts: DataFrame, buckets: int) -> DataFrame:
 
         def step(rows):
             nonlocal size
-            raw = [t.encode() for t in rows["text"]]
-            *_, doc, _, _, _, ids = anchors(raw, held)
-            # An anchor counts once in a text.
-            once = np.unique(doc.astype(np.uint64) << np.uint64(ID_BITS) | ids)
+            once = once_in_a_text([t.encode() for t in rows["text"]], held)
+            once = once[~np.isin(once & IDS, hot)]
             parts.append(((once >> np.uint64(ID_BITS)).astype(np.int64) + len(docs["key"]), once & IDS))
             docs["key"] += [_key(sha) for sha in rows["sha"]]
             docs["grp"] += rows["grp"]
@@ -267,8 +313,8 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def shared_anchors(rows: DataFrame) -> DataFrame:
     """grp, and packed keys, counts and ids (the highest bit marks very frequent
     ones) of the anchors that occur in several texts. A bucket holds about
-    ``BUCKET_BYTES``, whatever the data, since an anchor counts once in a text
-    and ids are spread by their hash."""
+    ``BUCKET_BYTES``, since an anchor counts once in a text, ids are spread by
+    their hash, and the most frequent anchors are not among ``rows``."""
 
     def shared(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [unpacked(v, "<u8", "<i4", "<u4", "V6") for v in frame["value"]]
@@ -296,31 +342,37 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
 RECORD = ["<u8", "<i8", "<i8", "u1", "u1", f"V{CONTEXT}"]
 
 
-def contexts(texts: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
-    """bucket, grp, done, and packed records: key, order and place of the text,
-    first and last window, and the bytes they cover. Rows with ``done`` hold
-    windows (key, start, end) already known to be repeats."""
+def contexts(texts: DataFrame, shared: DataFrame, buckets: int, parts: int, listed: np.ndarray) -> DataFrame:
+    """bucket, part, grp, done, and packed records: key, order and place of the
+    text, first and last window, and the bytes they cover. Rows with ``done``
+    hold windows (key, start, end) already known to be repeats. The anchors are
+    those of ``shared`` and the ``listed`` ones; windows of the very frequent
+    ones are dealt over ``parts`` parts by group, other rows are in part -1."""
 
     def around(key, texts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"bucket": [], "grp": [], "done": [], "value": []})
-        if not len(texts) or not len(shared):
+        empty = pd.DataFrame({"bucket": [], "part": [], "grp": [], "done": [], "value": []})
+        if not len(texts) or not (len(shared) or len(listed)):
             return empty
         held = Powers()
         raw, begins, doc, place, first, last, ids = anchors([t.encode() for t in texts["text"]], held)
         keys = np.array([_key(sha) for sha in texts["sha"]], np.uint64)
         orders = texts["first"].to_numpy(np.int64)
         number = {k: i for i, k in enumerate(keys.tolist())}
-        parts = [unpacked(v, "<u8", "<u4", "V6") for v in shared["value"]]
-        wanted_ids = long(np.concatenate([p[2] for p in parts]))
+        known = [unpacked(v, "<u8", "<u4", "V6") for v in shared["value"]]
+        wanted_ids = np.concatenate([np.zeros(0, np.uint64), *(long(p[2]) for p in known)])
         of_doc = np.concatenate(
-            [np.repeat(np.array([number.get(k, -1) for k in p[0].tolist()], np.int64), p[1]) for p in parts]
+            [
+                np.zeros(0, np.int64),
+                *(np.repeat(np.array([number.get(k, -1) for k in p[0].tolist()], np.int64), p[1]) for p in known),
+            ]
         )
         plain = wanted_ids & IDS
         if len(keys) >> (64 - ID_BITS):
             raise ValueError("too many texts in a group")
         wanted = of_doc.astype(np.uint64) << np.uint64(ID_BITS) | plain
-        hot = np.unique(plain[wanted_ids >> np.uint64(ID_BITS) > 0])
-        kept = np.flatnonzero(np.isin(doc.astype(np.uint64) << np.uint64(ID_BITS) | ids, wanted[of_doc >= 0]))
+        hot = np.union1d(plain[wanted_ids >> np.uint64(ID_BITS) > 0], listed)
+        in_several = np.isin(doc.astype(np.uint64) << np.uint64(ID_BITS) | ids, wanted[of_doc >= 0])
+        kept = np.flatnonzero(in_several | np.isin(ids, listed))
         if not len(kept):
             return empty
         doc, place, first, last, ids = (a[kept] for a in (doc, place, first, last, ids))
@@ -338,12 +390,15 @@ def contexts(texts: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
             part = slice(begin, begin + RECORDS)
             own = (a[part] for a in (doc, place, first, last, ids, many))
             out += _records(raw, begins, keys, orders, buckets, *own)
-        frame = pd.DataFrame(out, columns=["bucket", "done", "value"])
-        frame.insert(1, "grp", int(key[0]))
+        frame = pd.DataFrame(out, columns=["bucket", "part", "done", "value"])
+        frame["part"] = np.where(frame["part"], int(key[0]) % parts, -1)
+        frame.insert(2, "grp", int(key[0]))
         return frame
 
     return (
-        texts.groupBy("grp").cogroup(shared.groupBy("grp")).applyInPandas(around, "bucket int, grp int, done boolean, value binary")
+        texts.groupBy("grp")
+        .cogroup(shared.groupBy("grp"))
+        .applyInPandas(around, "bucket int, part int, grp int, done boolean, value binary")
     )
 
 
@@ -362,21 +417,21 @@ def _records(raw, begins, keys, orders, buckets, doc, place, first, last, ids, m
     if repeat.any():
         own = doc[repeat]
         value = packed(keys[own], first[repeat] - begins[own], last[repeat] + LENGTH - begins[own])
-        out.append((int(keys[own[0]] % np.uint64(buckets)), True, value))
+        out.append((int(keys[own[0]] % np.uint64(buckets)), False, True, value))
     sent = np.flatnonzero(~repeat)
     target = ids.copy()
     if many.any():
         target[many] = [
             int.from_bytes(hashlib.blake2b(rows[i].tobytes(), digest_size=6).digest(), "little") for i in np.flatnonzero(many)
         ]
-    bucket = (target[sent] % np.uint64(buckets)).astype(np.int64)
+    bucket = (target[sent] % np.uint64(buckets)).astype(np.int64) * 2 + many[sent]
     order = np.argsort(bucket, kind="stable")
     for number, some in split_rows(bucket[order]):
         r = sent[order[some]]
         value = packed(
             keys[doc[r]], orders[doc[r]], left[r] - begins[doc[r]], low[r], high[r], rows[r].view(f"V{CONTEXT}").ravel()
         )
-        out.append((number, False, value))
+        out.append((number // 2, bool(number % 2), False, value))
     return out
 
 
@@ -384,25 +439,47 @@ def _records(raw, begins, keys, orders, buckets, doc, place, first, last, ids, m
 
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
-    """grp, and packed key, start and end of byte ranges to remove."""
+    """grp, and packed key, start and end of byte ranges to remove.
+
+    Each part of a bucket is refined by itself. Of the windows of very frequent
+    anchors each part passes on those of its smallest order (one per content, but
+    for texts that share a doc_id), and a second refinement compares these.
+    """
 
-    def refined(frame: pd.DataFrame) -> pd.DataFrame:
+    def refined(frame: pd.DataFrame, onward: bool) -> list[tuple]:
         done = frame["done"].to_numpy(bool)
-        out = list(zip(frame["grp"][done], frame["value"][done], strict=True))
+        out = [(None, g, v) for g, v in zip(frame["grp"][done], frame["value"][done], strict=True)]
         sent = frame[~done]
-        if len(sent):
-            parts = [unpacked(v, *RECORD) for v in sent["value"]]
-            group = np.repeat(sent["grp"].to_numpy(), [len(p[0]) for p in parts])
-            key, order, left, low, high, row = (np.concatenate(c) for c in zip(*parts, strict=True))
-            begin, end = removed(order, low, high, row)
-            hit = np.flatnonzero(end > begin)
-            hit = hit[np.argsort(group[hit], kind="stable")]
-            for number, some in split_rows(group[hit]):
-                r = hit[some]
-                out.append((number, packed(key[r], left[r] + begin[r], left[r] + end[r])))
-        return pd.DataFrame(out, columns=["grp", "value"])
-
-    return rows.groupBy("bucket").applyInPandas(refined, "grp int, value binary")
+        if not len(sent):
+            return out
+        packs = [unpacked(v, *RECORD) for v in sent["value"]]
+        group = np.repeat(sent["grp"].to_numpy(), [len(p[0]) for p in packs])
+        key, order, left, low, high, row = (np.concatenate(c) for c in zip(*packs, strict=True))
+        begin, end = removed(order, low, high, row)
+        by_group = np.argsort(group, kind="stable")
+        gone = end[by_group] > begin[by_group]
+        hit = by_group[gone]
+        for number, some in split_rows(group[hit]):
+            r = hit[some]
+            out.append((None, number, packed(key[r], left[r] + begin[r], left[r] + end[r])))
+        if onward:
+            first = by_group[~gone]
+            bucket = int(frame["bucket"].iloc[0])
+            for number, some in split_rows(group[first]):
+                r = first[some]
+                out.append((bucket, number, packed(key[r], order[r], left[r], low[r], high[r], row[r])))
+        return out
+
+    def in_part(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(refined(frame, key[1] >= 0), columns=["bucket", "grp", "value"])
+
+    def over_parts(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(refined(frame.assign(done=False), False), columns=["bucket", "grp", "value"])
+
+    schema = "bucket int, grp int, value binary"
+    first = via_table(rows.groupBy("bucket", "part").applyInPandas(in_part, schema), "ranges-in-parts")
+    second = first.filter("bucket IS NOT NULL").groupBy("bucket").applyInPandas(over_parts, schema)
+    return first.filter("bucket IS NULL").unionByName(second).select("grp", "value")
 
 
 def removed(order: np.ndarray, low: np.ndarray, high: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -522,8 +599,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "sha", F.col("ord").alias("first"), "text", _group("sha", groups).alias("grp")
     )
 
-    shared = via_table(shared_anchors(anchor_rows(texts, buckets)), "shared-anchors")
-    ranges = repeated_windows(contexts(texts, shared, buckets))
+    # An anchor counts once in a text, so few texts have no frequent one.
+    many = first.filter(F.col("n_bytes") >= LENGTH).count() > HOT_TEXTS
+    hot = frequent_anchors(texts) if many else np.zeros(0, np.uint64)
+    shared = via_table(shared_anchors(anchor_rows(texts, buckets, hot)), "shared-anchors")
+    parts = math.isqrt(groups) + 1
+    ranges = repeated_windows(contexts(texts, shared, buckets, parts, hot))
     spans = via_table(merged(ranges), "spans")
 
     keyed = first.select("sha", key_of("sha").alias("key"), _group("sha", groups).alias("grp"))

@@ -75,10 +75,33 @@ def test_against_every_window(spark, seed):
 def test_very_frequent_anchors_by_window(spark, monkeypatch):
     monkeypatch.setattr(op3, "HOT_TEXTS", 2)
     monkeypatch.setattr(op3, "RECORDS", 50)
+    monkeypatch.setattr(op3, "GROUP_BYTES", 400)
     docs = corpus(5)
     assert sorted(rows(op3.remove_repeats(docs_of(spark, docs))), key=str) == plain(docs)
 
 
+@pytest.mark.parametrize("most", [1, 10_000])
+def test_frequent_anchors_are_not_gathered(spark, monkeypatch, most):
+    monkeypatch.setattr(op3, "HOT_TEXTS", 2)
+    monkeypatch.setattr(op3, "HOT_LIST", most)
+    monkeypatch.setattr(op3, "LOCAL", 1)
+    monkeypatch.setattr(op3, "FLUSH", 100)
+    monkeypatch.setattr(op3, "GROUP_BYTES", 400)
+    docs = [*corpus(7), *corpus(8)]
+    found = {}
+    anchor_rows = op3.anchor_rows
+
+    def listed(texts, buckets, hot):
+        found["hot"], found["rows"] = hot, anchor_rows(texts, buckets, hot)
+        return found["rows"]
+
+    monkeypatch.setattr(op3, "anchor_rows", listed)
+    assert sorted(rows(op3.remove_repeats(docs_of(spark, docs))), key=str) == plain(docs)
+    assert 0 < len(found["hot"]) <= most
+    sent = [op3.unpacked(r["value"], "<u8", "<i4", "<u4", "V6")[3] for r in rows(found["rows"])]
+    assert not np.isin(op3.long(np.concatenate(sent)), found["hot"]).any()
+
+
 def test_large_sides_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(op3.checked, "__defaults__", (0,))
     docs = corpus(6)
