@@ -8,35 +8,42 @@ that begin like the keys of known issuers, and private key headers. A name befor
 same pattern gives what stands between them, so places and neighbouring text
 need no second search. A finding is described by its length, its character
 classes and the changes between them, the share of it that dictionary words
-cover, the path of its document, and the words around it.
+cover, the path of its document, and the words around it. The dictionary is that
+of the corpus: words that stand alone in ``WORD_DOCS`` documents or more.
 
 The forest is trained on labelled findings. They can be given; without them,
 rules label those findings that are clear (keys of known issuers, and values
 assigned to a name like "token", against plain numbers, placeholders, and
-digests named as such), and the forest decides on all others as well. The
-labelled rows are a bounded sample of ``SAMPLE_ROWS``, ordered by a hash; copies
+digests named as such). Such evidence is missing where the rules say nothing, so
+each labelled finding is trained on twice, once without its evidence: there the
+forest has to go by format, dictionary, path and neighbouring words, and so it
+decides on findings that the rules leave open. The labelled rows are a bounded sample of ``SAMPLE_ROWS``, ordered by a hash; copies
 of a finding are one row with their number as weight. Where
 the sample has one class only, every finding gets the share of positives.
 
-Null and empty texts have no findings; repeated rows are each scanned; an empty
-table gives no rows; ``source`` serves as path where there is such a column.
+Null and empty texts have no findings; long texts are scanned whole; repeated
+rows are each scanned and get equal scores, since a score depends on the finding
+and its neighbourhood alone; an empty table gives no rows; ``source`` serves as path where there is such a column.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpuslab.functions.arrays import once
+from corpuslab.operators.skew import lookup_join
 from corpuslab.session import via_table
 
 from .common import documents
 
 SAMPLE_ROWS = 10_000
-TREES, DEPTH = 20, 6
+TREES, DEPTH = 40, 8
+NEAR_WORDS = 64
+WORD_DOCS = 3
 THRESHOLD = 0.5
 NEAR = 40
 
@@ -75,8 +82,8 @@ PATTERN = (
     f"|(?<![{QUOTE}])(?=[^{BARE}0-9]*+[0-9])[^{BARE}]{{6,}}+{PADDING})"
     f"|(?<![{TOKEN}-])(?=[A-Za-z+/_-]*+[0-9])[{TOKEN}-]{{16,}}+{PADDING}"
 )
-#: Words that keys do not hold, and that placeholders and names do.
-DICTIONARY = [
+#: Words that placeholders and names hold.
+PLACEHOLDERS = [
     "example", "sample", "test", "dummy", "fake", "placeholder", "change", "replace", "your", "here", "insert", "todo",
     "password", "secret", "token", "key", "user", "admin", "name", "value", "data", "file", "path", "index", "page",
     "post", "http", "https", "www", "html", "image", "version", "release", "build", "node", "class", "function",
@@ -88,12 +95,17 @@ DIGEST_WORDS = r"(?i)\b(sha[0-9]*|md5|commit|revision|digest|checksum|hash|uuid|
 ASSIGNED = r"[=:]\s*[\"']?$"
 JOINED = r"^[\"'`]?\s*[=:]\s*[\"'`]?$"
 TEST_PATH = r"(?i)(test|example|sample|fixture|mock|doc|vendor|lock)"
+#: A word that stands alone, in lower-cased text, and the words inside a token.
+WORD = f"(?<![{TOKEN}=-])[a-z]{{3,20}}+(?![{TOKEN}=-])"
+INSIDE = "[A-Z]?[a-z]{2,}+|[A-Z]{3,}+"
 UUID = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 FEATURES = [
     "length", "digits", "upper", "lower", "other", "changes", "distinct", "hexadecimal", "numeric", "uuid", "issued",
-    "dictionary", "quoted", "assigned", "secret_word", "digest_word", "test_path", "slashes",
+    "placeholder", "dictionary", "quoted", "assigned", "secret_word", "digest_word", "test_path", "slashes",
 ]
+#: What labels are given by, and what findings left open lack.
+EVIDENCE = ["issued", "assigned", "secret_word", "digest_word"]
 
 
 def proposals(docs: DataFrame) -> DataFrame:
@@ -154,10 +166,10 @@ def _flag(condition: Column) -> Column:
 
 
 def described(found: DataFrame) -> DataFrame:
-    """``found`` with its features."""
+    """``found`` with the features that it shows by itself."""
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace("token", "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
     changes = F.length(F.regexp_replace(classes, r"(.)\1+", "$1")) - 1
-    plain = F.regexp_replace(F.lower("token"), "|".join(sorted(set(DICTIONARY), key=lambda w: (-len(w), w))), "")
+    plain = F.regexp_replace(F.lower("token"), "|".join(sorted(set(PLACEHOLDERS), key=lambda w: (-len(w), w))), "")
     values = {
         "length": F.least(F.length("token"), F.lit(200)).cast("double"),
         "digits": _share("[^0-9]"),
@@ -170,7 +182,7 @@ def described(found: DataFrame) -> DataFrame:
         "numeric": _flag(F.col("token").rlike("^[0-9/_=+-]+$")),
         "uuid": _flag(F.col("token").rlike(UUID)),
         "issued": _flag(F.col("token").rlike(f"^(?:{ISSUED}|{HEADER})")),
-        "dictionary": 1 - F.length(plain) / F.length("token"),
+        "placeholder": 1 - F.length(plain) / F.length("token"),
         "quoted": _flag(F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")),
         "assigned": _flag(F.col("before").rlike(ASSIGNED)),
         "secret_word": _flag(F.col("before").rlike(SECRET_WORDS)),
@@ -181,10 +193,39 @@ def described(found: DataFrame) -> DataFrame:
     return found.withColumns({f"f_{name}": value.cast("double") for name, value in values.items()})
 
 
+def corpus_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Those of the ``wanted`` words, with their other columns, that stand alone
+    in ``WORD_DOCS`` documents or more; all documents are counted."""
+    own = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
+    counted = docs.select(F.explode(own).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
+    return counted.filter(F.col("docs") >= WORD_DOCS).drop("docs").join(wanted, "word")
+
+
+def covered(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """``found`` with ``f_dictionary``, the share of the token in words of the corpus."""
+    key = F.sha2("token", 256).alias("token_key")
+    tokens = via_table(found.groupBy("token").agg(F.count(F.lit(1)).alias("n")).select(key, "token", "n"), "found-tokens")
+    inside = F.transform(F.regexp_extract_all("token", F.lit(INSIDE), F.lit(0)), F.lower)
+    pieces = tokens.select("token_key", F.explode(inside).alias("word")).filter(F.length("word") >= 3)
+    each = via_table(pieces.groupBy("token_key", "word").agg(F.count(F.lit(1)).alias("times")), "words-in-tokens")
+    wanted = each.groupBy("word").agg(F.count(F.lit(1)).alias("rows"))
+    known = via_table(corpus_words(docs, wanted), "known-words")
+    chars = lookup_join(each, known, "word", "rows").groupBy("token_key").agg(F.sum(F.length("word") * F.col("times")).alias("chars"))
+    share = (F.coalesce("chars", F.lit(0)) / F.length("token")).alias("f_dictionary")
+    shares = via_table(tokens.join(chars, "token_key", "left").select("token_key", "n", share), "dictionary-shares")
+    return lookup_join(found.withColumn("token_key", key), shares, "token_key", "n").drop("token_key", "n")
+
+
+def near_words() -> Column:
+    """Different words around a finding, without those that give its label."""
+    near = F.regexp_replace(F.concat_ws(" ", "before", "after"), f"{SECRET_WORDS}|{DIGEST_WORDS}", " ")
+    return F.array_distinct(F.regexp_extract_all(F.lower(near), F.lit("[a-z]{2,}"), F.lit(0)))
+
+
 def rule_label() -> Column:
     """1 and 0 for findings that are clear, null for the others."""
     on = {name: F.col(f"f_{name}") > 0 for name in FEATURES}
-    placeholder = (F.col("f_dictionary") > 0.4) | (F.col("f_distinct") < 6)
+    placeholder = (F.col("f_placeholder") > 0.4) | (F.col("f_distinct") < 6)
     return (
         F.when(placeholder | on["numeric"] | on["uuid"], 0)
         .when(on["issued"] | (on["secret_word"] & on["assigned"] & ~on["digest_word"]), 1)
@@ -208,23 +249,31 @@ def training_rows(found: DataFrame, labels: DataFrame | None, sample_rows: int)
     features = [f"f_{name}" for name in FEATURES]
     known = rows.filter("label IS NOT NULL").groupBy("token", "before", "after", "path", "label", *features)
     different = known.agg(F.count(F.lit(1)).cast("double").alias("weight")).withColumn("_order", order_key())
-    return different.orderBy("_order", "label", *features).limit(sample_rows).select("label", "weight", *features)
+    chosen = different.orderBy("_order", "label", *features).limit(sample_rows)
+    return chosen.select("label", "weight", "before", "after", *features)
+
+
+def without_evidence(train: DataFrame) -> DataFrame:
+    """``train``, and each row once more as it would look without its evidence."""
+    return train.unionByName(train.withColumns({f"f_{name}": F.lit(0.0) for name in EVIDENCE}))
 
 
 def secret_findings(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per finding: doc_id, start, end, kind, score and secret (the verdict)."""
-    found = via_table(described(proposals(docs)), "findings")
+    found = via_table(covered(via_table(described(proposals(docs)), "proposals"), docs), "findings")
     train = via_table(training_rows(found, labels, sample_rows), "labelled-findings")
     positive = F.col("label") * F.col("weight")
     state = train.agg(*(F.coalesce(F.sum(x), F.lit(0.0)).alias(k) for k, x in (("n", F.col("weight")), ("positive", positive)))).first()
     if 0 < state["positive"] < state["n"]:
-        columns = [f"f_{name}" for name in FEATURES]
+        words = HashingTF(inputCol="_near", outputCol="_words", numFeatures=NEAR_WORDS, binary=True)
+        features = VectorAssembler(inputCols=[*(f"f_{name}" for name in FEATURES), "_words"], outputCol="_features")
         forest = RandomForestClassifier(
             featuresCol="_features", labelCol="label", weightCol="weight", probabilityCol="_chance", rawPredictionCol="_votes",
-            predictionCol="_class", numTrees=TREES, maxDepth=DEPTH, seed=7,
+            predictionCol="_class", numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="onethird", seed=7,
         )
-        model = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="_features"), forest]).fit(train)
-        scored = model.transform(found).withColumn("score", F.get(vector_to_array("_chance"), F.lit(1)))
+        rows = without_evidence(train).withColumn("_near", near_words())
+        model = Pipeline(stages=[words, features, forest]).fit(rows)
+        scored = model.transform(found.withColumn("_near", near_words())).withColumn("score", F.get(vector_to_array("_chance"), F.lit(1)))
     else:
         scored = found.withColumn("score", F.lit(state["positive"] / max(1, state["n"])))
     kind = F.when(F.col("f_issued") > 0, "issued").when(F.col("f_hexadecimal") > 0, "hexadecimal").otherwise("token")

@@ -143,8 +143,69 @@ def test_copies_do_not_fill_the_sample(spark):
     once = list(findings(24))
     texts = {100 * i + k: t for i, t in once for k in range(30)}
     docs = docs_of(spark, list(texts.items()))
-    train = rows(op7.training_rows(op7.described(op7.proposals(docs)), None, 20))
+    train = rows(op7.training_rows(op7.covered(op7.described(op7.proposals(docs)), docs), None, 20))
     assert len(train) == 20 and all(r["weight"] >= 30 for r in train)
     got = rows(op7.secret_findings(docs, sample_rows=20))
     right = sum(r["secret"] == (r["start"] < texts[r["doc_id"]].index(" and then ")) for r in got)
     assert len({r["score"] for r in got}) > 1 and right >= 0.9 * len(got)
+
+
+WORDS = ["report", "summary", "weekly", "harbour", "meeting", "budget", "garden", "travel", "winter", "river", "market"]
+
+
+def left_open(n, seed=3):
+    """Texts with a labelled and an open finding each, and the truth of the open one."""
+    rng = random.Random(seed)
+    for i in range(n):
+        wordy = lambda: "-".join(rng.choice(WORDS) for _ in range(4)) + "-2024"
+        labelled = f"password: {key(rng, 24)}" if i % 2 else f"the checksum of {wordy()}"
+        true = rng.random() < 0.5
+        yield i, f"{labelled}\nabout {' '.join(WORDS)} we saw {key(rng, 24) if true else wordy()} again", true
+
+
+def open_verdicts(spark, n=200):
+    cases = list(left_open(n))
+    texts = {i: t for i, t, _ in cases}
+    truth = {i: x for i, _, x in cases}
+    docs = docs_of(spark, list(texts.items()))
+    judged = rows(op7.secret_findings(docs))
+    labels = rows(op7.described(op7.proposals(docs)).withColumn("label", op7.rule_label()).select("doc_id", "start", "label"))
+    unclear = {(r["doc_id"], r["start"]) for r in labels if r["label"] is None}
+    at = {i: t.index(" we saw ") + len(" we saw ") for i, t in texts.items()}
+    assert unclear == set(at.items())
+    return [(r["secret"], truth[r["doc_id"]]) for r in judged if (r["doc_id"], r["start"]) in unclear]
+
+
+def test_forest_decides_what_the_rules_leave_open(spark):
+    verdicts = open_verdicts(spark)
+    assert len(verdicts) == 200 and sum(a == b for a, b in verdicts) >= 0.95 * len(verdicts)
+
+
+def test_rules_alone_decide_nothing_there(spark, monkeypatch):
+    monkeypatch.setattr(op7, "rule_label", label_by_all())
+    monkeypatch.setattr(op7, "FEATURES", op7.EVIDENCE)
+    verdicts = open_verdicts(spark)
+    assert sum(a == b for a, b in verdicts) < 0.7 * len(verdicts)
+
+
+def label_by_all():
+    """The rules, with all features at hand whatever the forest gets."""
+    names, rule = list(op7.FEATURES), op7.rule_label
+
+    def label():
+        kept, op7.FEATURES = op7.FEATURES, names
+        try:
+            return rule()
+        finally:
+            op7.FEATURES = kept
+
+    return label
+
+
+def test_dictionary_of_the_corpus(spark):
+    said = "the harbour meeting"
+    docs = [*((i, said) for i in range(op7.WORD_DOCS)), (50, "garden"), (51, None), (52, "see harbour-meeting-garden-7 now"), (52, "see harbour-meeting-garden-7 now"), (53, "HarbourMeeting123456 x" + "7" * 20)]
+    table = docs_of(spark, docs, clashing=True)
+    got = rows(op7.covered(op7.described(op7.proposals(table)), table))
+    share = sorted((r["doc_id"], r["token"], round(r["f_dictionary"], 6)) for r in got)
+    assert share == [(52, "harbour-meeting-garden-7", round(14 / 24, 6))] * 2 + [(53, "HarbourMeeting123456", 0.7), (53, "x" + "7" * 20, 0.0)]
