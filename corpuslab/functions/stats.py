@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -73,47 +74,68 @@ def signed_rank_exact(pairs: int, statistic: float) -> float:
     return min(1.0, 2 * float(signed_rank_tails(pairs)[int(statistic)]))
 
 
-def rank_sum_tails(first: int, second: int) -> np.ndarray:
-    """Probability of each U up to half its range, or a smaller one, without ties.
+@cache
+def bounded_parts(largest: int) -> tuple[int, list[int]]:
+    """A period and a polynomial that give ``parts_up_to``.
 
-    The number of ways is the coefficient in a quotient of products; each factor
-    is a shifted difference and a running sum over every k-th entry.
+    The series 1 / ((1 - q)(1 - q)(1 - q^2) ... (1 - q^largest)) is the polynomial
+    over (1 - q^period)^(largest + 1), the period a multiple of all exponents.
     """
-    smaller, larger = min(first, second), max(first, second)
-    size = smaller * larger // 2 + 1
-    ways = np.zeros(size)
-    ways[0] = 1
-    for k in range(1, smaller + 1):
-        shift = larger + k
-        if shift < size:
-            ways[shift:] -= ways[:-shift].copy()
-        rows = -(-size // k)
-        ways = np.cumsum(np.append(ways, np.zeros(rows * k - size)).reshape(rows, k), axis=0).ravel()[:size]
-    return np.cumsum(ways) / math.comb(first + second, smaller)
+    period = math.lcm(*range(1, largest + 1))
+    terms = [1]
+    for k in [1, *range(1, largest + 1)]:
+        # Times (1 - q^period) / (1 - q^k) = 1 + q^k + ... + q^(period - k).
+        longer = terms + [0] * (period - k)
+        for i in range(k, len(longer)):
+            longer[i] += longer[i - k] - (terms[i - period] if i >= period else 0)
+        terms = longer
+    return period, terms
+
+
+def parts_up_to(largest: int, total: int) -> int:
+    """Ways to add parts from 1 to ``largest`` to ``total`` or less."""
+    period, terms = bounded_parts(largest)
+    return sum(
+        terms[at] * math.comb((total - at) // period + largest, largest)
+        for at in range(total % period, min(total + 1, len(terms)), period)
+    )
 
 
-def rank_sum_exact(first: int, second: int, larger_u: float) -> float:
-    """Two-sided p of the larger U of two samples without ties."""
-    return _rank_sum_p(rank_sum_tails(first, second), first * second, larger_u)
+def rank_sum_ways(smaller: int, larger: int, u: int) -> int:
+    """Arrangements of two samples without ties whose U is at most ``u``.
+
+    U counts parts in a box of ``smaller`` by ``larger``: parts of any number,
+    less those that pass the box, by inclusion and exclusion over the factors
+    1 - q^(larger + k). Time and memory do not depend on ``larger``.
+    """
+    signed = {0: 1}
+    for k in range(1, smaller + 1):
+        for shift, sign in list(signed.items()):
+            if shift + larger + k <= u:
+                signed[shift + larger + k] = signed.get(shift + larger + k, 0) - sign
+    return sum(sign * parts_up_to(smaller, u - shift) for shift, sign in signed.items() if sign)
 
 
-def _rank_sum_p(tails: np.ndarray, product: int, larger_u: float) -> float:
-    below = math.floor(product - larger_u)
-    return min(1.0, 2 * float(tails[min(below, len(tails) - 1)])) if below >= 0 else 0.0
+def rank_sum_exact(first: int, second: int, larger_u: float) -> float:
+    """Two-sided p of the larger U of two samples without ties, the smaller one
+    of about ten values at most."""
+    below = math.floor(first * second - larger_u)
+    if below < 0:
+        return 0.0
+    if 2 * below >= first * second:
+        return 1.0
+    smaller, larger = min(first, second), max(first, second)
+    return min(1.0, 2 * rank_sum_ways(smaller, larger, below) / math.comb(first + second, smaller))
 
 
 @F.pandas_udf(T.DoubleType())
 def rank_sum_p(n_a: pd.Series, n_b: pd.Series, u_a: pd.Series, z: pd.Series, tied: pd.Series) -> pd.Series:
     """Exact if one sample is tiny and there are no ties, else the normal tail of
-    ``z``. The distribution is computed once for all groups of the same sizes."""
-    found: dict[tuple[int, int], np.ndarray] = {}
+    ``z``."""
 
     def one(a: float, b: float, u: float, score: float, has_ties: bool) -> float:
         if min(a, b) <= EXACT_SMALLER and not has_ties:
-            sizes = (int(min(a, b)), int(max(a, b)))
-            if sizes not in found:
-                found[sizes] = rank_sum_tails(*sizes)
-            return _rank_sum_p(found[sizes], sizes[0] * sizes[1], max(u, a * b - u))
+            return rank_sum_exact(int(a), int(b), max(u, a * b - u))
         return 1.0 if math.isnan(score) else min(1.0, math.erfc(score / math.sqrt(2)))
 
     return pd.Series([one(*row) for row in zip(n_a, n_b, u_a, z, tied)], dtype="float64")

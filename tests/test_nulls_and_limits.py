@@ -2,6 +2,8 @@
 
 import math
 import time
+import tracemalloc
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +139,26 @@ def test_tiny_sample_is_exact_beside_a_large_one(spark):
     assert got[501] < 1e-5
 
 
+def test_rank_sum_ways_count_all_arrangements():
+    for smaller, larger in [(0, 4), (1, 9), (2, 5), (3, 3), (3, 7), (4, 6), (5, 5)]:
+        sums = [sum(at) - smaller * (smaller - 1) // 2 for at in combinations(range(smaller + larger), smaller)]
+        for u in range(smaller * larger + 1):
+            assert stats.rank_sum_ways(smaller, larger, u) == sum(x <= u for x in sums)
+
+
+def test_rank_sum_of_a_huge_sample_in_little_memory():
+    n = 100_000_000
+    tracemalloc.start()
+    values = [stats.rank_sum_exact(8, n, u * 8 * n) for u in (0.5, 0.75, 0.9, 1.0)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000
+    # U over n is nearly a sum of 8 uniform values.
+    below = lambda x: sum((-1) ** k * math.comb(8, k) * (x - k) ** 8 for k in range(int(x) + 1)) / math.factorial(8)
+    assert values[0] == 1.0 and values[3] == pytest.approx(2 / math.comb(n + 8, 8), rel=1e-12)
+    assert values[1:3] == pytest.approx([2 * below(2.0), 2 * below(0.8)], rel=1e-5)
+
+
 def test_worst_variant_is_judged_and_named(spark):
     rows = [
         (1, "optimization", "pruned", "speedup_factor", 3.0),
