@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -32,6 +33,8 @@ MAX_DOCUMENT_TOKENS = 512
 IGNORE = -100
 
 MODELS_PER_WORKER = 2
+#: Characters of the texts that a worker labels at a time; tokens as Python objects take many times their room.
+PART_CHARS = 500_000
 
 ENTITY_TYPES = [name[2:] for name in LABELS if name.startswith("B-")]
 BEGIN_IDS = [i for i, name in enumerate(LABELS) if name.startswith("B-")]
@@ -81,6 +84,16 @@ def predicted(predict: Predictor, texts: list[str], batch_size: int) -> list:
     return out
 
 
+def parts_of(batch: pa.RecordBatch, text: str = "text", chars: int = PART_CHARS) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in parts whose texts begin within the same ``chars`` bytes."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(lengths, dtype=np.int64) - lengths) // chars
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+        if begin < end:
+            yield batch.slice(begin, end - begin)
+
+
 def predict_tokens(
     df: DataFrame,
     predictor_factory: Callable[[], Predictor],
@@ -94,7 +107,8 @@ def predict_tokens(
     ``predictor_factory()`` returns a function from a list of texts to, per
     text, (token, label id, confidence) triples. Texts of similar length share
     a batch, so that little is padded. Confidences are rounded to 4 places.
-    Rows stay in their partitions.
+    Rows stay in their partitions; a worker holds the tokens of about
+    ``PART_CHARS`` characters at a time.
     """
     made = hashlib.sha256(cloudpickle.dumps(predictor_factory)).hexdigest()
 
@@ -105,7 +119,7 @@ def predict_tokens(
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = worker_model(made, predictor_factory)
         fields = list(kinds.field("tokens").type.value_type)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole)):
             texts = batch.column("text").to_pylist()
             found = predicted(predict, texts, batch_size)
             ends = np.cumsum([0, *map(len, found)])

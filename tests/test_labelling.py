@@ -156,3 +156,29 @@ def test_alignment_padding_softmax(spark):
         lab.predicted_class(F.col("x")).alias("c"), F.round(lab.predicted_probability(F.col("x")), 4).alias("p")
     ).collect()
     assert [(r.c, r.p) for r in rows] == [(1, 0.4683), (0, 0.5), (0, 1.0)]
+
+
+def test_tokens_of_long_texts_are_held_in_parts(spark):
+    """Each label is the number of results alive when it was made."""
+
+    def factory():
+        alive = [0]
+
+        class Found(list):
+            def __init__(self, rows):
+                super().__init__(rows)
+                alive[0] += 1
+
+            def __del__(self):
+                alive[0] -= 1
+
+        def predict(texts):
+            return [Found([("x", alive[0], 1.0)]) for _ in texts]
+
+        return predict
+
+    size = lab.PART_CHARS // 10
+    docs = spark.range(200).selectExpr("CAST(id AS STRING) AS doc_id", f"repeat('a', {size}) AS text").coalesce(1)
+    rows = lab.token_rows(lab.predict_tokens(docs, factory)).select("doc_id", "label_id").collect()
+    assert len({r["doc_id"] for r in rows}) == len(rows) == 200
+    assert max(r["label_id"] for r in rows) < 50
