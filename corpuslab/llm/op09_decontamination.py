@@ -2,9 +2,9 @@
 
 The terms are the words of the benchmark items. Their document frequencies are
 counted over all documents; passages are TF-IDF vectors over the terms. A
-randomised singular value decomposition of the passages (all items, and a
-bounded sample of document passages, whose partial products are summed on the
-executors) gives term directions. Every document is then cut into blocks of
+randomised singular value decomposition of the passages (all items, and all
+passages of all documents, whose partial products are summed on the executors)
+gives term directions. Every document is then cut into blocks of
 ``STEP`` words, and every window of blocks that an item of some length fits
 into is compared with the items of that length: the cosine of the projections
 and the share of the item's mass found in the window select candidates. So that
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpuslab.session import scratch_path, via_table
 
-from .common import bounded_batches, documents, map_batches, sampled_texts, texts
+from .common import bounded_batches, documents, map_batches, texts
 from .wordhash import Lookup, Powers, Words, words_of
 
 STEP = 16
@@ -49,8 +49,8 @@ RANK = 64
 OVERSAMPLE = 10
 POWER_ROUNDS = 2
 PASSAGE = 64
-FIT_TASKS = 8
-TERM_BLOCK = 512
+#: Terms whose partial products of all tasks meet in one group.
+TERM_BLOCK = 32
 BLOCK_ITEMS = 2_000
 MIN_WORDS = 5
 COSINE = 0.55
@@ -161,11 +161,12 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
     return total[:size], int(total[size])
 
 
-def passages(docs: DataFrame, items: Items, idf: np.ndarray, fit_docs: int | None = None) -> DataFrame:
-    """Rows of the TF-IDF matrix, of unit length: term numbers and weights. All
-    items, and one passage of ``PASSAGE`` words from each of about ``fit_docs``
-    documents from all parts of the table. As many documents as items keep the
-    directions on what tells the items apart."""
+def passages(docs: DataFrame, items: Items, idf: np.ndarray, n_docs: int) -> DataFrame:
+    """Rows of the TF-IDF matrix: term numbers and weights. All items, each of
+    unit length, and all passages of ``PASSAGE`` words of all documents. The
+    passages of a document weigh the same, all documents weigh the same, and
+    together they weigh as much as the items, which keeps the directions on
+    what tells the items apart."""
     size = len(items.terms)
     lookup = Lookup(items.terms, size)
 
@@ -179,23 +180,32 @@ def passages(docs: DataFrame, items: Items, idf: np.ndarray, fit_docs: int | Non
         held = Powers()
 
         def step(rows):
-            words = words_of(rows["text"], held)
-            numbers = lookup(words.hash)
-            cut = []
-            for begin, end in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
-                if begin < end:
-                    at = begin + PASSAGE * (int(words.hash[begin]) % -(-(end - begin) // PASSAGE))
-                    cut += [row(numbers[at : min(at + PASSAGE, end)])]
-            cut = [c for c in cut if c]
-            yield {"term": [c[0] for c in cut], "weight": [c[1] for c in cut]}
+            for at in range(0, len(rows["text"]), SLICE):
+                words = words_of(rows["text"][at : at + SLICE], held)
+                counts = np.diff(words.first)
+                n_passages = -(-counts // PASSAGE)
+                doc = np.repeat(np.arange(len(counts)), counts)
+                passage = (np.cumsum(n_passages) - n_passages)[doc] + (np.arange(len(doc)) - words.first[doc]) // PASSAGE
+                number = lookup(words.hash)
+                known = number < size
+                key, count = np.unique(passage[known] * size + number[known], return_counts=True)
+                if not len(key):
+                    continue
+                passage, term = np.divmod(key, size)
+                weight = count * idf[term]
+                first = np.flatnonzero(np.diff(passage, prepend=-1))
+                share = len(items.ids) / n_docs / np.repeat(n_passages, n_passages)[passage[first]]
+                scale = np.sqrt(share / np.add.reduceat(weight * weight, first))
+                weight = (weight * np.repeat(scale, np.diff(first, append=len(key)))).astype(np.float32)
+                yield {"term": np.split(term.astype(np.int32), first[1:]), "weight": np.split(weight, first[1:])}
 
         return step
 
     spark = docs.sparkSession
-    schema = "term array<int>, weight array<double>"
-    sampled = map_batches(sampled_texts(docs, fit_docs or len(items.ids)).select("text"), make, schema)
+    schema = "term array<int>, weight array<float>"
+    every = map_batches(texts(docs).select("text"), make, schema)
     own = [r for r in (row(lookup(w)) for w in items.words) if r]
-    return sampled.unionByName(spark.createDataFrame(own, schema))
+    return every.unionByName(spark.createDataFrame(own, schema).coalesce(1))
 
 
 def product(matrix: DataFrame, basis: np.ndarray) -> np.ndarray:
@@ -211,8 +221,11 @@ def product(matrix: DataFrame, basis: np.ndarray) -> np.ndarray:
             counts = np.diff(terms.offsets.to_numpy())
             ends = np.cumsum(counts)
             row = np.repeat(np.arange(len(counts)), counts)
-            projected = np.add.reduceat(basis[term] * weight[:, None], ends - counts) if len(term) else basis[:0]
-            np.add.at(total, term, projected[row] * weight[:, None])
+            if len(term):
+                projected = np.add.reduceat(basis[term] * weight[:, None], ends - counts)
+                order = np.argsort(term, kind="stable")
+                first = np.flatnonzero(np.diff(term[order], prepend=-1))
+                total[term[order[first]]] += np.add.reduceat(projected[row[order]] * weight[order, None], first)
         places = range(0, size, TERM_BLOCK)
         blocks = [total[at : at + TERM_BLOCK].tobytes() for at in places]
         yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(blocks, pa.binary())], ["at", "part"])
@@ -254,12 +267,12 @@ def widths(longest: int):
         at *= 2
 
 
-def fit(docs: DataFrame, items: Items, rank: int = RANK, fit_docs: int | None = None) -> Index:
+def fit(docs: DataFrame, items: Items, rank: int = RANK) -> Index:
     if not items.ids:
         return Index(items, np.zeros(0, np.int64), np.zeros((1, 1), np.float32), np.zeros((0, 1)), {})
     counts, total = document_frequencies(docs, items.terms)
     idf = np.log((total + 1) / (counts + 1)) + 1e-3
-    matrix = via_table(passages(docs, items, idf, fit_docs).repartition(FIT_TASKS), "passages")
+    matrix = via_table(passages(docs, items, idf, max(1, total)), "passages")
     vectors = term_directions(matrix, len(items.terms), rank)
     directions = np.vstack([vectors * idf[:, None], np.zeros((1, vectors.shape[1]))]).astype(np.float32)
     lookup = Lookup(items.terms, len(items.terms))

@@ -229,3 +229,14 @@ def test_short_items_are_exact_sequences(spark):
     assert got == [(1, 1, 1), (3, 2, 1), (4, 1, 0), (4, 2, 2), (5, 1, 1), (5, 2, 3), (5, 3, 1), (7, 4, 0)]
     only = rows(op9.findings(docs_of(spark, docs), items_of(spark, items[:1])))
     assert {r["doc_id"] for r in only} == {1, 4, 5}
+
+
+def test_directions_come_from_all_passages_of_all_documents(spark):
+    words = [f"w{i}" for i in range(12)]
+    items = op9.items_of([{"item_id": 1, "text": " ".join(words[:8])}, {"item_id": 2, "text": " ".join(words[4:])}])
+    docs = [(i, " ".join(words[(i + j) % 12] for j in range(130))) for i in range(300)]
+    found = op9.passages(docs_of(spark, docs), items, np.ones(len(items.terms)), len(docs)).collect()
+    assert len(found) == 300 * 3 + 2
+    lengths = sorted(sum(w * w for w in r["weight"]) for r in found)
+    # Items of length one, passages that together weigh as much.
+    assert np.allclose(lengths[-2:], 1) and np.isclose(sum(lengths[:-2]), 2, atol=1e-4)
