@@ -7,10 +7,16 @@ variants of the rule give the gold labels and two models.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpuslab.functions.arrays import let, once
 from corpuslab.operators.cleaning import clean_text
+from corpuslab.operators.labelling import TOKEN, parts_of
 
 from . import tables as t
 
@@ -61,12 +67,6 @@ def rule_label(piece: Column, variant: str) -> Column:
     return F.when(piece["special"], 0).when(piece["later"], later).otherwise(first)
 
 
-def rule_confidence(piece: Column, variant: str) -> Column:
-    number, _ = VARIANTS[variant]
-    value = (piece["code"] * 7 + piece["size"] * 13 + number * 3) % 50
-    return F.when(piece["special"], 0.99).otherwise((value + 50).cast("double") / 100)
-
-
 def rule_predictor():
     """The rule of variant gold in Python, as a model for ``predict_tokens``."""
 
@@ -101,25 +101,95 @@ def piece_arrays(spark: SparkSession, sf: str) -> DataFrame:
     return once(word_arrays(spark, sf), pieces=pieces(F.col("words"))).select("doc_id", "source", "pieces")
 
 
-def _tokens(variant: str) -> Column:
-    return F.transform(
-        "pieces",
-        lambda p, i: F.struct(
-            i.alias("position"),
-            p["token"].alias("token"),
-            rule_label(p, variant).alias("label_id"),
-            rule_confidence(p, variant).alias("confidence"),
-        ),
+def cut_pieces(texts: pa.StringArray) -> tuple[np.ndarray, pa.StringArray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of cleaned texts, one after the other: where each text ends,
+    then per piece its token, first letter, length, whether it continues a word,
+    and whether it is special. Cleaned texts are ASCII, so bytes are letters."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    place = np.arange(len(data))
+    opens = np.zeros(len(data), bool)
+    opens[ends[:-1][ends[:-1] < len(data)]] = True
+    space = data == 32
+    opens[1:] |= space[:-1]
+    within = place - np.maximum.accumulate(np.where(opens, place, 0))
+    first = np.flatnonzero(~space & (within % 4 == 0))
+    # A piece ends at the next one, or at the space before it.
+    letters = np.append(0, np.cumsum(~space))
+    size = np.diff(np.append(letters[first], letters[-1]))
+    each = np.diff(np.searchsorted(first, ends))
+    last = np.cumsum(each + 2)
+    special = np.zeros(len(first) + 2 * len(texts), bool)
+    special[last - 1] = special[last - each - 2] = True
+    plain = np.flatnonzero(~special)
+
+    def filled(values: np.ndarray, other: int) -> np.ndarray:
+        out = np.full(len(special), other, np.int64)
+        out[plain] = values
+        return out
+
+    size, code, later = filled(size, 5), filled(data[first], 0), filled(within[first] > 0, 0).astype(bool)
+    offsets = np.append(0, np.cumsum(size + 2 * later))
+    token = np.full(offsets[-1], ord("#"), np.uint8)
+    for text, at in (("[CLS]", last - each - 2), ("[SEP]", last - 1)):
+        token[offsets[at][:, None] + np.arange(5)] = np.frombuffer(text.encode(), np.uint8)
+    begin = (offsets[:-1] + 2 * later)[plain]
+    token[np.repeat(begin - letters[first], size[plain]) + np.arange(letters[-1])] = data[~space]
+    tokens = pa.StringArray.from_buffers(
+        len(special), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(token.tobytes())
     )
+    return last, tokens, code, size, later, special
+
+
+def _labels(variant: str, code: np.ndarray, size: np.ndarray, later: np.ndarray, special: np.ndarray) -> np.ndarray:
+    """``rule_label`` of the pieces of a batch."""
+    _, modulus = VARIANTS[variant]
+    if modulus:
+        code = code + ((code + size * 3) % modulus == 0)
+    found = np.where(later, np.array([2, 4, 0])[code % 3], np.array([1, 3, 2, 0, 0])[code % 5])
+    return np.where(special, 0, found)
+
+
+def _confidences(variant: str, code: np.ndarray, size: np.ndarray, special: np.ndarray) -> np.ndarray:
+    number, _ = VARIANTS[variant]
+    return np.where(special, 0.99, ((code * 7 + size * 13 + number * 3) % 50 + 50) / 100)
+
+
+def _with_tokens(spark: SparkSession, sf: str, variants: dict[str, str]) -> DataFrame:
+    """doc_id and, per entry of ``variants``, a column of the tokens labelled by
+    that variant; the pieces are cut once for all of them."""
+    source = t.cleaned(spark, sf).select("doc_id", F.col("text_clean").alias("text"))
+    kind = T.ArrayType(TOKEN)
+    schema = T.StructType([source.schema["doc_id"], *[T.StructField(name, kind) for name in variants]])
+    kinds = to_arrow_schema(schema)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in parts_of(whole)):
+            last, token, code, size, later, special = cut_pieces(batch.column("text").cast(pa.string()))
+            ends = pa.array(np.append(0, last), pa.int32())
+            position = np.arange(len(special)) - np.repeat(np.append(0, last[:-1]), np.diff(last, prepend=0))
+            columns = []
+            for name, variant in variants.items():
+                fields = list(kinds.field(name).type.value_type)
+                found = _labels(variant, code, size, later, special)
+                values = [position, token, found, _confidences(variant, code, size, special)]
+                arrays = [v if v is token else pa.array(v, f.type) for v, f in zip(values, fields, strict=True)]
+                columns.append(
+                    pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(arrays, fields=fields), kinds.field(name).type)
+                )
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], schema=kinds)
+
+    return source.mapInArrow(label, schema)
 
 
 def labelled(spark: SparkSession, sf: str, variant: str = "gold") -> DataFrame:
-    return piece_arrays(spark, sf).select("doc_id", _tokens(variant).alias("tokens"))
+    return _with_tokens(spark, sf, {"tokens": variant})
 
 
 def both_labelled(spark: SparkSession, sf: str) -> DataFrame:
     """tokens_a and tokens_b of each document, out of the same pieces."""
-    return piece_arrays(spark, sf).select("doc_id", _tokens("a").alias("tokens_a"), _tokens("b").alias("tokens_b"))
+    return _with_tokens(spark, sf, {"tokens_a": "a", "tokens_b": "b"})
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:

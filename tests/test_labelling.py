@@ -1,9 +1,10 @@
 import random
 
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from corpuslab.catalog.tokens import rule_predictor
+from corpuslab.catalog.tokens import cut_pieces, rule_predictor
 from corpuslab.operators import labelling as lab
 
 SCHEMA = "doc_id string, tokens array<struct<position:int,token:string,label_id:int,confidence:double>>"
@@ -182,3 +183,17 @@ def test_tokens_of_long_texts_are_held_in_parts(spark):
     rows = lab.token_rows(lab.predict_tokens(docs, factory)).select("doc_id", "label_id").collect()
     assert len({r["doc_id"] for r in rows}) == len(rows) == 200
     assert max(r["label_id"] for r in rows) < 50
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.text("ab-9", min_size=1, max_size=13), max_size=5).map(" ".join), max_size=5))
+def test_pieces_of_a_batch(texts):
+    """Cut for all texts at once, also out of the middle of an array."""
+    held = pa.array(["left out", *texts, "not this"], pa.string()).slice(1, len(texts))
+    last, token, code, size, later, special = cut_pieces(held)
+    wanted = [[t for t, _, _ in found] for found in rule_predictor()(texts)]
+    assert token.to_pylist() == [t for found in wanted for t in found]
+    assert [*last] == [sum(map(len, wanted[: i + 1])) for i in range(len(texts))]
+    plain = [t.replace("##", "") for t, s in zip(token.to_pylist(), special) if not s]
+    assert [*size[~special]] == [len(t) for t in plain] and [*code[~special]] == [ord(t[0]) for t in plain]
+    assert [*later] == [t.startswith("##") for t in token.to_pylist()]
