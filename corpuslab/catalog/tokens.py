@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from corpuslab.functions.arrays import let, once
 from corpuslab.operators.cleaning import clean_text
 from corpuslab.operators.labelling import TOKEN, parts_of
 
@@ -24,49 +23,6 @@ from . import tables as t
 VARIANTS = {"gold": (0, 0), "a": (1, 11), "b": (2, 4)}
 
 
-def pieces(words: Column) -> Column:
-    """Per piece: its token, first letter, length, whether it continues a word, whether it is special."""
-
-    def piece(token: Column, code: Column, size: Column, later: Column, special: bool) -> Column:
-        return F.struct(
-            token.alias("token"),
-            code.alias("code"),
-            size.alias("size"),
-            later.alias("later"),
-            F.lit(special).alias("special"),
-        )
-
-    def cut(word: Column) -> Column:
-        def one(i: Column) -> Column:
-            return let(
-                F.substr(word, i * 4 + 1, F.lit(4)),
-                lambda base: piece(
-                    F.when(i > 0, F.concat(F.lit("##"), base)).otherwise(base),
-                    F.ascii(base),
-                    F.length(base),
-                    i > 0,
-                    False,
-                ),
-            )
-
-        return F.transform(F.sequence(F.lit(0), F.floor((F.length(word) - 1) / 4).cast("int")), one)
-
-    def outer(token: str) -> Column:
-        return F.array(piece(F.lit(token), F.lit(0), F.lit(5), F.lit(False), True))
-
-    return F.concat(outer("[CLS]"), F.flatten(F.transform(words, cut)), outer("[SEP]"))
-
-
-def rule_label(piece: Column, variant: str) -> Column:
-    _, modulus = VARIANTS[variant]
-    code = piece["code"]
-    if modulus:
-        code = code + F.when((code + piece["size"] * 3) % modulus == 0, 1).otherwise(0)
-    later = F.get(F.array(*[F.lit(x) for x in (2, 4, 0)]), code % 3)
-    first = F.get(F.array(*[F.lit(x) for x in (1, 3, 2, 0, 0)]), code % 5)
-    return F.when(piece["special"], 0).when(piece["later"], later).otherwise(first)
-
-
 def rule_predictor():
     """The rule of variant gold in Python, as a model for ``predict_tokens``."""
 
@@ -97,10 +53,6 @@ def word_arrays(spark: SparkSession, sf: str) -> DataFrame:
     return clean_text(t.documents(spark, sf), keep_words=True).select("doc_id", "source", "words")
 
 
-def piece_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    return once(word_arrays(spark, sf), pieces=pieces(F.col("words"))).select("doc_id", "source", "pieces")
-
-
 def cut_pieces(texts: pa.StringArray) -> tuple[np.ndarray, pa.StringArray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The pieces of cleaned texts, one after the other: where each text ends,
     then per piece its token, first letter, length, whether it continues a word,
@@ -143,7 +95,7 @@ def cut_pieces(texts: pa.StringArray) -> tuple[np.ndarray, pa.StringArray, np.nd
 
 
 def _labels(variant: str, code: np.ndarray, size: np.ndarray, later: np.ndarray, special: np.ndarray) -> np.ndarray:
-    """``rule_label`` of the pieces of a batch."""
+    """Label ids of the pieces of a batch by the rule of ``variant``."""
     _, modulus = VARIANTS[variant]
     if modulus:
         code = code + ((code + size * 3) % modulus == 0)
@@ -194,14 +146,28 @@ def both_labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """One row per document: source and the arrays gold, pred_a, pred_b; special tokens are ignored."""
-    gold = F.transform("pieces", lambda p: F.when(p["special"], -100).otherwise(rule_label(p, "gold")))
-    return piece_arrays(spark, sf).select(
-        F.col("doc_id").cast("bigint").alias("sample_id"),
-        "source",
-        gold.alias("gold"),
-        F.transform("pieces", lambda p: rule_label(p, "a")).alias("pred_a"),
-        F.transform("pieces", lambda p: rule_label(p, "b")).alias("pred_b"),
+    source = t.cleaned(spark, sf).select(
+        F.col("doc_id").cast("bigint").alias("sample_id"), "source", F.col("text_clean").alias("text")
     )
+    names = ["sample_id", "source"]
+    kind = T.ArrayType(T.IntegerType())
+    arrays = {"gold": "gold", "pred_a": "a", "pred_b": "b"}
+    schema = T.StructType([*[source.schema[c] for c in names], *[T.StructField(name, kind) for name in arrays]])
+    kinds = to_arrow_schema(schema)
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in parts_of(whole)):
+            last, _, code, size, later, special = cut_pieces(batch.column("text").cast(pa.string()))
+            ends = pa.array(np.append(0, last), pa.int32())
+            columns = [batch.column(c) for c in names]
+            for name, variant in arrays.items():
+                found = _labels(variant, code, size, later, special)
+                if name == "gold":
+                    found = np.where(special, -100, found)
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(found, pa.int32()), kinds.field(name).type))
+            yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+
+    return source.mapInArrow(label, schema)
 
 
 def latencies(spark: SparkSession, sf: str) -> DataFrame:

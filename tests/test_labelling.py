@@ -4,7 +4,7 @@ import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from corpuslab.catalog.tokens import cut_pieces, rule_predictor
+from corpuslab.catalog.tokens import cut_pieces, predictions, rule_predictor
 from corpuslab.operators import labelling as lab
 
 SCHEMA = "doc_id string, tokens array<struct<position:int,token:string,label_id:int,confidence:double>>"
@@ -197,3 +197,19 @@ def test_pieces_of_a_batch(texts):
     plain = [t.replace("##", "") for t, s in zip(token.to_pylist(), special) if not s]
     assert [*size[~special]] == [len(t) for t in plain] and [*code[~special]] == [ord(t[0]) for t in plain]
     assert [*later] == [t.startswith("##") for t in token.to_pylist()]
+
+
+def test_predictions_follow_the_rule(spark, tmp_path):
+    texts = ["Alpha betagamma c-9 deltaepsilon zz", None, "one two three four five six"]
+    spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    got = {r["sample_id"]: r for r in predictions(spark, str(tmp_path)).collect()}
+    assert sorted(got) == [0, 2]
+    for i, row in got.items():
+        found = rule_predictor()([texts[i].lower()])[0]
+        assert row["gold"] == [-100 if t in lab.SPECIAL_TOKENS else label for t, label, _ in found]
+        assert len(row["pred_a"]) == len(row["pred_b"]) == len(found) and row["pred_a"][0] == row["pred_b"][-1] == 0
+    plan = predictions(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    # Pieces are cut per batch, not by functions evaluated piece after piece.
+    assert "MapInArrow" in plan and "lambda" not in plan
