@@ -54,7 +54,7 @@ def s03(spark: SparkSession, sf: str) -> DataFrame:
 )
 def s04(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "text-files")
-    t.documents(spark, sf).select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    sinks.write_text_files(t.documents(spark, sf), path, "doc_id", "text")
     return files.read_text_files(spark, path).select(
         F.regexp_extract("path", "doc_id=([^/]+)", 1).alias("doc_id"), "text", "error"
     )

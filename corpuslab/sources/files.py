@@ -61,28 +61,41 @@ EMPTY_FILE = "File is empty"
 #: Listings write an empty authority as three slashes, rows as one.
 SLASHES = "^([a-z0-9]+):///"
 NESTED = "map<string,string>"
+#: Files of these endings are unpacked by Spark's reader.
+PACKED = ("bz2", "deflate", "gz", "lz4", "snappy", "zst", "zstd")
+#: Files and bytes that one task reads, and bytes of a batch.
+TASK_FILES, TASK_BYTES, BATCH_BYTES = 2_000, 64 << 20, 4 << 20
 
 
-def empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """Paths of all files of no bytes below ``path``, hidden ones left out.
+def _hidden(name: str) -> bool:
+    """Whether Spark's readers pass over a file or folder of this name."""
+    if name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+
+def _listable(path: str) -> bool:
+    """Whether tasks can list ``path``; file systems and patterns that only
+    Spark's readers know are left to them."""
+    if any(c in path for c in "*?[{"):
+        return False
+    try:
+        store, root = store_of(path)
+        return store.get_file_info(root).type != fs.FileType.NotFound
+    except (ValueError, OSError, pa.ArrowException):
+        return False
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` and ``size`` of all files below ``path``, hidden ones left out.
 
     Each round lists the folders that the one before found, in tasks, so the
-    driver holds no names. File systems and patterns that only Spark's readers
-    know are listed by the reader.
+    driver holds no names.
     """
-    try:
-        store_of(path)
-    except (ValueError, pa.ArrowException):
-        known = False
-    else:
-        known = not any(c in path for c in "*?[{")
-    if not known:
-        names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        listed = [(name,) for name in spark.read.text(path, wholetext=True).inputFiles()] if path_exists(spark, path) else []
-        every = spark.createDataFrame(listed, "path string").select(F.regexp_replace("path", SLASHES, "$1:/").alias("path"))
-        return every.join(names.select(F.regexp_replace("path", SLASHES, "$1:/").alias("path")), "path", "left_anti")
-    prefix = path[: path.index("://") + 3] if "://" in path and not path.startswith("file:") else "file:"
-    schema = "path string, folder boolean"
+    root = store_of(path)[1].rstrip("/")
+    given = path.rstrip("/")
+    prefix = given[: len(given) - len(root)] if "://" in path and not path.startswith("file:") and given.endswith(root) else "file:"
+    schema = "path string, size bigint, folder boolean"
 
     def listed(batches):
         for batch in batches:
@@ -92,35 +105,89 @@ def empty_files(spark: SparkSession, path: str) -> DataFrame:
                 info = store.get_file_info(root)
                 inside = store.get_file_info(fs.FileSelector(root)) if info.type == fs.FileType.Directory else [info]
                 for entry in inside:
-                    if not entry.base_name.startswith(("_", ".")):
-                        if entry.type == fs.FileType.Directory or entry.size == 0:
-                            found.append((prefix + entry.path, entry.type == fs.FileType.Directory))
-            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=["path", "folder"])
-
-    # Readers write names as in addresses.
-    address = F.udf(lambda name: quote(name, safe="/!$&'()*+,;=:@~-._"), "string")
+                    if not _hidden(entry.base_name):
+                        found.append((prefix + entry.path, entry.size, entry.type == fs.FileType.Directory))
+            kinds = (pa.string(), pa.int64(), pa.bool_())
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "size", "folder"])
 
     level = via_table(spark.createDataFrame([(path,)], "path string").mapInArrow(listed, schema), "listing")
-    out = level.filter("NOT folder").select("path")
+    out = level.filter("NOT folder").select("path", "size")
     while not (folders := level.filter("folder")).isEmpty():
         tasks = spark.sparkContext.defaultParallelism
         level = via_table(folders.select("path").repartition(tasks).mapInArrow(listed, schema), "listing")
-        out = out.unionByName(level.filter("NOT folder").select("path"))
-    return out.select(address("path").alias("path"))
+        out = out.unionByName(level.filter("NOT folder").select("path", "size"))
+    return out
+
+
+def _contents(batches):
+    """The bytes of the listed files, in batches of bounded size."""
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], names=["path", "value"]
+        )
+
+    for batch in batches:
+        rows, held = [], 0
+        for name in batch.column("path").to_pylist():
+            store, root = store_of(name)
+            with store.open_input_stream(root, compression=None) as stream:
+                value = stream.read()
+            if rows and held + len(value) > BATCH_BYTES:
+                yield batch_of(rows)
+                rows, held = [], 0
+            # Readers write names as in addresses.
+            rows.append((quote(name, safe="/!$&'()*+,;=:@~-._"), value))
+            held += len(value)
+        if rows:
+            yield batch_of(rows)
+
+
+def _whole_files(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """``path`` and ``text`` of the files that Spark's reader lists; none for those of no bytes."""
+    content = spark.read.options(recursiveFileLookup="true", **options).text(path, wholetext=True)
+    return content.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+def _listed_by_reader(spark: SparkSession, path: str) -> DataFrame:
+    """The files with their texts where Spark's reader has to list them."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    listed = [(name,) for name in spark.read.text(path, wholetext=True).inputFiles()] if path_exists(spark, path) else []
+    every = spark.createDataFrame(listed, "path string").select(F.regexp_replace("path", SLASHES, "$1:/").alias("path"))
+    known = names.select(F.regexp_replace("path", SLASHES, "$1:/").alias("path"))
+    empty = every.join(known, "path", "left_anti").select("path", F.lit("").alias("text"))
+    return _whole_files(spark, path).unionByName(empty)
+
+
+def _listed_by_tasks(spark: SparkSession, path: str) -> DataFrame:
+    """The files with their texts, listed and read in tasks."""
+    found = list_files(spark, path)
+    n, size, packed = found.agg(
+        F.count(F.lit(1)),
+        F.coalesce(F.sum("size"), F.lit(0)),
+        F.count_if(F.substring_index("path", ".", -1).isin(*PACKED) & (F.col("size") > 0)),
+    ).first()
+    # A packed file of no bytes is empty like any other.
+    plain = found.filter(~F.substring_index("path", ".", -1).isin(*PACKED) | (F.col("size") == 0)) if packed else found
+    tasks = max(spark.sparkContext.defaultParallelism, n // TASK_FILES, size // TASK_BYTES)
+    paths = via_table(plain.select("path").repartition(tasks), "files")
+    texts = paths.mapInArrow(_contents, "path string, value binary").select("path", F.col("value").cast("string").alias("text"))
+    if not packed:
+        return texts
+    return texts.unionByName(_whole_files(spark, path, pathGlobFilter=f"*.{{{','.join(PACKED)}}}"))
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file with its trimmed text, or an error for an empty one.
 
-    Readers make no row for a file of no bytes; such files are found by a
-    listing that tasks share, folder by folder. Texts do not move.
+    Tasks share the listing, folder by folder, and then the files, so that
+    neither the number of files nor that of folders is felt by the driver.
     """
-    content = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    files = content.select(F.col("_metadata.file_path").alias("path"), trim_all(F.col("value")).alias("text"))
-    every = files.unionByName(empty_files(spark, path).select("path", F.lit("").alias("text")))
+    every = _listed_by_tasks(spark, path) if _listable(path) else _listed_by_reader(spark, path)
+    trimmed = every.select("path", trim_all(F.col("text")).alias("text"))
     empty = F.length("text") == 0
-    return every.select(
+    return trimmed.select(
         "path",
         F.when(~empty, F.col("text")).alias("text"),
         F.when(empty, F.lit(EMPTY_FILE)).alias("error"),

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuslab.session import drop_table, store_of
@@ -35,6 +38,48 @@ def write_features(df: DataFrame, path: str) -> None:
     rows.partitionBy("rating").parquet(path)
 
 
+#: Files of one folder: listings share folders.
+FOLDER_FILES = 1_000
+
+
+def write_text_files(df: DataFrame, path: str, key: str, value: str) -> None:
+    """One text file per ``key`` and task, named ``key``=…, whose lines are the
+    values (null: an empty line). Tasks write the files where they stay, a
+    thousand to a folder; a task that runs again writes the same ones."""
+    name = F.coalesce(F.col(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    rows = df.select(name.alias("name"), F.coalesce(value, F.lit("")).alias("value"), key).sortWithinPartitions(key)
+
+    def write(batches):
+        task = TaskContext.get().partitionId()
+        store, root = store_of(path)
+        files, last, out = 0, None, None
+        try:
+            for batch in batches:
+                for name, text in zip(batch.column("name").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                    if name != last:
+                        if out is not None:
+                            out.close()
+                        folder = f"{root.rstrip('/')}/part-{task:05d}-{files // FOLDER_FILES:05d}"
+                        if files % FOLDER_FILES == 0:
+                            store.create_dir(folder)
+                        out = store.open_output_stream(f"{folder}/{key}={quote(name, safe=' ')}", compression=None)
+                        files, last = files + 1, name
+                    out.write(text.encode() + b"\n")
+        finally:
+            if out is not None:
+                out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
+
+    try:
+        store, root = store_of(path)
+    except (ValueError, pa.ArrowException):
+        # A file system that only Spark's writers know.
+        df.select(key, value).write.partitionBy(key).text(path)
+        return
+    store.create_dir(root)
+    rows.select("name", "value").mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
+
+
 def replace_folder(path: str, write: Callable[[str], None]) -> None:
     """``write`` fills a folder beside ``path`` that takes its place when all is
     written: a job that fails on the way leaves the former content readable. If

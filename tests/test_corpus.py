@@ -1,5 +1,7 @@
+import gzip
 import math
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -202,3 +204,31 @@ def test_load_test_file(spark, tmp_path):
     )
     got = sorted((r.request_id, r.latency_ms, r.error) for r in files.read_load_test(spark, str(tmp_path)).collect())
     assert got == [("a", 5.5, None), ("b", 0.0, "boom")]
+
+
+def test_text_files_stand_in_few_folders(spark, tmp_path):
+    from corpuslab.catalog import corpus as queries
+    from corpuslab.session import scratch_tables, shared_folder
+
+    rows = [(i, None if i % 50 == 0 else f" text {i}\n" if i % 7 else "", "s") for i in range(1500)] + [(None, "none", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    before = set(Path(shared_folder(spark)).glob("text-files-*"))
+    with scratch_tables():
+        got = {r.doc_id: (r.text, r.error) for r in queries.s04(spark, str(tmp_path)).collect()}
+        written = set(Path(shared_folder(spark)).glob("text-files-*")) - before
+        folders = [p for w in written for p in w.rglob("*") if p.is_dir()]
+    want = {"__HIVE_DEFAULT_PARTITION__" if i is None else str(i): (text or "").strip() for i, text, _ in rows}
+    assert got == {i: (text or None, None if text else files.EMPTY_FILE) for i, text in want.items()}
+    assert len(folders) < 50
+
+
+def test_packed_and_hidden_files(spark, tmp_path):
+    (tmp_path / "a=1").mkdir()
+    (tmp_path / "a=1" / "x.txt.gz").write_bytes(gzip.compress(b" packed "))
+    (tmp_path / "a=1" / "y.txt").write_bytes(b"plain")
+    (tmp_path / "a=1" / "none.gz").write_bytes(b"")
+    for name in ("_SUCCESS", ".part.crc"):
+        (tmp_path / name).write_bytes(b"hidden")
+    (tmp_path / "_k=2").write_bytes(b"kept")
+    got = {r.path.rsplit("/", 1)[1]: (r.text, r.error) for r in files.read_text_files(spark, str(tmp_path)).collect()}
+    assert got == {"x.txt.gz": ("packed", None), "y.txt": ("plain", None), "none.gz": (None, files.EMPTY_FILE), "_k=2": ("kept", None)}
