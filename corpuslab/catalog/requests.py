@@ -9,7 +9,7 @@ from corpuslab.operators import requests as req, sketches
 from corpuslab.operators.skew import join_keys
 from corpuslab.operators.spans import stage_durations
 from corpuslab.session import scratch_path, via_table
-from corpuslab.sources import files
+from corpuslab.sources import files, sinks
 from corpuslab.streaming import requests as live
 from corpuslab.streaming.late import accounted, late_counts, write_late_counts
 from corpuslab.streaming.stateful import active_requests_stream, ordered_session_numbers, rocksdb_state
@@ -404,7 +404,7 @@ def s08(spark: SparkSession, sf: str) -> DataFrame:
     results = load_tests(spark, sf)
     rows = F.struct(*[c for c in results.columns if c != "test"])
     arrays = results.groupBy("test").agg(F.to_json(F.collect_list(rows)).alias("value"))
-    arrays.write.partitionBy("test").text(path)
+    sinks.write_text_files(arrays, path, "test", "value")
     return files.read_load_test(spark, path)
 
 

@@ -253,3 +253,24 @@ def test_running_numbers_begin_again_after_a_gap(spark, tmp_path):
     found = [(r.requests, r.entities, r.sla_pct) for r in got.orderBy("timestamp").collect()]
     once = [(1, 1, 100.0), (2, 1, 50.0)]
     assert found == [*once, (3, 2, 200 / 3), (4, 2, 50.0), *once, *once]
+
+
+def test_load_tests_stand_in_few_folders(spark, tmp_path):
+    from pathlib import Path
+
+    from corpuslab.catalog import requests as queries
+    from corpuslab.session import scratch_tables, shared_folder
+
+    start = datetime(2024, 1, 1)
+    kinds = ("click", "error", "view")
+    rows = [(i, start + timedelta(seconds=i), i % 9, kinds[i % 3], float(i % 90), "{}") for i in range(30_000)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    want = sorted(tuple(r) for r in queries.load_tests(spark, str(tmp_path)).drop("test").collect())
+    before = set(Path(shared_folder(spark)).glob("load-tests-*"))
+    with scratch_tables():
+        got = sorted(tuple(r) for r in queries.s08(spark, str(tmp_path)).collect())
+        written = set(Path(shared_folder(spark)).glob("load-tests-*")) - before
+        folders = [p for w in written for p in w.rglob("*") if p.is_dir()]
+    assert [r[0] for r in got] == [r[0] for r in want] and [r[1:5] for r in got] == [r[1:5] for r in want]
+    assert len(folders) < 50
