@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 from pyspark.ml.feature import NGram, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
@@ -147,3 +149,28 @@ def test_request_id(spark):
     again = [r.x for r in df.select(cleaning.request_id(F.col("r"), F.col("k")).alias("x")).collect()]
     assert first == again and first[0] == "given" and len(first[1]) == 8
     assert len(df.select(cleaning.request_id(F.col("r")).alias("x")).collect()[1].x) == 8
+
+
+def test_annotating_takes_one_pass(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcſsKkßΣσςİi.+é&<") for _ in range(rng.randint(1, 6))) for _ in range(60)]
+    docs, rows = [(i, " ".join(rng.choices(words, k=40))) for i in range(40)] + [(98, None), (99, "a < b")], []
+    for i in range(40):
+        for w in rng.sample(words, 12):
+            rows.append((i, rng.choice(["Chemical", "Disease", None]), w.upper() if i % 3 else w, rng.choice([0.875, 0.9123, None])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    entities = spark.createDataFrame([*rows, (1, "Disease", "", 0.9), (1, "Disease", None, 0.9)], "doc_id long, label string, text string, confidence double")
+    for given in (entities, entities.drop("confidence")):
+        fields = [c for c in given.columns if c != "doc_id"]
+        found = given.groupBy("doc_id").agg(F.collect_set(F.struct(*fields)).alias("found"))
+        old = cleaning.annotate(F.col("text"), F.col("found"), "confidence" in fields)
+        want = {r[0]: r[1] for r in frame.join(found, "doc_id", "left").select("doc_id", old).collect()}
+        assert {r.doc_id: r.annotated for r in cleaning.annotate_text(frame, given).collect()} == want
+
+
+def test_annotating_many_entities_grows_with_the_text():
+    words = [f"w{i:05d}" for i in range(30_000)]
+    text = " ".join(words)
+    begin = time.perf_counter()
+    assert cleaning.wrapped(text, dict.fromkeys(words, "<b>")).count("<b>") == len(words)
+    assert time.perf_counter() - begin < 10
