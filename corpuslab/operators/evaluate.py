@@ -6,7 +6,10 @@ one shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corpuslab.functions.arrays import once
 from corpuslab.session import via_table
@@ -447,15 +450,45 @@ def _chain_ends(nodes: DataFrame, by: list[str]) -> DataFrame:
 TEMPERATURE, ALPHA = 4.0, 0.5
 
 
-def _scaled(logits: str, temperature: float) -> Column:
-    return F.transform(logits, lambda x: x.cast("double") / temperature)
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of all rows one after the other, how many each row has, and
+    whether it is known: neither null nor with a null in it."""
+    counts = pc.list_value_length(column)
+    known = counts.is_valid().to_numpy(zero_copy_only=False)
+    counts = pc.fill_null(counts, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = column.flatten()
+    if values.null_count:
+        known[np.repeat(np.arange(len(counts)), counts)[values.is_null().to_numpy(zero_copy_only=False)]] = False
+    return pc.cast(values, pa.float64()).to_numpy(zero_copy_only=False), counts, known
 
 
-def _log_total(values: str) -> Column:
-    """log of the sum of exponentials, shifted by the largest value."""
-    top = F.array_max(values)
-    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    return top + F.log(total)
+def _per_row(of: np.ufunc, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``of`` over the numbers of each row, 0 for none."""
+    out, held = np.zeros(len(counts)), np.flatnonzero(counts)
+    if len(held):
+        out[held] = of.reduceat(values, (np.cumsum(counts) - counts)[held])
+    return out
+
+
+def _log_shares(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Logarithms of the softmax of each row."""
+    shifted = values - np.repeat(_per_row(np.maximum, values, counts), counts)
+    return shifted - np.log(np.repeat(_per_row(np.add, np.exp(shifted), counts), counts))
+
+
+def _token_losses(gold: np.ndarray, teacher: pa.ListArray, student: pa.ListArray, temperature: float) -> list[pa.Array]:
+    """Divergence and cross entropy of each token; null where something is missing."""
+    (t, n, sure), (s, m, known) = _flat(teacher), _flat(student)
+    # A label beyond the logits has none.
+    inside = known & (gold >= 0) & (gold < m)
+    hard = np.zeros(len(gold))
+    hard[inside] = -_log_shares(s, m)[(np.cumsum(m) - m + gold)[inside]]
+    both = sure & known & (n == m)
+    t, s, n = t[np.repeat(both, n)], s[np.repeat(both, m)], n[both]
+    lt, ls = _log_shares(t / temperature, n), _log_shares(s / temperature, n)
+    soft = np.zeros(len(gold))
+    soft[both] = _per_row(np.add, np.exp(lt) * (lt - ls), n)
+    return [pa.array(soft, mask=~both), pa.array(hard, mask=~inside)]
 
 
 def distillation_loss(
@@ -463,22 +496,17 @@ def distillation_loss(
 ) -> DataFrame:
     """alpha * T^2 * KL(teacher, student at temperature T) + (1 - alpha) * cross
     entropy, both averaged over tokens whose label is not ignored."""
-    scaled = df.filter(F.col("gold") != IGNORE).select(
-        *by,
-        "gold",
-        _scaled("teacher", temperature).alias("t"),
-        _scaled("student", temperature).alias("s"),
-        _scaled("student", 1.0).alias("h"),
-    )
-    totals = scaled.withColumns({"lt": _log_total("t"), "ls": _log_total("s"), "lh": _log_total("h")})
-    apart = F.zip_with(
-        "t", "s", lambda a, b: F.exp(a - F.col("lt")) * ((a - F.col("lt")) - (b - F.col("ls")))
-    )
-    tokens = totals.select(
-        *by,
-        F.aggregate(apart, F.lit(0.0), lambda a, x: a + x).alias("soft"),
-        (F.col("lh") - F.get("h", F.col("gold"))).alias("hard"),
-    )
+    used = df.filter(F.col("gold") != IGNORE).select(*by, F.col("gold").cast("bigint").alias("gold"), "teacher", "student")
+    losses = [T.StructField(c, T.DoubleType()) for c in ("soft", "hard")]
+    schema = T.StructType([*[used.schema[c] for c in by], *losses])
+
+    def run(batches):
+        for batch in batches:
+            gold = batch.column("gold").to_numpy(zero_copy_only=False)
+            found = _token_losses(gold, batch.column("teacher"), batch.column("student"), temperature)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in by], *found], names=[*by, "soft", "hard"])
+
+    tokens = used.mapInArrow(run, schema)
     averaged = tokens.groupBy(*by).agg(
         F.count(F.lit(1)).alias("tokens"),
         (F.avg("soft") * temperature**2).alias("soft_loss"),

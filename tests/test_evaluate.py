@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -156,6 +157,26 @@ def test_distillation_loss(spark):
     assert got.tokens == keep.sum() and got.loss == pytest.approx((soft + hard) / 2)
 
 
+def test_distillation_loss_of_odd_rows(spark):
+    one, nan = [1.0, 2.0], float("nan")
+    rows = {
+        "null": [(0, None, one)], "inner": [(0, [1.0, None], one)], "beyond": [(5, one, one)], "none": [(0, [], [])],
+        "lengths": [(0, one, [1.0, 2.0, 3.0])], "nan": [(0, [nan, 1.0], one)], "student": [(0, one, None), (1, one, one)],
+        "ignored": [(-100, one, one), (None, one, one)], "mixed": [(0, one, one), (0, None, one), (2, one, [3.0, 1.0, 2.0])],
+    }
+    df = spark.createDataFrame([(r, *x) for r, xs in rows.items() for x in xs], "run string, gold int, teacher array<float>, student array<float>")
+    got = {r.run: (r.tokens, r.soft_loss, r.hard_loss) for r in ev.distillation_loss(df, ["run"]).collect()}
+    low, third = math.log(1 + math.e), math.log(1 + math.exp(1) + math.exp(-1))
+    near = lambda *x: pytest.approx(x, abs=1e-9)
+    assert got["null"][:2] == got["inner"][:2] == (1, None) and got["null"][2] == pytest.approx(low)
+    assert got["beyond"] == (1, 0.0, None) and got["none"] == (1, 0.0, None) and "ignored" not in got
+    assert got["lengths"][:2] == (1, None) and got["lengths"][2] is not None and math.isnan(got["nan"][1])
+    assert got["student"] == near(2, 0.0, low - 1)
+    assert got["mixed"] == near(3, 0.0, (low + low + third) / 3)
+    # The numbers of a token are worked out by Arrow batch, not by a lambda per number.
+    assert "lambda" not in ev.distillation_loss(df, ["run"])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_alignment_by_word(spark):
     a = spark.createDataFrame([(1, 0, None, "c"), (1, 1, 0, "x"), (1, 2, 0, "y"), (1, 3, 1, "z")], "sample_id int, position int, word_idx int, a string")
     b = spark.createDataFrame([(1, 0, 0, "p"), (1, 1, 1, "q"), (1, 2, 1, "r"), (1, 3, 2, "s")], "sample_id int, position int, word_idx int, b string")
