@@ -137,6 +137,16 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / (np.linalg.norm(vectors, axis=1, keepdims=True) + EPSILON)
 
 
+#: Vectors that a worker holds as numbers at a time, whatever the batches.
+SLICE_ROWS = 1_000
+
+
+def sliced(frames: Iterator[pd.DataFrame], rows: int = SLICE_ROWS) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for at in range(0, len(frame), rows):
+            yield frame.iloc[at : at + rows]
+
+
 # The bit rates that are compared.
 SWEEP_BITS = [2.0, 2.5, 3.0, 3.5, 4.0, 5.0, 6.0, 8.0]
 
@@ -176,9 +186,7 @@ def polar_encode(
     def raw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matrices = [(c, c.projection()) for c in configs]
         inverses = [np.linalg.pinv(p) for _, p in matrices]
-        for frame in batches:
-            if not len(frame):
-                continue
+        for frame in sliced(batches):
             vectors = np.stack(frame["v"].to_numpy()).astype(float)
             radius = np.linalg.norm(vectors, axis=1)
             directions = unit(vectors)
@@ -247,7 +255,7 @@ def polar_decode(
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         inverses = {bits: np.linalg.pinv(c.projection()) for bits, c in by_bits.items()}
-        for frame in batches:
+        for frame in sliced(batches):
             for bits, part in frame.groupby("bits"):
                 config = by_bits[bits]
                 packed = np.stack([np.frombuffer(s, dtype=np.uint8) for s in part["signs"]])

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -222,3 +223,13 @@ def test_counts_in_the_row(spark):
     got = ev.sample_metrics(df, ["id"], {"A": "pa", "B": "pb"})
     want = ev.token_metrics(ev.prediction_pairs(df, ["id"], {"A": "pa", "B": "pb"}), ["id", "model"])
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_worker_holds_few_vectors_at_a_time(spark, table):
+    df, values = table
+    config = vec.PolarConfig(32, 3.0)
+    codes, scales = vec.polar_encode(df, [config])
+    whole = {r.vec_id: r.restored for r in vec.polar_decode(codes, scales, [config]).collect()}
+    frames = [pd.DataFrame({"x": range(2500)}), pd.DataFrame({"x": []}), pd.DataFrame({"x": range(3)})]
+    assert [len(f) for f in vec.sliced(frames)] == [1000, 1000, 500, 3]
+    assert len(whole) == len(values)
