@@ -275,9 +275,10 @@ def x03(spark: SparkSession, sf: str) -> DataFrame:
     return t.features(spark, sf).select("doc_id", t.joined("bigrams").alias("bigrams"))
 
 
-def _entries(spark: SparkSession, sf: str, words: str, weighted: bool) -> DataFrame:
-    df = t.features(spark, sf).select("doc_id", words)
-    if weighted:
+def _entries(spark: SparkSession, sf: str, words: str, weighted: bool, tokens: DataFrame | None = None) -> DataFrame:
+    """Entries of the hashed vectors; ``tokens`` are the words if already written."""
+    df = t.features(spark, sf).select("doc_id", words) if tokens is None else tokens
+    if weighted and tokens is None:
         df = via_table(df, "tokens")
     vectors = feats.hashed_features(df, words, "raw", "weighted" if weighted else None)
     return feats.vector_entries(vectors, ["doc_id"], "weighted" if weighted else "raw")
@@ -326,13 +327,15 @@ def x07(spark: SparkSession, sf: str) -> DataFrame:
 
 def _off(spark: SparkSession, sf: str, words: str) -> DataFrame:
     """Per document, entries whose weight is not tf * ln((m + 1) / (df + 1)),
-    with the frequencies counted again from the plain entries."""
-    counts = via_table(_entries(spark, sf, words, False), "counts")
-    weights = _entries(spark, sf, words, True).withColumnRenamed("value", "weight")
+    with the frequencies counted again from the plain entries. The texts are
+    cleaned once, for both kinds of entries and the number of documents."""
+    tokens = via_table(t.features(spark, sf).select("doc_id", words), "tokens")
+    counts = via_table(_entries(spark, sf, words, False, tokens), "counts")
+    weights = _entries(spark, sf, words, True, tokens).withColumnRenamed("value", "weight")
     m = counts.select(F.count_distinct("doc_id")).scalar()
     df = counts.groupBy("index").agg(F.count(F.lit(1)).alias("df"))
     both = counts.join(df, "index").join(weights, ["doc_id", "index"], "left")
-    all_docs = t.features(spark, sf).agg(F.count(F.lit(1))).scalar()
+    all_docs = tokens.agg(F.count(F.lit(1))).scalar()
     want = F.col("value") * F.log((F.greatest(all_docs, m) + 1) / (F.col("df") + 1))
     differs = F.abs(F.coalesce("weight", F.lit(0.0)) - want) > 1e-9
     return both.groupBy("doc_id").agg(F.count(F.lit(1)).alias("entries"), F.count_if(differs).alias("off")).select("doc_id", "off")

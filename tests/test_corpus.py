@@ -232,3 +232,18 @@ def test_packed_and_hidden_files(spark, tmp_path):
     (tmp_path / "_k=2").write_bytes(b"kept")
     got = {r.path.rsplit("/", 1)[1]: (r.text, r.error) for r in files.read_text_files(spark, str(tmp_path)).collect()}
     assert got == {"x.txt.gz": ("packed", None), "y.txt": ("plain", None), "none.gz": (None, files.EMPTY_FILE), "_k=2": ("kept", None)}
+
+
+def test_texts_are_cleaned_once_for_the_recount(spark, tmp_path, monkeypatch):
+    from corpuslab.catalog import corpus as queries, tables
+
+    rows = [(i, f"Plain words with number {i % 7} and {'more ' * (i % 5)}of it all the time", "s") for i in range(60)]
+    rows += [(60, None, "s"), (61, "the and of it is", "s"), (3, "once more the words of another text", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    calls, features = [], tables.features
+    monkeypatch.setattr(tables, "features", lambda *a, **k: calls.append(1) or features(*a, **k))
+    for query in (queries.x05_off, queries.x07_off):
+        calls.clear()
+        got = query(spark, str(tmp_path)).filter("doc_id <> '3'").collect()
+        assert len(got) >= 59 and all(r.off == 0 for r in got)
+        assert len(calls) == 1
