@@ -383,10 +383,11 @@ long AS (SELECT sample_id, word_idx, i, word_idx * 100 + i AS position, substr(w
 )
 def e19(spark: SparkSession, sf: str) -> DataFrame:
     short, long = _sides(spark, sf)
-    by_word = ev.align_by_word(short, long).select(
+    both = ev.side_by_side(short, long)
+    by_word = ev.align_by_word(short, long, beside=both).select(
         F.lit("word").alias("mode"), "sample_id", F.col("word_idx").alias("spot"), "short_piece", "long_piece"
     )
-    by_spot = ev.align_by_position(short.drop("word_idx"), long.drop("word_idx"))
+    by_spot = ev.align_by_position(short.drop("word_idx"), long.drop("word_idx"), beside=both)
     return by_word.unionByName(
         by_spot.select(
             F.lit("position").alias("mode"), "sample_id", F.col("position").alias("spot"), "short_piece", "long_piece"

@@ -6,10 +6,14 @@ one shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpuslab.functions.arrays import once
 from corpuslab.session import via_table
@@ -515,18 +519,177 @@ def distillation_loss(
     return averaged.withColumn("loss", F.col("soft_loss") * alpha + F.col("hard_loss") * (1 - alpha))
 
 
-def align_by_position(a: DataFrame, b: DataFrame, sample: str = "sample_id") -> DataFrame:
-    """Rows of both sequences up to the end of the shorter one, position by position."""
-    return a.join(b, [sample, "position"])
+#: Rows and bytes of a sequence that are packed together, and rows given out at once.
+PACK_ROWS, PACK_BYTES, GIVEN_ROWS = 1 << 17, 1 << 25, 1 << 18
+#: Packed rows that a task takes in at once, and groups of samples per task.
+PACKS, GROUPS = 64, 64
+#: First columns that may be kept as steps, by a bit each.
+STEPPED = 60
+
+
+@dataclass(frozen=True)
+class Beside:
+    """Two sequences in one shuffle: a row holds the rows of one side of a group
+    of samples as they came, packed, and all rows of a group lie in one task."""
+
+    frame: DataFrame
+    schemas: tuple[pa.Schema, pa.Schema]
+
+
+def side_by_side(a: DataFrame, b: DataFrame, sample: str = "sample_id") -> Beside:
+    """The rows of two sequences that have a sample, brought together once for
+    ``align_by_position`` and ``align_by_word``. Pieces are short, so a row on
+    its own would be mostly keys: rows travel as compressed Arrow batches, whole
+    numbers without nulls as steps, which are small where the rows of a sample
+    stand together."""
+    for name in (sample, "position", "word_idx"):
+        if name in a.columns and name in b.columns:
+            kind = a.select(name).union(b.select(name)).schema[0].dataType
+            a, b = (df.withColumn(name, F.col(name).cast(kind)) for df in (a, b))
+    groups = GROUPS * int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packs = pa.schema([("group", pa.int32()), ("side", pa.int32()), ("size", pa.int32()), ("steps", pa.int64()), ("rows", pa.binary())])
+
+    def packed(side: int, df: DataFrame) -> tuple[DataFrame, pa.Schema]:
+        own = to_arrow_schema(df.schema)
+
+        def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            group = table.column(0).to_numpy()
+            rows = pa.Table.from_arrays(table.columns[1:], names=own.names).cast(own)
+            order = np.argsort(group, kind="stable")
+            first = np.flatnonzero(np.diff(group[order], prepend=-1))
+            columns, steps = [], 0
+            for i, column in enumerate(rows.take(pa.array(order)).combine_chunks().columns):
+                if i < STEPPED and pa.types.is_integer(column.type) and not column.null_count:
+                    values = column.to_numpy()
+                    step = np.diff(values, prepend=values[:1])
+                    step[first] = values[first]
+                    column, steps = pa.array(step, column.type), steps | 1 << i
+                columns.append(column)
+            batch = pa.Table.from_arrays(columns, schema=own).combine_chunks().to_batches()[0]
+            parts = [
+                batch.slice(begin, end - begin).serialize()
+                for begin, end in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True)
+            ]
+            blobs = [pa.compress(p, "zstd", asbytes=True) for p in parts]
+            out = [group[order][first], np.full(len(first), side), [p.size for p in parts], np.full(len(first), steps), blobs]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, packs, strict=True)], schema=packs)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, rows, size = [], 0, 0
+            for batch in batches:
+                if batch.num_rows:
+                    held.append(batch)
+                    rows, size = rows + batch.num_rows, size + batch.nbytes
+                if rows >= PACK_ROWS or size >= PACK_BYTES:
+                    yield pack(held)
+                    held, rows, size = [], 0, 0
+            if held:
+                yield pack(held)
+
+        group = F.pmod(F.xxhash64(sample), F.lit(groups)).cast("int").alias("_group")
+        known = df.filter(F.col(sample).isNotNull()).select(group, *df.columns)
+        return known.mapInArrow(run, "group int, side int, size int, steps bigint, rows binary"), own
+
+    (left, own_a), (right, own_b) = packed(0, a), packed(1, b)
+    frame = left.unionByName(right).repartition("group").sortWithinPartitions("group", "side")
+    return Beside(frame, (own_a, own_b))
+
+
+def _codes(left: pa.ChunkedArray, right: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Numbers of the values of two columns, equal where the values are, and how many there are."""
+    found = pa.chunked_array([*left.chunks, *right.chunks], left.type).combine_chunks().dictionary_encode()
+    code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return code[: len(left)], code[len(left) :], len(found.dictionary)
+
+
+def _first_rows(table: pa.Table, sample: str) -> pa.Table:
+    """The first row by position of each sample and word; where a word has no
+    position at all, its other values are null."""
+    words, positions = table.column("word_idx"), table.column("position")
+    key = np.zeros(len(table), np.int64)
+    for column in (table.column(sample), words):
+        code, _, n = _codes(column, column.slice(0, 0))
+        key = key * n + code
+    if pa.types.is_integer(positions.type):
+        place = pc.fill_null(positions.cast(pa.int64()), np.iinfo(np.int64).max).to_numpy()
+    else:
+        place = pc.rank(positions, tiebreaker="dense", null_placement="at_end").to_numpy().astype(np.int64)
+    missing = positions.is_null().to_numpy()
+    order = np.lexsort((place, missing, key))
+    first = order[np.flatnonzero(np.diff(key[order], prepend=-1))]
+    out = table.take(pa.array(first))
+    for i, name in enumerate(out.column_names if missing[first].any() else ()):
+        if name not in (sample, "word_idx"):
+            out = out.set_column(i, name, table.column(name).take(pa.array(first, mask=missing[first])))
+    return out
 
 
-def align_by_word(a: DataFrame, b: DataFrame, sample: str = "sample_id") -> DataFrame:
-    """First pieces of the same word in two tokenizations (word_idx null: no word)."""
+def _aligned(a: DataFrame, b: DataFrame, sample: str, spot: str, beside: Beside | None) -> DataFrame:
+    beside = beside or side_by_side(a, b, sample)
+    by_word = spot == "word_idx"
+    others = [[c for c in df.columns if c not in (sample, spot) and not (by_word and c == "position")] for df in (a, b)]
+    fields = [a.schema[sample], a.schema[spot], *(df.schema[c] for df, names in zip((a, b), others, strict=True) for c in names)]
+    # Both sides may name a column alike: columns are numbered inside.
+    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)])
+    kinds, schemas = to_arrow_schema(schema), beside.schemas
+
+    def unpacked(size: int, steps: int, rows: bytes, own: pa.Schema) -> pa.RecordBatch:
+        columns = pa.ipc.read_record_batch(pa.decompress(rows, size, "zstd"), own).columns
+        for i, column in enumerate(columns):
+            if steps >> i & 1:
+                values = column.to_numpy()
+                columns[i] = pa.array(np.cumsum(values, dtype=values.dtype), column.type)
+        return pa.RecordBatch.from_arrays(columns, schema=own)
+
+    def opened(parts: list[tuple[int, int, bytes]], own: pa.Schema) -> pa.Table:
+        table = pa.Table.from_batches([unpacked(*part, own) for part in parts], own)
+        table = table.filter(table.column(spot).is_valid())
+        return _first_rows(table, sample) if by_word and len(table) else table
+
+    def joined(parts: tuple[list, list]) -> Iterator[pa.RecordBatch]:
+        if not all(parts):
+            return
+        left, right = (opened(p, own) for p, own in zip(parts, schemas, strict=True))
+        keys = [np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)]
+        for name in (sample, spot):
+            *codes, n = _codes(left.column(name), right.column(name))
+            keys = [key * n + code for key, code in zip(keys, codes, strict=True)]
+        order = np.argsort(keys[1], kind="stable")
+        ordered = keys[1][order]
+        begin = np.searchsorted(ordered, keys[0])
+        each = np.searchsorted(ordered, keys[0], side="right") - begin
+        ends = np.cumsum(each)
+        for low in range(0, int(ends[-1]) if len(ends) else 0, GIVEN_ROWS):
+            pair = np.arange(low, min(low + GIVEN_ROWS, int(ends[-1])))
+            one = np.searchsorted(ends, pair, side="right")
+            other = order[begin[one] + pair - (ends[one] - each[one])]
+            mine, yours = left.take(pa.array(one)), right.take(pa.array(other))
+            columns = [mine.column(c) for c in (sample, spot, *others[0])] + [yours.column(c) for c in others[1]]
+            table = pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
+            yield from table.combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, ([], [])
+        for batch in batches:
+            for some in (batch.slice(i, PACKS) for i in range(0, batch.num_rows, PACKS)):
+                for group, side, *part in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                    if group != at:
+                        yield from joined(held)
+                        at, held = group, ([], [])
+                    held[side].append(part)
+        yield from joined(held)
+
+    return beside.frame.mapInArrow(run, schema).toDF(*[f.name for f in fields])
+
+
+def align_by_position(a: DataFrame, b: DataFrame, sample: str = "sample_id", beside: Beside | None = None) -> DataFrame:
+    """Rows of both sequences up to the end of the shorter one, position by
+    position. ``beside`` holds the rows of both if several alignments share them."""
+    return _aligned(a, b, sample, "position", beside)
 
-    def first(df: DataFrame) -> DataFrame:
-        others = [c for c in df.columns if c not in (sample, "word_idx", "position")]
-        return df.filter(F.col("word_idx").isNotNull()).groupBy(sample, "word_idx").agg(
-            *[F.min_by(c, "position").alias(c) for c in others]
-        )
 
-    return first(a).join(first(b), [sample, "word_idx"])
+def align_by_word(a: DataFrame, b: DataFrame, sample: str = "sample_id", beside: Beside | None = None) -> DataFrame:
+    """First pieces of the same word in two tokenizations (word_idx null: no
+    word). ``beside`` as in ``align_by_position``."""
+    return _aligned(a, b, sample, "word_idx", beside)

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from corpuslab.operators import evaluate as ev
 
@@ -182,3 +183,64 @@ def test_alignment_by_word(spark):
     b = spark.createDataFrame([(1, 0, 0, "p"), (1, 1, 1, "q"), (1, 2, 1, "r"), (1, 3, 2, "s")], "sample_id int, position int, word_idx int, b string")
     assert sorted((r.a, r.b) for r in ev.align_by_word(a, b).collect()) == [("x", "p"), ("z", "q")]
     assert ev.align_by_position(a.drop("word_idx"), b.limit(2).drop("word_idx")).count() == 2
+
+
+def test_alignments_of_odd_rows_share_one_packed_shuffle(spark, monkeypatch):
+    """Repeats, nulls, unordered rows and other types of keys as joins treat them."""
+    rng = random.Random(4)
+
+    def side(n, extra):
+        return [
+            (rng.choice([None, "a", "b", "c", "d"]), rng.choice([None, *range(-3, 9)]), rng.choice([None, 0, 1, 2, 2**33]), rng.choice([None, "x", "yy", "é"]), extra)
+            for _ in range(n)
+        ]
+
+    left, right = side(300, [1.5, None]), side(200, None)
+    kind = "sample string, position {0}, word_idx {0}, piece string, extra array<double>"
+    a = spark.createDataFrame(left, kind.format("bigint")).repartition(3)
+    b = spark.createDataFrame(right, kind.format("bigint").replace("position bigint", "position int"))
+    monkeypatch.setattr(ev, "PACK_ROWS", 7)
+    monkeypatch.setattr(ev, "GIVEN_ROWS", 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        both = ev.side_by_side(a, b, "sample")
+        by_spot = ev.align_by_position(a.drop("word_idx"), b.drop("word_idx"), "sample", both)
+        by_word = ev.align_by_word(a, b, "sample", both)
+        assert by_spot.columns == ["sample", "position", "piece", "extra", "piece", "extra"]
+        assert [f.dataType.simpleString() for f in by_spot.schema][:2] == ["string", "bigint"]
+        spots = sorted(str(tuple(r)) for r in by_spot.collect())
+        alone = sorted(str(tuple(r)) for r in ev.align_by_position(a.drop("word_idx"), b.drop("word_idx"), "sample").collect())
+        words = {(r[0], r[1]): tuple(r) for r in by_word.collect()}
+        assert by_word.count() == len(words)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    wanted = [(s, p, x, e, y, f) for s, p, _, x, e in left for t, q, _, y, f in right if s is not None and p is not None and (s, p) == (t, q)]
+    assert spots == alone == sorted(map(str, wanted)) and len(wanted) > 300
+
+    def firsts(rows):
+        found = {}
+        for s, p, w, x, e in rows:
+            if s is not None and w is not None:
+                found.setdefault((s, w), []).append((p, x, e))
+        return found
+
+    one, other = firsts(left), firsts(right)
+    assert words.keys() == one.keys() & other.keys() and len(words) > 10
+    for key, row in words.items():
+        for rows, got in ((one[key], row[2:4]), (other[key], row[4:])):
+            low = min((p for p, *_ in rows if p is not None), default=None)
+            assert tuple(got) in [(x, e) for p, x, e in rows if p == low] if low is not None else got == (None, None)
+    # The rows of both sides move once, packed, and no join sorts them one by one.
+    plan = by_spot.select(F.lit(1)).unionByName(by_word.select(F.lit(1)))
+    plan.collect()
+    shown = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [line for line in shown.splitlines() if "Exchange hashpartitioning(" in line]
+    assert "Join" not in shown and len(moved) == 2 and sum("ReusedExchange" in line for line in moved) == 1
+
+
+def test_word_without_positions_gives_nulls(spark):
+    kind = "sample_id int, position int, word_idx int, "
+    a = spark.createDataFrame([(1, None, 0, "x"), (1, None, 1, "y"), (1, 4, 1, "z")], kind + "a string")
+    b = spark.createDataFrame([(1, 0, 0, "p"), (1, 1, 1, "q")], kind + "b string")
+    assert sorted(tuple(r) for r in ev.align_by_word(a, b).collect()) == [(1, 0, None, "p"), (1, 1, "z", "q")]
+    assert ev.align_by_word(a.limit(0), b).count() == 0 and ev.align_by_position(a, b.limit(0)).count() == 0
