@@ -631,8 +631,12 @@ def arriving_log(spark: SparkSession, sf: str) -> DataFrame:
         F.floor(FILES * (us - low) / (high - low + 1)) + F.when(F.col("event_id") % 40 == 0, 2).otherwise(0),
     )
     rows, path = as_log(events.withColumn("file", file), "user_id", "file"), scratch_path(spark, "arriving")
+    # All tasks sort the rows into folders; a file is then written from its own folder alone.
+    sorted_path = scratch_path(spark, "arriving-by-file")
+    rows.write.partitionBy("file").parquet(sorted_path)
+    by_file = spark.read.schema(rows.schema).parquet(sorted_path).select(*rows.columns)
     for i in range(FILES):
-        rows.filter(F.col("file") == i).coalesce(1).write.mode("append").parquet(path)
+        by_file.filter(F.col("file") == i).coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 

@@ -66,6 +66,31 @@ def test_late_rows_are_counted_in_their_place(spark, tmp_path, seed):
     assert max(r.requests for r in got) > 5 and sum(r.requests == 1 for r in got) > 10
 
 
+def test_many_sessions_share_a_state(spark, tmp_path):
+    """Sessions of a group are counted apart, whatever their key; state and calls follow the groups."""
+    rows = requests(500, 5, step=15.0, users=60)
+    rows = [(None if r[0] is None else 2**60 + r[0], *r[1:2], r[2] if i % 50 else None, *r[3:]) for i, r in enumerate(rows)]
+    stream = in_files(spark, f"{tmp_path}/in", [rows[:200], rows[200:350], rows[350:]])
+    numbers = ordered_session_numbers(stream, "user_id", 900, "15 minutes", groups=2)
+    with rocksdb_state(spark):
+        query = live.write_table(numbers, f"{tmp_path}/numbers", f"{tmp_path}/state")
+        query.awaitTermination()
+    # Two values and a list, of two groups; counts, lists and timers are all that is kept.
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 20
+    got = spark.read.schema(numbers.schema).parquet(f"{tmp_path}/numbers").collect()
+    passed = [r for r in rows if r[1] <= max(r[1] for r in rows) - timedelta(minutes=15)]
+    seen, wanted = {}, []
+    for user, at, request, *_, latency, found in sorted(passed, key=lambda r: (r[1], r[2] or "")):
+        last, n, entities, total = seen.get(user, (at, 0, 0, 0.0))
+        if (at - last).total_seconds() > 900:
+            n, entities, total = 0, 0, 0.0
+        seen[user] = at, n + 1, entities + sum((found or {}).values()), total + latency
+        wanted.append((user, request, *seen[user][1:3], round(seen[user][3] / (n + 1), 6)))
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.user_id, r.request_id, r.requests, r.entities, round(r.mean_latency_ms, 6)) for r in got), key=key) == sorted(wanted, key=key)
+    assert len(got) > 400 and max(r.requests for r in got) > 3 and any(r.user_id is None for r in got)
+
+
 def test_state_is_forgotten_and_survives_restarts(spark, tmp_path):
     """Each run takes in one more file from the same checkpoint; a session that ended begins anew."""
     got = None
