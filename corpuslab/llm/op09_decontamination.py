@@ -51,6 +51,8 @@ POWER_ROUNDS = 2
 PASSAGE = 64
 #: Terms whose partial products of all tasks meet in one group.
 TERM_BLOCK = 32
+#: The most frequent terms of a task, whose weights are multiplied as a matrix.
+OFTEN = 512
 BLOCK_ITEMS = 2_000
 MIN_WORDS = 5
 COSINE = 0.55
@@ -210,22 +212,38 @@ def passages(docs: DataFrame, items: Items, idf: np.ndarray, n_docs: int) -> Dat
 
 def product(matrix: DataFrame, basis: np.ndarray) -> np.ndarray:
     """transpose(A) A ``basis`` for the rows of ``matrix``: a partial product per
-    task, summed on the executors by blocks of terms."""
+    task, summed on the executors by blocks of terms. Few terms make up most of
+    the weights: the columns of the ``OFTEN`` most frequent ones are multiplied
+    as a matrix, the others weight by weight."""
     size, width = basis.shape
+    basis = basis.astype(np.float32)
 
     def partial(batches):
-        total = np.zeros((size, width))
+        total, often, column = np.zeros((size, width)), None, None
         for batch in batches:
             terms, weights = batch.column("term"), batch.column("weight")
-            term, weight = terms.flatten().to_numpy(), weights.flatten().to_numpy()
+            term, weight = terms.flatten().to_numpy(), weights.flatten().to_numpy().astype(np.float32, copy=False)
             counts = np.diff(terms.offsets.to_numpy())
-            ends = np.cumsum(counts)
             row = np.repeat(np.arange(len(counts)), counts)
+            if not len(term):
+                continue
+            if often is None:
+                often = np.argsort(-np.bincount(term, minlength=size), kind="stable")[:OFTEN]
+                column = np.full(size, -1)
+                column[often] = np.arange(len(often))
+            place = column[term]
+            dense = place >= 0
+            block = np.zeros((len(counts), len(often)), np.float32)
+            block[row[dense], place[dense]] = weight[dense]
+            projected = block @ basis[often]
+            row, term, weight = row[~dense], term[~dense], weight[~dense, None]
             if len(term):
-                projected = np.add.reduceat(basis[term] * weight[:, None], ends - counts)
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                projected[row[first]] += np.add.reduceat(basis[term] * weight, first)
                 order = np.argsort(term, kind="stable")
                 first = np.flatnonzero(np.diff(term[order], prepend=-1))
-                total[term[order[first]]] += np.add.reduceat(projected[row[order]] * weight[order, None], first)
+                total[term[order[first]]] += np.add.reduceat(projected[row[order]] * weight[order], first)
+            total[often] += block.T @ projected
         places = range(0, size, TERM_BLOCK)
         blocks = [total[at : at + TERM_BLOCK].tobytes() for at in places]
         yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(blocks, pa.binary())], ["at", "part"])

@@ -154,6 +154,19 @@ def test_directions_are_singular_vectors(spark):
     assert np.allclose(np.abs((found * exact).sum(axis=0)), 1, atol=1e-3)
 
 
+def test_products_with_frequent_and_other_terms(spark, monkeypatch):
+    """Frequent terms as a matrix, the others weight by weight, empty rows: one product."""
+    rng = np.random.default_rng(6)
+    dense = rng.random((80, 30)) * (rng.random((80, 30)) < np.linspace(0.9, 0.02, 30))
+    dense[::9] = 0
+    held = [([int(t) for t in np.flatnonzero(r)], [float(x) for x in r[r > 0]]) for r in dense]
+    matrix = spark.createDataFrame(held, "term array<int>, weight array<float>").repartition(3)
+    basis = rng.standard_normal((30, 4))
+    for often in (0, 1, 7, 30, 512):
+        monkeypatch.setattr(op9, "OFTEN", often)
+        assert np.allclose(op9.product(matrix, basis), dense.T @ (dense @ basis), atol=1e-4)
+
+
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
