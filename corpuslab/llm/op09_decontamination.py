@@ -199,7 +199,9 @@ def passages(docs: DataFrame, items: Items, idf: np.ndarray, n_docs: int) -> Dat
                 share = len(items.ids) / n_docs / np.repeat(n_passages, n_passages)[passage[first]]
                 scale = np.sqrt(share / np.add.reduceat(weight * weight, first))
                 weight = (weight * np.repeat(scale, np.diff(first, append=len(key)))).astype(np.float32)
-                yield {"term": np.split(term.astype(np.int32), first[1:]), "weight": np.split(weight, first[1:])}
+                ends = pa.array(np.append(first, len(key)), pa.int32())
+                columns = {"term": pa.array(term, pa.int32()), "weight": pa.array(weight, pa.float32())}
+                yield {name: pa.ListArray.from_arrays(ends, values) for name, values in columns.items()}
 
         return step
 
