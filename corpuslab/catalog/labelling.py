@@ -312,15 +312,11 @@ def n17(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# The entries of one dictionary: entity texts that begin with a letter of the first half of the alphabet.
-ENTRIES = "CAST(ascii(lower(text)) AS INTEGER) BETWEEN 97 AND 109"
-
-
 @query(
     "p14_annotate_corpus",
     f"""WITH {tok.PIECES}, {tok.sql_spans()},
     sure AS (SELECT lower(text) AS entry, label, confidence, max(confidence) OVER (PARTITION BY lower(text)) AS top
-      FROM spans WHERE confidence >= 0.85 AND length(text) > 0 AND {ENTRIES}),
+      FROM spans WHERE confidence >= 0.85 AND length(text) > 0),
     entries AS (SELECT entry, min(label) AS label FROM sure WHERE confidence = top GROUP BY entry),
     joined AS (SELECT '(' || string_agg(regexp_escape(entry), '|' ORDER BY length(entry) DESC, entry) || ')' AS pattern FROM entries),
     found AS (SELECT doc_id, unnest(regexp_extract_all(lower(text_clean), pattern)) AS entry FROM clean, joined)
@@ -330,8 +326,7 @@ ENTRIES = "CAST(ascii(lower(text)) AS INTEGER) BETWEEN 97 AND 109"
 def p14_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Every entity text of the corpus is looked for in every document."""
     docs = t.cleaned(spark, sf).select("doc_id", F.col("text_clean").alias("text"))
-    entities = n11(spark, sf).filter(ENTRIES)
-    found = dictionary_matches(docs, entities).select("doc_id", F.explode("matches").alias("m"))
+    found = dictionary_matches(docs, n11(spark, sf)).select("doc_id", F.explode("matches").alias("m"))
     return found.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("matches"),
         F.count_if(F.col("m.label") == "Chemical").alias("chemicals"),

@@ -7,13 +7,15 @@ import html
 import sys
 import types
 import uuid
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from corpuslab.session import via_table
 
-from .cleaning import TAG_CLASS, TAG_CLOSE, TAG_END, TAG_TITLE
+from .cleaning import SLICE, TAG_CLASS, TAG_CLOSE, TAG_END, TAG_TITLE
 
 #: Characters of entries that one automaton holds; longer dictionaries take several passes.
 PART_CHARS = 8_000_000
@@ -92,6 +94,16 @@ def leftmost(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return out
 
 
+def leftmost_of(longest: dict[int, tuple[int, str]]) -> list[tuple[int, int, str]]:
+    """``leftmost`` of what ``longest_at`` found, one match for each place."""
+    out, at = [], 0
+    for start in sorted(longest):
+        if start >= at:
+            at, label = longest[start]
+            out.append((start, at, label))
+    return out
+
+
 def dictionary_matches(docs: DataFrame, entities: DataFrame, text: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
     """``docs`` with ``matches``: start, end (code points, end exclusive) and
     label of each entry found in the text, case-insensitively, leftmost and
@@ -113,8 +125,11 @@ def dictionary_matches(docs: DataFrame, entities: DataFrame, text: str = "text",
 
 def _with_matches(batch: pa.RecordBatch, matches: list) -> pa.RecordBatch:
     at = batch.schema.get_field_index("matches")
-    values = [[{"start": s, "end": e, "label": label} for s, e, label in own] for own in matches]
-    columns = [pa.array(values, batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns)]
+    kind = batch.schema.field(at).type
+    fields, each = list(kind.value_type), list(zip(*chain.from_iterable(matches), strict=True)) or [()] * 3
+    flat = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(each, fields, strict=True)], fields=fields)
+    ends = pa.array(np.cumsum([0, *map(len, matches)]), pa.int32())
+    columns = [pa.ListArray.from_arrays(ends, flat, kind) if i == at else c for i, c in enumerate(batch.columns)]
     return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
 
@@ -126,12 +141,16 @@ def _known(batch: pa.RecordBatch) -> list[list[tuple[int, int, str]]]:
 def _searcher(rows: list[tuple[str, str]], column: str, key: str, last: bool):
     def run(batches):
         machine = automaton_of(key, rows) if rows else None
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
             matches = []
             for text, before in zip(texts, _known(batch), strict=True):
-                own = [(s, e, label) for s, (e, label) in longest_at(machine, text).items()] if text and machine else []
-                matches.append(leftmost(before + own) if last else before + own)
+                longest = longest_at(machine, text) if text and machine else {}
+                if last and not before:
+                    matches.append(leftmost_of(longest))
+                else:
+                    every = before + [(s, e, label) for s, (e, label) in longest.items()]
+                    matches.append(leftmost(every) if last else every)
             yield _with_matches(batch, matches)
 
     return run

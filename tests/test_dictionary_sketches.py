@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from corpuslab.catalog import labelling, tables
 from corpuslab.operators import dictionary as dic, evaluate as ev, labelling as lab, sketches as sk
 from corpuslab.sources import files, sinks
 
@@ -61,6 +62,29 @@ def test_corpus_annotation(spark):
     assert got == {1: f"{tag('Chemical', 'Aspirin')} &amp; {tag('Disease', 'aspirin-like')} &lt;b&gt;", 2: None, 3: tag("Disease", "ASPIRIN-LIKE")}
 
 
+def test_query_looks_for_every_entity_text(spark, tmp_path):
+    """Entity texts count whatever they begin with: letters of either half of the alphabet, digits, hyphens."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abdeijmnoprstuvwxyz019-", k=rng.randint(1, 9))) for _ in range(80)]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(5, 40))), "s") for i in range(40)] + [(40, None, "s"), (41, "few", "s"), (7, "zz oo nn yy tt uu", None)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    best = {}
+    for e in labelling.n11(spark, str(tmp_path)).collect():
+        if e.text:
+            best[e.text] = min(best.get(e.text, (1, "z")), (-e.confidence, e.label))
+    entries = {text: label for text, (_, label) in best.items()}
+    assert {bool("a" <= text[0] <= "m") for text in entries} == {True, False}
+    want = {}
+    for doc in tables.cleaned(spark, str(tmp_path)).collect():
+        found = plain_matches(doc.text_clean, entries)
+        if found:
+            old = want.get(doc.doc_id, (0, 0, 0))
+            new = (len(found), sum(label == "Chemical" for _, _, label in found), sum(e - s for s, e, _ in found))
+            want[doc.doc_id] = tuple(a + b for a, b in zip(old, new, strict=True))
+    got = {r.doc_id: (r.matches, r.chemicals, r.covered) for r in labelling.p14_corpus(spark, str(tmp_path)).collect()}
+    assert got == want and len(want) > 30
+
+
 def test_large_dictionary_is_linear_in_the_text():
     rows = [(f"entry {i * 7919 % 1_000_003} of many", "x") for i in range(100_000)]
     machine = dic.automaton_of("large", rows)
