@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
@@ -140,6 +141,50 @@ def test_sample_does_not_depend_on_partitions(spark):
     assert (one.leaf == many.leaf).all() and one.thresholds == many.thresholds
 
 
+def test_all_texts_are_fitted_on(spark):
+    """A kind that only stands in a few texts with the last hashes has a threshold, however many other spans there are."""
+    key = lambda text: hashlib.blake2b(text.encode(), digest_size=8).hexdigest()
+    mails = [f"mail u{i}@mail{i}.example.com now" for i in range(19_000)]
+    hosts = [t for i in range(3_000) if key(t := f"the host {i % 250}.{i % 7}.{i % 11}.{i % 13} is up") >= "f"]
+    assert len(hosts) > 100
+    trees = op10.train(docs_of(spark, list(enumerate(mails + hosts))))
+    assert [k for k, t in zip(op10.KINDS, trees.thresholds) if np.isfinite(t)] == ["email", "ip"]
+
+
+def test_spans_by_features_against_all_spans(spark):
+    docs = [*MORE, *people(50), *people(20)]
+    want = Counter()
+    for text in {t or "" for _, t in docs}:
+        held = int(hashlib.blake2b(text.encode(), digest_size=8).hexdigest(), 16) % 3 == 2
+        for values, label in op10.made_spans(text):
+            want[held, tuple(values), label] += 1
+    got = Counter()
+    for r in op10.span_rows(docs_of(spark, docs, clashing=True)).collect():
+        values = tuple(np.frombuffer(r["features"], op10.PACKED).astype(float))
+        got[r["held"], values, True] += r["good"]
+        got[r["held"], values, False] += r["n"] - r["good"]
+    assert +got == want and len(want) > 50
+
+
+def test_trees_on_the_executors_are_those_of_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(op10, "TREES", 3)
+    docs = docs_of(spark, list(people(80)))
+    held = op10.train(docs)
+    monkeypatch.setattr(op10, "HELD_ROWS", 0)
+    spread = op10.train(docs.repartition(5))
+    for one, other in ((held.feature, spread.feature), (held.cut, spread.cut), (held.leaf, spread.leaf)):
+        assert (one == other).all() and one.any()
+    assert held.thresholds == spread.thresholds and np.isfinite(held.thresholds).any()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=120))
+def test_quantiles_of_counted_values(values):
+    found, counts = np.unique(np.array(values, float), return_counts=True)
+    want = np.unique(np.quantile(np.array(values, float), np.linspace(0, 1, op10.BINS + 1)[1:-1]))
+    assert np.allclose(op10.quantiles(found, counts), want, rtol=1e-12, atol=1e-12)
+
+
 def test_calibration():
     scores = np.array([0.0, 1, 2, 3, 4, 5, 6, 7])
     labels = np.array([0, 0, 1, 0, 1, 1, 1, 1])
